@@ -40,7 +40,7 @@ _LOW = np.uint64((1 << 28) - 1)
 
 
 def stretches(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
-    """start, n (windows), at (anchor after start), key (the gram's hash), h1, h2 of a text."""
+    """start, n (windows), at (anchor after start), key (the gram's hash), h (the stretch's) of a text."""
     step = _PIECE - SPAN
     for base in range(0, max(len(text) - SPAN + 1, 0), step):
         data = np.frombuffer(text, np.uint8, min(_PIECE - 1, len(text) - base), base)
@@ -58,13 +58,13 @@ def stretches(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
         start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         count = np.diff(np.append(start, n))
         end = start + count + SPAN - 1
-        p2 = bytesops.prefix_sums(data, bytesops.CODE_2)
         at = anchor[start]
-        yield start + base, count, at - start, grams[at], bytesops.hashes(p1, start, end), bytesops.hashes(p2, start, end)
+        yield start + base, count, at - start, grams[at], bytesops.hashes(p1, start, end)
 
 
 def _stretch_rows(docs: DataFrame) -> DataFrame:
-    """rid, start, n, at, key, h1, h2 of every text (docs: rid, text)."""
+    """rid, place, key, h of every text's stretches (docs: rid, text). place packs start, n and at
+    in a long, as each column of a shuffled row takes eight bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,11 +72,9 @@ def _stretch_rows(docs: DataFrame) -> DataFrame:
 
             def out() -> pa.RecordBatch:
                 cols = [np.concatenate(c) for c in zip(*held, strict=True)]  # noqa: B023
-                rid, start, n, at, key, h1, h2 = cols
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(rid), pa.array(start), pa.array(n.astype(np.int16)), pa.array(at.astype(np.int16)), *(pa.array(x.view(np.int64)) for x in (key, h1, h2))],
-                    names=["rid", "start", "n", "at", "key", "h1", "h2"],
-                )
+                rid, start, n, at, key, h = cols
+                place = (start << 16) | (n << 8) | at  # n and at are at most SPAN - K + 1
+                return pa.RecordBatch.from_arrays([pa.array(rid), pa.array(place), pa.array(key.view(np.int64)), pa.array(h.view(np.int64))], names=["rid", "place", "key", "h"])
 
             for rid, text in zip(batch.column(0).to_numpy(zero_copy_only=False), bytesops.texts(batch.column(1)), strict=True):
                 for cols in stretches(text):
@@ -88,7 +86,7 @@ def _stretch_rows(docs: DataFrame) -> DataFrame:
             if held:
                 yield out()
 
-    return docs.select("rid", "text").mapInArrow(run, "rid long, start long, n short, at short, key long, h1 long, h2 long")
+    return docs.select("rid", "text").mapInArrow(run, "rid long, place long, key long, h long")
 
 
 def _words_of(data: np.ndarray) -> np.ndarray:
@@ -156,13 +154,13 @@ def repeated_suffixes(data: np.ndarray, pos: np.ndarray, group: np.ndarray, shal
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, h1, h2, at, n, c, bytes) in order of key to the windows that repeat, as runs
-    (key, h1, h2, lo, hi) of a stretch's windows."""
+    """(key, h, place, c, bytes) in order of key to the windows that repeat, as runs (key, h, lo, hi) of a stretch's windows."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        key, h1, h2, at, n, c, body = zip(*rows, strict=True)
+        key, h, place, c, body = zip(*rows, strict=True)
         data = np.frombuffer(b"".join(body), np.uint8)
-        n, at, c = np.array(n, np.int64), np.array(at, np.int64), np.array(c, np.int64)
+        packed, c = np.array(place, np.int64), np.array(c, np.int64)
+        n, at = (packed >> 8) & 255, packed & 255
         size = np.fromiter(map(len, body), np.int64, len(body))
         base = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(n)), n)
@@ -177,7 +175,7 @@ def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         who = owner[lo] if len(lo) else lo
         off = (np.cumsum(n) - n)[who]
         pick = lambda x: pa.array(np.array(x, np.int64)[who])
-        return pa.RecordBatch.from_arrays([pick(key), pick(h1), pick(h2), pa.array(lo - off), pa.array(hi - off)], names=["key", "h1", "h2", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pick(key), pick(h), pa.array(lo - off), pa.array(hi - off)], names=["key", "h", "lo", "hi"])
 
     rows: list[tuple] = []
     for batch in batches:
@@ -196,40 +194,42 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for text, wanted in zip(bytesops.texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             for w in wanted:
-                rows.append((w["key"], w["h1"], w["h2"], w["at"], w["n"], w["c"], w["wide"], text[w["start"] : w["start"] + w["n"] + SPAN - 1]))
+                start, n = w["place"] >> 16, (w["place"] >> 8) & 255
+                rows.append((w["key"], w["h"], w["place"], w["c"], w["wide"], text[start : start + n + SPAN - 1]))
         for k in range(0, len(rows), 10_000):
             cols = zip(*rows[k : k + 10_000], strict=True)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "h1", "h2", "at", "n", "c", "wide", "body"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "h", "place", "c", "wide", "body"])
 
 
 def _hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of wide grams to one row (w1, w2, key, h1, h2, i, c) a window."""
+    """Stretches of wide grams to one row (w1, w2, key, h, i, c) a window."""
     for batch in batches:
-        for key, h1, h2, n, c, body in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+        for key, h, place, c, body in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            n = (place >> 8) & 255
             data, i = np.frombuffer(body, np.uint8), np.arange(n)
             w = [bytesops.hashes(bytesops.prefix_sums(data, code), i, i + SPAN).view(np.int64) for code in (bytesops.CODE, bytesops.CODE_2)]
             same = lambda x: pa.array(np.full(n, x, np.int64))  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([pa.array(w[0]), pa.array(w[1]), same(key), same(h1), same(h2), pa.array(i), same(c)], names=["w1", "w2", "key", "h1", "h2", "i", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(w[0]), pa.array(w[1]), same(key), same(h), pa.array(i), same(c)], names=["w1", "w2", "key", "h", "i", "c"])
 
 
 def repeated_spans(docs: DataFrame, wide: int = WIDE) -> DataFrame:
     """rid, lo, hi: byte ranges of repeated strings, overlapping and unordered (docs: rid, text)."""
     rows = written(_stretch_rows(docs))
-    grams = rows.groupBy("key").agg(F.count("*").alias("m"), ((F.min("h1") != F.max("h1")) | (F.min("h2") != F.max("h2"))).alias("mixed")).where("m > 1")
-    met = written(rows.join(grams, "key").select("rid", "start", "n", "at", "key", "h1", "h2", "mixed", (F.col("m") > wide).alias("wide")))
-    whole = met.where("NOT mixed").select("rid", F.col("start").alias("lo"), (F.col("start") + F.col("n") + SPAN - 1).alias("hi"))
+    grams = rows.groupBy("key").agg(F.count("*").alias("m"), (F.min("h") != F.max("h")).alias("mixed")).where("m > 1")
+    met = written(rows.join(grams, "key").select("rid", "place", "key", "h", "mixed", (F.col("m") > wide).alias("wide")))
+    start, n = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)
+    whole = met.where("NOT mixed").select("rid", start.alias("lo"), (start + n + SPAN - 1).alias("hi"))
     mixed = met.where("mixed")
-    kinds = mixed.groupBy("key", "h1", "h2").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start", "n", "at", "wide")).alias("r"))
-    wanted = kinds.groupBy("r.rid").agg(F.collect_list(F.struct("key", "h1", "h2", F.col("r.at").alias("at"), F.col("r.n").alias("n"), "c", F.col("r.wide").alias("wide"), F.col("r.start").alias("start"))).alias("wanted"))
-    shape = "key long, h1 long, h2 long, at short, n short, c long, wide boolean, body binary"
-    bodies = written(docs.join(wanted, "rid").select("text", "wanted").mapInArrow(_fetch, shape))
-    few = bodies.where("NOT wide").select("key", "h1", "h2", "at", "n", "c", "body").repartition("key").sortWithinPartitions("key", "h1", "h2")
-    runs = few.mapInArrow(_sort_groups, "key long, h1 long, h2 long, lo long, hi long")
-    windows = bodies.where("wide").select("key", "h1", "h2", "n", "c", "body").mapInArrow(_hash_windows, "w1 long, w2 long, key long, h1 long, h2 long, i long, c long")
+    kinds = mixed.groupBy("key", "h").agg(F.count("*").alias("c"), F.min(F.struct("rid", "place", "wide")).alias("r"))
+    wanted = kinds.groupBy("r.rid").agg(F.collect_list(F.struct("key", "h", F.col("r.place").alias("place"), "c", F.col("r.wide").alias("wide"))).alias("wanted"))
+    bodies = written(docs.join(wanted, "rid").select("text", "wanted").mapInArrow(_fetch, "key long, h long, place long, c long, wide boolean, body binary"))
+    few = bodies.where("NOT wide").select("key", "h", "place", "c", "body").repartition("key").sortWithinPartitions("key", "h")
+    runs = few.mapInArrow(_sort_groups, "key long, h long, lo long, hi long")
+    windows = bodies.where("wide").select("key", "h", "place", "c", "body").mapInArrow(_hash_windows, "w1 long, w2 long, key long, h long, i long, c long")
     often = windows.groupBy("w1", "w2").agg(F.sum("c").alias("t")).where("t > 1").select("w1", "w2")
-    single = windows.join(often, ["w1", "w2"]).select("key", "h1", "h2", F.col("i").alias("lo"), (F.col("i") + 1).alias("hi"))
-    part = mixed.join(runs.unionByName(single), ["key", "h1", "h2"]).select("rid", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + SPAN - 1).alias("hi"))
+    single = windows.join(often, ["w1", "w2"]).select("key", "h", F.col("i").alias("lo"), (F.col("i") + 1).alias("hi"))
+    part = mixed.join(runs.unionByName(single), ["key", "h"]).select("rid", (start + F.col("lo")).alias("lo"), (start + F.col("hi") + SPAN - 1).alias("hi"))
     return whole.unionByName(part)
 
 
