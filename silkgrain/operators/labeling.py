@@ -28,21 +28,29 @@ def occurrences(text: Column, term: str, most: int) -> Column:
     return F.least((gone / len(needle)).cast("int"), F.lit(most))
 
 
-def dictionary_vote(label: str, terms: tuple[str, ...], text: Column) -> Column:
+def term_counts(text: Column, terms: tuple[str, ...]) -> Column:
+    """Occurrences of each term, at most four: an array in order of terms."""
+    return F.array(*[occurrences(text, x, 4) for x in terms])
+
+
+def dictionary_vote(label: str, terms: tuple[str, ...], counts: Column) -> Column:
     """L3: confidence from the number of terms found, count from their occurrences."""
-    counts = [occurrences(text, x, 4) for x in terms]
-    found = reduce(lambda a, b: a + b, [(n > 0).cast("int") for n in counts])
-    total = F.least(reduce(lambda a, b: a + b, counts), F.lit(12))
-    evidence = F.filter(F.array(*[F.when(n > 0, F.lit(x)) for n, x in zip(counts, terms, strict=True)]), lambda x: x.isNotNull())
+    found = F.size(F.filter(counts, lambda n: n > 0))
+    total = F.least(F.aggregate(counts, F.lit(0), lambda a, n: a + n), F.lit(12))
+    evidence = F.filter(F.array(*map(F.lit, terms)), lambda x, k: F.get(counts, k) > 0)
     return _vote("dictionary", label, found > 0, F.least(F.lit(0.92), 0.58 + 0.08 * F.least(found, F.lit(4))), total, evidence)
 
 
-def pattern_vote(label: str, patterns: tuple[tuple[str, str, float], ...], text: Column, lf: str = "medical_pattern", cap: float = 1.0) -> Column:
+def pattern_groups(text: Column, patterns: tuple[tuple[str, str, float], ...]) -> Column:
+    """At most six matches of each pattern: an array in order of patterns."""
+    return F.array(*[F.slice(F.regexp_extract_all(text, F.lit(f"({p})"), 1), 1, 6) for _, p, _ in patterns])
+
+
+def pattern_vote(label: str, patterns: tuple[tuple[str, str, float], ...], groups: Column, lf: str = "medical_pattern", cap: float = 1.0) -> Column:
     """L4 (and L5 with a cap): the greatest confidence of the patterns that match; evidence is at
     most six matches of each and twelve in all."""
-    groups = [F.slice(F.regexp_extract_all(text, F.lit(f"({p})"), 1), 1, 6) for _, p, _ in patterns]
-    evidence = F.slice(F.flatten(F.array(*groups)), 1, 12)
-    best = F.greatest(*[F.when(F.size(g) > 0, F.lit(k)).otherwise(0.0) for g, (_, _, k) in zip(groups, patterns, strict=True)], F.lit(0.0))
+    evidence = F.slice(F.flatten(groups), 1, 12)
+    best = F.greatest(*[F.when(F.size(F.get(groups, i)) > 0, F.lit(k)).otherwise(0.0) for i, (_, _, k) in enumerate(patterns)], F.lit(0.0))
     return _vote(lf, label, F.size(evidence) > 0, F.least(best, F.lit(cap)), F.size(evidence), evidence)
 
 
@@ -65,13 +73,18 @@ def response_vote(lf: str, label: str, present: Column, confidence: Column, coun
 
 def apply_rules(chunks: DataFrame, terms: dict, patterns: dict, priors: dict, tests: tuple = (), labels: tuple[str, ...] = c.LABELS) -> DataFrame:
     """Every rule LF on every (chunk, label): document_id, chunk_id and the vote."""
+    # Matches are columns of their own, so that each text is searched once, not once a use.
+    text = F.col("text")
+    found = chunks.select(
+        "document_id", "chunk_id", "section", *[term_counts(text, terms[x]).alias(f"d_{x}") for x in labels], *[pattern_groups(text, patterns[x]).alias(f"p_{x}") for x in labels],
+        (pattern_groups(text, tests) if tests else F.array(F.array().cast("array<string>"))).alias("t_tests"),
+    )
     votes = []
     for label in labels:
-        text, surface = F.col("text"), F.col("section")
-        votes += [dictionary_vote(label, terms[label], text), pattern_vote(label, patterns[label], text), section_vote(label, priors[label], surface)]
+        votes += [dictionary_vote(label, terms[label], F.col(f"d_{label}")), pattern_vote(label, patterns[label], F.col(f"p_{label}")), section_vote(label, priors[label], F.col("section"))]
         if label == "tests" and tests:
-            votes.append(pattern_vote(label, tests, text, "regex_indicator", 0.64))
-    return chunks.select("document_id", "chunk_id", F.inline(F.array(*votes)))
+            votes.append(pattern_vote(label, tests, F.col("t_tests"), "regex_indicator", 0.64))
+    return found.select("document_id", "chunk_id", F.inline(F.array(*votes)))
 
 
 def pair_with_chunks(entities: DataFrame, chunks: DataFrame) -> DataFrame:

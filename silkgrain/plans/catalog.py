@@ -319,8 +319,10 @@ def _(s, d):
 
 @query("L5_regex_indicator", f"WITH {C} SELECT document_id, chunk_id, (len(regexp_extract_all(text, '[0-9]{{4,}}')) > 0)::INT AS vote, CASE WHEN len(regexp_extract_all(text, '[0-9]{{4,}}')) > 0 THEN 0.64 ELSE 0 END::DOUBLE AS confidence FROM chunks")
 def _(s, d):
-    v = lab.pattern_vote("tests", (("digits", "[0-9]{4,}", 0.84),), F.col("text"), "regex_indicator", 0.64)
-    return i.chunks(s, d).select("document_id", "chunk_id", v.alias("v")).select("document_id", "chunk_id", "v.vote", "v.confidence")
+    tests = (("digits", "[0-9]{4,}", 0.84),)
+    x = i.chunks(s, d).select("document_id", "chunk_id", lab.pattern_groups(F.col("text"), tests).alias("g"))
+    v = lab.pattern_vote("tests", tests, F.col("g"), "regex_indicator", 0.64)
+    return x.select("document_id", "chunk_id", v.alias("v")).select("document_id", "chunk_id", "v.vote", "v.confidence")
 
 
 def _section_sql(label: str) -> str:
