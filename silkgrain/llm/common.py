@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -18,15 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="silkgrain-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below spark.checkpoint.dir, which driver and executors share.
 
     Only where that setting is absent (tests on one machine) a local folder stands in.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="silkgrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = root or _local_dir()
     return f"{root.rstrip('/')}/silkgrain-{uuid.uuid4().hex}"
 
 
@@ -40,3 +44,12 @@ def written(df: DataFrame) -> DataFrame:
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(folds)
+
+
+def stable_rows(df: DataFrame) -> DataFrame:
+    """df itself if it only reads files, so that it has the same partitions and rows whenever it
+    is read; else its rows, stored. Row numbers given in two branches of a plan then agree."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter") and plan.children().size() == 1:
+        plan = plan.children().apply(0)
+    return df if plan.nodeName().startswith(("Relation", "LogicalRelation")) else written(df)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silkgrain.llm import bytesops
-from silkgrain.llm.common import table, written
+from silkgrain.llm.common import stable_rows, table, written
 
 SPAN, K = 200, 64
 SHALLOW = 32
@@ -246,7 +246,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def deduplicate(docs: DataFrame, wide: int = WIDE, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; kept, the bytes, on request."""
-    base = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("text").cast("string").alias("text"))
+    base = stable_rows(docs.select("doc_id", "text")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("text").cast("string").alias("text"))
     found = repeated_spans(base.select("rid", "text"), wide).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silkgrain.llm.common import shared_dir, table
+from silkgrain.llm.common import shared_dir, stable_rows, table
 
 _CRLF = "\r\n"
 _RFC4648 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
@@ -47,7 +47,7 @@ def captures(pages: DataFrame) -> DataFrame:
     Only digests that occur more than once take part in the join, after a partial
     aggregation; a digest that a third of all rows share is split by the skew join.
     """
-    base = pages.select(
+    base = stable_rows(pages.select("page_id", "url", "html")).select(
         F.col("page_id").cast("long"),
         F.monotonically_increasing_id().alias("uid"),
         F.col("url").cast("string"),
