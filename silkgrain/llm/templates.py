@@ -61,6 +61,17 @@ def _among(x: np.ndarray, found: np.ndarray) -> np.ndarray:
     return found[np.minimum(at, len(found) - 1)] == x
 
 
+def _lowered(text: bytes) -> bytes:
+    """The text in lower case, byte for byte in place: letters whose lower case has another
+    length stay as they are."""
+    chars = text.decode("utf-8", "surrogateescape")
+    low = chars.lower().encode("utf-8", "surrogateescape")
+    if len(low) != len(text):
+        same = lambda c: c.lower() if len(c.lower().encode("utf-8", "surrogateescape")) == len(c.encode("utf-8", "surrogateescape")) else c
+        low = "".join(map(same, chars)).encode("utf-8", "surrogateescape")
+    return low
+
+
 class Template:
     """The canonical words of some bytes: h (hash or slot), slot flags, and where they are."""
 
@@ -70,7 +81,7 @@ class Template:
         kept = np.flatnonzero(_KEEP[raw] | space)
         data = raw[kept]
         start, end = bytesops.word_bounds(data)
-        low = bytesops.LOWER[data]
+        low = np.frombuffer(_lowered(text), np.uint8)[kept]
         h = bytesops.hashes(bytesops.prefix_sums(low), start, end)
         upper = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90), dtype=np.int32)])
         self.at, self.to = (kept[start], kept[end - 1] + 1) if len(start) else (start, end)

@@ -288,6 +288,11 @@ def test_templates(spark, empty):
     assert templates.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_templates_in_capitals():
+    a, b = (templates.Template(x.encode()) for x in ("la acción é única y el niño está aquí hoy İ", "LA ACCIÓN É ÚNICA Y EL NIÑO ESTÁ AQUÍ HOY İ"))
+    assert a.h.tolist() == b.h.tolist()
+
+
 def test_template_windows_of_long_text(monkeypatch):
     text = " ".join(f"word{k} and text{k * 7 % 97}" for k in range(3000)).encode()
     whole = {(h, p) for h, _, p, _, _ in templates._rows(text, [8], None)}
