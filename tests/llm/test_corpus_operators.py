@@ -251,6 +251,26 @@ def test_ppm_base_and_model(docs, empty):
     assert ppm.score(empty).count() == 0
 
 
+def test_ppm_adaptation_against_a_loop():
+    rng, levels = np.random.default_rng(4), ((3.0, 0.6), (0.5, 0.9))
+    prior = np.array([0.4, 0.3, 0.15, 0.05])  # and 0.1 for the end
+    doc = np.repeat(np.arange(5), [7, 0, 1, 40, 12])
+    index = rng.integers(0, 4, len(doc)).astype(np.int32)
+    got = ppm.adapted(np.log10(prior), index, doc, -1.0, *levels)
+    for d in set(doc.tolist()):
+        text, follow = index[doc == d].tolist(), {}
+        for i, w in enumerate(text):
+            p = prior / 0.9
+            last = text[i - 1] if i else None
+            for seen, (weight, discount) in zip((Counter(text[:i]), follow.setdefault(last, Counter())), levels, strict=True):
+                n, k = seen.total(), len(seen)
+                p = np.array([max(seen[x] - discount, 0) + (weight + discount * k) * p[x] for x in range(4)]) / (n + weight)
+            assert p.sum() == pytest.approx(1)
+            assert got[doc == d][i] == pytest.approx(math.log10(0.9 * p[w]))
+            follow[last][w] += 1
+    assert len(ppm.adapted(np.zeros(0), index[:0], doc[:0], -1.0, *levels)) == 0
+
+
 def test_ppm_distributions_sum_to_one():
     docs = [(1, False, t.encode()) for t in ("abab abc abd", "abab xyz", "aaaa b")]
     w = ppm._Words(docs)
