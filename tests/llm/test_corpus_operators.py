@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from silkgrain.llm import common, mixing, ppm, pu_quality, secret_scan, simhash, suffix_dedup, templates, text_density, warc, weak_rules
+from silkgrain.llm import common, mixing, near_copies, ppm, pu_quality, secret_scan, simhash, suffix_dedup, templates, text_density, warc, weak_rules
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -375,3 +375,60 @@ def test_pipeline(spark, tmp_path, docs):
     got = corpus_pipeline.run(spark, str(d)).collect()
     ids = [r["doc_id"] for r in got]
     assert len(ids) == len(set(ids)) and 9 not in ids and not {1001, 1020} & set(ids) and {"copies", "text", "n_chars"} <= set(got[0].asDict())
+
+
+def plain_near(texts):
+    """Roots by brute force: five-word shingles, Jaccard of at least 0.8."""
+    sets = []
+    for t in texts:
+        w = words(lower(t))
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    return [find(x) for x in range(len(texts))]
+
+
+def edited_docs():
+    rng = np.random.default_rng(3)
+    vocab = [f"w{k}" for k in range(500)]
+    out = []
+    for c in range(12):  # chains of edits, crowds around one text, and halves that only look alike
+        now = base = list(rng.choice(vocab, 150))
+        for _ in range(60 if c == 0 else 6):
+            if c % 3 == 0:
+                now = list(base)
+            for k in rng.integers(0, 150, 1 if c % 3 < 2 else 4):
+                now = [*now[:k], str(rng.choice(vocab)), *now[k + 1 :]]
+            out.append(" ".join(now))
+    return [*out, out[0].upper(), None, "", " \n", "one two", "One  two", "one two three"]
+
+
+def test_near_copies_against_brute_force(spark):
+    texts = edited_docs()
+    plain = plain_near(texts)
+    assert 12 < len(set(plain)) < len(texts) - 80
+    got = {r["id"]: r["root"] for r in near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3), "id").collect()}
+    assert len(got) == len(texts) == len(set(got))
+    assert len({(got[k], plain[k]) for k in got}) == len(set(got.values())) == len(set(plain))
+    assert near_copies.near_copies(spark.createDataFrame([], "id long, text string"), "id").count() == 0
+
+
+def test_near_duplicates_stage_drops_edited_copies(spark):
+    import corpus_pipeline
+
+    texts = edited_docs()
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts)]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, DOC), "").collect()}
+    least = {}
+    for k, r in enumerate(plain_near(texts)):
+        least.setdefault(r, k)
+    assert kept == set(least.values())
