@@ -126,17 +126,19 @@ def _calibrated(s: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[flo
     return float(max(w[0], 1e-3) / scale), float(w[1])
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out and x, the vector of each text, of every row."""
+def measure(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, held_out and x, the vector of each text, of every row; and its row key, if named."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    more = [row] if row else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t) for t in bytesops.texts(batch.column(1))], np.float32).reshape(-1, N_FEATURES)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * N_FEATURES), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), flat], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), flat, *batch.columns[2:]], names=["doc_id", "x", *more])
 
-    out = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, x array<float>")
+    shape = ", ".join([f"doc_id {kind}, x array<float>", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in more)])
+    out = docs.select("doc_id", F.col("text").cast("string"), *more).mapInArrow(run, shape)
     return out.withColumn("held_out", fold_of(F.col("doc_id"), FOLDS) == HELD_OUT)
 
 
@@ -151,23 +153,25 @@ def train(measured: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> P
     return fit_pu(x, rows["q"].to_numpy(np.int64))
 
 
-def score(measured: DataFrame, model: PUModel) -> DataFrame:
+def score(measured: DataFrame, model: PUModel, row: str | None = None) -> DataFrame:
     """measured with score, predicted; the vectors are only read."""
     kind = measured.schema["doc_id"].dataType.simpleString()
+    more = [row] if row else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.score(x.astype(np.float64)))], names=["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.score(x.astype(np.float64))), *batch.columns[3:]], names=["doc_id", "held_out", "score", *more])
 
-    out = measured.select("doc_id", "held_out", "x").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double")
+    shape = ", ".join([f"doc_id {kind}, held_out boolean, score double", *(f"{c} {measured.schema[c].dataType.simpleString()}" for c in more)])
+    out = measured.select("doc_id", "held_out", "x", *more).mapInArrow(run, shape)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
-    measured = written(measure(docs))
-    return score(measured, train(measured, labels))
+def classify(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; and its row key, if named."""
+    measured = written(measure(docs, row))
+    return score(measured, train(measured, labels), row)
 
 
 def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

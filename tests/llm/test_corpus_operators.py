@@ -432,3 +432,28 @@ def test_near_duplicates_stage_drops_edited_copies(spark):
     for k, r in enumerate(plain_near(texts)):
         least.setdefault(r, k)
     assert kept == set(least.values())
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(6)
+    good = lambda: " ".join("".join(rng.choice(list("abcdef"), 5)) for _ in range(80)) + "."
+    bad = lambda: " ".join(w.upper() + "!!" for w in good().split())
+    d, item = str(tmp_path), good()
+    rows = [(i, good() if i % 5 else bad(), "en", "s", 0) for i in range(400)]
+    spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(400)], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    clean = [good() for _ in range(8)]
+    rows += [(None if k % 2 else 1000, t, "en", "s", 0) for k, t in enumerate([*clean, bad(), bad(), item, item, clean[0], clean[1]])]
+    spark.createDataFrame(rows, DOC).repartition(3).write.parquet(f"{d}/documents.parquet")
+    kept = spark.read.parquet(f"{d}/documents.parquet")
+    at = lambda df: Counter(r["text"] for r in df.where("doc_id IS NULL OR doc_id = 1000").collect())
+    kept = common.written(corpus_pipeline.quality(spark, kept, d))
+    assert at(kept) == Counter([*clean, *clean[:2], item, item])
+    kept = common.written(corpus_pipeline.near_duplicates(spark, kept, d))
+    assert at(kept) == Counter([*clean, item])
+    kept = common.written(corpus_pipeline.decontamination(spark, kept, d))
+    assert at(kept) == Counter(clean)
+    mixed = corpus_pipeline.mix(spark, kept, d)
+    assert at(mixed) == Counter(clean) and mixed.columns == [*DOC.replace(" long", "").replace(" string", "").split(", "), "copies", "target"]
