@@ -1,18 +1,23 @@
 """Benchmark decontamination by windows of templates.
 
 Words are canonicalised: numbers, names (capitalised inside a sentence) and units (after a
-number) become typed slots, other words lose case and punctuation. Windows of WINDOW words,
-of which at most SLOTS are slots, are hashed and equality-joined between documents and
-benchmark items. Windows of one document and item that lie in the same shift form an
-alignment; in it every filler of the item must stand for one filler of the document, else
-the likeness is chance and its windows don't count. What remains is the share of the item's
-windows that the document holds; above COVERAGE it counts as a copy, re-parameterised or not.
+number) become typed slots, other words lose case and punctuation. Windows of WINDOW words
+are hashed and equality-joined between documents and benchmark items. Windows of one document
+and item that lie in the same shift form an alignment; in it a name of the item must stand for
+one name of the document, else the likeness is chance and its windows don't count. Of a number
+or unit that stands for several the most frequent counts, and windows with the others don't.
+What remains is the share of the item's windows that the document holds; from COVERAGE on it
+counts as a copy, re-parameterised or not.
+
+A window with more than SLOTS slots (or under three plain words) is indexed twice: with its
+fillers, which alone is evidence, and with typed slots, which counts only in an alignment that
+has evidence besides. So number-dense items are found as exact copies at least.
 
 The windows of all items go to every task only while there are at most MAX_SENT of them;
 beyond that both sides' windows are shuffled and joined.
 
 Defined cases: null and empty texts have no windows; items of 3 to WINDOW - 1 words have one
-window of their own length, shorter ones none; repeated rows of one id are one document, of
+window of their own length; of one or two words, a document is a copy if it has just these words; repeated rows of one id are one document, of
 null id too; empty tables give no rows. Whole texts are read, in overlapping pieces if long.
 """
 
@@ -44,6 +49,8 @@ _ENDS = np.zeros(256, np.int32)
 _ENDS[list(b".!?:\n")] = 1
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x1F3D5B79, 0x2E4C6A88, 0x3D5B7997))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Kinds of windows, kept above the size in n: with its fillers, with typed slots only, and a whole short text.
+EXACT, DENSE, WHOLE = 1 << 8, 2 << 8, 3 << 8
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
@@ -91,21 +98,28 @@ class Template:
         number = (first >= 48) & (first <= 57)
         name = inside & (first >= 65) & (first <= 90) & (upper[end] - upper[start] == 1) & (end - start > 1)
         unit = np.concatenate([[False], number[:-1]])[: len(start)] & ~number & _among(h, _UNIT_HASHES)
-        self.text, self.slot = text, number | name | unit
+        self.text, self.slot, self.raw = text, number | name | unit, h
         self.h = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, h)))
 
-    def windows(self, n: int, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and first words of the windows with at least n - slots plain words (3 at least)."""
+    def windows(self, n: int, slots: int = SLOTS) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(n and kind, hashes, first words) of all windows: those with at least n - slots plain
+        words (3 at least), and the others as EXACT and as DENSE."""
         m = len(self.h) - n + 1
         if m <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        w = np.full(m, n, np.uint64)
+            return []
+        many = np.concatenate([[0], np.cumsum(self.slot)])
+        plain = n - (many[n:] - many[:-n]) >= max(min(3, n), n - slots)
+        good, dense = np.flatnonzero(plain), np.flatnonzero(~plain)
+        typed = self._hashed(self.h, n)
+        return [(n, typed[good], good), (n | EXACT, self._hashed(self.raw, n)[dense], dense), (n | DENSE, typed[dense], dense)]
+
+    @staticmethod
+    def _hashed(h: np.ndarray, n: int) -> np.ndarray:
+        w = np.full(len(h) - n + 1, n, np.uint64)
         for k in range(n):
-            w = (w ^ self.h[k : k + m]) * _MIX
+            w = (w ^ h[k : k + len(w)]) * _MIX
             w ^= w >> np.uint64(29)
-        many = np.concatenate([[0], np.cumsum(self.slot)])
-        good = np.flatnonzero(n - (many[n:] - many[:-n]) >= max(min(3, n), n - slots))
-        return w[good], good
+        return w
 
     def fillers(self, first: int, n: int) -> list[str]:
         """slot number:text of a window's slots, in order."""
@@ -116,18 +130,25 @@ SHAPE = "h long, n int, pos long, words long, fill array<string>"
 
 
 def _rows(text: bytes, sizes: list[int], sent: dict[int, np.ndarray] | None) -> Iterator[tuple]:
-    """(h, n, pos, words, fill) of a text's windows; only of those in sent, where that is given."""
+    """(h, n with kind, pos, words, fill) of a text's windows; only of those in sent, where that is given."""
     before, base = b"", 0
     cut = list(bytesops.pieces(text, _PIECE)) if len(text) > _PIECE else [text]
     for piece in cut:
         t = Template(before + piece)
-        for n in sizes:
-            h, first = t.windows(n)
-            if sent is not None:
-                hit = _among(h, sent[n])
-                h, first = h[hit], first[hit]
+        found = [x for n in sizes if n > 2 for x in t.windows(n)]
+        if len(cut) == 1 and len(t.h) in sizes and len(t.h) <= 2:
+            n = len(t.h)
+            found.append((n | WHOLE, t._hashed(t.raw, n), np.zeros(1, np.int64)))
+        if sent is not None:
+            kept = []
+            for n, h, first in found:
+                hit = _among(h, sent.get(n, h[:0]))
+                kept.append((n, h[hit], first[hit]))
+            evidence = len(cut) > 1 or any(len(h) for n, h, _ in kept if n & ~255 != DENSE)
+            found = [x for x in kept if evidence or x[0] & ~255 != DENSE]
+        for n, h, first in found:
             for x, p in zip(h.view(np.int64).tolist(), first.tolist(), strict=True):
-                yield x, n, base + p, len(t.h), t.fillers(p, n)
+                yield x, n, base + p, len(t.h), t.fillers(p, n & 255)
         if len(cut) > 1:
             back = max(0, len(t.h) - max(sizes) + 1)
             before = t.text[t.at[back] :] if len(t.h) else b""
@@ -151,7 +172,7 @@ def _windows(df: DataFrame, ident: str, sizes: list[int] | None, sent: dict[int,
                 own = sizes
                 if own is None:
                     count = len(Template(text).h)
-                    own = [min(WINDOW, count)] if count >= 3 else []
+                    own = [min(WINDOW, count)] if count else []
                 for row in _rows(text, own, sent) if own else ():
                     ids.append(i)
                     rows.append(row)
@@ -168,25 +189,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_sent: int = MAX_SENT
     """doc_id, item_id, n_windows, item_windows, coverage, n_slots, n_changed of every copy found."""
     items = written(_windows(benchmark.where("item_id IS NOT NULL"), "item_id", None))
     many = items.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
-    sizes = sorted(r[0] for r in items.select("n").distinct().collect())  # at most WINDOW rows
+    kinds = [r[0] for r in items.select("n").distinct().collect()]  # at most three for each size
+    sizes = sorted({n & 255 for n in kinds})
     sent = None
     if items.count() <= max_sent:
         rows = items.select("n", "h").distinct().toPandas()
-        sent = {n: np.sort(rows["h"][rows["n"] == n].to_numpy(np.int64).view(np.uint64)) for n in sizes}
+        sent = {n: np.sort(rows["h"][rows["n"] == n].to_numpy(np.int64).view(np.uint64)) for n in kinds}
     docs = docs if sizes else docs.limit(0)
     found = _windows(docs, "doc_id", sizes or [WINDOW], sent if sizes else None)
     right = items.select("item_id", "h", "n", F.col("pos").alias("item_pos"), F.col("fill").alias("item_fill"))
     pairs = found.join(F.broadcast(right) if sent is not None else right, ["h", "n"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
-    one = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("item_pos").alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(
-            F.transform("item_fill", lambda x: F.concat((F.substring_index(x, ":", 1).cast("long") + F.col("item_pos")).cast("string"), F.lit(":"), F.substring_index(x, ":", -1))).alias("item"),
-            F.transform("fill", lambda x: F.substring_index(x, ":", -1)).alias("doc"),
-        )))).alias("slots"),
-    )
+    held = F.arrays_zip(F.transform("item_fill", lambda x: F.substring_index(x, ":", -1)).alias("item"), F.transform("fill", lambda x: F.substring_index(x, ":", -1)).alias("doc"))
+    pairs = pairs.withColumn("held", F.array_distinct(held))
+    one = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("item_pos", "n", "held")).alias("w"))
     # Fillers by name, not place: one name of the item must be one name in the document.
-    named = F.array_distinct(F.transform("slots", lambda s: F.struct(F.substring_index(s["item"], ":", -1).alias("item"), s["doc"].alias("doc"))))
-    one = one.withColumn("named", named).where(F.size("named") == F.size(F.array_distinct(F.transform("named", lambda s: s["item"]))))
+    each = F.flatten(F.transform("w", lambda w: w["held"]))
+    one = one.withColumn("each", each).withColumn("named", F.transform(F.array_distinct("each"), lambda s: F.struct(
+        s["item"].alias("item"), s["doc"].alias("doc"), F.size(F.filter("each", lambda o: o == s)).alias("times"))))
+    worse = lambda s, o: (o["item"] == s["item"]) & ((o["times"] > s["times"]) | ((o["times"] == s["times"]) & (o["doc"] < s["doc"])))
+    one = one.withColumn("kept", F.filter("named", lambda s: ~F.exists("named", lambda o: worse(s, o))))
+    one = one.where(~F.exists("named", lambda s: s["item"].rlike("^[A-Z].") & ~F.array_contains("kept", s)))
+    one = one.withColumn("named", F.transform("kept", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
+    one = one.withColumn("w", F.filter("w", lambda w: F.size(F.array_except(w["held"], "named")) == 0))
+    one = one.where(F.exists("w", lambda w: w["n"].bitwiseAND(~255) != DENSE)).withColumn("at", F.transform("w", lambda w: w["item_pos"]))
     per = one.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_windows"),
         F.max(F.size("named")).cast("long").alias("n_slots"),

@@ -457,3 +457,15 @@ def test_stages_decide_by_row(spark, tmp_path):
     assert at(kept) == Counter(clean)
     mixed = corpus_pipeline.mix(spark, kept, d)
     assert at(mixed) == Counter(clean) and mixed.columns == [*DOC.replace(" long", "").replace(" string", "").split(", "), "copies", "target"]
+
+
+def test_templates_dense_in_slots(spark):
+    numbers = "a shop sells 12 red apples to each child and later a farmer brings back 12 green pears for the old teacher"
+    items = [(1, "What is 12 + 7 * 3 - 5 / 9"), (2, "Compute 12 plus 7"), (3, numbers), (4, "Find 3 4 5 6 7 8 9 10 11 12 for every one of the given small odd values"), (5, "42")]
+    rows = [(k, f"Some words first. {t} And more of them.") for k, t in items[:4]] + [(13, numbers.replace("12 red", "15 red").replace("12 green", "20 green"))]
+    rows += [(14, items[3][1].replace("3 4 5 6 7 8", "9 8 3 1 2 2")), (20, "What is 1 + 2 * 3 - 4 / 5"), (21, "Compute 1 plus 2"), (22, "1 2 3 4 5 6 7 8 9 10 11 12 " * 5), (23, "42"), (24, "it was 42 then"), (25, "41")]
+    bench, df = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(rows, "doc_id long, text string")
+    for sent in (1_000_000, 0):
+        got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in templates.contaminated(df, bench, sent).collect()}
+        assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (13, 3), (14, 4), (23, 5)}
+        assert got[1, 1] == got[2, 2] == got[3, 3] == got[4, 4] == 1 and got[13, 3] < 1
