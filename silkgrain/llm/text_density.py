@@ -7,8 +7,10 @@ children's densities. The element with the greatest sum is the seed; the least d
 path to the body is the threshold. The main text is the seed's subtree, widened to the
 article or main element around it, or else by siblings at or above the threshold.
 
-Elements that never hold an article's text are left out first: by name (nav, footer, aside,
-forms, scripts, a header outside an article ...) or by a word of their class, id or role (HINTS).
+Elements that never hold an article's text are left out first, by name (nav, footer, aside,
+scripts, a header outside an article ...) or as hidden. Forms and elements with a word of HINTS in
+their class, id or role are only suspects: one stays if it is or holds the page's largest article
+or main element or, on a page without these, more than half of the page's text.
 
 Defined cases: null, empty and text-free pages give empty text; text outside any element
 counts as the body's; unclosed, nested and stray tags are repaired like a browser does for
@@ -37,7 +39,7 @@ _HINT_ATTRS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title iframe svg canvas object math".split())
-_DROP = _RAW | frozenset("nav footer aside form head button select menu dialog label fieldset audio video".split())
+_DROP = _RAW | frozenset("nav footer aside head button select menu dialog label fieldset audio video".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _NO_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -51,22 +53,26 @@ HINTS = frozenset(
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link_chars", "link_tags", "drop", "density")
+    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link_chars", "link_tags", "drop", "suspect", "density")
 
     def __init__(self, tag: str, parent: _Node | None, drop: bool = False) -> None:
-        self.tag, self.parent, self.drop = tag, parent, drop
+        self.tag, self.parent, self.drop, self.suspect = tag, parent, drop, False
         self.kids: list = []  # nodes and pieces of text, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _hinted(tag: str, attrs: str, inside: bool) -> bool:
+def _dropped(tag: str, attrs: str, inside: bool) -> bool:
     if tag in _DROP or (tag == "header" and not inside):
         return True
+    return bool(attrs) and tag not in ("html", "body", "main") and _HIDDEN.search(attrs) is not None
+
+
+def _hinted(tag: str, attrs: str, inside: bool) -> bool:
+    if tag == "form":
+        return True
     if not attrs or tag in ("html", "body", "main"):
         return False
-    if _HIDDEN.search(attrs):
-        return True
     for m in _HINT_ATTRS.finditer(attrs):
         words = set(re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
         if words & HINTS and not (inside and words & {"header", "banner"} and tag == "header"):
@@ -74,6 +80,25 @@ def _hinted(tag: str, attrs: str, inside: bool) -> bool:
     return False
 
 
+def _settle(root: _Node) -> None:
+    """Drop the suspects that hold neither the largest article nor most of the text."""
+    nodes = _order(root)
+    if not any(n.suspect for n in nodes):
+        return
+    chars = {id(n): 0 for n in nodes}
+    for n in reversed(nodes):
+        chars[id(n)] += sum(len(" ".join(k.split())) for k in n.kids if isinstance(k, str))
+        if n.parent is not None:
+            chars[id(n.parent)] += chars[id(n)]
+    articles = [n for n in nodes if n.tag in ("article", "main") and chars[id(n)]]
+    stays, up = set(), max(articles, key=lambda n: chars[id(n)]) if articles else None
+    while up is not None:
+        stays.add(id(up))
+        up = up.parent
+    for n in nodes:
+        n.drop = n.suspect and id(n) not in stays and (bool(articles) or 2 * chars[id(n)] <= chars[id(root)])
+
+
 def parse(page: str) -> _Node:
     """The page's tree below a body; boilerplate elements are kept as empty, dropped nodes."""
     root = top = _Node("body", None)
@@ -134,13 +159,15 @@ def parse(page: str) -> _Node:
                 if tag == "hr":
                     top.kids.append(_Node("hr", top, True))
             continue
-        node = _Node(tag, top, top.drop or _hinted(tag, m[3], inside > 0))
+        node = _Node(tag, top, top.drop or _dropped(tag, m[3], inside > 0))
+        node.suspect = not node.drop and _hinted(tag, m[3], inside > 0)
         if not m[3].endswith("/"):
             top.kids.append(node)
             top = node
             inside += tag in ("article", "main")
         elif not top.drop:
             top.kids.append(node)
+    _settle(root)
     return root
 
 

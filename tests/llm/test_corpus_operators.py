@@ -469,3 +469,16 @@ def test_templates_dense_in_slots(spark):
         got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in templates.contaminated(df, bench, sent).collect()}
         assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (13, 3), (14, 4), (23, 5)}
         assert got[1, 1] == got[2, 2] == got[3, 3] == got[4, 4] == 1 and got[13, 3] < 1
+
+
+def test_text_density_judges_hinted_wrappers():
+    text = "".join(f"<p>Paragraph {k} of the article says something that is long enough to count.</p>" for k in range(6))
+    want = "\n\n".join(f"Paragraph {k} of the article says something that is long enough to count." for k in range(6))
+    small = '<div class="sidebar"><p>Other pages of this site.</p></div><section class="comments"><article><p>I like this.</p></article></section>'
+    for page in ('<div class="content has-sidebar">%s</div>', '<div id="page-side">%s</div>', '<article class="post no-comments">%s</article>', '<form id="aspnetForm"><div>%s</div></form>'):
+        assert text_density.main_text(f"<body>{page % text}</body>") == want
+        if "article" in page:
+            assert text_density.main_text(f"<body>{small}{page % text}</body>") == want
+        assert text_density.main_text(f"<body>{page % (text + small.partition('<section')[0])}</body>") == want
+    assert text_density.main_text(f'<body><div class="content has-sidebar"><article>{text}</article>{small}</div></body>') == want
+    assert text_density.main_text(f'<body><div>{text}</div><div class="sidebar"><p>Other pages of this site.</p></div></body>') == want
