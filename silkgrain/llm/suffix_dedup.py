@@ -10,8 +10,13 @@ multikey quicksort, eight bytes a step, down to SHALLOW bytes; what still agrees
 tries, whose nodes hold the length their members share and branch on the word after it, built a
 level at a time for all groups at once. Suffixes that agree over SPAN bytes are repeats.
 
-Grams with more than WIDE stretches are not sorted in one task: their windows are counted by a
-128-bit hash instead, with partial sums, which is exact but for hash collisions.
+A gram with more than PART stretches is dealt into parts by the stretches' hashes. Each part is
+sorted alone, and sends a 128-bit hash of each different window it holds; equal hashes of two
+parts are repeats that no part saw alone. A key with more than one row in HOT_SHARE is joined by
+broadcast (there are fewer than HOT_SHARE of them), so no task gets all rows of one key.
+
+Stretches of equal gram and hash (64 bits each) are taken for equal, as are windows of two parts
+by their 128 bits; all other equalities are of bytes.
 
 Defined cases: null and empty texts have nothing to remove; matches never cross documents;
 repeated rows are documents of their own; a null id keeps its row; an empty table gives no
@@ -33,7 +38,8 @@ from silkgrain.llm.common import stable_rows, table, written
 
 SPAN, K = 200, 64
 SHALLOW = 32
-WIDE = 20_000
+PART = 8_000
+HOT_SHARE = 4_096
 _PIECE = 1 << 19
 _KEEP = np.uint64((1 << 64) - (1 << 28))
 _LOW = np.uint64((1 << 28) - 1)
@@ -154,38 +160,51 @@ def repeated_suffixes(data: np.ndarray, pos: np.ndarray, group: np.ndarray, shal
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, h, place, c, bytes) in order of key to the windows that repeat, as runs (key, h, lo, hi) of a stretch's windows."""
+    """(key, part, h, place, c, split, body) in order of key and part to the windows that repeat: as
+    runs (far false; lo, hi) of a stretch's windows. Of a gram with several parts also every
+    different window of the part (far true; lo, the window, and its hash in hi and more)."""
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        key, h, place, c, body = zip(*rows, strict=True)
+    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, part, h, place, c, split, body = zip(*rows, strict=True)
         data = np.frombuffer(b"".join(body), np.uint8)
-        packed, c = np.array(place, np.int64), np.array(c, np.int64)
+        packed, key, part, h, c = (np.array(x, np.int64) for x in (place, key, part, h, c))
         n, at = (packed >> 8) & 255, packed & 255
         size = np.fromiter(map(len, body), np.int64, len(body))
         base = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        kid = np.cumsum(np.concatenate([[0], np.array(key[1:]) != np.array(key[:-1])]))
-        group = kid[owner] * SPAN + (at[owner] - place)  # one gram, at one place of the window
+        kid = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
+        group = kid[owner] * SPAN + (at[owner] - place)  # one part of a gram, at one place of the window
         hit = repeated_suffixes(data, base[owner] + place, group) | (c[owner] > 1)
         edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
         cut = np.concatenate([[0], (owner[1:] != owner[:-1]) & hit[1:] & hit[:-1]]).astype(bool) if len(hit) else hit
         lo = np.sort(np.concatenate([np.flatnonzero(edge == 1), np.flatnonzero(cut)]))
         hi = np.sort(np.concatenate([np.flatnonzero(edge == -1), np.flatnonzero(cut)]))
-        who = owner[lo] if len(lo) else lo
-        off = (np.cumsum(n) - n)[who]
-        pick = lambda x: pa.array(np.array(x, np.int64)[who])
-        return pa.RecordBatch.from_arrays([pick(key), pick(h), pa.array(lo - off), pa.array(hi - off)], names=["key", "h", "lo", "hi"])
+        off = np.cumsum(n) - n
+        yield out(key, h, c, owner[lo], False, lo - off[owner[lo]], hi - off[owner[lo]], np.zeros(len(lo), np.int64))
+        some = np.flatnonzero(np.array(split)[owner])
+        if len(some):
+            begin = base[owner[some]] + place[some]
+            w = np.stack([bytesops.hashes(bytesops.prefix_sums(data, code), begin, begin + SPAN) for code in (bytesops.CODE, bytesops.CODE_2)])
+            order = np.lexsort((w[1], w[0], kid[owner[some]]))
+            x = np.stack([kid[owner[some]].astype(np.uint64), *w])[:, order]
+            one = order[np.concatenate([[True], (x[:, 1:] != x[:, :-1]).any(axis=0)])]
+            yield out(key, h, c, owner[some[one]], True, place[some[one]], w[0][one].view(np.int64), w[1][one].view(np.int64))
+
+    def out(key: np.ndarray, h: np.ndarray, c: np.ndarray, who: np.ndarray, far: bool, *cols: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(who), far)), *(pa.array(x[who]) for x in (key, h, c)), *map(pa.array, cols)], names=["far", "key", "h", "c", "lo", "hi", "more"]
+        )
 
     rows: list[tuple] = []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if len(rows) >= 3000 and row[0] != rows[-1][0]:
-                yield solve(rows)
+            if len(rows) >= 3000 and row[:2] != rows[-1][:2]:
+                yield from solve(rows)
                 rows = []
             rows.append(row)
     if rows:
-        yield solve(rows)
+        yield from solve(rows)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,42 +214,45 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, wanted in zip(bytesops.texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             for w in wanted:
                 start, n = w["place"] >> 16, (w["place"] >> 8) & 255
-                rows.append((w["key"], w["h"], w["place"], w["c"], w["wide"], text[start : start + n + SPAN - 1]))
+                rows.append((w["key"], w["part"], w["h"], w["place"], w["c"], w["split"], text[start : start + n + SPAN - 1]))
         for k in range(0, len(rows), 10_000):
             cols = zip(*rows[k : k + 10_000], strict=True)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "h", "place", "c", "wide", "body"])
+            kinds = (*[pa.int64()] * 5, pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "part", "h", "place", "c", "split", "body"])
 
 
-def _hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of wide grams to one row (w1, w2, key, h, i, c) a window."""
-    for batch in batches:
-        for key, h, place, c, body in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-            n = (place >> 8) & 255
-            data, i = np.frombuffer(body, np.uint8), np.arange(n)
-            w = [bytesops.hashes(bytesops.prefix_sums(data, code), i, i + SPAN).view(np.int64) for code in (bytesops.CODE, bytesops.CODE_2)]
-            same = lambda x: pa.array(np.full(n, x, np.int64))  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([pa.array(w[0]), pa.array(w[1]), same(key), same(h), pa.array(i), same(c)], names=["w1", "w2", "key", "h", "i", "c"])
+def _joined(rows: DataFrame, side: DataFrame, on: list[str], many: str, total: int) -> DataFrame:
+    """rows with the columns of side, which holds each key once and, in many, its number of rows."""
+    hot, cold = side.where(F.col(many) * HOT_SHARE > total), side.where(F.col(many) * HOT_SHARE <= total)
+    if hot.isEmpty():
+        return rows.join(cold.drop(many), on)
+    rest = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold.drop(many), on)
+    return rows.join(F.broadcast(hot.drop(many)), on).unionByName(rest)
 
 
-def repeated_spans(docs: DataFrame, wide: int = WIDE) -> DataFrame:
-    """rid, lo, hi: byte ranges of repeated strings, overlapping and unordered (docs: rid, text)."""
+def repeated_spans(docs: DataFrame, part: int = PART) -> DataFrame:
+    """rid and spans (lo, hi): byte ranges of repeated strings, overlapping and unordered, of the
+    texts that have any (docs: rid, text)."""
     rows = written(_stretch_rows(docs))
+    total = rows.count()
     grams = rows.groupBy("key").agg(F.count("*").alias("m"), (F.min("h") != F.max("h")).alias("mixed")).where("m > 1")
-    met = written(rows.join(grams, "key").select("rid", "place", "key", "h", "mixed", (F.col("m") > wide).alias("wide")))
+    grams = written(grams.withColumn("parts", F.ceil(F.col("m") / part)))
+    met = written(_joined(rows, grams, ["key"], "m", total))
     start, n = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)
-    whole = met.where("NOT mixed").select("rid", start.alias("lo"), (start + n + SPAN - 1).alias("hi"))
-    mixed = met.where("mixed")
-    kinds = mixed.groupBy("key", "h").agg(F.count("*").alias("c"), F.min(F.struct("rid", "place", "wide")).alias("r"))
-    wanted = kinds.groupBy("r.rid").agg(F.collect_list(F.struct("key", "h", F.col("r.place").alias("place"), "c", F.col("r.wide").alias("wide"))).alias("wanted"))
-    bodies = written(docs.join(wanted, "rid").select("text", "wanted").mapInArrow(_fetch, "key long, h long, place long, c long, wide boolean, body binary"))
-    few = bodies.where("NOT wide").select("key", "h", "place", "c", "body").repartition("key").sortWithinPartitions("key", "h")
-    runs = few.mapInArrow(_sort_groups, "key long, h long, lo long, hi long")
-    windows = bodies.where("wide").select("key", "h", "place", "c", "body").mapInArrow(_hash_windows, "w1 long, w2 long, key long, h long, i long, c long")
-    often = windows.groupBy("w1", "w2").agg(F.sum("c").alias("t")).where("t > 1").select("w1", "w2")
-    single = windows.join(often, ["w1", "w2"]).select("key", "h", F.col("i").alias("lo"), (F.col("i") + 1).alias("hi"))
-    part = mixed.join(runs.unionByName(single), ["key", "h"]).select("rid", (start + F.col("lo")).alias("lo"), (start + F.col("hi") + SPAN - 1).alias("hi"))
-    return whole.unionByName(part)
+    whole = met.where("NOT mixed").select("rid", F.array(F.struct(start.alias("lo"), (start + n + SPAN - 1).alias("hi"))).alias("spans"))
+    mixed = met.where("mixed").select("rid", "place", "key", "h", "parts")
+    kinds = mixed.groupBy("key", "h").agg(F.count("*").alias("c"), F.min(F.struct("rid", "place", "parts")).alias("r"))
+    one = F.struct("key", F.pmod("h", "r.parts").alias("part"), "h", F.col("r.place").alias("place"), "c", (F.col("r.parts") > 1).alias("split"))
+    wanted = kinds.groupBy("r.rid").agg(F.collect_list(one).alias("wanted"))
+    bodies = docs.join(wanted, "rid").select("text", "wanted").mapInArrow(_fetch, "key long, part long, h long, place long, c long, split boolean, body binary")
+    found = written(bodies.repartition("key", "part").sortWithinPartitions("key", "part", "h").mapInArrow(_sort_groups, "far boolean, key long, h long, c long, lo long, hi long, more long"))
+    far = found.where("far").withColumnsRenamed({"hi": "w1", "more": "w2"})
+    often = far.groupBy("w1", "w2").agg(F.count("*").alias("t")).where("t > 1").select("w1", "w2")
+    across = far.join(often, ["w1", "w2"]).select("key", "h", "c", "lo", (F.col("lo") + 1).alias("hi"))
+    runs = found.where("NOT far").select("key", "h", "c", "lo", "hi").unionByName(across)
+    runs = written(runs.groupBy("key", "h").agg(F.first("c").alias("c"), F.collect_list(F.struct("lo", "hi")).alias("runs")))
+    held = F.transform("runs", lambda r: F.struct((start + r["lo"]).alias("lo"), (start + r["hi"] + SPAN - 1).alias("hi")))
+    return whole.unionByName(_joined(mixed, runs, ["key", "h"], "c", total).select("rid", held.alias("spans")))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -244,10 +266,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def deduplicate(docs: DataFrame, wide: int = WIDE, with_text: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, part: int = PART, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; kept, the bytes, on request."""
     base = stable_rows(docs.select("doc_id", "text")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("text").cast("string").alias("text"))
-    found = repeated_spans(base.select("rid", "text"), wide).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    found = repeated_spans(base.select("rid", "text"), part).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
