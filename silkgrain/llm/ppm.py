@@ -1,34 +1,30 @@
 """Language-model scores: word counts as a base, prediction by partial matching as the model.
 
-A text is scored as its lower-cased words, each followed by a stop, and an end. The model is a
-trie of byte contexts of up to ORDER bytes that reach back to the word's beginning at most, and
-is pretrained on the training documents. A context predicts its own continuations and escapes
-to its suffix with probability d / 2n (n occurrences, d different continuations); the
-suffix's distribution then leaves out the bytes that the longer context had (symbol exclusion).
-Above it stands one level whose symbols are whole words, with the counts of the whole corpus:
-p(word) = max(c - D, 0) / N + D * V / N * p(its bytes in the trie), where D is n1 / (n1 + 2 * n2)
-for n1 words seen once and n2 seen twice. So the model grows with the corpus.
-
-The trie keeps the MAX_CONTEXTS most frequent contexts, a parameter of the model's size: with a
-context it always keeps its suffixes, and a text's context outside falls back to its longest
-suffix inside. Each context becomes one dense distribution, so what every task receives is
-bounded by MAX_CONTEXTS whatever the corpus holds; the counts behind it cover all documents.
-
-Words meet their corpus-wide counts without a row per word: each block of documents sends the
-sorted hashes of its distinct words, cut by range, with their counts in training documents; a
-task for each range adds the counts of all blocks and sends each block its totals back in the
-order it asked; the block's words index into them. Hashes have 64 bits. Words are independent
-in both models, so a block scores each distinct word once. On top of them the score adapts: two
-levels per text, its words so far and those that followed the last word, escape to the corpus.
+A text is read as the bytes of its lower-cased words, a STOP after each, and an END. The model is
+a trie of byte contexts of up to ORDER bytes, across words, pretrained on the training documents.
+In the longest context that training has, a symbol seen c times of n has probability
+(2c - 1) / 2n, and the d different symbols leave d / 2n for an escape to the context one byte
+shorter, where symbols of the longer context no longer count (symbol exclusion). Below the empty
+context all bytes that were never seen are equal. A text's score is the sum over its symbols.
+
+All contexts of all training documents are kept. The probability of a symbol depends on the ORDER
+bytes before it alone, so blocks of documents send their distinct grams (context and symbol) and
+their distinct words, cut into parts; a task for each part adds up the counts, in constant memory
+beyond its distinct keys. Grams with the same last LOW + 1 context bytes share a part, so a part
+holds every count that its longer contexts need; contexts of up to LOW bytes, at most 2 ** 24
+entries whatever the corpus, go to all tasks. Then a block's keys meet the parts' results by
+equality, and its texts are summed up where these come back.
 
 Defined cases: a null text counts as empty, and has only its end; a null id counts as empty
 text for the folds; repeated rows count again; an empty table gives no rows; without training
-documents every count is zero and bytes are uniform. Words of any length are read whole.
+documents every count is zero and bytes are uniform. Words and texts of any length are read whole.
+Other columns are ignored. Word hashes have 64 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +35,16 @@ from silkgrain.llm import bytesops
 from silkgrain.llm.common import fold_of, stable_rows, table, written
 
 FOLDS, HELD_OUT = 10, 0
-ORDER = 6
-MAX_CONTEXTS = 100_000
+ORDER, LOW = 5, 2
 ALPHA = 0.1
-#: Weight and discount of the adaptive levels, least code length of training texts among a dozen settings.
-RECALL = ((300.0, 0.95), (0.3, 0.95))
-_BLOCK = 8 << 20
-_PIECE = 1 << 20
-STOP, END = 32, 0
+STOP, END = b" ", b"\xff"  # no UTF-8 text holds the byte of END
+WORDS, GRAMS = 0, 1
+_BLOCK = 32 << 20
+_PIECE = 4 << 20
+SHAPE = "block long, part int, kind int, keys binary, more binary"
 
 
-def _counted(x: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def counted(x: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order and how often (or with what total weight) they occur."""
     if not len(x):
         return x, np.zeros(0, np.int64)
@@ -60,444 +55,323 @@ def _counted(x: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarra
     return x[first], n.astype(np.int64)
 
 
-SHAPE = "block long, part int, keys binary, counts binary, info binary"
+class Block:
+    """Some documents' symbols in one string; before each text stand ORDER stops, its first context."""
 
+    def __init__(self, ids: list, held: list[bool], texts: list[bytes]) -> None:
+        self.ids, self.held = ids, np.array(held, bool)
+        self.data = b"".join(texts)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.start = np.cumsum(size) - size
 
-def _row(block: int, part: int, keys: bytes, counts: bytes, info: bytes) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((block, part, keys, counts, info), kinds, strict=True)], names=["block", "part", "keys", "counts", "info"])
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[object, bool, bytes]]]]:
-    """Documents (id, held out, lower-cased text) in blocks of about _BLOCK bytes; the block's
-    number holds the partition's. A partition is cut into the same blocks whenever it is read."""
-    from pyspark import TaskContext
+    @staticmethod
+    def symbols(text: bytes) -> bytes:
+        words = text.lower().split()
+        return STOP * ORDER + STOP.join(words) + (STOP if words else b"") + END
+
+    def pieces(self) -> Iterator[tuple[int, int]]:
+        """Ranges that end after a stop or an end, of about _PIECE bytes."""
+        at, size = 0, len(self.data)
+        while at < size:
+            to = size
+            if size - at > _PIECE:
+                to = self.data.rfind(STOP, at, at + _PIECE) + 1
+                if to <= at:
+                    to = (self.data.find(STOP, at + _PIECE) + 1) or size
+            yield at, to
+            at = to
 
-    number, now, size = (TaskContext.get().partitionId() << 24), [], 0
+    def docs_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.start, at, "right") - 1
+
+    def words(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of a piece's words (ends are words too) and their documents."""
+        data = np.frombuffer(self.data, np.uint8, b - a, a)
+        start, end = bytesops.word_bounds(data)
+        return bytesops.hashes(bytesops.prefix_sums(data), start, end), self.docs_of(start + a)
+
+    def grams(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """A piece's grams, the nearest context byte highest and the symbol lowest, and their places."""
+        lo = max(a, ORDER)
+        data = np.frombuffer(self.data, np.uint8, b - lo + ORDER, lo - ORDER).astype(np.uint64)
+        n = b - lo
+        out = data[ORDER:].copy()
+        for k in range(1, ORDER + 1):
+            out |= data[ORDER - k : ORDER - k + n] << np.uint64(8 * (ORDER + 1 - k))
+        some = self.start[np.searchsorted(self.start, lo - ORDER) : np.searchsorted(self.start, b)]
+        pad = (some[:, None] + np.arange(ORDER)).ravel() - lo
+        real = np.ones(n, bool)
+        real[pad[(pad >= 0) & (pad < n)]] = False
+        at = np.flatnonzero(real)
+        return out[at], at + lo
+
+    def tally(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """The block's distinct keys in order, with their counts in training documents."""
+        keys, counts = [], []
+        for a, b in self.pieces():
+            x, where = self.words(a, b) if kind == WORDS else self.grams(a, b)
+            train = ~self.held[where if kind == WORDS else self.docs_of(where)] if self.held.any() else np.ones(len(x), bool)
+            seen, n = counted(x[train])
+            other = np.unique(x[~train])
+            keys += [seen, other]
+            counts += [n, np.zeros(len(other), np.int64)]
+        return counted(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
+    """Documents in blocks of about _BLOCK bytes; the block's number holds the partition's. A
+    partition is cut into the same blocks whenever it is read."""
+    number, now, size = None, ([], [], []), 0
     for batch in batches:
+        if number is None and batch.num_rows:
+            number = batch.column(3)[0].as_py() << 24
         ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for i, h, text in zip(ids, held, bytesops.texts(batch.column(1)), strict=True):
-            now.append((i, h, text.lower()))
-            size += len(text) + 64
+            for column, x in zip(now, (i, h, Block.symbols(text)), strict=True):
+                column.append(x)
+            size += len(now[2][-1])
             if size >= _BLOCK:
-                yield number, now
-                number, now, size = number + 1, [], 0
-    if now:
-        yield number, now
-
-
-class _Words:
-    """The distinct words of a block: keys (sorted hashes), each word's index and document."""
-
-    def __init__(self, docs: list[tuple[object, bool, bytes]]) -> None:
-        hashes, starts, ends, self.sizes, at = [], [], [], np.zeros(len(docs), np.int64), 0
-        for k, (_, _, text) in enumerate(docs):
-            for piece in bytesops.pieces(text, _PIECE):
-                data = np.frombuffer(piece, np.uint8)
-                start, end = bytesops.word_bounds(data)
-                hashes.append(bytesops.hashes(bytesops.prefix_sums(data), start, end))
-                starts.append(start + at)
-                ends.append(end + at)
-                self.sizes[k] += len(start)
-                at += len(piece)
-        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        h = join(hashes, np.uint64)
-        order = np.argsort(h, kind="stable")
-        x = h[order]
-        first = np.concatenate([[True], x[1:] != x[:-1]])[: len(x)]
-        self.index = np.empty(len(h), np.int32)
-        self.index[order] = np.cumsum(first) - 1
-        self.keys = x[first]
-        self.doc = np.repeat(np.arange(len(docs)), self.sizes)
-        self.data = np.frombuffer(b"".join(t for _, _, t in docs), np.uint8)
-        one = order[first]
-        self.start, self.length = join(starts, np.int64)[one], (join(ends, np.int64) - join(starts, np.int64))[one]
-
-    def chunks(self, limit: int = 1 << 19) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """Some words at a time: which, their symbols (bytes and a stop), each symbol's place in
-        its word, and where words begin in that array."""
-        total = np.cumsum(self.length + 1)
-        at = 0
-        while at < len(self.keys):
-            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, "right")))
-            n = self.length[at:to] + 1
-            begin = np.cumsum(n) - n
-            place = np.arange(int(n.sum())) - np.repeat(begin, n)
-            source = np.repeat(self.start[at:to], n) + place
-            symbols = self.data[np.minimum(source, len(self.data) - 1)].copy()
-            symbols[begin + n - 1] = STOP
-            yield slice(at, to), symbols, place, begin
-            at = to
+                yield number, Block(*now)
+                number, now, size = number + 1, ([], [], []), 0
+    if now[0]:
+        yield number, Block(*now)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """What blocks() reads; the number is the scan's partition, also below a union."""
+    return docs.select("doc_id", "text", "held_out", F.spark_partition_id().alias("number"))
+
 
+def parted(keys: np.ndarray, kind: int, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that keys in order have, with their places; words go by hash, grams by the hash
+    of their last LOW + 1 context bytes."""
+    if not len(keys):
+        return
+    spread = keys if kind == WORDS else bytesops.mixed(keys >> np.uint64(8 * (ORDER - LOW)))
+    part = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    for p in range(parts):
+        if cut[p] < cut[p + 1]:
+            yield p, order[cut[p] : cut[p + 1]]
 
-def contexts(symbols: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order k from 1: the positions that have so long a context, and the k bytes
-    before each (a stop stands before each word), as numbers, the nearest byte lowest."""
-    context = np.zeros(len(symbols), np.uint64)
-    for k in range(1, ORDER + 1):
-        there = np.flatnonzero(place >= k - 1)
-        if not len(there):
-            return
-        back = place[there] >= k
-        byte = np.full(len(there), STOP, np.uint64)
-        byte[back] = symbols[there[back] - k]
-        context[there] |= byte << np.uint64(8 * (k - 1))
-        yield k, there, context[there]
-
-
-def _grams(words: _Words, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (order, longest context, symbol) of a block's training words, with counts."""
-    found, many = [], []
-    for which, symbols, place, begin in words.chunks():
-        full, order = np.zeros(len(symbols), np.uint64), np.zeros(len(symbols), np.uint64)
-        for k, there, context in contexts(symbols, place):
-            full[there], order[there] = context, k
-        n = np.repeat(weight[which], np.diff(np.append(begin, len(symbols))))
-        key = (order << np.uint64(56)) | (full << np.uint64(8)) | symbols
-        x, m = _counted(key[n > 0], n[n > 0])
-        found.append(x)
-        many.append(m)
-    return _counted(np.concatenate(found), np.concatenate(many)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-
-
-def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each range of hashes begins in sorted keys."""
-    edges = (np.arange(parts, dtype=np.uint64) * np.uint64((1 << 64) // parts)).astype(np.uint64)
-    return np.append(np.searchsorted(keys, edges), len(keys))
-
-
-def send(docs: DataFrame, parts: int) -> DataFrame:
-    """SHAPE: a block's distinct words and their counts in training texts, a row a range of
-    hashes; and its byte grams with counts, a row a bucket (part < 0)."""
+
+def _row(block: int, part: int, kind: int, keys: bytes, more: bytes) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((block, part, kind, keys, more), kinds, strict=True)], names=["block", "part", "kind", "keys", "more"])
+
+
+def send(docs: DataFrame, parts: int, counts: bool) -> DataFrame:
+    """SHAPE: the distinct keys of each block, a row for each kind and part; their counts on request."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in _blocks(batches):
-            words = _Words(rows)
-            held = np.array([h for _, h, _ in rows], bool)
-            counts = np.bincount(words.index[~held[words.doc]], minlength=len(words.keys)).astype(np.int32)
-            cut = _cuts(words.keys, parts)
-            for p in range(parts):
-                yield _row(number, p, words.keys[cut[p] : cut[p + 1]].tobytes(), counts[cut[p] : cut[p + 1]].tobytes(), b"")
-            x, n = _grams(words, counts)
-            bucket = (bytesops.mixed(x) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(parts + 1))
-            for p in range(parts):
-                if cut[p] < cut[p + 1]:
-                    at = order[cut[p] : cut[p + 1]]
-                    yield _row(number, -1 - p, x[at].tobytes(), n[at].tobytes(), b"")
-
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, SHAPE)
-
-
-def merge(sent: DataFrame) -> DataFrame:
-    """SHAPE by range: to each block its words' corpus counts (keys empty), to block -1 the
-    range's numbers of training words, distinct ones, and those seen once and twice (info), to block -2 the merged grams."""
+        for number, block in blocks(batches):
+            for kind in (WORDS, GRAMS):
+                keys, n = block.tally(kind)
+                for p, at in parted(keys, kind, parts):
+                    yield _row(number, p, kind, keys[at].tobytes(), n[at].tobytes() if counts else b"")
+
+    return numbered(docs).mapInArrow(run, SHAPE)
+
+
+def merge(sent: DataFrame, parts: int) -> DataFrame:
+    """SHAPE with block -1: the distinct keys of each kind and part with the sums of their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if part is None:
-                return
-            keys = [np.frombuffer(k, np.uint64) for _, k, _ in held]
-            counts = [np.frombuffer(c, np.int32 if part >= 0 else np.int64) for _, _, c in held]
-            x, n = _counted(np.concatenate(keys), np.concatenate(counts).astype(np.int64))
-            if part < 0:
-                yield _row(-2, part, x.tobytes(), n.tobytes(), b"")
-                return
-            yield _row(-1, part, b"", b"", np.array([n.sum(), (n > 0).sum(), (n == 1).sum(), (n == 2).sum()], np.int64).tobytes())
-            for (block, _, _), k in zip(held, keys, strict=True):
-                yield _row(block, part, b"", n[np.searchsorted(x, k)].tobytes(), b"")
+        now, held, waiting = None, [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
 
-        for batch in batches:
-            for block, p, keys, counts in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                if p != part:
-                    yield from done()
-                    part, held = p, []
-                held.append((block, keys, counts))
-        yield from done()
-
-    return sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, SHAPE)
-
-
-class Trie:
-    """Contexts of the model, one dense row of log10 probabilities each.
-
-    column maps a byte to its column; bytes that no training text has share the last one.
-    """
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, alphabet: np.ndarray) -> None:
-        """keys: order << 56 | context in order, with all suffixes; counts: a row each, of the
-        alphabet's bytes and a last, empty column."""
-        a = len(alphabet)
-        self.column = np.full(256, a, np.int64)
-        self.column[alphabet] = np.arange(a)
-        times = np.append(np.ones(a), max(256 - a, 1))
-        dists = np.full((max(len(keys), 1), a + 1), 1 / 256, np.float32)
-        order = (keys >> np.uint64(56)).astype(np.int64)
-        for k in range(int(order.max()) + 1 if len(keys) else 0):
-            at = np.flatnonzero(order == k)
-            for some in np.array_split(at, max(1, len(at) // 8192)):
-                below = np.full((len(some), a + 1), 1 / 256)
-                if k:
-                    suffix = (np.uint64(k - 1) << np.uint64(56)) | (keys[some] & np.uint64((1 << 8 * (k - 1)) - 1))
-                    below = dists[np.searchsorted(keys, suffix)].astype(np.float64)
-                dists[some] = self._blend(counts[some].astype(np.float64), below, times)
-        self.logs = np.log10(np.maximum(dists, 1e-30))
-        self._store(keys[order > 0], np.flatnonzero(order > 0).astype(np.int32))
+        def joined() -> tuple[np.ndarray, np.ndarray]:
+            return counted(*map(np.concatenate, zip(*held, strict=True)))
 
-    @staticmethod
-    def _blend(counts: np.ndarray, below: np.ndarray, times: np.ndarray) -> np.ndarray:
-        """Counts and the suffixes' distributions to distributions, with symbol exclusion."""
-        n, seen = counts.sum(axis=1, keepdims=True), counts > 0
-        d = seen.sum(axis=1, keepdims=True)
-        rest = np.where(seen, 0.0, below)
-        left = (rest * times).sum(axis=1, keepdims=True)
-        open_ = left > 1e-12  # else there is nothing to escape to
-        share = np.where(open_, d / np.maximum(2 * n, 1), 0.0)
-        own = np.where(open_, (2 * counts - seen) / np.maximum(2 * n, 1), counts / np.maximum(n, 1))
-        return np.where(n > 0, own + rest / np.maximum(left, 1e-300) * share, below)
-
-    def _store(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        """A hash table with a few probes."""
-        self.bits = max(10, int(np.ceil(np.log2(max(len(keys), 1) * 4))))
-        self.keys, self.rows, self.probes = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32), 0
-        while len(keys):
-            at = self._slot(keys, self.probes)
-            self.probes += 1
-            free = np.flatnonzero(self.keys[at] == 0)
-            _, one = np.unique(at[free], return_index=True)
-            put = free[one]
-            self.keys[at[put]], self.rows[at[put]] = keys[put], rows[put]
-            left = np.ones(len(keys), bool)
-            left[put] = False
-            keys, rows = keys[left], rows[left]
-
-    def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
-        h = (keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x5851F42D4C957F2D * probe & (1 << 64) - 1)
-        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, order: int, context: np.ndarray) -> np.ndarray:
-        """Row of each context of an order, -1 where the trie hasn't it."""
-        keys, out = (np.uint64(order) << np.uint64(56)) | context, np.full(len(context), -1, np.int32)
-        todo = np.arange(len(keys))
-        for probe in range(self.probes):
-            at = self._slot(keys[todo], probe)
-            there = self.keys[at]
-            hit = there == keys[todo]
-            out[todo[hit]] = self.rows[at[hit]]
-            todo = todo[~hit & (there != 0)]
-            if not len(todo):
-                break
-        return out
-
-    def words(self, words: _Words) -> np.ndarray:
-        """log10 probability of each distinct word of a block, its stop included."""
-        out = np.zeros(len(words.keys))
-        for which, symbols, place, begin in words.chunks():
-            row = np.zeros(len(symbols), np.int32)
-            alive = np.ones(len(symbols), bool)
-            for k, there, context in contexts(symbols, place):
-                use = alive[there]
-                there, context = there[use], context[use]
-                found = self.find(k, context)
-                row[there] = np.where(found >= 0, found, row[there])
-                alive[there] = found >= 0
-            out[which] = np.add.reduceat(self.logs[row, self.column[symbols]].astype(np.float64), begin)
-        return out
-
-    def end(self) -> float:
-        """log10 probability of the end where a word could begin."""
-        found = self.find(1, np.array([STOP], np.uint64))[0]
-        return float(self.logs[max(found, 0), self.column[END]])
-
-
-def fit(merged: DataFrame, texts: int, max_contexts: int = MAX_CONTEXTS) -> Trie:
-    """The trie of the merged grams; counts of shorter contexts are sums over all longer ones."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x, n = np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)
-                order = (x >> np.uint64(56)).astype(np.int64)
-                for k in range(ORDER + 1):
-                    long = order >= k
-                    y, m = _counted(x[long] & np.uint64((1 << 8 * (k + 1)) - 1), n[long])
-                    first = np.flatnonzero(np.concatenate([[True], (y[1:] >> np.uint64(8)) != (y[:-1] >> np.uint64(8))]))[: len(y)]
-                    total, ends = np.add.reduceat(m, first) if len(y) else m, np.append(first[1:], len(y))
-                    low = (y & np.uint64(255)).astype(np.uint8)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(first), k), pa.int32()), pa.array((y[first] >> np.uint64(8)).astype(np.int64)), pa.array(total, pa.int64()),
-                            pa.array([low[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()), pa.array([m[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
-                        ],
-                        names=["level", "context", "total", "symbols", "many"],
-                    )
-
-    rows = written(merged.where("block = -2").select("keys", "counts").mapInArrow(split, "level int, context long, total long, symbols binary, many binary"))
-    best = rows.groupBy("level", "context").agg(F.sum("total").alias("n")).orderBy(F.desc("n"), "level", "context").limit(max_contexts)
-    best = written(best.select("level", "context"))  # the bound above is the size of what is sent and collected
-
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a context that stand together become one; the driver adds the few that batches part."""
+            for part, kind, keys, more in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
+                if now is not None and (part, kind) != now:
+                    yield _row(-1, *now, *(x.tobytes() for x in joined()))
+                    held, waiting = held[:0], 0
+                now = (part, kind)
+                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(more, np.int64)))
+                waiting += len(held[-1][0])
+                if waiting > 2_000_000 and waiting > len(held[0][0]):  # then sums take the place of rows
+                    held, waiting = [joined()], 0
+        if now is not None:
+            yield _row(-1, *now, *(x.tobytes() for x in joined()))
+
+    return sent.repartition(parts, "part", "kind").sortWithinPartitions("part", "kind").mapInArrow(run, SHAPE)
+
+
+@dataclass
+class Level:
+    """All (context, symbol) entries of one order: packed keys in order, counts, the number n and
+    kinds d of symbols seen in each entry's context, the symbol's probability p there, and past,
+    its probability once the context was left by an escape."""
+
+    keys: np.ndarray
+    count: np.ndarray
+    n: np.ndarray
+    d: np.ndarray
+    p: np.ndarray
+    past: np.ndarray
+
+
+def level(keys: np.ndarray, count: np.ndarray, below: Level | None, order: int) -> Level:
+    """The entries of an order, from those of the order below, which has all that these need."""
+    symbol, seen = keys & np.uint64(255), count > 0
+    context = keys >> np.uint64(8)
+    cid = np.cumsum(np.concatenate([[0], context[1:] != context[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    many = int(cid[-1]) + 1 if len(keys) else 0
+    n = np.bincount(cid, count, many)[cid].astype(np.int64)
+    d = np.bincount(cid, seen, many)[cid].astype(np.int64)
+    if below is None:
+        past = np.full(len(keys), 1.0 / max(256 - int(seen.sum()), 1))
+    else:
+        # the shorter context lacks its furthest byte, which is the lowest of the packed context
+        up = np.searchsorted(below.keys, ((keys >> np.uint64(16)) << np.uint64(8)) | symbol)
+        c, left_d = below.count[up], below.d[up] - d
+        left_n = below.n[up] - np.bincount(cid, np.where(seen, c, 0), many)[cid].astype(np.int64)
+        some = np.maximum(2 * left_n, 1)
+        past = np.where(left_n == 0, below.past[up], np.where(c > 0, (2 * c - 1) / some, left_d / some * below.past[up]))
+    some = np.maximum(2 * n, 1)
+    p = np.where(seen, (2 * count - 1) / some, np.where(n > 0, d / some * past, past))
+    return Level(keys, count, n, d, p, past)
+
+
+def entries(grams: np.ndarray, count: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams in order to the entries of a lower order, with sums."""
+    if order == ORDER:
+        return grams, count
+    context = grams >> np.uint64(8 * (ORDER - order + 1))
+    return counted((context << np.uint64(8)) | (grams & np.uint64(255)), count)
+
+
+def low_levels(keys: np.ndarray, count: np.ndarray) -> Level:
+    """The level of order LOW, from all its entries."""
+    now = None
+    for order in range(LOW + 1):
+        short = ((keys >> np.uint64(8 * (LOW - order + 1))) << np.uint64(8)) | (keys & np.uint64(255))
+        now = level(*counted(short, count), now, order)
+    return now
+
+
+def log_probabilities(grams: np.ndarray, count: np.ndarray, low: Level) -> np.ndarray:
+    """log10 of each gram's probability; grams in order, all those of a part."""
+    now = low
+    for order in range(LOW + 1, ORDER + 1):
+        now = level(*entries(grams, count, order), now, order)
+    return np.log10(now.p)
+
+
+def _low_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for keys, more in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, n = entries(np.frombuffer(keys, np.uint64), np.frombuffer(more, np.int64), LOW)
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)), pa.array(n)], names=["low", "n"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([int(x.sum()) for x in n], pa.int64()), pa.array([int((x > 0).sum()) for x in n], pa.int64())], names=["n", "v"])
+
+
+def look_up(merged: DataFrame, asked: DataFrame, low: object, parts: int) -> DataFrame:
+    """SHAPE: to each row asked the values of its keys, in their order (in more): counts of words,
+    log10 probabilities of grams. low: a broadcast Level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = value = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            level, context, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
-            new = np.concatenate([[True], (level[1:] != level[:-1]) | (context[1:] != context[:-1])])
-            of = np.repeat(np.cumsum(new) - 1, list(map(len, texts)))
-            key, n = _counted((of << 8) | np.frombuffer(b"".join(texts), np.uint8), np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int64))
-            first = np.searchsorted(key >> 8, np.arange(new.sum()))
-            cuts, low = list(zip(first, np.append(first[1:], len(key)), strict=True)), (key & 255).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(level[new]), pa.array(context[new]),
-                    pa.array([low[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([n[a:b].tobytes() for a, b in cuts], pa.binary()),
-                ],
-                names=["level", "context", "symbols", "many"],
-            )
-
-    chosen = rows.join(F.broadcast(best), ["level", "context"]).select("level", "context", "symbols", "many")
-    chosen = chosen.repartition("level", "context").sortWithinPartitions("level", "context")
-    parts = chosen.mapInArrow(together, "level int, context long, symbols binary, many binary").toArrow()
-    level, context = parts["level"].to_numpy(), parts["context"].to_numpy()
-    texts_of = parts["symbols"].to_pylist()
-    symbols, many = np.frombuffer(b"".join(texts_of), np.uint8), np.frombuffer(b"".join(parts["many"].to_pylist()), np.int64)
-    alphabet = np.union1d(np.unique(symbols), [END, STOP] if texts else []).astype(np.int64)
-    column = np.zeros(256, np.int64)
-    column[alphabet] = np.arange(len(alphabet))
-    key = (level.astype(np.uint64) << np.uint64(56)) | context.astype(np.uint64)
-    keys, row = np.unique(key, return_inverse=True)
-    counts = np.zeros((len(keys), len(alphabet) + 1), np.float32)
-    np.add.at(counts, (np.repeat(row, list(map(len, texts_of))), column[symbols]), many)
-    if texts:
-        for k in (0, (1 << 56) | STOP):
-            counts[np.flatnonzero(keys == np.uint64(k)), column[END]] += texts
-    return Trie(keys, counts, alphabet)
-
-
-def _earlier(key: np.ndarray) -> np.ndarray:
-    """How often each value stands further ahead in the array."""
-    order = np.argsort(key, kind="stable")
-    x = key[order]
-    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))[: len(x)]
-    out = np.empty(len(x), np.int64)
-    out[order] = np.arange(len(x)) - np.repeat(first, np.diff(np.append(first, len(x))))
-    return out
-
-
-def adapted(each: np.ndarray, index: np.ndarray, doc: np.ndarray, stop: float, *recall: tuple[float, float]) -> np.ndarray:
-    """log10 probability of each word once the text before it is known.
-
-    each: of the distinct words, without that; index: each position's word; doc: its text, in
-    order; stop: of the end. Two adaptive levels stand above the corpus: the text's own words,
-    then those that followed the last word before. Where i words were seen, d different ones, n of
-    them this one, a level of (weight, discount) gives (n - discount) / (i + weight) to a word it
-    knows and escapes with (weight + discount * d) / (i + weight) to the level below, of whose
-    probability all words get that share. The end's share is set aside first: all sums to one.
-    """
-    if not len(index):
-        return np.zeros(0)
-    begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    follows = np.ones(len(doc), bool)
-    follows[begin] = False
-    many = int(index.max()) + 2
-    last = np.where(follows, np.concatenate([[0], index[:-1]]) + 1, 0).astype(np.int64)
-    after = np.unique(doc * many + last, return_inverse=True)[1].astype(np.int64)
-    words = np.log10(max(-np.expm1(stop * np.log(10)), 1e-12))
-    p = each[index] - words
-    for where, (weight, discount) in zip((doc.astype(np.int64), after), recall, strict=True):
-        i, n = _earlier(where), _earlier(where * many + index)
-        order = np.argsort(where, kind="stable")
-        new = n[order] == 0
-        before = np.cumsum(new) - new
-        different = np.empty(len(new), np.int64)
-        different[order] = before - before[np.arange(len(order)) - i[order]]
-        seen = n > 0
-        p = p + np.log10((weight + discount * different) / (i + weight))
-        p[seen] = np.log10(10.0 ** p[seen] + (n[seen] - discount) / (i[seen] + weight))
-    return p + words
-
-
-def score(docs: DataFrame, max_contexts: int = MAX_CONTEXTS, recall: tuple[tuple[float, float], ...] = RECALL) -> DataFrame:
+            for block, part, kind, k, more in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+                k = np.frombuffer(k, np.uint64)
+                if block < 0:  # stands before the rows that ask
+                    keys, value = k, np.frombuffer(more, np.int64)
+                    if kind == GRAMS:
+                        value = log_probabilities(keys, value, low.value).astype(np.float32)
+                else:
+                    yield _row(block, part, kind, b"", value[np.searchsorted(keys, k)].tobytes())
+
+    return merged.unionByName(asked).repartition(parts, "part", "kind").sortWithinPartitions("part", "kind", "block").mapInArrow(run, SHAPE)
+
+
+def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
-    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    docs = stable_rows(docs.select("doc_id", "text")).select("doc_id", F.col("text").cast("string").alias("text"), (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
-    merged = written(merge(send(docs, parts)))
-    sums = merged.where("block = -1").select("info").mapInArrow(_unpack, "n long, v long, n1 long, n2 long").agg(*map(F.sum, ("n", "v", "n1", "n2"))).first()
-    texts = docs.where("NOT held_out").count()
-    n, v, ends = int(sums[0] or 0) + texts, int(sums[1] or 0) + (texts > 0), texts
-    n1, n2 = int(sums[2] or 0), int(sums[3] or 0)
-    discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-    model = spark.sparkContext.broadcast(fit(merged, texts, max_contexts))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    id_type = pa.int64() if kind in ("bigint", "int", "smallint", "tinyint") else pa.string()
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's documents and words (as indices into its distinct words, with the trie's scores)."""
-        trie = model.value
-        for number, block in _blocks(batches):
-            words = _Words(block)
-            table_ = pa.table({"id": pa.array([i for i, _, _ in block], id_type), "held": pa.array([h for _, h, _ in block]), "n": pa.array(words.sizes)})
+    spark, kind_of = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    held = (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out")
+    docs = stable_rows(docs.select("doc_id", "text")).select("doc_id", F.col("text").cast("string").alias("text"), held)
+    # Parts follow the input: there are as many tasks at least as it has splits.
+    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    merged = written(merge(send(docs, parts, True), parts))
+    sums = merged.where(F.col("kind") == WORDS).select("more").mapInArrow(_sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
+    n, v = int(sums[0] or 0), int(sums[1] or 0)
+    rows = merged.where(F.col("kind") == GRAMS).select("keys", "more").mapInArrow(_low_rows, "low long, n long")
+    rows = rows.groupBy("low").agg(F.sum("n").alias("n")).toArrow()  # at most 2 ** 24 rows
+    order = np.argsort(rows["low"].to_numpy())
+    low = spark.sparkContext.broadcast(low_levels(rows["low"].to_numpy()[order].astype(np.uint64), rows["n"].to_numpy()[order]))
+    values = look_up(merged, send(docs, parts, False), low, parts)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block's documents, to where its values go."""
+        for number, block in blocks(batches):
+            lengths = np.diff(np.append(block.start, len(block.data)))
+            t = pa.table({"id": pa.array(block.ids, id_type), "held": pa.array(block.held), "size": pa.array(lengths)})
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table_.schema) as w:
-                w.write_table(table_)
-            yield _row(number, -1, words.index.tobytes(), trie.words(words).astype(np.float32).tobytes(), sink.getvalue().to_pybytes())
+            with pa.ipc.new_stream(sink, t.schema) as w:
+                w.write_table(t)
+            yield _row(number, -1, -1, pa.compress(block.data, "zstd", asbytes=True), sink.getvalue().to_pybytes())
 
-    stop = float(np.log10((ends - discount) / n + discount * v / n * 10.0 ** model.value.end())) if n else model.value.end()
+    id_type = docs.limit(0).toArrow().schema.field("doc_id").type
     floor = np.log10(n + ALPHA * (v + 1)) if n else 0.0
 
+    def summed(info: bytes, body: bytes, got: dict[int, dict[int, bytes]]) -> pa.RecordBatch:
+        t = pa.ipc.open_stream(info).read_all()
+        size = t["size"].to_numpy()
+        data = pa.decompress(body, int(size.sum()), "zstd", asbytes=True)
+        at = np.cumsum(size) - size
+        block = Block([], t["held"].to_pylist(), [data[a : a + k] for a, k in zip(at, size, strict=True)])
+        value = {}
+        for kind, dtype in ((WORDS, np.int64), (GRAMS, np.float32)):
+            keys, _ = block.tally(kind)
+            value[kind] = keys, np.zeros(len(keys))
+            for p, where in parted(keys, kind, parts):
+                value[kind][1][where] = np.frombuffer(got[kind][p], dtype)
+        many = len(size)
+        total, base, tokens, known = (np.zeros(many) for _ in range(4))
+        for a, b in block.pieces():
+            h, doc = block.words(a, b)
+            c = value[WORDS][1][np.searchsorted(value[WORDS][0], h)]
+            tokens += np.bincount(doc, minlength=many)
+            known += np.bincount(doc, c > 0, many)
+            base += np.bincount(doc, np.log10(c + ALPHA), many)
+            g, where = block.grams(a, b)
+            order = np.argsort(g)
+            x, times = counted(g)
+            p = np.empty(len(g))
+            p[order] = np.repeat(value[GRAMS][1][np.searchsorted(value[GRAMS][0], x)], times)
+            total += np.bincount(block.docs_of(where), p, many)
+        whole = lambda x: pa.array(x.astype(np.int64))
+        return pa.RecordBatch.from_arrays(
+            [t["id"].combine_chunks(), t["held"].combine_chunks(), whole(tokens), whole(known), whole(np.full(many, n)), pa.array(base - tokens * floor), pa.array(total)],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a block: first its documents (part -1), then its words' counts by range."""
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if own is None:
-                return
-            c = np.concatenate([np.frombuffer(x, np.int64) for x in got]) if got else np.zeros(0, np.int64)
-            spelled = np.frombuffer(own[1], np.float32).astype(np.float64)
-            if len(c) != len(spelled):
-                raise RuntimeError("a block was cut differently when it was read again")
-            t, index = pa.ipc.open_stream(own[2]).read_all(), np.frombuffer(own[0], np.int32)
-            sizes = t["n"].to_numpy()
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            known = np.bincount(doc, c[index] > 0, len(sizes)).astype(np.int64) + (ends > 0)
-            base = np.bincount(doc, np.log10(c + ALPHA)[index], len(sizes)) + np.log10(ends + ALPHA) - (sizes + 1) * floor
-            share = discount * v / n if n else 1.0
-            each = np.log10(np.maximum(c - discount, 0) / max(n, 1) + share * 10.0**spelled) if len(c) else np.zeros(0)
-            each = np.where(np.isfinite(each), each, np.log10(share) + spelled) if n else spelled  # a very long word's probability is too small for a double
-            total = np.bincount(doc, adapted(each, index, doc, stop, *recall), len(sizes)) + stop
-            yield pa.RecordBatch.from_arrays(
-                [t["id"].combine_chunks(), t["held"].combine_chunks(), pa.array(sizes + 1), pa.array(known), pa.array(np.full(len(sizes), n)), pa.array(base), pa.array(total)],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-        block, own, got = None, None, []
+        """Rows of a block: first its documents (part -1), then values by part."""
+        now, text, got = None, None, {}
         for batch in batches:
-            for b, p, keys, counts, info in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if b != block:
-                    yield from done()
-                    block, own, got = b, None, []
-                if p < 0:
-                    own = (keys, counts, info)
+            for block, part, kind, keys, more in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if part < 0:
+                    if now is not None:
+                        yield summed(*text, got)
+                    now, text, got = block, (more, keys), {WORDS: {}, GRAMS: {}}
                 else:
-                    got.append(counts)
-        yield from done()
+                    got[kind][part] = more
+        if now is not None:
+            yield summed(*text, got)
 
-    asked = docs.select("doc_id", "text", "held_out").mapInArrow(ask, SHAPE)
-    both = asked.unionByName(merged.where("block >= 0"))
-    id_sql = "long" if id_type == pa.int64() else "string"
-    shape = f"doc_id {id_sql}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    both = numbered(docs).mapInArrow(own, SHAPE).unionByName(values)
+    shape = f"doc_id {kind_of}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(answer, shape)
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = np.array([np.frombuffer(b, np.int64) for b in batch.column(0).to_pylist()], np.int64).reshape(-1, 4)
-        yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(4)], names=["n", "v", "n1", "n2"])
-
-
 def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents."""
     return score(table(spark, sf_dir, "documents", "doc_id", "text"))

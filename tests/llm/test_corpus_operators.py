@@ -234,7 +234,7 @@ def test_links_lose_no_component(spark, split):
 
 def test_ppm_base_and_model(docs, empty):
     rows, df = docs
-    got = sorted(map(tuple, ppm.score(df, 500).collect()), key=repr)
+    got = sorted(map(tuple, ppm.score(df).collect()), key=repr)
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
     n = Counter()
     for r in rows:
@@ -251,44 +251,70 @@ def test_ppm_base_and_model(docs, empty):
     assert ppm.score(empty).count() == 0
 
 
-def test_ppm_adaptation_against_a_loop():
-    rng, levels = np.random.default_rng(4), ((3.0, 0.6), (0.5, 0.9))
-    prior = np.array([0.4, 0.3, 0.15, 0.05])  # and 0.1 for the end
-    doc = np.repeat(np.arange(5), [7, 0, 1, 40, 12])
-    index = rng.integers(0, 4, len(doc)).astype(np.int32)
-    got = ppm.adapted(np.log10(prior), index, doc, -1.0, *levels)
-    for d in set(doc.tolist()):
-        text, follow = index[doc == d].tolist(), {}
-        for i, w in enumerate(text):
-            p = prior / 0.9
-            last = text[i - 1] if i else None
-            for seen, (weight, discount) in zip((Counter(text[:i]), follow.setdefault(last, Counter())), levels, strict=True):
-                n, k = seen.total(), len(seen)
-                p = np.array([max(seen[x] - discount, 0) + (weight + discount * k) * p[x] for x in range(4)]) / (n + weight)
-            assert p.sum() == pytest.approx(1)
-            assert got[doc == d][i] == pytest.approx(math.log10(0.9 * p[w]))
-            follow[last][w] += 1
-    assert len(ppm.adapted(np.zeros(0), index[:0], doc[:0], -1.0, *levels)) == 0
-
-
-def test_ppm_distributions_sum_to_one():
-    docs = [(1, False, t.encode()) for t in ("abab abc abd", "abab xyz", "aaaa b")]
-    w = ppm._Words(docs)
-    weight = np.bincount(w.index, minlength=len(w.keys))
-    x, n = ppm._grams(w, weight)
-    counts = {}
-    for key, m in zip(x.tolist(), n.tolist(), strict=True):
-        order, context, symbol = key >> 56, (key >> 8) & ((1 << 48) - 1), key & 255
-        for k in range(order + 1):
-            counts.setdefault((k << 56) | (context & ((1 << 8 * k) - 1)), Counter())[symbol] += m
-    alphabet = np.array(sorted(counts[0]))
-    keys = np.array(sorted(counts), np.uint64)
-    dense = np.array([[counts[int(k)][int(s)] for s in alphabet] + [0] for k in keys], float)
-    trie = ppm.Trie(keys, dense, alphabet)
-    p = 10.0**trie.logs
-    assert np.allclose(p[:, :-1].sum(axis=1) + p[:, -1] * (256 - len(alphabet)), 1, atol=1e-4)
-    assert trie.find(1, np.array([97], np.uint64))[0] == int(np.searchsorted(keys, (1 << 56) | 97))
-    assert trie.find(2, np.array([0x7A7A], np.uint64))[0] == -1
+def plain_ppm(train, texts, order):
+    """log10 probability of each text by textbook PPM with method D and full exclusion."""
+    symbols = lambda t: b"".join(w.encode() + b" " for w in words(lower(t))) + b"\xff"
+    seen = {}
+    for t in train:
+        s = b" " * order + symbols(t)
+        for i in range(order, len(s)):
+            for k in range(order + 1):
+                seen.setdefault(s[i - k : i], Counter())[s[i]] += 1
+
+    def one(context, symbol):
+        gone, p = set(), 1.0
+        for k in range(order, -1, -1):
+            here = {x: n for x, n in seen.get(context[order - k :], {}).items() if x not in gone}
+            n = sum(here.values())
+            if not n:
+                continue
+            if symbol in here:
+                return p * (2 * here[symbol] - 1) / (2 * n)
+            p, gone = p * len(here) / (2 * n), gone | set(here)
+        return p / (256 - len(gone))
+
+    out = []
+    for t in texts:
+        s = b" " * order + symbols(t)
+        out.append(sum(math.log10(one(s[i - order : i], s[i])) for i in range(order, len(s))))
+    return out
+
+
+def test_ppm_against_a_plain_model(spark, docs, monkeypatch):
+    rows, df = docs
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    want = plain_ppm([r[1] for r in rows if not held(r[0])], [r[1] for r in rows], ppm.ORDER)
+    for block, piece in ((ppm._BLOCK, ppm._PIECE), (3000, 700)):
+        monkeypatch.setattr(ppm, "_BLOCK", block)
+        monkeypatch.setattr(ppm, "_PIECE", piece)
+        got = ppm.score(df).collect()
+        assert np.allclose(sorted(r["score"] for r in got), sorted(want), rtol=1e-6)
+        by = {r["doc_id"]: r["score"] for r in got}
+        assert all(by[r[0]] == pytest.approx(w, rel=1e-6) for r, w in zip(rows, want, strict=True))
+
+
+def test_ppm_without_training_and_with_other_ids(spark):
+    alone = [k for k in range(200) if zlib.crc32(str(k).encode()) % 10 == 0][:3]
+    df = spark.createDataFrame([(k, "Ab c") for k in alone], "doc_id long, text string")
+    got = ppm.score(df).collect()
+    assert [round(r["score"], 4) for r in got] == [round(-6 * math.log10(256), 4)] * 3 and {(r["n_known"], r["train_tokens"]) for r in got} == {(0, 0)}
+    text = spark.createDataFrame([("x", "a b"), (None, None), ("x", "a b")], "doc_id string, text string")
+    assert sorted((r["doc_id"] or "", r["n_tokens"]) for r in ppm.score(text).collect()) == [("", 1), ("x", 3), ("x", 3)]
+    dates = text.select(F.lit("2024-01-01").cast("date").alias("doc_id"), "text")
+    assert ppm.score(dates).count() == 3
+
+
+def test_ppm_probabilities_sum_to_one():
+    rng = np.random.default_rng(3)
+    texts = [ppm.Block.symbols(bytes(rng.choice(list(b"abc "), 400))) for _ in range(3)]
+    grams, n = ppm.Block([], [False] * 3, texts).tally(ppm.GRAMS)
+    every = np.unique(grams >> np.uint64(8))[:40]
+    full = ((every[:, None] << np.uint64(8)) | np.arange(256, dtype=np.uint64)).ravel()
+    keys, count = ppm.counted(np.concatenate([grams, full]), np.concatenate([n, np.zeros(len(full), np.int64)]))
+    low = ppm.low_levels(*ppm.entries(keys, count, ppm.LOW))
+    p = 10.0 ** ppm.log_probabilities(keys, count, low)
+    where = np.searchsorted(keys, full)
+    assert np.allclose(p[where].reshape(-1, 256).sum(axis=1), 1)
 
 
 def test_templates(spark, empty):
