@@ -4,25 +4,31 @@ For every node of the page's tree: density = C/T * log_b(C/LC * T/LT), where C a
 characters and tags below it, LC and LT those inside links, and b = ln(C/(C-LC)*LC +
 LC_body/C_body*C + e); a zero below a fraction counts as one. A node's sum adds up its
 children's densities. The element with the greatest sum is the seed; the least density on its
-path to the body is the threshold. The main text is the seed's subtree, widened to the
-article or main element around it, or else by siblings at or above the threshold.
+path to the body is the threshold. The main text is the seed's subtree with what stands beside
+its path at or above the threshold, headings in any case, up to the main element around it, or
+else one level up; an article around the seed counts whole.
 
 Elements that never hold an article's text are left out first, by name (nav, footer, aside,
 scripts, a header outside an article ...) or as hidden. Forms and elements with a word of HINTS in
-their class, id or role are only suspects: one stays if it is or holds the page's largest article
-or main element or, on a page without these, more than half of the page's text.
+their class, id or role are suspects: they and the sums inside count a tenth, for each once more.
+Those around the seed stay, as do those with more than half of its text; the others go.
 
 Defined cases: null, empty and text-free pages give empty text; text outside any element
 counts as the body's; unclosed, nested and stray tags are repaired like a browser does for
-paragraphs, list items and table cells; repeated rows give repeated results; whole pages are
-read; an empty table gives no rows.
+paragraphs, list items and table cells; a tag that the page's end cuts off is no text; time and
+memory are linear in the page, however deep its tree; repeated rows give repeated results; of
+equal sums the outermost, then the first counts; whole pages are read; other columns are ignored;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import math
+import operator
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,8 +38,9 @@ from pyspark.sql import functions as F
 from silkgrain.llm import bytesops
 from silkgrain.llm.common import table
 
+#: Possessive, so that a failure is found in one pass; quotes count after an equals sign only.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*'|["'])*?)>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(>|\Z)""", re.S
 )
 _HINT_ATTRS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none""", re.I)
@@ -44,6 +51,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code del dfn em font i
 _NO_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+_TEXT = ("p", *_HEADINGS)
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert "
     "popup modal overlay sidebar side rail widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead "
@@ -80,48 +89,31 @@ def _hinted(tag: str, attrs: str, inside: bool) -> bool:
     return False
 
 
-def _settle(root: _Node) -> None:
-    """Drop the suspects that hold neither the largest article nor most of the text."""
-    nodes = _order(root)
-    if not any(n.suspect for n in nodes):
-        return
-    chars = {id(n): 0 for n in nodes}
-    for n in reversed(nodes):
-        chars[id(n)] += sum(len(" ".join(k.split())) for k in n.kids if isinstance(k, str))
-        if n.parent is not None:
-            chars[id(n.parent)] += chars[id(n)]
-    articles = [n for n in nodes if n.tag in ("article", "main") and chars[id(n)]]
-    stays, up = set(), max(articles, key=lambda n: chars[id(n)]) if articles else None
-    while up is not None:
-        stays.add(id(up))
-        up = up.parent
-    for n in nodes:
-        n.drop = n.suspect and id(n) not in stays and (bool(articles) or 2 * chars[id(n)] <= chars[id(root)])
-
-
 def parse(page: str) -> _Node:
     """The page's tree below a body; boilerplate elements are kept as empty, dropped nodes."""
     root = top = _Node("body", None)
     at, end = 0, len(page)
     inside = 0  # open article or main elements
+    live: defaultdict[str, list[tuple[int, _Node]]] = defaultdict(list)  # open elements by name, with their depths
+    depth = 0
 
     def text(piece: str) -> None:
         if piece and not top.drop:
             top.kids.append(entities.unescape(piece))
 
     def close(node: _Node) -> None:
-        nonlocal top, inside
+        nonlocal top, inside, depth
         while top is not node.parent:
             inside -= top.tag in ("article", "main")
+            live[top.tag].pop()
+            depth -= 1
             top = top.parent
 
     def opened(names: tuple[str, ...], stop: tuple[str, ...]) -> _Node | None:
-        node, found = top, None
-        while node.parent is not None and node.tag not in stop:
-            if node.tag in names:
-                found = node
-            node = node.parent
-        return found
+        """The outermost open element of these names below all open ones of the names in stop."""
+        floor = max((live[x][-1][0] for x in stop if live[x]), default=0)
+        found = [live[x][k] for x in names if (k := bisect.bisect_right(live[x], floor, key=operator.itemgetter(0))) < len(live[x])]
+        return min(found, key=operator.itemgetter(0))[1] if found else None
 
     while at < end:
         m = _TOKEN.search(page, at)
@@ -132,16 +124,13 @@ def parse(page: str) -> _Node:
         at, tag = m.end(), (m[2] or "").lower()
         if m[0].startswith("<![CDATA["):
             text(entities.escape(m[0][9:].removesuffix("]]>")))
-        if not tag or tag in ("html", "body"):
+        if not tag or tag in ("html", "body") or not m[4]:
             continue
         if m[1]:
             if tag == "br":
                 top.kids.append(" ")
-            elif (node := opened((tag,), ())) is not None:
-                inner = top
-                while inner.tag != tag:
-                    inner = inner.parent
-                close(inner)
+            elif live[tag]:
+                close(live[tag][-1][1])
             continue
         if tag in _RAW:
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at) if not m[3].endswith("/") else None
@@ -164,10 +153,11 @@ def parse(page: str) -> _Node:
         if not m[3].endswith("/"):
             top.kids.append(node)
             top = node
+            depth += 1
+            live[tag].append((depth, node))
             inside += tag in ("article", "main")
         elif not top.drop:
             top.kids.append(node)
-    _settle(root)
     return root
 
 
@@ -204,7 +194,7 @@ def densities(root: _Node) -> list[_Node]:
     return nodes
 
 
-def _blocks(node: _Node, only: set[int] | None = None) -> list[str]:
+def _blocks(node: _Node) -> list[str]:
     """Texts of the blocks below a node: white space is one space, blocks end at block elements."""
     out, now = [], []
 
@@ -226,32 +216,49 @@ def _blocks(node: _Node, only: set[int] | None = None) -> list[str]:
                 flush()
                 todo.append((item, True))
             if not item.drop:
-                todo += [(k, False) for k in reversed(item.kids) if only is None or item is not node or id(k) in only]
+                todo += [(k, False) for k in reversed(item.kids)]
     flush()
     return out
 
 
+PENALTY = 0.1
+
+
+def seed_of(nodes: list[_Node]) -> _Node:
+    """The element with the greatest density sum; parents stand before their children."""
+    best, most, weight = nodes[0], -1.0, {}
+    for n in nodes:
+        weight[n] = (weight[n.parent] if n.parent is not None else 1.0) * (PENALTY if n.suspect else 1.0)
+        if n.tag not in _INLINE and n.tag not in _TEXT:
+            total = weight[n] * sum(k.density * (PENALTY if k.suspect else 1.0) for k in n.kids if isinstance(k, _Node) and not k.drop)
+            if total > most:
+                best, most = n, total
+    return best
+
+
 def main_text(page: str) -> str:
     """The text of the page's article: blocks joined by two line feeds."""
     root = parse(page)
     nodes = densities(root)
     if not root.chars:
         return ""
-    total = lambda n: sum(k.density for k in n.kids if isinstance(k, _Node) and not k.drop)
-    holders = [n for n in nodes if n.tag not in _INLINE and n.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6")]
-    seed = max(holders, key=total)  # the first of equals: the outermost, as parents come first
-    path, up = [], seed
+    seed = up = seed_of(nodes)
+    path = []
     while up is not None:
         path.append(up)
         up = up.parent
+    spared = set(path) | {n for n in _order(seed) if 2 * n.chars > seed.chars}
+    for n in nodes:
+        n.drop = n.suspect and n not in spared
     threshold = min(n.density for n in path)
-    around = [n for n in path if n.tag in ("article", "main")]
-    if around:
-        return "\n\n".join(_blocks(around[0] if any(n.tag == "article" for n in around) else around[-1]))
-    if seed.parent is None:
-        return "\n\n".join(_blocks(seed))
-    kept = {id(k) for k in seed.parent.kids if k is seed or (isinstance(k, _Node) and not k.drop and k.density >= threshold)}
-    return "\n\n".join(_blocks(seed.parent, kept))
+    tops = [k for k, n in enumerate(path) if n.tag == "article"]
+    if tops:
+        return "\n\n".join(_blocks(path[tops[0]]))
+    tops = [k for k, n in enumerate(path) if n.tag == "main"] or [min(1, len(path) - 1)]
+    for below, n in zip(path, path[1 : tops[0] + 1], strict=False):
+        heading = lambda k: k.tag in _HEADINGS and 2 * k.link_chars <= k.chars
+        n.kids = [k for k in n.kids if k is below or (isinstance(k, _Node) and (k.density >= threshold or heading(k)))]
+    return "\n\n".join(_blocks(path[tops[0]]))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -508,3 +509,69 @@ def test_text_density_judges_hinted_wrappers():
         assert text_density.main_text(f"<body>{page % (text + small.partition('<section')[0])}</body>") == want
     assert text_density.main_text(f'<body><div class="content has-sidebar"><article>{text}</article>{small}</div></body>') == want
     assert text_density.main_text(f'<body><div>{text}</div><div class="sidebar"><p>Other pages of this site.</p></div></body>') == want
+
+
+def test_text_density_is_linear_in_time():
+    text = "<p>Words of the article that are long enough to count here.</p>" * 3
+    want = "\n\n".join(["Words of the article that are long enough to count here."] * 3)
+    n = 200_000
+    began = time.monotonic()
+    for bad in ("<a " + "x" * n, "<a " * n, "<a href='" + "x" * n, '<a b="' * n, "<!" * n, "<![CDATA[" * n, "<!--" * n, "</b" * n, "<p " + '"\'' * n, "<x=" * n):
+        assert text_density.main_text(f"<body><div>{text}</div>{bad}").startswith(want)
+    deep = 30_000
+    assert text_density.main_text("<div>" * deep + text + "</span></i>" * deep + "</div>" * deep) == want
+    assert text_density.main_text("<b>" * deep + "<td>" * deep + text) == want
+    assert time.monotonic() - began < 20
+
+
+def test_text_density_against_a_plain_version():
+    rng = np.random.default_rng(12)
+
+    def tree(depth):
+        kids = [tree(depth - 1) if depth and rng.random() < 0.75 else "t" * int(rng.integers(1, 60)) for _ in range(rng.integers(1, 6))]
+        return (str(rng.choice(["div", "section", "a", "b"])), kids)
+
+    show = lambda x: x if isinstance(x, str) else f"<{x[0]}>{''.join(map(show, x[1]))}</{x[0]}>"
+
+    def count(x):  # characters, tags, characters in links, link tags
+        if isinstance(x, str):
+            return np.array([len(x), 0, 0, 0])
+        c = sum((count(k) + [0, not isinstance(k, str), 0, 0] for k in x[1]), np.zeros(4, int))
+        c[2:] = (c[0], c[1] + 1) if x[0] == "a" else c[2:]
+        return c
+
+    for _ in range(40):
+        kids = [tree(4) for _ in range(4)]
+        root = ("body", kids)
+        body = count(root)
+
+        def density(x, body=body):
+            c, t, lc, lt = count(x)
+            base = math.log(c / max(c - lc, 1) * lc + body[2] / body[0] * c + math.e)
+            return c / max(t, 1) * (math.log(max(c / max(lc, 1) * max(t, 1) / max(lt, 1), 1)) / math.log(base) if base > 1 else 1)
+
+        def every(x):
+            return [] if isinstance(x, str) else [x, *(y for k in x[1] for y in every(k))]
+
+        nodes = every(root)
+        got = text_density.densities(text_density.parse("".join(map(show, kids))))
+        assert [n.tag for n in got] == [x[0] for x in nodes]
+        assert np.allclose([n.density for n in got], [density(x) for x in nodes])
+        total = [sum(density(k) for k in x[1] if not isinstance(k, str)) if x[0] not in "ab" else -1 for x in nodes]
+        assert text_density.seed_of(got) is got[int(np.argmax(total))]
+
+
+def test_text_density_chooses_by_density():
+    p = lambda k, words: f"<p>{' '.join(f'word{k}x{j}' for j in range(words))}.</p>"
+    teasers = "".join(f"<article><h2><a href=x>Teaser {k}</a></h2>{p(k, 6)}</article>" for k in range(3))
+    body = "".join(p(k, 40) for k in range(10, 16))
+    want = "\n\n".join(re.findall("<p>(.*?)</p>", body))
+    for page in (f"{teasers}<div><div>{body}</div></div>", f"<div>{body}</div><section>{teasers}</section>", f"<div>{body}</div><div class=comments>{p(1, 60) * 9}</div>"):
+        assert text_density.main_text(f"<body>{page}</body>") == want
+    clash = "<main><h1>Title</h1><div>%s</div><ul><li><a href=a>one</a><li><a href=b>two</a></ul></main>"
+    assert text_density.main_text(clash % body) == "Title\n\n" + want
+
+
+def test_text_density_ignores_other_columns(spark):
+    df = spark.createDataFrame([(1, "u", "<p>one text</p>", "t", 3)], "page_id long, url string, html string, text string, n_chars int")
+    assert [tuple(r) for r in text_density.extract(df).collect()] == [(1, "u", "one text", 8)]
