@@ -575,3 +575,101 @@ def test_text_density_chooses_by_density():
 def test_text_density_ignores_other_columns(spark):
     df = spark.createDataFrame([(1, "u", "<p>one text</p>", "t", 3)], "page_id long, url string, html string, text string, n_chars int")
     assert [tuple(r) for r in text_density.extract(df).collect()] == [(1, "u", "one text", 8)]
+
+
+def test_templates_keep_whole_fillers(spark):
+    item = "The first train leaves the station at 10:45 and the second train leaves the station at 12:45 on the same day"
+    rows = [(1, item.replace("10:45", "10:20").replace("12:45", "13:50")), (2, item.replace("10:45", "9:00").replace("12:45", "2:1"))]
+    got = templates.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["coverage"], r["n_changed"]) for r in got} == {(1, 1.0, 2), (2, 1.0, 2)}
+
+
+def plain_template_words(text):
+    """(plain form, typed form, typed form with opening names, filler, kind) of each word."""
+    out, ends, last, number_before = [], 0, None, False
+    for m in SPACE.finditer(text or ""):
+        kept = [k for k in range(m.start(), m.end()) if text[k].isascii() is False or text[k].isalnum()]
+        if not kept:
+            continue
+        ends = sum(c in ".!?:\n" for c in text[: kept[0]])
+        word = "".join(text[k] for k in kept)
+        number = word[0] in "0123456789" or word.lower() in templates.NUMBER_WORDS
+        unit = number_before and not number and word.lower() in templates.UNITS
+        proper = word[0].isupper() and any(c.islower() for c in word) and len(word) > 1 and not number and not unit
+        inside = last is not None and ends == last
+        typed = "#n" if number else "#u" if unit else "#m" if proper and inside else word.lower()
+        kind = 1 if proper and inside else 2 if proper else 0
+        out.append((word.lower(), typed, "#m" if proper else typed, text[kept[0] : kept[-1] + 1], kind))
+        last, number_before = ends, number
+    return out
+
+
+def plain_contaminated(docs_, items):
+    """(doc, item): coverage, by comparing every window of an item with every place of a document."""
+    out = {}
+    for i, item in items:
+        w = plain_template_words(item)
+        n = min(8, len(w))
+        for d, text in docs_:
+            x = plain_template_words(text)
+            hit = set()
+            if 0 < n <= 2 and [y[0] for y in w] == [y[0] for y in x]:
+                hit = {0}
+            for shift in range(1 - len(w), len(x)) if n > 2 else ():
+                found = []  # place, evidence, pairs of fillers
+                for p in range(len(w) - n + 1):
+                    if not 0 <= p + shift <= len(x) - n:
+                        continue
+                    a, b = w[p : p + n], x[p + shift : p + shift + n]
+                    slots = lambda z: sum(y[1].startswith("#") for y in z)
+                    fill = lambda z, more: [(y[4], y[3]) for y in z if y[1].startswith("#") or (more and y[4] == 2)]
+                    least = max(min(3, n), n - 3)
+                    few = [n - slots(z) >= least for z in (a, b)]
+                    opening = [any(y[4] == 2 for y in z) for z in (a, b)]
+                    if all(few) and [y[1] for y in a] == [y[1] for y in b]:
+                        found.append((p, True, set(zip(fill(a, False), fill(b, False), strict=True))))
+                    if not any(few) and [y[0] for y in a] == [y[0] for y in b] and len(fill(a, False)) == len(fill(b, False)):
+                        found.append((p, True, set(zip(fill(a, False), fill(b, False), strict=True))))
+                    if all(not f or o for f, o in zip(few, opening, strict=True)) and [y[2] for y in a] == [y[2] for y in b]:
+                        found.append((p, False, set(zip(fill(a, True), fill(b, True), strict=True))))
+                times = Counter(pair for _, _, pairs in found for pair in pairs)
+                best = {}
+                for (a, b), m in sorted(times.items(), key=lambda z: (-z[1], z[0][1][1])):
+                    best.setdefault(a, b)
+                if any(a[0] == 1 and best[a] != b for a, b in times):
+                    continue
+                found = [z for z in found if all(best[a] == b for a, b in z[2])]
+                if any(z[1] for z in found):
+                    hit |= {z[0] for z in found}
+            if w and len(hit) / (len(w) - n + 1) >= 0.5:
+                out[d, i] = len(hit) / (len(w) - n + 1)
+    return out
+
+
+def test_templates_against_brute_force(spark):
+    rng = np.random.default_rng(14)
+    vocab = "the farmer sells some red apples to each old child in town before lunch and then walks back home with bread".split()
+    names, units = ["Anna", "Émile", "McDonald", "Bob", "Zoë"], ["km", "kg", "hours"]
+
+    def question():
+        out = []
+        for _ in range(int(rng.integers(2, 30))):
+            r = rng.random()
+            out += [str(rng.choice(names))] if r < 0.12 else [str(rng.integers(1, 30)), *([str(rng.choice(units))] if rng.random() < 0.5 else [])] if r < 0.3 else ["twelve:"] if r < 0.33 else [str(rng.choice(vocab)) + str(rng.choice(["", "", "", ".", ","]))]
+        return " ".join(out).capitalize() if rng.random() < 0.5 else " ".join(out)
+
+    items = [(k, question()) for k in range(40)]
+
+    def changed(text):
+        swap = {n: str(rng.choice(names)) for n in names}
+        out = [swap.get(w, w) if rng.random() < 0.97 else str(rng.choice(vocab)) for w in text.split(" ")]
+        out = [str(rng.integers(1, 30)) if w.isdigit() and rng.random() < 0.7 else w for w in out]
+        return " ".join(out)
+
+    docs_ = [(k, " ".join([question(), changed(items[k % 40][1]), question()]) if k % 3 else changed(items[k % 40][1])) for k in range(120)]
+    want = plain_contaminated(docs_, items)
+    assert len(want) > 60
+    df, bench = spark.createDataFrame(docs_, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for sent in (1_000_000, 0):
+        got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in templates.contaminated(df.withColumns({"n": F.lit(1), "h": F.lit("x"), "pos": F.lit(0)}), bench.withColumn("fill", F.lit(1)), sent).collect()}
+        assert got == pytest.approx(want)
