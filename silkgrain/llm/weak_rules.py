@@ -2,11 +2,15 @@
 
 Every rule votes keep (1), reject (-1) or abstains (0). Rows are counted by their pattern of
 votes, of which there are at most 3 ** len(RULES); expectation-maximisation over those counts
-gives the share of good rows and each rule's accuracy on either class, and the posterior
-probability of quality replaces the rule that all must pass.
+gives the share of good rows and, for each rule and class, the probability of each vote, abstention
+included; the posterior probability of quality replaces the rule that all must pass. Each rule has a
+prior, STRONG or WEAK, whose weight grows with the rows: without it the kind of junk that one rule
+alone sees would be fitted as good. One reject of a weak rule, with nothing else against the row,
+leaves it good; several make it bad.
 
 Defined cases: a null or empty text has no words, fails the base rules and is not kept; rows
-that repeat count again; an empty table gives no rows; texts of any length are read whole.
+that repeat count again; an empty table gives no rows; texts of any length are read whole; columns
+of the input that have a measure's name are not carried along.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ _INDEX_BITS = 24
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SYMBOLS = "#*$%&|<>"
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_upper", "n_exclaim", "n_digits", "n_stops", "n_lines", "n_dup_lines", "n_distinct", "n_repeat_words")
+
 
 def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
@@ -35,7 +41,7 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     fails, or the index needs more bits, the row's windows are sorted by the words themselves.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c != text and c not in MEASURES]
     kept = [F.col(f"`{c}`") for c in keep]
     one = docs.select(
         *kept, body.alias("__t"),
@@ -55,12 +61,14 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.length("__t") - F.length(_without(F.col("__t"), _SYMBOLS))).cast("long").alias("n_symbols"),
         (F.length("__t") - F.length(_without(F.col("__t"), _UPPER))).cast("long").alias("n_upper"),
         (F.length("__t") - F.length(_without(F.col("__t"), "!"))).cast("long").alias("n_exclaim"),
+        (F.length("__t") - F.length(_without(F.col("__t"), "0123456789"))).cast("long").alias("n_digits"),
+        (F.length("__t") - F.length(_without(F.col("__t"), ".?!"))).cast("long").alias("n_stops"),
         F.size("__lines").cast("long").alias("n_lines"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.array_distinct("__w")).cast("long").alias("n_distinct"),
         F.sort_array(packed).alias("__p"),
     )
-    rest = [*keep, "n_words", "word_chars", "n_symbols", "n_upper", "n_exclaim", "n_lines", "n_dup_lines", "n_distinct"]
+    rest = [*keep, *MEASURES[:-1]]
     rest = [F.col(f"`{c}`") for c in rest]
     same = lambda x, y: F.shiftright(x, _INDEX_BITS) == F.shiftright(y, _INDEX_BITS)
     at = lambda p: p.bitwiseAND(low).cast("int")
@@ -101,8 +109,16 @@ def _vote(reject: Column, keep: Column) -> Column:
     return F.when(reject, -1).when(keep, 1).otherwise(0)
 
 
-#: The rules, in the order of rule_votes().
-RULES = ("length", "word_length", "symbols", "repetition", "shouting")
+#: Priors: probabilities of (reject, abstain, keep) for bad and for good rows, and the weight of
+#: each in multiples of all rows. One kind of junk sets off few rules, so bad rows get most keeps.
+#: That a strong rule hardly ever rejects a good row is held to firmly; the rest is learnt.
+STRONG = ((0.3, 0.05, 0.65), (0.0003, 0.05, 0.9497), (0.2, 20.0))
+WEAK = ((0.2, 0.15, 0.65), (0.05, 0.15, 0.8), (0.2, 0.5))
+#: The rules with their priors, in the order of rule_votes().
+RULES = {
+    "length": STRONG, "word_length": STRONG, "symbols": STRONG, "repetition": STRONG, "shouting": STRONG,
+    "digits": WEAK, "lines": WEAK, "sentences": WEAK, "variety": WEAK,
+}
 
 
 def rule_votes() -> dict[str, Column]:
@@ -113,50 +129,55 @@ def rule_votes() -> dict[str, Column]:
     mean, sym = _ratio("word_chars", "n_words"), _ratio("n_symbols", "n_words")
     dup, rep = _ratio("n_dup_lines", "n_lines"), _ratio("n_repeat_words", "n_words")
     up, exc, var = _ratio("n_upper", "word_chars"), _ratio("n_exclaim", "n_words"), _ratio("n_distinct", "n_words")
+    digits, per_line, stops = _ratio("n_digits", "word_chars"), _ratio("n_words", "n_lines"), _ratio("n_stops", "n_words")
     votes = [
         _vote(n < 5, n >= 60),
         _vote((mean < 2.5) | (mean > 12), mean.between(3.5, 9)),
         _vote(sym > 0.15, sym < 0.05),
         _vote(((dup > 0.3) & (F.col("n_dup_lines") > 2)) | (rep > 0.4) | ((var < 0.1) & (n >= 50)), (dup == 0) & (rep < 0.2) & (var > 0.25)),
         _vote((up > 0.4) | (exc > 0.25), (up < 0.15) & (exc < 0.05)),
+        _vote(digits > 0.3, digits < 0.1),
+        _vote((per_line < 3) & (F.col("n_lines") > 5), per_line > 8),
+        _vote((stops < 0.004) & (n >= 50), stops > 0.02),
+        _vote((var < 0.2) & (n >= 50), var > 0.4),
     ]
     return dict(zip(RULES, votes, strict=True))
 
 
-def fit_rules(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = 60, prior: float = 0.75, bad_share: tuple[float, float] = (0.15, 0.6), most: float = 0.001) -> tuple[float, list[dict[int, list[float]]]]:
+VOTES = (-1, 0, 1)
+
+
+def fit_rules(
+    patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = 200, prior: float = 0.75, priors: tuple = ()
+) -> tuple[float, list[dict[int, list[float]]]]:
     """Expectation-maximisation over counted vote patterns.
 
-    Returns the share of good rows and, for each rule, vote -> [P(vote | bad), P(vote | good)]
-    among its non-abstaining votes. Abstentions say nothing about a row. At the start a rule
-    rejects one good row in a thousand and 35 bad rows in a hundred, for one kind of junk sets
-    off few rules; counts are smoothed by a little of that, so unused rules stay there. A rule
-    is held to rejecting a share of the bad rows within bad_share and at most `most` of the good
-    ones: without that, junk of a kind that only one rule sees is fitted as good.
+    Returns the share of good rows and, for each rule, vote -> [P(vote | bad), P(vote | good)].
+    priors: one a rule, STRONG if not given; they start the fit and count as rows of their weight, in the
+    most probable model that expectation-maximisation finds.
     """
-    start = {1: [0.65, 0.999], -1: [0.35, 0.001]}
-    good = prior
-    like = [start for _ in range(n_rules)]
+    priors = priors or (STRONG,) * n_rules
+    start = [{v: [p[0][k], p[1][k]] for k, v in enumerate(VOTES)} for p in priors]
+    good, like, total = prior, start, sum(n for _, n in patterns)
+    weight = [[total * x for x in p[2]] for p in priors]
     for _ in range(rounds if patterns else 0):
-        share, total = 0.0, 0.0
-        seen = [{v: [4 * x for x in p] for v, p in start.items()} for _ in range(n_rules)]
+        share, seen = 0.0, [{v: [0.0, 0.0] for v in VOTES} for _ in range(n_rules)]
         for votes, n in patterns:
             p = posterior(votes, good, like)
-            share, total = share + n * p, total + n
+            share += n * p
             for j, v in enumerate(votes):
-                if v:
-                    seen[j][v][1] += n * p
-                    seen[j][v][0] += n * (1 - p)
-        good = min(max((share + prior) / (total + 1), 0.05), 0.99)
-        like = []
-        for s in seen:
-            bad, fine = (s[-1][y] / (s[1][y] + s[-1][y]) for y in (0, 1))
-            bad, fine = min(max(bad, bad_share[0]), bad_share[1]), min(max(fine, 1e-6), most)
-            like.append({1: [1 - bad, 1 - fine], -1: [bad, fine]})
+                seen[j][v][1] += n * p
+                seen[j][v][0] += n * (1 - p)
+        before, good = good, (share + prior) / (total + 1)
+        size = (total - share, share)
+        like = [{v: [(seen[j][v][y] + weight[j][y] * start[j][v][y]) / (size[y] + weight[j][y]) for y in (0, 1)] for v in VOTES} for j in range(n_rules)]
+        if abs(good - before) < 1e-12:
+            break
     return good, like
 
 
 def posterior(votes: tuple[int, ...], good: float, like: list[dict[int, list[float]]]) -> float:
-    odds = math.log(good / (1 - good)) + sum(math.log(like[j][v][1] / like[j][v][0]) for j, v in enumerate(votes) if v)
+    odds = math.log(good / (1 - good)) + sum(math.log(like[j][v][1] / like[j][v][0]) for j, v in enumerate(votes))
     return 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
 
 
@@ -166,10 +187,11 @@ def weak_quality(measures: DataFrame) -> DataFrame:
     voted = measures.withColumns(dict(zip(names, rule_votes().values(), strict=True)))
     counted = voted.groupBy(*names).count().collect()  # at most 3 ** len(RULES) rows
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in counted)
-    good, like = fit_rules(patterns, len(names))
+    good, like = fit_rules(patterns, len(names), priors=tuple(RULES.values()))
     odds = F.lit(math.log(good / (1 - good)))
     for name, p in zip(names, like, strict=True):
-        odds = odds + F.when(F.col(name) > 0, math.log(p[1][1] / p[1][0])).when(F.col(name) < 0, math.log(p[-1][1] / p[-1][0])).otherwise(0.0)
+        gain = [math.log(p[v][1] / p[v][0]) for v in VOTES]
+        odds = odds + F.when(F.col(name) < 0, gain[0]).when(F.col(name) > 0, gain[2]).otherwise(gain[1])
     return voted.withColumn("quality", 1 / (1 + F.exp(-odds)))
 
 

@@ -673,3 +673,55 @@ def test_templates_against_brute_force(spark):
     for sent in (1_000_000, 0):
         got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in templates.contaminated(df.withColumns({"n": F.lit(1), "h": F.lit("x"), "pos": F.lit(0)}), bench.withColumn("fill", F.lit(1)), sent).collect()}
         assert got == pytest.approx(want)
+
+
+def plain_em(votes, priors, rounds=200, prior=0.75):
+    """Most probable model by expectation-maximisation over rows, in numpy; each row's posterior."""
+    votes = np.array(votes) + 1
+    n = len(votes)
+    start = np.array([[p[0], p[1]] for p in priors]).transpose(1, 0, 2)  # class, rule, vote
+    weight = n * np.array([p[2] for p in priors]).T[:, :, None]
+    hot = np.eye(3)[votes]
+    like, good = start, prior
+    for _ in range(rounds + 1):
+        logs = np.einsum("nrv,crv->nc", hot, np.log(like)) + np.log([1 - good, good])
+        p = 1 / (1 + np.exp(logs[:, 0] - logs[:, 1]))
+        if _ < rounds:
+            r = np.stack([1 - p, p])
+            like = (np.einsum("cn,nrv->crv", r, hot) + weight * start) / (r.sum(axis=1)[:, None, None] + weight)
+            good = (p.sum() + prior) / (n + 1)
+    return p
+
+
+def test_rule_fit_against_plain_em():
+    rng = np.random.default_rng(15)
+    priors = tuple(weak_rules.RULES.values())
+    votes = [tuple(int(v) for v in rng.choice([-1, 0, 1], len(priors), p=[0.3, 0.2, 0.5] if k % 4 == 0 else [0.03, 0.12, 0.85])) for k in range(500)]
+    good, like = weak_rules.fit_rules(sorted(Counter(votes).items()), len(priors), priors=priors)
+    assert np.allclose([weak_rules.posterior(v, good, like) for v in votes], plain_em(votes, priors), atol=1e-6)
+    assert all(abs(sum(x[v][y] for v in x) - 1) < 1e-9 for x in like for y in (0, 1))
+
+
+def test_one_weak_reject_need_not_lose(spark):
+    rng = np.random.default_rng(16)
+    prose = lambda k: " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(3, 9))) + ("." if j % 12 == 11 else "") for j in range(k))
+    good = [prose(120) for _ in range(80)]
+    weak = prose(120).replace(".", "")  # no sentence ends: the rule on sentences rejects
+    strong = [" ".join(w + "$$" for w in prose(80).split()) for _ in range(8)]
+    shout = [" ".join(w.upper() + "!!!" for w in (prose(10) + " ") .split() * 9) for _ in range(8)]
+    rows = [(k, x) for k, x in enumerate([*good, weak, *strong, *shout, None, ""])]
+    scored = weak_rules.weak_quality(weak_rules.text_measures(spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n_words": F.lit(-1), "n_stops": F.lit("x")}))).collect()
+    by = {r["doc_id"]: r for r in scored}
+    print([(k, round(by[k]["quality"], 3), [by[k][f"vote_{r}"] for r in weak_rules.RULES]) for k in range(80, 99)])
+    assert by[80]["vote_sentences"] == -1 and by[80]["quality"] > 0.5
+    assert all(by[k]["quality"] > 0.9 for k in range(80)) and all(by[k]["quality"] < 0.5 for k in range(81, 97))
+    votes = [tuple(by[k][f"vote_{r}"] for r in weak_rules.RULES) for k, _ in rows]
+    assert np.allclose([by[k]["quality"] for k, _ in rows], plain_em(votes, tuple(weak_rules.RULES.values())), atol=1e-6)
+
+
+def test_weak_rules_query(spark, docs, tmp_path):
+    rows, df = docs
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    for r in weak_rules.op5_weak_quality_rules(spark, str(tmp_path)).collect():
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["base_failed"] == failed and r["kept"] == (not failed and r["posterior"] >= 0.5)
