@@ -1,24 +1,31 @@
 """A quality classifier learnt from positive and unlabelled texts.
 
 Each text becomes a short vector of measures of its bytes, words and lines. A linear score is
-fitted by minimising the non-negative unbiased risk: with prior p, positives P and unlabelled
-texts U, the risk is p * R+(P) + max(0, R-(U) - p * R-(P)); where the second part is negative
-its gradient is followed upwards. Positives are labelled texts of label 1; the unlabelled set
-is other labelled rows with their label hidden. The prior and a monotone calibration, by
-which the score is a probability, come from the training rows' labels.
-
-Everything but the fit runs over all rows; the fit uses at most MAX_LABELLED labelled rows,
-the first in order of a hash of their id. Whole texts are measured, never prefixes.
-
-Defined cases: a null text counts as empty, and an empty text gets the score of its (zero)
-vector; ids with several labels count once, if the labels agree; null labels are no labels;
-without labels of both kinds every score is the prior; an empty table gives no rows.
+fitted by minimising the non-negative unbiased risk of the logistic loss: with prior p, trusted
+positives P and unlabelled texts U, it is p * R+(P) + max(0, R-(U) - p * R-(P)). P are texts of label
+1 outside the held-out fold; U are all texts outside it, whatever their labels, which are never
+looked at; label 0 is not used at all. Newton steps sum gradient and curvature over all of U where
+its rows are; a step that would make the second part of the risk negative is halved until it doesn't.
+
+The class prior is estimated, not counted: a first fit tells P from U, and among its thresholds the
+one with the least upper bound of (share of U above) / (share of P above) gives the prior, since
+above a threshold that no negative passes this ratio is the prior (best bin estimation). With the
+logistic loss the fitted score is itself a probability.
+
+P is at most MAX_LABELLED rows, the first in order of a hash of their id; all else runs over all rows.
+Whole texts are measured, never prefixes.
+
+Defined cases: a null text counts as empty, and an empty text gets the score of its (zero) vector;
+ids with several labels count once, if the labels agree; null labels and null ids are no labels;
+repeated rows count again; of rows that share an id each is scored by its own text; without positives
+or without texts outside the held-out fold every score is 0.5; other columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,64 +73,97 @@ def features(text: bytes) -> np.ndarray:
 
 @dataclass(frozen=True)
 class PUModel:
-    """logit = slope * (weights . (x - mean) / scale + bias) + shift."""
+    """logit = weights . (x - mean) / scale + bias."""
 
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
     prior: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = self.slope * (((x - self.mean) / self.scale) @ self.weights + self.bias) + self.shift
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-
-
-def fit_pu(x: np.ndarray, label: np.ndarray, rounds: int = 600, rate: float = 0.05, decay: float = 1e-4, prior: float | None = None) -> PUModel:
-    """x and label in any order that doesn't depend on the label; odd rows are the unlabelled
-    set, even rows of label 1 the positives. prior: the share of label 1 if not given."""
-    d = x.shape[1] if x.ndim == 2 else N_FEATURES
-    if not len(x) or label.min() == label.max():
-        p = float(label.mean()) if len(x) else 0.5
-        p = min(max(p, 1e-3), 1 - 1e-3)
-        return PUModel(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 1.0, float(np.log(p / (1 - p))), p)
-    prior = float((label.sum() + 1) / (len(label) + 2)) if prior is None else prior
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))]).astype(np.float64)
-    even = np.arange(len(x)) % 2 == 0
-    pos, unl = z[even & (label == 1)], z[~even]
-    if not len(pos) or not len(unl):
-        pos, unl = z[label == 1], z
-    w, m, v = np.zeros(d + 1), np.zeros(d + 1), np.zeros(d + 1)
-    sig = lambda s: 1 / (1 + np.exp(-np.clip(s, -50, 50)))
-    soft = lambda s: np.logaddexp(0, s)
-    for t in range(1, rounds + 1):
-        sp, su = pos @ w, unl @ w
-        rest = soft(su).mean() - prior * soft(sp).mean()
-        negative = unl.T @ sig(su) / len(unl) - prior * (pos.T @ sig(sp)) / len(pos)
-        positive = -prior * (pos.T @ sig(-sp)) / len(pos)
-        g = (positive + negative if rest >= 0 else -negative) + decay * w
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    s = z @ w
-    slope, shift = _calibrated(s, label)
-    return PUModel(mean, scale, w[:-1], float(w[-1]), slope, shift, prior)
-
-
-def _calibrated(s: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of a logistic curve from score to label, by damped Newton steps."""
-    scale = s.std() + 1e-9
-    a = np.stack([s / scale, np.ones_like(s)], axis=1)
-    w, smooth = np.array([1.0, 0.0]), np.where(label == 1, 1 - 1 / (label.sum() + 2), 1 / ((label == 0).sum() + 2))
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -50, 50)))
-        g = a.T @ (p - smooth) / len(s)
-        h = (a * (p * (1 - p))[:, None]).T @ a / len(s) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        w = w - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
-    return float(max(w[0], 1e-3) / scale), float(w[1])
+        return _sig(((x - self.mean) / self.scale) @ self.weights + self.bias)
+
+
+Sums = Callable[[Callable[[np.ndarray], np.ndarray]], np.ndarray]
+
+
+def _sig(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+
+def estimated_prior(pos: np.ndarray, unl: np.ndarray, n_unl: int, delta: float = 0.1, gamma: float = 0.01) -> float:
+    """Best bin estimation. pos: scores of positives in falling order; unl: how many of the n_unl
+    unlabelled scores are at least as high as each of them."""
+    n = len(pos)
+    q_pos, q_unl = np.arange(1, n + 1) / n, unl / n_unl
+    slack = np.sqrt(np.log(4 / delta) / 2) * (1 / np.sqrt(n) + 1 / np.sqrt(n_unl))
+    best = int(np.argmin((q_unl + (1 + gamma) * slack) / q_pos))
+    return float(np.clip(q_unl[best] / q_pos[best], 0.01, 0.99))
+
+
+def fit_pu(pos: np.ndarray, sums: Sums, rounds: int = 30, decay: float = 0.03, prior: float | None = None) -> PUModel:
+    """The model of positives and of the unlabelled rows, of which sums(f) gives the sum of f(rows)
+    over blocks of rows. prior: of the positive class, estimated if not given."""
+    d = N_FEATURES
+    flat = PUModel(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 0.5)
+    if not len(pos):
+        return flat
+    moments = sums(lambda x: np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)]))
+    if not len(moments):
+        return flat
+    n, mean = moments[0], moments[1 : d + 1] / moments[0]
+    scale = np.sqrt(np.maximum(moments[d + 1 :] / n - mean**2, 0)) + 1e-3
+    z_of = lambda x: np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    p = z_of(pos)
+
+    def slopes(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Mean loss of U as negatives, with its gradient and curvature."""
+
+        def part(x: np.ndarray) -> np.ndarray:
+            z = z_of(x)
+            s = z @ w
+            h = _sig(s)
+            return np.concatenate([[np.logaddexp(0, s).sum()], z.T @ h, ((z * (h * (1 - h))[:, None]).T @ z).ravel()])
+
+        all_ = sums(part) / n
+        return float(all_[0]), all_[1 : d + 2], all_[d + 2 :].reshape(d + 1, d + 1)
+
+    keep = decay * np.append(np.ones(d), 0.0)  # the bias is free
+
+    def step(w: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
+        by = np.linalg.solve(h + np.diag(keep + 1e-9), g + keep * w)
+        by *= min(1.0, 2.0 / max(float(np.abs(by).max()), 1e-12))
+        return by, float(np.abs(by).max())
+
+    w = np.zeros(d + 1)
+    if prior is None:
+        for _ in range(rounds):  # P against U
+            _, g, h = slopes(w)
+            hp = _sig(p @ w)
+            by, size = step(w, g - p.T @ (1 - hp) / len(p), h + (p * (hp * (1 - hp))[:, None]).T @ p / len(p))
+            w = np.round(w - by, 10)
+            if size < 1e-3:
+                break
+        order = np.sort(p @ w)[::-1]
+        at_least = lambda x: np.bincount(np.searchsorted(-order, -(z_of(x) @ w), "left"), minlength=len(order) + 1)[:-1].astype(float)
+        prior = estimated_prior(order, np.cumsum(sums(at_least)), int(n))
+    w = np.zeros(d + 1)
+    _, g, h = slopes(w)
+    for _ in range(rounds):  # non-negative unbiased risk
+        by, size = step(w, g - prior * p.mean(axis=0), h)
+        for _ in range(8):
+            new = np.round(w - by, 10)
+            loss, g_new, h_new = slopes(new)
+            if loss >= prior * np.logaddexp(0, p @ new).mean():
+                break
+            by, size = by / 2, size / 2
+        else:
+            break
+        w, g, h = new, g_new, h_new
+        if size < 1e-3:
+            break
+    return PUModel(mean, scale, w[:-1], float(w[-1]), prior)
 
 
 def measure(docs: DataFrame, row: str | None = None) -> DataFrame:
@@ -143,14 +183,30 @@ def measure(docs: DataFrame, row: str | None = None) -> DataFrame:
 
 
 def train(measured: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> PUModel:
-    """The model of at most `most` labelled rows outside the held-out fold."""
-    one = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("r"))
-    one = one.where("q = r").where(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
+    """The model of at most `most` positives and of all rows outside the held-out fold."""
+    one = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q"))
+    one = one.where("q = 1").where(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    picked = one.join(measured.select("doc_id", "x"), "doc_id").select(order.alias("o"), "doc_id", "x", "q").orderBy("o", "doc_id", "x").limit(most)
-    rows = picked.toPandas()
-    x = np.array(rows["x"].tolist(), np.float64).reshape(-1, N_FEATURES)
-    return fit_pu(x, rows["q"].to_numpy(np.int64))
+    picked = one.join(measured.select("doc_id", "x"), "doc_id").select(order.alias("o"), "doc_id", "x").orderBy("o", "doc_id", "x").limit(most)
+    pos = picked.select("x").toArrow()["x"].combine_chunks()
+    unlabelled = measured.where("NOT held_out").select("x")
+
+    def sums(f: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """The sum over all blocks; each task adds up its own, and what they found is added by place."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if batch.num_rows:
+                    v = f(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(np.float64))
+                    total = v if total is None else total + v
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "v"])
+
+        rows = unlabelled.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+        return rows["v"].to_numpy()[np.argsort(rows["i"].to_numpy())]
+
+    return fit_pu(pos.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(np.float64), sums)
 
 
 def score(measured: DataFrame, model: PUModel, row: str | None = None) -> DataFrame:

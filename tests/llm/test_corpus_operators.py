@@ -725,3 +725,39 @@ def test_weak_rules_query(spark, docs, tmp_path):
     for r in weak_rules.op5_weak_quality_rules(spark, str(tmp_path)).collect():
         failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
         assert r["base_failed"] == failed and r["kept"] == (not failed and r["posterior"] >= 0.5)
+
+
+def test_pu_fit_against_gradient_descent():
+    rng = np.random.default_rng(17)
+    good = lambda n: np.hstack([rng.normal(1, 1, (n, 2)), rng.random((n, pu_quality.N_FEATURES - 2))])
+    bad = lambda n: np.hstack([rng.normal(-2, 1, (n, 2)), rng.random((n, pu_quality.N_FEATURES - 2))])
+    pos, unl = good(800), np.vstack([good(2100), bad(900)])
+    sums = lambda f: sum(f(x) for x in np.array_split(unl, 7))
+    model = pu_quality.fit_pu(pos, sums)
+    assert model.prior == pytest.approx(0.7, abs=0.06)  # neither given nor counted
+    truth = np.array([1] * 2100 + [0] * 900)
+    assert ((model.score(unl) > 0.5) == truth).mean() > 0.93
+    assert abs(model.score(unl).mean() - 0.7) < 0.06  # scores are probabilities
+    mean, scale = unl.mean(axis=0), unl.std(axis=0) + 1e-3
+    z = lambda x: np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    p, u, w = z(pos), z(unl), np.zeros(pu_quality.N_FEATURES + 1)
+    keep = 0.03 * np.append(np.ones(pu_quality.N_FEATURES), 0)
+    for _ in range(4000):
+        w -= 0.2 * (u.T @ (1 / (1 + np.exp(-(u @ w)))) / len(u) - model.prior * p.mean(axis=0) + keep * w)
+    assert np.allclose(model.score(unl), 1 / (1 + np.exp(-(u @ w))), atol=0.01)
+
+
+def test_pu_quality_never_reads_negative_labels(spark, docs):
+    rows, df = docs
+    rng = np.random.default_rng(18)
+    ids = [r[0] for r in rows if r[0] is not None]
+    lab = [(i, int(rng.random() < 0.6)) for i in dict.fromkeys(ids)]
+    shape = "doc_id long, quality int, toxic int, text string"
+    with_both = spark.createDataFrame([(i, q, 0, "x") for i, q in lab], shape)
+    without = spark.createDataFrame([(i, q, 1, "y") for i, q in lab if q], shape)
+    one, two = (sorted(map(repr, pu_quality.classify(df, x).collect())) for x in (with_both, without))
+    assert one == two
+    held = spark.createDataFrame([(i, 1, 0, "x") for i in dict.fromkeys(ids) if zlib.crc32(str(i).encode()) % 4 == 2], shape)
+    assert {r["score"] for r in pu_quality.classify(df, held).collect()} == {0.5}
+    long = spark.createDataFrame([(5000, "word and more " * 40_000), (5001, None)], "doc_id long, text string")
+    assert pu_quality.classify(df.select("doc_id", "text").unionByName(long), with_both).where("score BETWEEN 0 AND 1").count() == len(rows) + 2
