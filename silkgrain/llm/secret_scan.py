@@ -1,20 +1,24 @@
-"""Secrets in text: exact base patterns, and a character network over every other candidate.
-
-Base kinds are ``assign``, ``access`` and ``hex``. Candidates are the remaining runs of 16 or
-more key characters with a digit. A small convolutional network in numpy reads a candidate
-with its surroundings; runs longer than its window are read at both ends. It is trained on
-labelled findings that make_findings() writes from a seed, calibrated on a part held back,
-and its threshold is the highest that keeps RECALL of the secrets in that part. Its spans
-have the kind ``cnn``; base spans always stay, and candidates that touch one are not scored.
-
-Defined cases: null and empty texts have no spans; ties and repeated rows are scanned alike;
-an empty table gives no rows; whole texts are scanned, and other columns are ignored.
+"""Secrets in text: exact base patterns, and a character network over every candidate.
+
+Base kinds are ``assign``, ``access`` and ``hex``. Candidates are all runs of 16 or more key
+characters, and runs of 8 to 15 that stand after a word of KEYS and a colon or equals sign. A small
+convolutional network in numpy reads a candidate with its surroundings. A run longer than its window
+is read in windows that overlap by half; each that is found is a span, and those that meet are one.
+The network is trained on labelled findings that make_findings() writes from a seed, calibrated on a
+second part of them, and its threshold is the highest that keeps RECALL of the secrets in a third.
+Its spans have the kind ``cnn``; base spans always stay, and a candidate with under LEAST
+characters outside them is not reported again.
+
+Defined cases: null and empty texts have no spans; ties and repeated rows are scanned alike; whole
+texts and whole runs are read, in blocks of candidates, however long; other columns are ignored (those
+of redacted() are kept); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import random
 import re
 import string
@@ -34,12 +38,18 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+KEYS = "key auth credential pwd pass passphrase bearer private login signature apikey".split()
+_SHORT = re.compile(rf"""(?:{"|".join(KEYS)})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_=-]{{8,15}})(?![A-Za-z0-9+/_=-])""", re.I | re.A)
+_SHORT_WORDS = tuple(k.encode() for k in KEYS)
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _KEY = np.zeros(256, bool)
 _KEY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
 LEFT, BODY, RIGHT = 40, 72, 16
+LEAST = 8
 RECALL = 0.98
-FINDINGS = 4000
+FINDINGS = 6000
+_CODES = np.minimum(np.arange(256), 127)
+_CODES[[0, 63]] = 127  # what is not ASCII is encoded as a question mark
 
 
 def base_spans(text: str, assign: bool = True, access: bool = True, hexes: bool = True) -> list[tuple[int, int, str]]:
@@ -54,29 +64,39 @@ def base_spans(text: str, assign: bool = True, access: bool = True, hexes: bool
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Runs of key characters with a digit that touch no base span."""
-    found = [m.span() for m in _RUN.finditer(text) if any(c.isdigit() for c in m[0])]
-    ends, k, best, out = sorted(taken), 0, 0, []
+def candidates(text: str, taken: list[tuple[int, int, str]], long: bool = True, short: bool = True) -> list[tuple[int, int]]:
+    """Runs of key characters, in order, that reach LEAST characters or more beyond the base spans."""
+    found = [m.span() for m in _RUN.finditer(text)] if long else []
+    found = sorted({*found, *(m.span(1) for m in _SHORT.finditer(text))}) if short else found
+    ends, k, out = sorted(taken), 0, []
     for s, e in found:
-        while k < len(ends) and ends[k][0] < e:
-            best, k = max(best, ends[k][1]), k + 1
-        if best <= s:
+        while k < len(ends) and ends[k][1] <= s:
+            k += 1
+        at, free, j = s, 0, k  # base spans that end before s stand before k or among the next
+        while j < len(ends) and ends[j][0] < e:
+            free, at, j = free + max(0, ends[j][0] - at), max(at, ends[j][1]), j + 1
+        if free + max(0, e - at) >= LEAST:
             out.append((s, e))
     return out
 
 
+def windows(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """A candidate, or the overlapping windows of a long one."""
+    at = start
+    while end - at > BODY:
+        yield at, at + BODY
+        at += BODY // 2
+    yield max(start, min(at, end - BODY)), end
+
+
 def encode(text: str, start: int, end: int) -> np.ndarray:
-    """Character codes of the context and the candidate, and where the candidate is (+128)."""
-    body = text[start:end]
-    if len(body) > BODY:
-        body = body[: BODY - 24] + body[-24:]
+    """Character codes of the context and the candidate (one window of it), and where that is (+128)."""
     codes = np.zeros(LEFT + BODY + RIGHT, np.int64)
-    put = lambda s, at, mark: codes.__setitem__(slice(at, at + len(s)), [mark + (ord(c) if 0 < ord(c) < 127 else 127) for c in s])
     left = text[max(0, start - LEFT) : start]
-    put(left, LEFT - len(left), 0)
-    put(body, LEFT, 128)
-    put(text[end : end + RIGHT], LEFT + len(body), 0)
+    some = (left + text[start : min(end, start + BODY)] + text[end : end + RIGHT]).encode("ascii", "replace")
+    at, size = LEFT - len(left), min(end - start, BODY)
+    codes[at : at + len(some)] = _CODES[np.frombuffer(some, np.uint8)]
+    codes[LEFT : LEFT + size] += 128
     return codes
 
 
@@ -85,7 +105,11 @@ def make_findings(n: int = FINDINGS, seed: int = 5) -> tuple[list[tuple[str, int
     r = random.Random(seed)
     alnum, low, hexd = string.ascii_letters + string.digits, string.ascii_lowercase, "0123456789abcdef"
     some = lambda chars, a, b: "".join(r.choice(chars) for _ in range(r.randint(a, b)))
-    word = lambda: some(low, 2, 9)
+    part = lambda: r.choice("bcdfghklmnprstvwz") + r.choice("aeiou") + r.choice(["", "", "n", "r", "s", "t", "l", "ch", "ng"])
+    word = lambda: some(low, 2, 9) if r.random() < 0.3 else "".join(part() for _ in range(r.randint(1, 4)))
+    bulk = lambda: "".join(part() for _ in range(r.randint(7, 14)))
+    parts = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de", "rt", "ve", "sch", "ung", "keit", "tion", "ment", "ing", "eau", "oux", "cion", "lich"]
+    blend = lambda: "".join(r.choice(parts) for _ in range(r.randint(6, 14)))
     prose = lambda a, b: " ".join(word() for _ in range(r.randint(a, b)))
 
     def with_digit(make):  # noqa: ANN001, ANN202
@@ -99,7 +123,10 @@ def make_findings(n: int = FINDINGS, seed: int = 5) -> tuple[list[tuple[str, int
         lambda: r.choice(["ghp_", "gho_", "glpat-", "sk_live_", "sk-", "xoxb-", "AIza", "pk_test_", "hf_", "npm_"]) + with_digit(lambda: some(alnum, 20, 40)),
         lambda: with_digit(lambda: some(string.ascii_uppercase + string.digits, 20, 32)), lambda: "eyJ" + with_digit(lambda: some(alnum + "_-", 30, 80)),
         lambda: with_digit(lambda: some(hexd, 24, 31)), lambda: with_digit(lambda: some(low + string.digits, 20, 40)),
+        lambda: some(string.ascii_letters, 20, 48), lambda: with_digit(lambda: some(alnum + "+/", 80, 200)),
     ]
+    short = [lambda: with_digit(lambda: some(alnum, 8, 15)), lambda: with_digit(lambda: some(alnum + "_-", 10, 15))]
+    short_clean = [bulk, blend, lambda: some(string.digits, 8, 15), lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}", lambda: word() + "-" + word() + "-" + word(), lambda: word() + "_" + word() + str(r.randint(0, 9))]
     keys = ["key", "auth", "credential", "Authorization: Bearer", "client_id", "private_key", "access", "pwd", "SIGNING_KEY", "bearer", "pass"]
     clean = [
         lambda: some(string.digits, 16, 19), lambda: "-".join(some(string.digits, 3, 5) for _ in range(4)), lambda: some(string.digits, 16, 30),
@@ -107,15 +134,20 @@ def make_findings(n: int = FINDINGS, seed: int = 5) -> tuple[list[tuple[str, int
         lambda: r.choice(["IMG", "DSC", "scan", "report", "page"]) + f"_{r.randint(2000, 2030)}{r.randint(1, 12):02}{r.randint(1, 28):02}_{some(string.digits, 4, 8)}",
         lambda: "_".join([word(), word(), word(), str(r.randint(0, 99))]) + "_x", lambda: "=" * r.randint(8, 20) + str(r.randint(0, 9)) + "=" * r.randint(8, 20),
         lambda: prose(3, 5).replace(" ", "-") + "-" + str(r.randint(1, 2030)), lambda: "+" + some(string.digits, 15, 18),
-        lambda: word().capitalize() * 3 + str(r.randint(1, 99)) + "abcdefgh", lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}T{some(string.digits, 6, 6)}",
+        lambda: word().capitalize() * 3 + str(r.randint(1, 99)) + "abcdefgh", bulk, lambda: bulk().capitalize(), blend, lambda: blend().capitalize(), lambda: blend().upper(),
+        lambda: bulk().upper(), lambda: "".join(word().capitalize() for _ in range(r.randint(4, 9))), lambda: "_".join(word() for _ in range(r.randint(3, 9))), lambda: "/".join(word() for _ in range(r.randint(4, 30))),
+        lambda: r.choice("-=_+/") * r.randint(16, 90), lambda: prose(4, 9).replace(" ", "-"), lambda: "_".join(word() for _ in range(4)).upper(), lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}T{some(string.digits, 6, 6)}",
     ]
     found, label = [], []
     for k in range(n):
         y = k % 2
-        body = r.choice(secret if y else clean)()
-        body = body if len(body) >= 16 else body + some(string.digits, 16, 16)
+        few = r.random() < 0.12
+        body = r.choice((short if y else short_clean) if few else secret if y else clean)()
+        body = body[:15] if few else body if len(body) >= 16 else body + (some(string.digits, 16, 16) if r.random() < 0.5 else blend() + blend())
         left = prose(0, 8)
-        if y and r.random() < 0.7:
+        if few:
+            left += " " + r.choice(KEYS) + r.choice([": ", "=", " = ", "='", ': "'])
+        elif y and r.random() < 0.7:
             left += " " + r.choice(keys) + r.choice([": ", "=", " = ", " ", ' = "', ": '"])
         elif not y and r.random() < 0.3:
             left += " " + r.choice(["id", "call", "card", "see", "file", "no.", "https://www.example.com", "date"]) + r.choice([": ", " ", "="])
@@ -124,7 +156,8 @@ def make_findings(n: int = FINDINGS, seed: int = 5) -> tuple[list[tuple[str, int
         if left and left[-1] in "+/_=-" or (left and left[-1].isalnum()):
             left += " "
         right = r.choice([" ", '" ', "\n", ".", ", ", ") "]) + prose(0, 4)
-        found.append((left + body + right, len(left), len(left) + len(body)))
+        at = len(left) + (r.randint(0, max(0, len(body) - BODY)) if y else 0)
+        found.append((left + body + right, at, min(at + BODY, len(left) + len(body))))
         label.append(y)
     return found, label
 
@@ -189,11 +222,11 @@ class CharNet:
 
 
 def train_net(found: list[tuple[str, int, int]], label: list[int], epochs: int = 4, filters: int = 16, dims: int = 8, seed: int = 7, recall: float = RECALL) -> CharNet:
-    """Fit on four fifths of the findings; calibrate, and set the threshold, on the rest."""
+    """Fit on three fifths of the findings, calibrate on the fourth, set the threshold on the fifth."""
     codes, y = np.array([encode(*x) for x in found]), np.array(label, np.float64)
     g = np.random.default_rng(seed)
     order = g.permutation(len(codes))
-    fit, held = order[: len(order) * 4 // 5], order[len(order) * 4 // 5 :]
+    fit, held, last = np.split(order, [len(order) * 3 // 5, len(order) * 4 // 5])
     net = CharNet(g.normal(0, 0.3, (256, dims)), g.normal(0, 0.2, (5 * dims, filters)), np.zeros(filters), g.normal(0, 0.2, 3 * filters), np.zeros(1))
     state, t = {}, 0
     for _ in range(epochs):
@@ -208,8 +241,8 @@ def train_net(found: list[tuple[str, int, int]], label: list[int], epochs: int =
         p = 1 / (1 + np.exp(-np.clip(a @ w, -50, 50)))
         w = w - np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (p - smooth) + 1e-3 * (w - [1, 0]))
     net.slope, net.shift = float(max(w[0], 1e-3)), float(w[1])
-    p = np.sort(net.probability(codes[held])[target == 1])
-    net.threshold = float(min(0.9, p[int((1 - recall) * len(p))]))
+    p = np.sort(net.probability(codes[last])[y[last] == 1])
+    net.threshold = float(p[int((1 - recall) * len(p))])
     return net
 
 
@@ -225,15 +258,19 @@ def scan(raw: bytes, net: CharNet) -> list[tuple[int, int, str]]:
     assign, access = any(w in low for w in _WORDS), b"AKIA" in raw
     edge = np.diff(np.concatenate([[False], _KEY[data], [False]]).astype(np.int8))
     long_run = bool(len(data)) and bool(((np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1)) >= 16).any())
-    if not (assign or access or long_run):
+    short = any(w in low for w in _SHORT_WORDS)
+    if not (assign or access or long_run or short):
         return []
     text = raw.decode("utf-8", "replace")
     spans = base_spans(text, assign, access, long_run)
-    cand = candidates(text, spans) if long_run else []
-    for k in range(0, len(cand), 4096):
-        part = cand[k : k + 4096]
-        p = net.probability(np.array([encode(text, *c) for c in part]))
-        spans += [(s, e, "cnn") for (s, e), q in zip(part, p, strict=True) if q >= net.threshold]
+    parts = (w for c in candidates(text, spans, long_run, short) for w in windows(*c))
+    while part := list(itertools.islice(parts, 4096)):
+        p = net.probability(np.array([encode(text, *w) for w in part]))
+        for (s, e), q in zip(part, p, strict=True):
+            if q >= net.threshold:
+                if spans and spans[-1][2] == "cnn" and s < spans[-1][1]:
+                    s = spans.pop()[0]  # windows of one run
+                spans.append((s, e, "cnn"))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

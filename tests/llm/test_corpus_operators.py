@@ -761,3 +761,62 @@ def test_pu_quality_never_reads_negative_labels(spark, docs):
     assert {r["score"] for r in pu_quality.classify(df, held).collect()} == {0.5}
     long = spark.createDataFrame([(5000, "word and more " * 40_000), (5001, None)], "doc_id long, text string")
     assert pu_quality.classify(df.select("doc_id", "text").unionByName(long), with_both).where("score BETWEEN 0 AND 1").count() == len(rows) + 2
+
+
+def test_secrets_are_found_anywhere_in_long_runs():
+    net = secret_scan.default_net()
+    rng = np.random.default_rng(20)
+    key = "".join(rng.choice(list("ABCDEFGHJKLMabcdefghjkmnpqrstuvwxyz23456789"), 72))
+    path = "/".join(["usr", "share", "holdenang", "marketing", "reports", "garchon", "delman"] * 9)
+    for at in (0, 100, 217, 350):
+        text = f"see {path[:at]}/{key}/{path[at:]} there"
+        spans = [s for s in secret_scan.scan(text.encode(), net) if s[2] == "cnn"]
+        lo = text.index(key)
+        assert any(s < lo + 72 and lo < e for s, e, _ in spans)
+        assert all(e - s < len(text) - 40 for s, e, _ in spans)  # the key's windows, not the whole run
+    assert secret_scan.scan(f"see {path} there".encode(), net) == []
+    for text in ("pwd = x7Kq9ZpL2m", "auth: 'QwErTyUiOpAsDfGhJkLz'", "bearer = aB3xK9mQ"):
+        assert any(s[2] == "cnn" for s in secret_scan.scan(text.encode(), net)), text
+    for text in ("the word unbelievablenesses and internationalization is long", "x7Kq9ZpL2m alone", "key: holdenang", "-" * 300, "Donaudampfschifffahrtsgesellschaft"):
+        assert secret_scan.scan(text.encode(), net) == [], text
+
+
+def plain_scan(text, net):
+    """All spans, by one pass over every run and every window of it."""
+    base = [(m.start(), m.end(), "assign") for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 8]
+    base += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 16]
+    base += [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 32]
+    covered = lambda s, e: len(set(range(s, e)) - {k for a, b, _ in base for k in range(a, b)}) < 8
+    out = list(base)
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        s, e = m.span()
+        before = re.search("(" + "|".join(secret_scan.KEYS) + r""")["']?\x20*[:=]\x20*["']?$""", text[:s], re.I | re.A)
+        if (e - s >= 16 or (e - s >= 8 and before)) and not covered(s, e):
+            cuts = [(s, e)] if e - s <= 72 else [*((a, a + 72) for a in range(s, e - 72, 36)), (e - 72, e)]
+            marks = set()
+            for a, b in cuts:
+                if net.probability(secret_scan.encode(text, a, b)[None])[0] >= net.threshold:
+                    marks |= set(range(a, b))
+            for k in sorted(marks):
+                if k - 1 not in marks:
+                    out.append((k, next(j for j in range(k, e + 1) if j not in marks), "cnn"))
+    return sorted(out, key=lambda x: (x[0], ("assign", "access", "hex", "cnn").index(x[2]), x[1]))
+
+
+def test_secrets_against_a_plain_scan(spark):
+    net = secret_scan.default_net()
+    rng = np.random.default_rng(21)
+    found, _ = secret_scan.make_findings(300, 91)
+    texts = [" é ".join(found[k][0] for k in rng.integers(0, 300, 6)) for _ in range(60)]
+    texts += ["password=" + "a" * 20 + "/" + "Zx9" * 40 + " AKIA" + "Q7" * 8 + "/abcDEF123456ghiJKL " + "0af" * 30 + "zzZ", "key=" + "Ab3" * 300, "", "key: \"abc12345\" auth=0123456789abcdef"]
+    rows = [(k, t, "spans", 1) for k, t in enumerate(texts)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_hex int").repartition(2)
+    got = {r["doc_id"]: r for r in secret_scan.find_secrets(df).collect()}
+    for k, t in enumerate(texts):
+        want = plain_scan(t, net)
+        show = lambda some: ",".join(f"{k}:{s}:{e}" for s, e, k in some)
+        assert got[k]["spans"] == show(want)
+        base = [s for s in want if s[2] != "cnn"]
+        assert got[k]["base_sha256"] == hashlib.sha256(show(base).encode()).hexdigest()
+        assert [got[k][f"n_{x}"] for x in ("assign", "access", "hex")] == [sum(s[2] == x for s in base) for x in ("assign", "access", "hex")]
+    assert got[None]["spans"] == "" and got[None]["n_hex"] == 0
