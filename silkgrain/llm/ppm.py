@@ -39,8 +39,8 @@ ORDER, LOW = 5, 2
 ALPHA = 0.1
 STOP, END = b" ", b"\xff"  # no UTF-8 text holds the byte of END
 WORDS, GRAMS = 0, 1
-_BLOCK = 32 << 20
-_PIECE = 4 << 20
+_BLOCK = 16 << 20
+_PIECE = 2 << 20
 SHAPE = "block long, part int, kind int, keys binary, more binary"
 
 
@@ -81,14 +81,23 @@ class Block:
             yield at, to
             at = to
 
+    def spread(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The documents in which places in order lie, and where each one's places begin."""
+        if not len(at):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lo, hi = np.searchsorted(self.start, [at[0], at[-1]], "right")
+        begin = np.concatenate([[0], np.searchsorted(at, self.start[lo:hi])]).astype(np.int64)
+        return np.arange(lo - 1, hi), begin
+
     def docs_of(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.start, at, "right") - 1
+        doc, begin = self.spread(at)
+        return np.repeat(doc, np.diff(np.append(begin, len(at))))
 
     def words(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of a piece's words (ends are words too) and their documents."""
+        """Hashes of a piece's words (ends are words too) and their places."""
         data = np.frombuffer(self.data, np.uint8, b - a, a)
         start, end = bytesops.word_bounds(data)
-        return bytesops.hashes(bytesops.prefix_sums(data), start, end), self.docs_of(start + a)
+        return bytesops.hashes(bytesops.prefix_sums(data), start, end), start + a
 
     def grams(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         """A piece's grams, the nearest context byte highest and the symbol lowest, and their places."""
@@ -109,14 +118,22 @@ class Block:
         """The block's distinct keys in order, with their counts in training documents."""
         keys, counts = [], []
         for a, b in self.pieces():
-            x, where = self.words(a, b) if kind == WORDS else self.grams(a, b)
-            train = ~self.held[where if kind == WORDS else self.docs_of(where)] if self.held.any() else np.ones(len(x), bool)
+            x, where = self.symbols_of(kind, a, b)
+            train = ~self.held[self.docs_of(where)] if self.held.any() else np.ones(len(x), bool)
             seen, n = counted(x[train])
             other = np.unique(x[~train])
             keys += [seen, other]
             counts += [n, np.zeros(len(other), np.int64)]
         return counted(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
+    def distinct(self, kind: int) -> np.ndarray:
+        """The block's distinct keys in order."""
+        keys = [np.unique(self.symbols_of(kind, a, b)[0]) for a, b in self.pieces()]
+        return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+
+    def symbols_of(self, kind: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.words(a, b) if kind == WORDS else self.grams(a, b)
+
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
     """Documents in blocks of about _BLOCK bytes; the block's number holds the partition's. A
@@ -167,7 +184,7 @@ def send(docs: DataFrame, parts: int, counts: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in blocks(batches):
             for kind in (WORDS, GRAMS):
-                keys, n = block.tally(kind)
+                keys, n = block.tally(kind) if counts else (block.distinct(kind), None)
                 for p, at in parted(keys, kind, parts):
                     yield _row(number, p, kind, keys[at].tobytes(), n[at].tobytes() if counts else b"")
 
@@ -329,24 +346,27 @@ def score(docs: DataFrame) -> DataFrame:
         block = Block([], t["held"].to_pylist(), [data[a : a + k] for a, k in zip(at, size, strict=True)])
         value = {}
         for kind, dtype in ((WORDS, np.int64), (GRAMS, np.float32)):
-            keys, _ = block.tally(kind)
+            keys = block.distinct(kind)
             value[kind] = keys, np.zeros(len(keys))
             for p, where in parted(keys, kind, parts):
                 value[kind][1][where] = np.frombuffer(got[kind][p], dtype)
         many = len(size)
         total, base, tokens, known = (np.zeros(many) for _ in range(4))
         for a, b in block.pieces():
-            h, doc = block.words(a, b)
+            h, where = block.words(a, b)
             c = value[WORDS][1][np.searchsorted(value[WORDS][0], h)]
-            tokens += np.bincount(doc, minlength=many)
-            known += np.bincount(doc, c > 0, many)
-            base += np.bincount(doc, np.log10(c + ALPHA), many)
+            doc, begin = block.spread(where)
+            tokens[doc] += np.diff(np.append(begin, len(h)))
+            known[doc] += np.add.reduceat((c > 0).astype(np.int64), begin)
+            base[doc] += np.add.reduceat(np.log10(c + ALPHA), begin)
             g, where = block.grams(a, b)
             order = np.argsort(g)
-            x, times = counted(g)
+            x = g[order]
+            first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
             p = np.empty(len(g))
-            p[order] = np.repeat(value[GRAMS][1][np.searchsorted(value[GRAMS][0], x)], times)
-            total += np.bincount(block.docs_of(where), p, many)
+            p[order] = np.repeat(value[GRAMS][1][np.searchsorted(value[GRAMS][0], x[first])], np.diff(np.append(first, len(x))))
+            doc, begin = block.spread(where)
+            total[doc] += np.add.reduceat(p, begin)
         whole = lambda x: pa.array(x.astype(np.int64))
         return pa.RecordBatch.from_arrays(
             [t["id"].combine_chunks(), t["held"].combine_chunks(), whole(tokens), whole(known), whole(np.full(many, n)), pa.array(base - tokens * floor), pa.array(total)],
@@ -369,7 +389,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     both = numbered(docs).mapInArrow(own, SHAPE).unionByName(values)
     shape = f"doc_id {kind_of}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(answer, shape)
+    return both.repartition(4 * parts, "block").sortWithinPartitions("block", "part").mapInArrow(answer, shape)
 
 
 def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
