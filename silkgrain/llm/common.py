@@ -27,9 +27,12 @@ def _local_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is absent (tests on one machine) a local folder stands in.
+    Only where that setting is absent and Spark runs on one machine (tests) a local folder stands
+    in; elsewhere its absence is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     root = root or _local_dir()
     return f"{root.rstrip('/')}/silkgrain-{uuid.uuid4().hex}"
 

@@ -8,9 +8,14 @@ whole copies by systematic rounding along each source's documents in order of si
 source's words miss its target by about one document; then, three times over, the one document
 whose size is nearest to what is still missing (or too much) gains (or loses) a copy.
 
+All documents of a source share its dual variable, so the sums over them that a Newton step needs are
+the source's size times exp(dual). Numbers along an order are put together from a window inside a
+bounded range and the sum of the ranges before it; no window spans a source's rows or all sources.
+
 Defined cases: a null text has size 0; a null source is a source of its own, last in order;
 a source without words has target 0 and rate 1; repeated rows are separate documents; a null
-id counts as 0 in the order of rounding; an empty table gives no rows.
+id counts as 0 in the order of rounding, and an id that is no number by a hash; columns other than
+doc_id, source and text are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from silkgrain.llm.common import table, written
 
 CAP = 3
 SALTS = 64
+BAND = 6  # sizes that differ above these bits alone are in different bands
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
@@ -38,9 +44,13 @@ def source_targets(sizes: DataFrame, cap: int = CAP, weights: tuple[int, ...] =
     """One row a source: src, source_size, weight, target. The excess above cap times a
     source's size is dealt again by weight until no target is above. Sums are whole numbers,
     so the result doesn't depend on their order. What is ordered here is sources, not rows."""
-    k = F.row_number().over(Window.orderBy("src")) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (k % len(weights)) + 1)
-    src = written(sizes.groupBy("src").agg(F.sum("size").alias("source_size")).withColumn("weight", weight.cast("long")))
+    ranged = sizes.groupBy("src").agg(F.sum("size").alias("source_size")).repartitionByRange("src")
+    ranged = written(ranged.withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = ranged.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    k = F.col("start") + F.row_number().over(Window.partitionBy("range").orderBy("src")) - 1
+    weight = F.element_at(F.array(*map(F.lit, weights)), (k % len(weights)).cast("int") + 1)
+    src = written(ranged.join(starts, "range").select("src", "source_size", weight.cast("long").alias("weight")))
     big = lambda c: F.col(c).cast("decimal(38,0)")
     row = src.agg(F.sum("source_size"), F.sum("weight")).first()
     total = num = int(row[0] or 0)
@@ -82,12 +92,17 @@ def round_to_copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
     The k-th document of a source in order of (size, id modulo SALTS, id) gets
     floor(k * f + 1/2) - floor((k - 1) * f + 1/2) copies beyond the whole part of its
     rate, f being the fraction. k is the sum of a group's offset and a rank inside a group
-    of equal size and remainder, so no window spans a whole source's rows.
+    of equal size and remainder. An offset adds up bands of sizes, then the groups inside a band.
     """
-    salted = sizes.withColumn("salt", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)))
+    whole_id = sizes.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    number = F.col("doc_id").cast("long") if whole_id else F.crc32(F.col("doc_id").cast("string"))
+    salted = sizes.withColumn("salt", F.pmod(F.coalesce(number, F.lit(0)), F.lit(SALTS)))
     group = ["src", "size", "salt"]
-    before = Window.partitionBy("src").orderBy("size", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = salted.groupBy(*group).agg(F.count("*").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    sums = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by[:-1]).orderBy(*by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = salted.groupBy(*group).agg(F.count("*").alias("n")).withColumn("band", F.shiftright("size", BAND))
+    bands = counts.groupBy("src", "band").agg(F.sum("n").alias("n")).select("src", "band", sums("src", ["band"]).alias("below"))
+    inside = counts.withColumn("inside", sums("src", "band", ["size", "salt"]))
+    offsets = inside.join(bands, ["src", "band"]).select(*group, (F.col("below") + F.col("inside")).alias("offset"))
     ranked = salted.withColumn("inner", F.row_number().over(Window.partitionBy(*group).orderBy("doc_id")))
     placed = ranked.join(offsets.select(*group, "offset"), group).join(rates, "src")
     k, whole = F.col("offset") + F.col("inner"), F.floor("rate")

@@ -820,3 +820,39 @@ def test_secrets_against_a_plain_scan(spark):
         assert got[k]["base_sha256"] == hashlib.sha256(show(base).encode()).hexdigest()
         assert [got[k][f"n_{x}"] for x in ("assign", "access", "hex")] == [sum(s[2] == x for s in base) for x in ("assign", "access", "hex")]
     assert got[None]["spans"] == "" and got[None]["n_hex"] == 0
+
+
+def test_mixing_with_other_ids_and_columns(spark):
+    rows = [(f"d{k}", "word " * (k % 300), f"s{k % 4}", 7, 0.5, 1) for k in range(400)] + [(None, None, None, 0, 0.0, 0)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string, copies int, target double, k int").repartition(3)
+    one, two = (sorted(map(repr, mixing.mix(x).collect())) for x in (df, df.repartition(5)))
+    assert one == two and len(one) == len(rows)
+
+
+def test_mixing_numbers_along_sizes(spark):
+    sizes = spark.createDataFrame([(k, "s", "1s", (k * 37) % 500) for k in range(900)], "doc_id long, source string, src string, size long")
+    rates = spark.createDataFrame([("1s", 10, 1, 4.0, 0.0, 0.4)], "src string, source_size long, weight long, target double, dual double, rate double")
+    got = sorted(mixing.round_to_copies(sizes, rates).collect(), key=lambda r: (r["size"], r["doc_id"] % mixing.SALTS, r["doc_id"]))
+    assert [r["k"] for r in got] == list(range(1, 901))
+
+
+def test_sources_are_weighed_in_order(spark):
+    names = [f"1n{k:04}" for k in range(500)]
+    df = spark.createDataFrame([(n, 10) for n in reversed(names)], "src string, size long").repartition(7)
+    got = {r["src"]: r["weight"] for r in mixing.source_targets(df).collect()}
+    assert [got[n] for n in names] == [k % 3 + 1 for k in range(500)]
+
+
+def test_pipeline_with_clashing_columns_and_empty_tables(spark, tmp_path, docs):
+    import corpus_pipeline
+
+    rows, _ = docs
+    more = spark.createDataFrame(rows, DOC).withColumns({"copies": F.lit("x"), "target": F.lit(1), "root": F.lit(2), "score": F.lit(3)})
+    for name, df in (("full", more), ("none", more.limit(0))):
+        d = str(tmp_path / name)
+        df.write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([(r[0], 1) for r in rows if r[0] is not None], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame([(1, rows[9][1])], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, d)
+        assert got.columns == [*DOC.replace(" long", "").replace(" string", "").split(", "), "root", "score", "copies", "target"]
+        assert (got.count() > 0) == (name == "full")
