@@ -23,12 +23,18 @@ TAILS = (
     r"(?m)^\s*诊疗规范撰写组名单\s*[（(]?.*?[:：]",
     r"(?m)^\s*指南制定组名单\s*[（(]?.*?[:：]",
     r"(?m)^\s*专家组名单\s*[（(]?.*?[:：]",
+    r"(?m)^\s*[（(]\s*按姓氏汉语拼音排\s*\n\s*序\s*[）)]\s*[:：]\s*$",
     r"(?m)^\s*所有作者均声明不存在利益冲突\s*$",
+    r"[（(]\s*收稿[日期日][^）)]*[）)]",
+    r"[（(]\s*本文编辑[^）)]*[）)]",
     r"(?m)^\s*参\s*考\s*文\s*献\s*$",
+    r"(?m)^\s*考\s*文\s*献\s*$",
+    r"(?m)^\s*(?:[0-9０-９一二三四五六七八九十]+[\.．、\s]*)?参考文献\s*$",
     r"(?im)^\s*(?:[0-9０-９]+[\.．、\s]*)?references\s*$",
     r"(?m)^\s*[［\[]\s*1\s*[］\]]",
 )
 FRONT_MARKERS = ("Guidelines", "Keywords", "关键词", "中图分类号", "文献标志码", "MedicalAssociation")
+BODY_STARTS = (r"(?m)^急性胰腺炎指", r"(?m)^[一-鿿]{2,30}指因")
 QUALITY = {"min_text_chars": 80, "max_cjk_ratio": 0.02, "min_ascii_letter_ratio": 0.20, "min_readable_ratio": 0.55, "max_weird_ratio": 0.35}
 THRESHOLDS = {"sub_diseases": 0.35, "symptoms": 0.30, "tests": 0.30, "treatments": 0.35, "plans": 0.35}
 ALPHA = 5.0
@@ -58,6 +64,111 @@ SCOPE_PREFIXES = ("中国", "中华", "我国")
 SUSPICIOUS_TOKENS = ("vs.", "RR", "CI", "P=", "P<", "g/d", "mg", "%")
 GENERIC_SECTIONS = ("正文", "前言", "摘要", "关键词", "引言", "概述", "背景")
 
+TERMS = {
+    "sub_diseases": ("原发性", "继发性", "确诊", "诊断为", "分型", "亚型"),
+    "symptoms": ("发热", "乏力", "疼痛", "皮疹", "口干", "眼干", "腹痛", "腹泻", "关节痛", "血栓形成", "流产"),
+    "tests": ("CRP", "C反应蛋白", "PCT", "ESR", "血沉", "ANA", "抗体", "抗SSA", "抗SSB", "唇腺活检", "评分", "阳性", "阴性"),
+    "treatments": ("治疗原则", "治疗目标", "规范治疗", "合理诊治", "控制炎症"),
+    "plans": ("治疗方案", "药物治疗", "随访", "减量", "诱导缓解", "维持缓解"),
+}
+PATTERNS = {
+    "sub_diseases": (
+        ("diagnosis_name", r"(诊断为|确诊为|疑诊|可诊断为|又称)[^\n。；;]{0,30}", 0.72),
+        ("classification", r"(分为|分型为|分型|亚型|临床类型)[^\n。；;]{0,40}", 0.70),
+        ("disease_abbreviation", r"[一-鿿A-Za-z]{2,20}[（(][A-Za-z]{2,12}[）)]", 0.66),
+    ),
+    "symptoms": (
+        ("manifestation_context", r"(表现为|临床表现|症状|体征|可出现|常见|首发症状)[^\n。；;]{0,50}", 0.78),
+        ("symptom_surface", r"[一-鿿]{0,8}(溃疡|疼痛|困难|皮疹|红斑|结节|瘢痕|出血|发热|乏力)[一-鿿]{0,8}", 0.72),
+        ("organ_involvement", r"[一-鿿]{1,12}(受累|损害|病变)[^\n。；;]{0,30}", 0.70),
+    ),
+    "tests": (
+        ("test_context", r"(检查|检测|试验|评分|指数|阳性|阴性|升高|降低)[^\n。；;]{0,40}", 0.74),
+        ("pathology_or_imaging", r"(组织病理学|病理|活检|CT|MRI|超声|影像学|实验室)[^\n。；;]{0,40}", 0.74),
+    ),
+    "treatments": (
+        ("treatment_principle", r"(治疗原则|治疗目标|推荐意见|应控制|应避免|首选|规范治疗)[^\n。；;]{0,50}", 0.76),
+        ("management_principle", r"(管理原则|综合管理|个体化治疗|控制炎症|预防复发)[^\n。；;]{0,50}", 0.72),
+    ),
+    "plans": (
+        ("treatment_plan", r"(治疗方案|给予|使用|采用|联合|加用|减量|疗程|剂量)[^\n。；;]{0,60}", 0.76),
+        ("follow_up_plan", r"(随访|复查|监测|每\d+[周月年]|间隔\d+[周月年])[^\n。；;]{0,50}", 0.72),
+    ),
+}
+PRIORS = {
+    "sub_diseases": (("诊断", 0.42), ("分型", 0.44), ("分类", 0.42), ("临床类型", 0.44), ("诊疗要点", 0.38)),
+    "symptoms": (("临床表现", 0.45), ("症状", 0.45), ("体征", 0.45), ("表现", 0.40), ("受累", 0.38)),
+    "tests": (("检查", 0.45), ("辅助检查", 0.45), ("实验室", 0.45), ("指标", 0.42), ("评分", 0.40), ("诊断标准", 0.42), ("分类标准", 0.42)),
+    "treatments": (("治疗原则", 0.45), ("治疗", 0.38), ("管理", 0.36), ("推荐意见", 0.40)),
+    "plans": (("治疗方案", 0.45), ("治疗", 0.38), ("用药", 0.42), ("随访", 0.40), ("管理", 0.36)),
+}
+SURFACE = {
+    "tests": (r"检查", r"检测", r"培养", r"抗体", r"CRP", r"PCT", r"ESR", r"MRI", r"CT", r"PET"),
+    "treatments": (r"治疗原则", r"治疗策略", r"处理原则", r"管理", r"推荐"),
+    "plans": (r"mg", r"g/", r"每日", r"每[0-9一二三四五六七八九十]+", r"方案", r"手术", r"用药"),
+    "etiologies": (r"病因", r"风险因素", r"危险因素", r"诱因", r"感染", r"病原体"),
+    "pathogeneses": (r"机制", r"病理", r"生理", r"炎症", r"免疫", r"导致"),
+    "symptoms": (r"症状", r"体征", r"发热", r"疼痛", r"皮疹", r"乏力", r"肿大"),
+    "sub_diseases": (r"型$", r"期$", r"综合征", r"感染", r"炎", r"病", r"瘤"),
+    "diseases": (r"指南", r"共识", r"诊疗规范", r"疾病"),
+}
+SURFACE_STRUCTURAL = {
+    "etiologies": (r"(病因|诱因|触发因素|诱发因素|危险因素|风险因素|相关因素|病原体)", r"(导致|诱发|引起|增加.*风险|可能为.*因素|可为.*因素)"),
+    "plans": (
+        r"(mg|g|ml|每日|每晚|每周|疗程|冲击治疗|序贯|逐渐减量|口服|注射|鞘内注射)",
+        r"(甲泼尼龙|泼尼松|秋水仙碱|沙利度胺|环磷酰胺|硫唑嘌呤|环孢素|甲氨蝶呤|TNF|干扰素)",
+    ),
+    "treatments": (r"(治疗目标|治疗原则|治疗策略|基础治疗|一般治疗|局部治疗|全身药物治疗)", r"(控制|防止|预防|改善|推荐|建议).{0,20}(治疗|管理|处理)"),
+    "pathogeneses": (r"(发病机制|病理生理|机制|炎症级联|免疫反应|血管炎|结构改变|代谢改变)", r"(以.*为基础|由于.*引起|病理.*过程)"),
+}
+SURFACE_NEGATIVE = {
+    "symptoms": (r"(病因|诱因|触发因素|诱发因素|危险因素|风险因素|病原体)", r"(治疗目标|治疗原则|治疗策略|mg|每日|疗程|冲击治疗|序贯|逐渐减量)"),
+    "diseases": (r"(病因未明|诱因|触发因素|危险因素|治疗目标|治疗原则|mg|每日|疗程)",),
+    "pathogeneses": (r"(病因未明|诱因|触发因素|危险因素|病原体)",),
+}
+CONTEXT = {
+    "symptoms": ("症状", "体征", "表现", "临床"),
+    "tests": ("检查", "检测", "诊断", "指标", "培养"),
+    "treatments": ("治疗", "原则", "推荐", "处理"),
+    "plans": ("方案", "剂量", "用法", "疗程", "手术"),
+    "etiologies": ("病因", "风险", "危险因素", "诱发", "病原"),
+    "pathogeneses": ("机制", "病理", "生理", "免疫", "炎症"),
+    "sub_diseases": ("诊断", "分型", "亚型", "类型"),
+    "diseases": ("指南", "共识", "规范", "疾病"),
+}
+CONTEXT_STRUCTURAL = {
+    "etiologies": (r"(可能为|可为|属于|是).{0,20}(触发因素|诱发因素|诱因|危险因素|风险因素)", r"(病因|诱因|触发因素|诱发因素|危险因素|风险因素|病原体)"),
+    "plans": (r"(mg|每日|每晚|疗程|冲击治疗|序贯|逐渐减量|口服|注射|鞘内注射)", r"(秋水仙碱|沙利度胺|甲泼尼龙|泼尼松|环磷酰胺|硫唑嘌呤|甲氨蝶呤)"),
+    "treatments": (r"(治疗目标|治疗原则|治疗策略|基础治疗|一般治疗|局部治疗|全身药物治疗)",),
+    "pathogeneses": (r"(发病机制|病理生理|机制|血管炎|免疫反应|炎症)",),
+}
+CONTEXT_NEGATIVE = {"symptoms": (r"(触发因素|诱发因素|诱因|危险因素|风险因素)", r"(治疗目标|治疗原则|治疗策略|mg|每日|疗程|冲击治疗)")}
+TRIGGERS = {
+    "manifests_as": ("表现", "症状", "体征", "临床", "可见", "出现", "伴有"),
+    "requires_test": ("检查", "检测", "培养", "诊断", "指标", "阳性", "阴性", "升高", "降低"),
+    "follows_treatment": ("治疗", "原则", "推荐", "处理", "管理", "应", "建议"),
+    "implements_by": ("治疗", "方案", "药", "剂量", "疗程", "手术", "操作"),
+    "causes": ("病因", "危险因素", "风险", "导致", "诱发", "相关", "易感", "病原"),
+    "explained_by": ("机制", "病理", "生理", "由于", "引起", "过程", "解释"),
+}
+PLAN_PATTERNS = (
+    r"\b\d+(\.\d+)?\s*(mg|g|ml|μg|ug)\b",
+    r"(每日|每周|每月|每晚|每次|1次|2次|3次|bid|tid|qd|q[0-9]+h)",
+    r"(口服|注射|静脉|肌内|皮下|玻璃体内|关节腔内|鞘内)",
+    r"(冲击治疗|序贯|逐渐减量|减少.*剂量|短期抗凝|随访|疗程)",
+    r"(甲泼尼龙|泼尼松|秋水仙碱|环磷酰胺|硫唑嘌呤|英夫利西单抗|阿达木单抗|曲安奈德)",
+)
+DISEASE_MODIFIERS = ("急性", "慢性", "重症", "轻症", "轻型", "中型", "中度", "重型", "复杂性", "单纯性", "原发性", "继发性")
+ORGAN_ENDING = r"^([一-鿿]{2,6})(?:炎|感染|综合征|病|症)$"
+UNIT = r"(?:c\s*f\s*u|cfu)\s*[／/]\s*m\s*l"
+UNIT_IN_OCR = r"(?i)(?:[>≥=]\s*)?10\s*(?:\^)?([3-9])\s*(?:c\s*f\s*u|[ce]\s*f\s*u|c\s*f\s*a)\s*[／/x]?\s*m?\s*l?"
+BY_SEX = r"[^\d>，,、。]{0,8}>?10(?:\^)?([3-9])"
+CAPTION = r"(?i)^\s*(表\s*\d+|图\s*\d+|Table\s*\d+|Figure\s*\d+)"
+NOTE = r"(?i)^\s*(注[:：]|注释[:：]|Note:|Notes:)"
+YES, NO = ("1", "true", "yes", "y", "on"), ("0", "false", "no", "n", "off")
+EDIT_KEYS = ("noise_spans", "translation_spans")
+WHOLE_SECTION, PREFACE = "正文", "前言/概述"
+
 # What the demonstration queries look for in texts without Chinese.
 DEMO_TERMS = {
     "sub_diseases": ("tion", "heit", "ment"), "symptoms": ("the", "der", "que", "los"), "tests": ("ing", "ung", "eau"),

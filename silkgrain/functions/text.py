@@ -40,7 +40,7 @@ def _first(text: Column, pattern: str) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), F.length(F.split(text, pattern, 2)[0]))
 
 
-def remove_front_matter(text: Column, markers: tuple[str, ...] = c.FRONT_MARKERS, starts: tuple[str, ...] = (r"(?m)^[\x{4e00}-\x{9fff}]{2,30}指因",)) -> Column:
+def remove_front_matter(text: Column, markers: tuple[str, ...] = c.FRONT_MARKERS, starts: tuple[str, ...] = c.BODY_STARTS) -> Column:
     """Text before the earliest body start goes if a marker stands in the first 1200."""
     t = F.coalesce(text, F.lit(""))
     marked = reduce(lambda a, b: a | b, [F.contains(F.substring(t, 1, 1200), F.lit(m)) for m in markers])
@@ -135,3 +135,98 @@ def short_id(prefix: str, *parts: Column) -> Column:
 def sigmoid(x: Column) -> Column:
     """A1."""
     return 1 / (1 + F.exp(-x))
+
+
+def append_blocks(text: Column, blocks: Column) -> Column:
+    """Blocks (caption, text) that say something, marked and set below the page's text."""
+    said = F.filter(blocks, lambda b: strip(F.coalesce(b["text"], F.lit(""))) != "")
+    name = lambda b: F.coalesce(F.nullif(b["caption"], F.lit("")), F.lit("图"))
+    shown = F.transform(said, lambda b: F.concat(name(b), F.lit("\n[FIGURE_CONTENT]\n"), strip(b["text"]), F.lit("\n[/FIGURE_CONTENT]")))
+    body = F.regexp_replace(F.coalesce(text, F.lit("")), rf"{BLANK}+$", "")
+    return F.when(F.size(said) > 0, strip(F.concat(body, F.lit("\n\n"), F.array_join(shown, "\n\n")))).otherwise(text)
+
+
+def json_object_strict(text: Column) -> Column:
+    """The whole text without fence lines; null unless it is an object."""
+    x = strip(text)
+    inner = F.regexp_replace(F.regexp_replace(x, r"(?s)^```[^\n]*(\n|$)", ""), r"(?s)(^|\n)\s*```[^\n]*$", "")
+    x = F.when(x.startswith("```"), strip(inner)).otherwise(x)
+    return F.when(F.try_parse_json(x).isNotNull() & x.startswith("{"), x)
+
+
+def coerce_bool(value: Column, default: bool) -> Column:
+    """Words and numbers as a boolean; what is neither gives the default."""
+    x = F.lower(strip(value.cast("string")))
+    return F.when(x.isin(*c.YES), True).when(x.isin(*c.NO), False).otherwise(F.coalesce(x.try_cast("double").cast("boolean"), F.lit(default)))
+
+
+def core_anchors(name: Column, modifiers: tuple[str, ...] = c.DISEASE_MODIFIERS) -> Column:
+    """The name, the name without its first modifier, and that one's organ."""
+    x = strip(F.coalesce(name, F.lit("")))
+    base = F.coalesce(*[F.when(x.startswith(m) & (F.length(x) > len(m) + 1), F.substring(x, F.lit(len(m) + 1), F.length(x))) for m in modifiers])
+    organ = F.regexp_extract(base, c.ORGAN_ENDING, 1)
+    return F.array_distinct(F.filter(F.array(x, base, organ), lambda a: F.length(a) >= 2))
+
+
+def is_child_name(name: Column, core: Column) -> Column:
+    """Whether a name holds an anchor of the core disease and isn't its name."""
+    x, whole = (strip(F.coalesce(v, F.lit(""))) for v in (name, core))
+    return F.when((x == "") | (whole == ""), True).when(x == whole, False).otherwise(F.exists(core_anchors(whole), lambda a: F.contains(x, a)))
+
+
+def recover_exponents(line: Column, ocr: Column) -> Column:
+    """Powers of ten that a line lost, from readings of its picture: status (none, corrected
+    or unresolved) and text. A line on both sexes needs both sexes' exponents."""
+    suspect = rf"(?i)([>≥=])\s*10\s*({c.UNIT})"
+    found = F.regexp_extract_all(line, F.lit(suspect), 0)
+    plain = F.transform(ocr, lambda x: F.translate(x, "⁰¹²³⁴⁵⁶⁷⁸⁹／", "0123456789/"))
+    tight = F.transform(plain, lambda x: F.regexp_replace(x, r"\s+", ""))
+    squeezed = F.regexp_replace(line, r"\s+", "")
+    sexes = squeezed.contains("女性") & squeezed.contains("男性")
+    first = lambda sex: F.get(F.filter(F.transform(tight, lambda x: F.regexp_extract(x, sex + c.BY_SEX, 1)), lambda v: v != ""), F.lit(0))
+    pair = F.array(first("女性"), first("男性"))
+    empty = F.array().cast("array<string>")
+    by_sex = F.when(F.exists(pair, lambda v: v.isNull()), empty).otherwise(pair)
+    exponents = F.when(sexes, by_sex).otherwise(F.flatten(F.transform(plain, lambda x: F.regexp_extract_all(x, F.lit(c.UNIT_IN_OCR), 1))))
+    between = F.split(line, suspect, -1)
+    put = lambda m, k: F.concat(F.regexp_extract(m, suspect, 1), F.lit("10^"), F.get(exponents, k), F.regexp_replace(F.regexp_extract(m, suspect, 2), r"\s+", ""))
+    pieces = F.zip_with(between, F.transform(found, put), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    status = F.when(F.size(found) == 0, "none").when(F.size(exponents) < F.size(found), "unresolved").otherwise("corrected")
+    return F.struct(status.alias("status"), F.when(status == "corrected", F.array_join(pieces, "")).otherwise(line).alias("text"))
+
+
+def contract_issue(raw: Column, marked_chars: Column, most: int) -> Column:
+    """why a model's answer breaks the contract of giving spans only, '' if it doesn't."""
+    n = F.length(raw)
+    return (
+        F.when(n > most, "too_long").when(F.contains(raw, F.lit("cleaned_text")), "echoed_text")
+        .when((marked_chars > 0) & (n > F.greatest(F.lit(8000), (marked_chars * 1.2).cast("int"))), "unusual_length").otherwise("")
+    )
+
+
+def extra_keys(json: Column, allowed: tuple[str, ...] = c.EDIT_KEYS) -> Column:
+    """keys of an object beyond the allowed ones, in order."""
+    return F.array_sort(F.array_except(F.json_object_keys(json), F.array(*map(F.lit, allowed))))
+
+
+def join_pages(pages: Column) -> Column:
+    """C17: pages (page, text) in order as one text, with a marked break before each but the first."""
+    p = F.array_sort(pages)
+    mark = lambda x, k: F.when(k == 0, x["text"]).otherwise(F.concat(F.lit("\n<<<PAGE_BREAK:"), x["page"].cast("string"), F.lit(">>>\n"), x["text"]))
+    return F.array_join(F.transform(p, mark), "")
+
+
+def split_pages(marked: Column, pages: Column) -> Column:
+    """C17: the pages again, stripped; null if the breaks are not those of the expected pages."""
+    p = F.array_sort(pages)
+    found = F.transform(F.regexp_extract_all(marked, F.lit(r"\n<<<PAGE_BREAK:(\d+)>>>\n"), 1), lambda x: x.cast("int"))
+    bodies = F.split(marked, r"\n<<<PAGE_BREAK:\d+>>>\n", -1)
+    ok = F.array_sort(F.array_distinct(F.concat(F.slice(p, 1, 1), found))) == p
+    both = F.zip_with(F.concat(F.slice(p, 1, 1), found), bodies, lambda a, b: F.struct(a.alias("page"), strip(b).alias("text")))
+    return F.when(F.size(p) == 0, F.slice(both, 1, 0)).when(ok, both)
+
+
+def shorten(text: Column, most: int = 80) -> Column:
+    """One line of at most `most` characters."""
+    x = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
+    return F.when(F.length(x) > most, F.concat(F.substring(x, 1, most), F.lit("..."))).otherwise(x)

@@ -66,3 +66,74 @@ def split_nodes(entities: DataFrame, with_review: bool = False) -> tuple[DataFra
     how = F.when(F.col("status") == "review", "review_defaults").when(F.col("response_status") == "ok", "ok").otherwise("fallback_defaults")
     nodes = entities.where(ok).withColumn("property_status", how).withColumn("confidence", F.greatest("probability", F.least(F.lit(1.0), F.coalesce("property_confidence", F.lit(0.0)))))
     return nodes, entities.where(~ok | F.col("status").isNull())
+
+
+#: What each type is, for prompts.
+GUIDANCE = {
+    "diseases": "the disease that the whole document is about", "sub_diseases": "forms, stages and kinds of it that are diagnosed on their own",
+    "symptoms": "what patients feel or what is seen on them", "tests": "examinations, measurements and their findings", "treatments": "aims and principles of treatment",
+    "plans": "orders that can be carried out: drugs with dose and duration, operations, follow-up", "etiologies": "causes, triggers and risk factors", "pathogeneses": "mechanisms by which it comes about",
+}
+
+
+def prompts(chunks: DataFrame, modes: DataFrame, fields: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """A prompt for each chunk with labels to extract: what to look for, in which form to
+    answer, and the chunk. modes: prompt_modes(); labels stand in order of name."""
+    fields = fields or {}
+    block = lambda k: f"- {k}: {GUIDANCE.get(k, k)}" + (f"; properties: {', '.join(fields[k])}" if k in fields else "")
+    line = F.lit(None).cast("string")
+    for kind in GUIDANCE:
+        line = F.when(F.col("label") == kind, block(kind)).otherwise(line)
+    line = F.when(F.col("mode") == "extract", line).otherwise(F.concat(line, F.lit(" (only if the text names it)")))
+    g = modes.withColumn("line", line).where("line IS NOT NULL").groupBy("document_id", "chunk_id").agg(
+        F.array_sort(F.collect_list(F.struct("label", "line"))).alias("l"), F.max(F.col("mode") == "extract").alias("any"))
+    shape = F.concat(F.lit('{"'), F.array_join(F.transform("l", lambda x: x["label"]), '": [], "'), F.lit('": []}'))
+    text = F.concat_ws("\n", F.lit("Find in the text:"), F.array_join(F.transform("l", lambda x: x["line"]), "\n"), F.lit("Each item: name, evidence, confidence. Answer with one JSON object:"), shape, F.lit("Text:"), F.col("text"))
+    return chunks.join(g.where("any"), ["document_id", "chunk_id"]).select("document_id", "chunk_id", text.alias("prompt"))
+
+
+def extract(responses: DataFrame, decisions: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """E5: the entities of model answers (document_id, chunk_id, status, text), with ids and with
+    flags where the first layer had rejected the type; answers that failed give none."""
+    return override_flags(entity_base(parse_responses(responses, kinds)), decisions)
+
+
+def extraction_report(chunks: DataFrame, responses: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each document the chunks, answers by outcome, and entities."""
+    base = chunks.groupBy("document_id").agg(F.count("*").alias("chunks"))
+    said = responses.groupBy("document_id").agg(F.count_if(F.col("status") == "ok").alias("answered"), F.count_if(F.col("status") != "ok").alias("failed"))
+    got = found.groupBy("document_id").agg(F.count("*").alias("entities"))
+    return base.join(said, "document_id", "left").join(got, "document_id", "left").na.fill(0)
+
+
+def core_entity(docs: DataFrame) -> DataFrame:
+    """H4: the disease that a document's title names, as an entity; titles without one give none."""
+    named = docs.select("document_id", "title", t.core_disease_name(F.col("title")).alias("name")).where("name <> ''")
+    ident = t.short_id("TEMP_", F.col("document_id"), F.lit("diseases"), F.col("name"))
+    return named.select("document_id", ident.alias("entity_id"), F.lit("diseases").alias("entity_type"), "name", F.col("title").alias("evidence_text"), F.lit(0.98).alias("confidence"))
+
+
+def labels_by_chunk(labels: DataFrame) -> DataFrame:
+    """The labels of each chunk as an array; rows without a chunk go."""
+    keep = labels.where("coalesce(chunk_id, '') <> ''")
+    return keep.groupBy("document_id", "chunk_id").agg(F.array_sort(F.collect_list(F.struct("label", "present", "status"))).alias("labels"))
+
+
+def batches(items: DataFrame, size: int, chars: int) -> DataFrame:
+    """H7: the batch of each item (document_id, ord, text): one closes when it has `size` items or
+    another would take it past `chars`."""
+    def step(s: Column, x: Column) -> Column:
+        full = (s["n"] >= size) | ((s["n"] > 0) & (s["chars"] + x["chars"] > chars))
+        batch = s["batch"] + full.cast("int")
+        return F.struct(batch.alias("batch"), F.when(full, 1).otherwise(s["n"] + 1).alias("n"), F.when(full, x["chars"]).otherwise(s["chars"] + x["chars"]).alias("chars"),
+                        F.concat(s["out"], F.array(F.struct(x["ord"].alias("ord"), batch.alias("batch")))).alias("out"))
+
+    kind = items.schema["ord"].dataType.simpleString()
+    begin = F.struct(F.lit(0).alias("batch"), F.lit(0).alias("n"), F.lit(0).alias("chars"), F.array().cast(f"array<struct<ord:{kind},batch:int>>").alias("out"))
+    g = items.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("ord", F.length("text").alias("chars")))).alias("i"))
+    return g.select("document_id", F.inline(F.aggregate("i", begin, step, lambda s: s["out"])))
+
+
+def display_name(name: Column, *fallbacks: Column) -> Column:
+    """The name, or the first of other fields that says something, else empty."""
+    return F.coalesce(*[F.nullif(t.strip(F.coalesce(x, F.lit(""))), F.lit("")) for x in (name, *fallbacks)], F.lit(""))

@@ -3,6 +3,9 @@ count, evidence, ord); all sums are partial aggregates by (document, chunk, labe
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -202,19 +205,83 @@ def protect(triaged: DataFrame, votes: DataFrame, prompts: int = 3, confidence:
         F.when(hit, F.greatest("gap", F.lit(0.2))).otherwise(F.col("gap")).alias("gap"), F.when(hit, "accepted").otherwise(F.col("status")).alias("status"), hit.alias("protected"))
 
 
-def plan_override(triaged: DataFrame, patterns: tuple[str, ...] = (r"\d+(\.\d+)?\s*(mg|g|ml|μg|ug)", r"(每日|每周|每月|每晚|每次|bid|tid|qd)", r"(口服|注射|静脉|肌内|皮下)")) -> DataFrame:
-    """Treatments whose text gives an order become plans."""
-    text = F.concat_ws(" ", "name", "evidence_text")
-    hit = (F.col("final_type").isin("treatments", "plans") | F.col("candidate_type").isin("treatments", "plans"))
-    anyp = F.lit(False)
-    for p in patterns:
-        anyp = anyp | F.rlike(text, F.lit(p))
-    hit = hit & anyp
+def plan_override(triaged: DataFrame, patterns: tuple[str, ...] = c.PLAN_PATTERNS) -> DataFrame:
+    """Treatments whose name or evidence gives an order become plans."""
+    text = F.concat_ws("\n", F.coalesce("name", F.lit("")), F.coalesce("evidence_text", F.lit("")))
+    kinds = F.col("final_type").isin("treatments", "plans") | F.col("candidate_type").isin("treatments", "plans")
+    found = reduce(lambda a, b: a | b, [F.rlike(text, F.lit(f"(?iU){p}")) for p in patterns])
+    hit = F.coalesce(kinds, F.lit(False)) & found
     return triaged.withColumn("overridden", hit).withColumn("probability", F.when(hit, F.greatest("probability", F.lit(0.72))).otherwise(F.col("probability"))).withColumn(
         "status", F.when(hit & F.col("located"), "accepted").otherwise(F.col("status"))
     ).withColumn("final_type", F.when(hit, "plans").otherwise(F.col("final_type")))
 
 
+def fallback_count(counts: Column, most: int = 20) -> Column:
+    """The greatest count, from 0 to `most`; 0 where there is none."""
+    return F.greatest(F.lit(0), F.least(F.lit(most), F.coalesce(F.array_max(counts), F.lit(0))))
+
+
+def chunk_results(chunks: DataFrame, votes: DataFrame, labels: tuple[str, ...] = c.LABELS) -> DataFrame:
+    """A fused record with counts for every chunk and label; chunks without votes have
+    rejected ones."""
+    label = F.explode(F.array(*map(F.lit, labels))).alias("label")
+    every = chunks.select("document_id", "chunk_id", *[x for x in ("section_title", "section_path") if x in chunks.columns], label)
+    decisions = weighted_vote(votes)
+    made = decisions.join(count_fusion(votes, decisions), KEY)
+    out = every.join(made, KEY, "left")
+    defaults = {"present": F.lit(False), "status": F.lit("rejected"), "confidence": F.lit(0.0), "vote_score": F.lit(0.0), "count": F.lit(0), "predicted_count": F.lit(0)}
+    return out.withColumns({k: F.coalesce(k, v) for k, v in defaults.items() if k in made.columns})
+
+
+def multiclass_votes(votes: DataFrame) -> DataFrame:
+    """Each LF's class of an entity: the label of its most confident positive vote, the last
+    of equals by name."""
+    best = F.max_by("label", F.struct("confidence", "label"))
+    return votes.where("vote > 0").groupBy("document_id", "entity_id", "lf").agg(best.alias("label"))
+
+
+def multiclass_model(votes: DataFrame, labels: tuple[str, ...], rounds: int = 100, start: float = 0.7) -> DataFrame:
+    """document_id, entity_id, label, probability of the most probable class, by
+    expectation-maximisation over counted vote patterns, in which each LF has one accuracy.
+
+    votes: multiclass_votes(); a pattern is the LFs' classes, of which there are at most
+    (labels + 1) ** LFs, and only those that occur are counted and sent to the driver.
+    """
+    lfs = sorted(r[0] for r in votes.select("lf").distinct().collect())  # LFs are configured, so few
+    rows = votes.groupBy("document_id", "entity_id").pivot("lf", lfs).agg(F.first("label"))
+    names = [f"`{x}`" for x in lfs]
+    patterns = [(tuple(r[:-1]), r[-1]) for r in rows.groupBy(*names).count().collect()] if lfs else []
+    prior, accuracy = dict.fromkeys(labels, 1 / len(labels)), dict.fromkeys(lfs, start)
+
+    def scores(pattern: tuple) -> dict[str, float]:
+        s = dict(prior)
+        for lf, said in zip(lfs, pattern, strict=True):
+            if said is not None:
+                for k in labels:
+                    s[k] *= accuracy[lf] if said == k else (1 - accuracy[lf]) / (len(labels) - 1)
+        total = sum(s.values())
+        return {k: v / total for k, v in s.items()}
+
+    for _ in range(rounds if patterns else 0):
+        mass, right, said = dict.fromkeys(labels, 1.0), dict.fromkeys(lfs, start), dict.fromkeys(lfs, 1.0)
+        for pattern, n in patterns:
+            p = scores(pattern)
+            for k in labels:
+                mass[k] += n * p[k]
+            for lf, x in zip(lfs, pattern, strict=True):
+                if x is not None:
+                    right[lf], said[lf] = right[lf] + n * p[x], said[lf] + n
+        prior = {k: v / sum(mass.values()) for k, v in mass.items()}
+        accuracy = {k: min(max(right[k] / said[k], 0.05), 0.99) for k in lfs}
+    logs = []
+    for k in labels:
+        parts = [F.when(F.col(f"`{x}`") == k, math.log(accuracy[x])).when(F.col(f"`{x}`").isNotNull(), math.log((1 - accuracy[x]) / (len(labels) - 1))).otherwise(0.0) for x in lfs]
+        logs.append(F.struct((reduce(lambda a, b: a + b, parts, F.lit(math.log(prior[k])))).alias("s"), F.lit(k).alias("label")))
+    ranked = rows.withColumn("__s", F.array(*logs)).withColumn("__m", F.array_max("__s"))
+    share = 1 / F.aggregate("__s", F.lit(0.0), lambda a, x: a + F.exp(x["s"] - F.col("__m.s")))
+    return ranked.select("document_id", "entity_id", F.col("__m.label").alias("label"), share.alias("probability"))
+
+
 def recall_report(triaged: DataFrame, low: float = c.LOW_RECALL) -> DataFrame:
     """Candidates by candidate type, outcomes by final type, joined in full."""
     cand = triaged.groupBy(F.col("candidate_type").alias("label")).agg(F.count("*").alias("candidates"))

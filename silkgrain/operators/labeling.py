@@ -71,20 +71,49 @@ def response_vote(lf: str, label: str, present: Column, confidence: Column, coun
     return _vote(lf, label, hit, confidence, F.greatest(F.coalesce(count, F.lit(0)), F.size(e)), e)
 
 
-def apply_rules(chunks: DataFrame, terms: dict, patterns: dict, priors: dict, tests: tuple = (), labels: tuple[str, ...] = c.LABELS) -> DataFrame:
-    """Every rule LF on every (chunk, label): document_id, chunk_id and the vote."""
+RULE_LFS = ("dictionary", "medical_pattern", "section_prior")
+
+
+def apply_rules(
+    chunks: DataFrame, terms: dict = c.TERMS, patterns: dict = c.PATTERNS, priors: dict = c.PRIORS, tests: tuple = (), labels: tuple[str, ...] = c.LABELS, lfs: tuple[str, ...] = RULE_LFS
+) -> DataFrame:
+    """The named rule LFs on every (chunk, label): document_id, chunk_id and the vote.
+    Only what these LFs look for is searched."""
     # Matches are columns of their own, so that each text is searched once, not once a use.
-    text = F.col("text")
-    found = chunks.select(
-        "document_id", "chunk_id", "section", *[term_counts(text, terms[x]).alias(f"d_{x}") for x in labels], *[pattern_groups(text, patterns[x]).alias(f"p_{x}") for x in labels],
-        (pattern_groups(text, tests) if tests else F.array(F.array().cast("array<string>"))).alias("t_tests"),
-    )
-    votes = []
+    text, columns, votes = F.col("text"), [], []
     for label in labels:
-        votes += [dictionary_vote(label, terms[label], F.col(f"d_{label}")), pattern_vote(label, patterns[label], F.col(f"p_{label}")), section_vote(label, priors[label], F.col("section"))]
+        if "dictionary" in lfs:
+            columns.append(term_counts(text, terms[label]).alias(f"d_{label}"))
+            votes.append(dictionary_vote(label, terms[label], F.col(f"d_{label}")))
+        if "medical_pattern" in lfs:
+            columns.append(pattern_groups(text, patterns[label]).alias(f"p_{label}"))
+            votes.append(pattern_vote(label, patterns[label], F.col(f"p_{label}")))
+        if "section_prior" in lfs:
+            votes.append(section_vote(label, priors[label], F.col("section")))
         if label == "tests" and tests:
+            columns.append(pattern_groups(text, tests).alias("t_tests"))
             votes.append(pattern_vote(label, tests, F.col("t_tests"), "regex_indicator", 0.64))
-    return found.select("document_id", "chunk_id", F.inline(F.array(*votes)))
+    return chunks.select("document_id", "chunk_id", "section", *columns).select("document_id", "chunk_id", F.inline(F.array(*votes)))
+
+
+def traced(votes: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Votes with the section of their chunk."""
+    return votes.join(chunks.select("document_id", "chunk_id", "section"), ["document_id", "chunk_id"], "left")
+
+
+def apply_entity_rules(paired: DataFrame, kinds: tuple[str, ...] = c.ENTITY_TYPES) -> DataFrame:
+    """The surface and the context LF on every entity (name, evidence_text, chunk_text) and
+    type: document_id, entity_id, lf, label, vote, confidence."""
+    surface = F.concat_ws(" ", F.coalesce("name", F.lit("")), F.coalesce("evidence_text", F.lit("")))
+    x = paired.withColumns({"__s": surface, "__w": evidence_window(F.coalesce("chunk_text", F.lit("")), F.coalesce("evidence_text", F.lit("")))})
+    votes = []
+    for kind in kinds:
+        for lf, made in (
+            ("surface", surface_vote(F.col("__s"), c.SURFACE.get(kind, ()), c.SURFACE_STRUCTURAL.get(kind, ()), c.SURFACE_NEGATIVE.get(kind, ()))),
+            ("context", context_vote(F.col("__w"), c.CONTEXT.get(kind, ()), c.CONTEXT_STRUCTURAL.get(kind, ()), c.CONTEXT_NEGATIVE.get(kind, ()))),
+        ):
+            votes.append(F.struct(F.lit(lf).alias("lf"), F.lit(kind).alias("label"), made[0].cast("int").alias("vote"), made[1].cast("double").alias("confidence")))
+    return x.select("document_id", "entity_id", F.inline(F.array(*votes)))
 
 
 def pair_with_chunks(entities: DataFrame, chunks: DataFrame) -> DataFrame:

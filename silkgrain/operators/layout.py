@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from silkgrain import config as c
+
 
 def vertical_distance(a: str, b: str) -> Column:
     """Gap between two boxes' rows, 0 where they overlap."""
@@ -141,3 +143,47 @@ def two_columns(words: DataFrame, least_words: int = 80, side: float = 0.2, apar
 
     kind = words.schema["document_id"].dataType.simpleString()
     return words.groupBy("document_id", "page").applyInPandas(run, f"document_id {kind}, page {words.schema['page'].dataType.simpleString()}, two_column boolean, split_x double")
+
+
+def caption_lines(lines: DataFrame) -> DataFrame:
+    """Lines (document_id, page, object_id, line, box) that begin like a caption or a note, with
+    kind, the captioned type and its number."""
+    caption, note = F.rlike("line", F.lit(c.CAPTION)), F.rlike("line", F.lit(c.NOTE))
+    kind = F.when(caption, "caption").when(note, "note")
+    of = F.when(caption & F.rlike("line", F.lit(r"(?i)^\s*(表|Table)")), "table").when(caption, "figure")
+    number = F.nullif(F.regexp_extract("line", r"(?i)^\s*(?:表|图|Table|Figure)\s*(\d+)", 1), F.lit(""))
+    return lines.withColumns({"kind": kind, "of": of, "number": number}).where("kind IS NOT NULL")
+
+
+_BOX = ("x0", "top", "x1", "bottom")
+
+
+def _with_nearest(objects: DataFrame, found: DataFrame, name: str, most: float, above: bool) -> DataFrame:
+    """objects with the text, number and box of the nearest of the found lines, null without one."""
+    near = nearest_caption(objects.select("document_id", "page", "object_id", *_BOX), found.withColumnRenamed("object_id", "caption_id"), most, above)
+    text = found.select("document_id", "page", F.col("object_id").alias("caption_id"), F.struct("line", "number", *_BOX).alias(name))
+    picked = near.select("document_id", "page", "object_id", "caption_id").join(text, ["document_id", "page", "caption_id"], "left")
+    return objects.join(picked.select("document_id", "object_id", name), ["document_id", "object_id"])
+
+
+def table_objects(bodies: DataFrame, lines: DataFrame, caption_most: float = 90.0, note_most: float = 120.0) -> DataFrame:
+    """Table bodies with the nearest caption above, the nearest note below, and the box around all."""
+    found = caption_lines(lines)
+    x = _with_nearest(bodies, found.where("kind = 'caption'"), "caption", caption_most, True)
+    x = _with_nearest(x, found.where("kind = 'note'"), "note", note_most, False)
+    side = lambda f, k: f(k, f"caption.{k}", f"note.{k}")  # noqa: E731  nulls are skipped
+    union = {f"all_{k}": side(F.least if k in ("x0", "top") else F.greatest, k) for k in _BOX}
+    return x.withColumns({**union, "table_number": F.when(F.rlike("caption.line", F.lit(r"(?i)^\s*(表|Table)")), F.col("caption.number"))})
+
+
+def figure_objects(images: DataFrame, lines: DataFrame, least: float = 80.0, most: float = 90.0) -> DataFrame:
+    """Images of `least` or more on both sides with the nearest numbered figure caption."""
+    big = images.where((F.col("x1") - F.col("x0") >= least) & (F.col("bottom") - F.col("top") >= least))
+    return _with_nearest(big, caption_lines(lines).where("of = 'figure' AND number IS NOT NULL"), "caption", most, True)
+
+
+def clipped(box: tuple[Column, Column, Column, Column], width: Column, height: Column, least: float = 0.5) -> Column:
+    """A box inside its page, null if less than `least` of a side is left."""
+    x0, y0 = F.greatest(box[0], F.lit(0.0)), F.greatest(box[1], F.lit(0.0))
+    x1, y1 = F.least(box[2], width), F.least(box[3], height)
+    return F.when((x1 - x0 >= least) & (y1 - y0 >= least), F.struct(x0.alias("x0"), y0.alias("top"), x1.alias("x1"), y1.alias("bottom")))

@@ -25,6 +25,21 @@ def lf_summary(votes: DataFrame) -> DataFrame:
     return g.crossJoin(F.broadcast(total)).select("lf", share("covered").alias("coverage"), share("positive").alias("positive_rate"), share("overlap").alias("overlap_rate"), share("conflict").alias("conflict_rate"), "mean_confidence", "mean_count")
 
 
+def lf_analysis(votes: DataFrame) -> DataFrame:
+    """M2: of each LF the polarities it uses, and the shares of (chunk, label) rows that it covers,
+    where another LF answers too, and where another one answers otherwise."""
+    rows = votes.groupBy(*ROW).agg(F.count_if(F.col("vote") > 0).alias("pos"), F.count_if(F.col("vote") < 0).alias("neg"))
+    total = rows.agg(F.count("*").alias("rows"))
+    j = votes.join(rows, ROW)
+    on, against = F.col("vote") != 0, F.when(F.col("vote") > 0, F.col("neg")).otherwise(F.col("pos"))
+    g = j.groupBy("lf").agg(
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("vote") > 0, "positive").when(F.col("vote") < 0, "negative"))), ", ").alias("polarity"),
+        F.count_if(on).alias("c"), F.count_if(on & (F.col("pos") + F.col("neg") > 1)).alias("o"), F.count_if(on & (against > 0)).alias("k"),
+    )
+    share = lambda x, name: (F.col(x) / F.col("rows")).alias(name)
+    return g.crossJoin(F.broadcast(total)).select("lf", "polarity", share("c", "coverage"), share("o", "overlaps"), share("k", "conflicts"))
+
+
 def label_summary(decisions: DataFrame) -> DataFrame:
     """M3: outcomes, rate and means of each label."""
     is_ = lambda s: F.count_if(F.col("status") == s)

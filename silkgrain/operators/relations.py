@@ -32,6 +32,45 @@ def has_trigger(relation: Column, text: Column, triggers: dict[str, tuple[str, .
     return out
 
 
+def earlier_chunk(a: Column, b: Column, a_index: Column, b_index: Column) -> Column:
+    """The chunk that stands earlier in its document; one without a place counts as last."""
+    far = F.lit(10**9)
+    return F.when(F.coalesce(a_index, far) <= F.coalesce(b_index, far), a).otherwise(b)
+
+
+def chunk_header(chunk_id: Column, path: Column, title: Column, text: Column) -> Column:
+    """A chunk as a prompt shows it: its id, path and title, then its text."""
+    head = F.trim(F.concat(F.lit("["), chunk_id, F.lit("] "), F.array_join(F.coalesce(path, F.array().cast("array<string>")), " > "), F.lit(" "), F.coalesce(title, F.lit(""))))
+    return F.trim(F.concat(head, F.lit("\n"), F.coalesce(text, F.lit(""))))
+
+
+AUDIT = (
+    "Say whether the text supports the relation, in its direction. Answer with a JSON object: approved (boolean),\n"
+    "evidence (the shortest passage that says so, empty if none does) and confidence (0 to 1)."
+)
+
+
+def _asked(relation: Column, start: Column, end: Column) -> Column:
+    return F.concat(F.lit("Relation: "), start, F.lit(" -"), relation, F.lit("-> "), end)
+
+
+def audit_prompts(cands: DataFrame, contexts: DataFrame) -> DataFrame:
+    """A prompt for each candidate; contexts: candidate_id, context_level, context."""
+    prompt = F.concat_ws("\n", F.lit(AUDIT), _asked(F.col("relation"), F.col("start_name"), F.col("end_name")), F.concat(F.lit("Context level: "), "context_level"), F.col("context"))
+    return cands.join(contexts, "candidate_id").select("candidate_id", "context_level", prompt.alias("prompt"))
+
+
+def batch_audit_prompts(cands: DataFrame, contexts: DataFrame, size: int = 8) -> DataFrame:
+    """A prompt for up to `size` candidates of one document and context level, in order of id."""
+    w = Window.partitionBy("document_id", "context_level").orderBy("candidate_id")
+    item = F.concat(F.lit("["), "candidate_id", F.lit("] "), _asked(F.col("relation"), F.col("start_name"), F.col("end_name")), F.lit("\n"), "context")
+    x = cands.join(contexts, "candidate_id").select("document_id", "context_level", "candidate_id", item.alias("item"), F.floor((F.row_number().over(w) - 1) / size).cast("int").alias("batch"))
+    g = x.groupBy("document_id", "context_level", "batch").agg(F.array_sort(F.collect_list(F.struct("candidate_id", "item"))).alias("i"))
+    body = F.array_join(F.transform("i", lambda r: r["item"]), "\n")
+    rule = F.lit(AUDIT + " One object for each candidate, with its candidate_id, in a list named results.")
+    return g.select("document_id", "context_level", "batch", F.transform("i", lambda r: r["candidate_id"]).alias("candidate_ids"), F.concat_ws("\n", rule, body).alias("prompt"))
+
+
 def candidates(entities: DataFrame, chunks: DataFrame, triggers: dict[str, tuple[str, ...]] | None = None, same_chunk_only: bool = False, most: int = c.MAX_DISTANCE) -> DataFrame:
     """Pairs of one document whose types some relation allows, at most its distance apart.
 

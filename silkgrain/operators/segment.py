@@ -3,11 +3,14 @@ over its array, so nothing but document keys is shuffled."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silkgrain import config as c
 from silkgrain.functions import text as t
+from silkgrain.operators import quality
 
 CN = "一二三四五六七八九十"
 
@@ -63,26 +66,52 @@ def anchors(lined: DataFrame, level: Column | None = None) -> DataFrame:
     return lined.withColumn("level", level).where("level IS NOT NULL").withColumn("title", F.trim(F.regexp_replace("line", r"\s+", " ")))
 
 
+DEEPEST = 6
+
+
 def sections(found: DataFrame) -> DataFrame:
-    """Each anchor reaches to the next; its path is the stack cut to its level and extended."""
+    """Each anchor reaches to the next; its path is the stack cut to its level and extended.
+
+    An anchor's depth is the least of its place in the document and, over it and all anchors before,
+    of (their level - their place + its place); on each lesser depth the last anchor is its parent.
+    """
     w = Window.partitionBy("document_id").orderBy("start")
+    before = w.rowsBetween(Window.unboundedPreceding, 0)
     base = F.min("level").over(Window.partitionBy("document_id"))
-    a = found.withColumn("end", F.coalesce(F.lead("start").over(w), F.col("n_chars"))).withColumn("eff", F.greatest(F.lit(1), F.col("level") - base + 1))
-    g = a.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "title", "eff"))).alias("a"))
-    step = lambda stack, x: F.concat(F.slice(stack, F.lit(1), F.least(F.size(stack), x["eff"] - 1)), F.array(x["title"]))
-    empty = F.array().cast("array<string>")
-    done = F.aggregate(
-        "a", F.struct(empty.alias("stack"), F.array().cast("array<struct<start:int,end:int,title:string,path:array<string>>>").alias("out")),
-        lambda s, x: F.struct(step(s["stack"], x).alias("stack"), F.concat(s["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["title"].alias("title"), F.concat(F.array(F.lit("正文")), step(s["stack"], x)).alias("path")))).alias("out")),
-        lambda s: s["out"],
-    )
-    return g.select("document_id", F.inline(done))
-
-
-def paragraphs(docs: DataFrame, text: str = "text") -> DataFrame:
+    a = found.withColumn("end", F.coalesce(F.lead("start").over(w), F.col("n_chars"))).withColumn("i", F.row_number().over(w))
+    a = a.withColumn("eff", F.least(F.lit(DEEPEST), F.greatest(F.lit(1), F.col("level") - base + 1)))
+    a = a.withColumn("depth", F.least("i", F.min(F.col("eff") - F.col("i")).over(before) + F.col("i")))
+    parents = F.array(*[F.last(F.when(F.col("depth") == k, F.col("title")), True).over(before) for k in range(1, DEEPEST + 1)])
+    path = F.concat(F.array(F.lit(c.WHOLE_SECTION)), F.slice(parents, F.lit(1), F.col("depth")))
+    return a.select("document_id", "start", "end", "title", path.alias("path"), "level")
+
+
+def document_sections(docs: DataFrame, text: str = "text", level: Column | None = None) -> DataFrame:
+    """C5 of whole documents: sections with their text; what stands before the first heading is a
+    section of its own, and a document without headings is one section."""
+    found = sections(anchors(lines(docs, text), level)).withColumn("head", F.struct("start", "end", "title", "path", "level"))
+    g = found.groupBy("document_id").agg(F.array_sort(F.collect_list("head")).alias("s"))
+    body, none = F.col(text), F.lit(None).cast("int")
+    one = lambda end, title, path: F.struct(F.lit(0).alias("start"), end.alias("end"), F.lit(title).alias("title"), F.array(*map(F.lit, path)).alias("path"), none.alias("level"))
+    first = F.col("s")[0]["start"]
+    preface = F.when((first > 0) & (t.strip(F.substring(body, F.lit(1), first)) != ""), F.array(one(first, c.PREFACE, (c.WHOLE_SECTION, c.PREFACE))))
+    whole = F.array(one(F.length(body), c.WHOLE_SECTION, (c.WHOLE_SECTION,)))
+    all_ = F.when(F.col("s").isNull(), whole).otherwise(F.concat(F.coalesce(preface, F.slice(whole, 1, 0)), "s"))
+    x = docs.join(g, "document_id", "left").select("document_id", body.alias("__t"), F.inline(all_))
+    return x.withColumn("text", F.substring(F.col("__t"), F.col("start") + 1, F.col("end") - F.col("start"))).drop("__t")
+
+
+def subsections(found: DataFrame) -> DataFrame:
+    """Places of headings of level 2 and below inside a section's stripped text, with the end
+    of each; sections that end at the next heading have only their own."""
+    body = t.strip(F.col("text"))
+    return found.where((F.col("level") >= 2) & (body != "")).select("document_id", "start", F.lit(0).alias("from"), F.length(body).alias("to"))
+
+
+def paragraphs(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("document_id",)) -> DataFrame:
     """Blocks between empty lines that aren't blank, with their place."""
-    w = Window.partitionBy("document_id").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    b = docs.select("document_id", F.posexplode(F.split(F.col(text), "\n\n")).alias("block_no", "block"))
+    w = Window.partitionBy(*keys).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    b = docs.select(*keys, F.posexplode(F.split(F.col(text), "\n\n")).alias("block_no", "block"))
     b = b.withColumn("start", F.coalesce(F.sum(F.length("block") + 2).over(w), F.lit(0)).cast("int"))
     return b.withColumn("end", F.col("start") + F.length("block")).where(t.strip(F.col("block")) != "")
 
@@ -94,38 +123,74 @@ def sentence_cut(text: Column, most: int, ends: str = c.SENTENCE_ENDS) -> Column
     return F.when(F.length(text) <= most, F.length(text)).when(F.length(head) > 0, F.length(head)).otherwise(F.lit(most))
 
 
-_CHUNK = "struct<path:array<string>,text:string,start:int,end:int>"
+_GROUP = "struct<path:array<string>,first:int,last:int,chars:int,start:int,end:int>"
+
+
+def _folded(pieces: Column, joins: Callable[[Column, Column], Column], path: Callable[[Column, Column], Column]) -> Column:
+    """Pieces (path, text, start, end) in order to joined ones. The fold sees lengths and places
+    only; texts are put together once, at the end."""
+    whole = lambda x, k: F.struct(x["path"].alias("path"), k.alias("first"), k.alias("last"), F.length(x["text"]).alias("chars"), x["start"].alias("start"), x["end"].alias("end"))
+
+    def step(s: Column, x: Column) -> Column:
+        p = s["now"]
+        more = F.struct(path(p, x).alias("path"), p["first"].alias("first"), x["last"].alias("last"), (p["chars"] + 2 + x["chars"]).alias("chars"), p["start"].alias("start"), x["end"].alias("end"))
+        join = p.isNotNull() & joins(p, x)
+        done = F.when(p.isNull() | join, s["out"]).otherwise(F.concat(s["out"], F.array(p)))
+        return F.struct(done.alias("out"), F.when(join, more).otherwise(x).alias("now"))
+
+    begin = F.struct(F.array().cast(f"array<{_GROUP}>").alias("out"), F.lit(None).cast(_GROUP).alias("now"))
+    groups = F.aggregate(F.transform(pieces, whole), begin, step, lambda s: F.when(s["now"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["now"]))))
+    text = lambda g: F.array_join(F.transform(F.slice(pieces, g["first"] + 1, g["last"] - g["first"] + 1), lambda x: x["text"]), "\n\n")
+    return F.transform(groups, lambda g: F.struct(g["path"].alias("path"), text(g).alias("text"), g["start"].alias("start"), g["end"].alias("end")))
 
 
 def pack(pieces: Column, least: int, most: int) -> Column:
     """Pieces (arrays of path, text, start, end) joined until one would pass `most` and the
     buffer has `least` characters."""
-    def step(out: Column, x: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        joined = F.struct(last["path"].alias("path"), F.concat(last["text"], F.lit("\n\n"), x["text"]).alias("text"), last["start"].alias("start"), x["end"].alias("end"))
-        flush = (F.size(out) == 0) | ((F.length(last["text"]) + 2 + F.length(x["text"]) > most) & (F.length(last["text"]) >= least))
-        return F.when(flush, F.concat(out, F.array(x))).otherwise(F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(joined)))
+    return _folded(pieces, lambda p, x: (p["chars"] + 2 + x["chars"] <= most) | (p["chars"] < least), lambda p, x: p["path"])
 
-    return F.aggregate(pieces, F.array().cast(f"array<{_CHUNK}>"), step)
+
+def recut(text: Column, most: int, ends: str = c.SENTENCE_ENDS) -> Column:
+    """A text of more than `most` characters in pieces by C8, one after the other."""
+    least = max(0, int(most * 0.65))
+    piece = rf"(?s)(.{{1,{most}}}\z|.{{{least},{most - 1}}}[{ends}]|.{{{most}}})[\s\p{{Z}}]*"
+    return F.when(F.length(text) <= most, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(piece), 1))
 
 
 def merge_small(chunks: Column, least: int, most: int) -> Column:
     """C11: neighbours of one section, siblings under a named parent, or parent and child are
     joined where one is short and both fit; siblings get the parent's path."""
-    def step(out: Column, x: Column) -> Column:
-        p = F.get(out, F.size(out) - 1)
+    parent = lambda p: F.slice(p, F.lit(1), F.size(p) - 1)
+    sibling = lambda a, b: (F.size(a) == F.size(b)) & (parent(a) == parent(b)) & (F.size(a) >= 3)
+
+    def joins(p: Column, x: Column) -> Column:
         a, b = p["path"], x["path"]
-        parent = F.slice(a, F.lit(1), F.size(a) - 1)
-        same = a == b
-        sibling = (F.size(a) == F.size(b)) & (parent == F.slice(b, F.lit(1), F.size(b) - 1)) & (F.size(a) >= 3)
         child = (F.size(a) < F.size(b)) & (F.slice(b, F.lit(1), F.size(a)) == a) & (F.size(a) >= 2)
-        short = (F.length(p["text"]) < least) | (F.length(x["text"]) < least)
-        fits = F.length(p["text"]) + F.length(x["text"]) + 2 <= most
-        path = F.when(~same & sibling, parent).otherwise(a)
-        joined = F.struct(path.alias("path"), F.concat(p["text"], F.lit("\n\n"), x["text"]).alias("text"), p["start"].alias("start"), x["end"].alias("end"))
-        return F.when((F.size(out) > 0) & short & fits & (same | sibling | child), F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(joined))).otherwise(F.concat(out, F.array(x)))
-
-    return F.aggregate(F.filter(chunks, lambda x: t.strip(x["text"]) != ""), F.array().cast(f"array<{_CHUNK}>"), step)
+        return ((p["chars"] < least) | (x["chars"] < least)) & (p["chars"] + x["chars"] + 2 <= most) & ((a == b) | sibling(a, b) | child)
+
+    path = lambda p, x: F.when((p["path"] != x["path"]) & sibling(p["path"], x["path"]), parent(p["path"])).otherwise(p["path"])
+    shown = F.filter(chunks, lambda x: t.strip(x["text"]) != "")
+    return _folded(shown, joins, path)
+
+
+def section_chunks(found: DataFrame, least: int, most: int) -> DataFrame:
+    """A section (text, start, end, path, level) whole if it fits; else its subsections, or
+    its paragraphs, packed, and what is still too long cut at sentences. Blank sections go."""
+    keys = ["document_id", "sid"]
+    x = found.withColumns({"text": t.strip(F.col("text")), "sid": F.col("start")}).where("text <> ''")
+    long = F.length("text") > most
+    spans = paragraphs(x.where(long & (F.coalesce("level", F.lit(0)) < 2)), "text", tuple(keys))
+    g = spans.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block_no", "start", "end"))).alias("spans"))
+    local = lambda s: F.struct(F.col("path").alias("path"), t.strip(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])).alias("text"), (F.col("sid") + s["start"]).alias("start"), (F.col("sid") + s["end"]).alias("end"))
+    one = F.struct("path", "text", "start", F.when(long, F.col("sid") + F.length("text")).otherwise(F.col("end")).alias("end"))
+    pieces = F.coalesce(F.transform("spans", local), F.array(one))
+    packed = x.join(g, keys, "left").select("document_id", F.inline(pack(pieces, least, most)))
+    cuts = packed.withColumn("cuts", recut(F.col("text"), most)).withColumn("sizes", F.transform("cuts", F.length))
+    before = lambda k: F.aggregate(F.slice(F.col("sizes"), F.lit(1), k), F.lit(0), lambda a, n: a + n)
+    cut = lambda x, k: F.struct(F.col("path").alias("path"), t.strip(x).alias("text"), (F.col("start") + before(k)).alias("start"), (F.col("start") + before(k) + F.length(t.strip(x))).alias("end"))
+    whole = F.array(F.struct("path", "text", "start", "end"))
+    out = F.when(F.size("cuts") == 1, whole).otherwise(F.filter(F.transform("cuts", cut), lambda x: x["text"] != ""))
+    return cuts.select("document_id", F.inline(out))
 
 
 def chunk_ids(chunks: DataFrame) -> DataFrame:
@@ -136,11 +201,33 @@ def chunk_ids(chunks: DataFrame) -> DataFrame:
     })
 
 
-def build_chunks(docs: DataFrame, least: int = 200, most: int = 1200, merge: int = 500) -> DataFrame:
-    """Documents (document_id, text) to chunks by lines, packing and merging."""
-    pieces = F.filter(F.split("text", "\n"), lambda x: t.strip(x) != "")
-    shaped = F.transform(pieces, lambda x, i: F.struct(F.array(F.lit("正文")).alias("path"), x.alias("text"), i.cast("int").alias("start"), (i + 1).cast("int").alias("end")))
-    return chunk_ids(docs.select("document_id", shaped.alias("s")).select("document_id", pack(F.col("s"), least, most).alias("s")).select("document_id", F.inline(merge_small(F.col("s"), merge, most))))
+def build_chunks(docs: DataFrame, least: int = 200, most: int = 1200, merge: int | None = None, min_ratio: float | None = 0.2, level: Column | None = None) -> DataFrame:
+    """Documents (document_id, text) to chunks (path, text, start, end, ids): tail removed,
+    sections, subsections or paragraphs packed and cut, small ones merged; chunks in other
+    languages go, unless min_ratio is None. Places are code points of the text without its tail.
+    """
+    body = docs.select("document_id", t.remove_tail(F.col("text")).alias("text"))
+    made = section_chunks(document_sections(body, "text", level), least, most)
+    order = F.struct("start", "end", "path", "text")
+    g = made.groupBy("document_id").agg(F.array_sort(F.collect_list(order)).alias("s"))
+    shaped = F.transform("s", lambda x: F.struct(x["path"].alias("path"), x["text"].alias("text"), x["start"].alias("start"), x["end"].alias("end")))
+    out = g.select("document_id", F.inline(merge_small(shaped, least if merge is None else merge, most)))
+    if min_ratio is not None:
+        out = quality.language_drop(out, min_ratio=min_ratio).where("drop_reason IS NULL").drop("drop_reason", "cjk_ratio")
+    return chunk_ids(out)
+
+
+def with_pages(chunks: DataFrame, texts: DataFrame) -> DataFrame:
+    """The first and last page of each chunk; texts are those of full_text()."""
+    j = chunks.join(texts.select("document_id", "pages"), "document_id")
+    first, last = page_of(F.col("pages"), F.col("start")), page_of(F.col("pages"), F.greatest(F.col("end") - 1, F.col("start")))
+    return j.withColumns({"page_start": first["page"], "page_end": last["page"], "offset_start": first["offset"], "offset_end": last["offset"]}).drop("pages")
+
+
+def rule_candidates(texts: DataFrame) -> DataFrame:
+    """The headings of full texts (full_text, pages) with their pages, confidence 0.80."""
+    found = anchors(lines(texts)).join(texts.select("document_id", "pages"), "document_id")
+    return found.select("document_id", "title", "level", "start", page_of(F.col("pages"), F.col("start"))["page"].alias("page"), F.lit("rule").alias("source"), F.col("title").alias("evidence_text"), F.lit(0.80).alias("confidence"))
 
 
 def toc_candidates(rule: DataFrame, model: DataFrame) -> DataFrame:
@@ -151,6 +238,25 @@ def toc_candidates(rule: DataFrame, model: DataFrame) -> DataFrame:
     return g.select("document_id", "start", "title", "sources", "level", F.when(F.size("sources") > 1, F.greatest("c", F.lit(0.9))).otherwise(F.col("c")).alias("confidence"))
 
 
+def model_candidates(answers: DataFrame) -> DataFrame:
+    """Headings that a model's answers (document_id, status, text; full_text) name: level from
+    1 to 4, the place of the first verbatim occurrence, confidence 0.70; others go."""
+    item = "struct<headings:array<struct<title:string,level:int>>>"
+    x = answers.where("status = 'ok'").select("document_id", "full_text", F.inline(F.from_json(t.json_object(F.col("text")), item)["headings"]))
+    title = t.strip(F.coalesce("title", F.lit("")))
+    x = x.withColumns({"title": title, "start": F.instr("full_text", title) - 1}).where("title <> '' AND start >= 0")
+    level = F.greatest(F.lit(1), F.least(F.lit(4), F.coalesce("level", F.lit(1))))
+    return x.select("document_id", "title", level.alias("level"), "start", F.lit("model").alias("source"), F.lit(0.70).alias("confidence"))
+
+
+def noise_report(text: Column, spans: Column, most: int = 200) -> Column:
+    """Spans (start, end) inside the text, with at most `most` characters of each."""
+    n = F.length(text)
+    lo = lambda s: F.greatest(F.lit(0), F.least(s["start"], n))
+    hi = lambda s: F.greatest(lo(s), F.least(s["end"], n))
+    return F.transform(spans, lambda s: F.struct(lo(s).alias("start"), hi(s).alias("end"), F.substring(text, lo(s) + 1, F.least(hi(s) - lo(s), F.lit(most))).alias("excerpt")))
+
+
 def toc_metrics(found: DataFrame) -> DataFrame:
     """Candidates, starts in order, level jumps above one, headings a thousand characters."""
     w = Window.partitionBy("document_id").orderBy("start")

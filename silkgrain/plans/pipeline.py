@@ -1,10 +1,16 @@
-"""Stages over all documents, with stored outputs, resume and a run log (O rows)."""
+"""Stages over all documents, with stored outputs, resume and a run log (O rows).
+
+Each stage writes a batch of rows and then the ids of the documents it has seen, whether or not
+they gave rows. Only batches that such a list names are ever read, so a run that stops anywhere
+leaves nothing half done: the next one takes up, stage by stage, what that stage has not seen.
+"""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +22,13 @@ Stage = Callable[[SparkSession, dict[str, DataFrame]], DataFrame]
 
 
 def chunk_stage(spark: SparkSession, given: dict[str, DataFrame]) -> DataFrame:
-    """Cleaned documents (document_id, text) that pass the quality gate, as chunks."""
+    """Cleaned documents (document_id, text) that pass the quality gate, as chunks of any language."""
     clean = given["documents"].select("document_id", t.clean_page_text(F.col("text")).alias("text"))
     kept = quality.text_quality(clean).where("NOT skip").select("document_id", "text")
-    return segment.build_chunks(kept)
+    return segment.build_chunks(kept, min_ratio=None)
 
 
-def vote_stage(spark: SparkSession, given: dict[str, DataFrame], terms: dict = c.DEMO_TERMS, patterns: dict = c.DEMO_PATTERNS, priors: dict = c.DEMO_PRIORS) -> DataFrame:
+def vote_stage(spark: SparkSession, given: dict[str, DataFrame], terms: dict = c.TERMS, patterns: dict = c.PATTERNS, priors: dict = c.PRIORS) -> DataFrame:
     """Votes of all rule LFs."""
     chunks = given["chunks"].withColumn("section", F.array_join("path", " / "))
     return labeling.apply_rules(chunks, terms, patterns, priors).withColumn("ord", F.lit(0))
@@ -37,25 +43,51 @@ def label_stage(spark: SparkSession, given: dict[str, DataFrame]) -> DataFrame:
 STAGES: tuple[tuple[str, Stage], ...] = (("chunks", chunk_stage), ("votes", vote_stage), ("labels", label_stage))
 
 
-def pending(spark: SparkSession, documents: DataFrame, stored: str) -> DataFrame:
-    """O2: documents that a stage's stored output hasn't yet."""
+def _read(spark: SparkSession, *paths: str) -> DataFrame | None:
+    """The rows of parquet folders; null if there are none yet."""
     try:
-        done = spark.read.parquet(stored).select("document_id").distinct()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
+        return spark.read.parquet(*paths) if paths else None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return documents
-    return documents.join(done, "document_id", "left_anti")
+        return None
+
+
+def seen(spark: SparkSession, out: str, stage: str) -> DataFrame | None:
+    """document_id and batch of what a stage has done."""
+    return _read(spark, f"{out}/_seen/{stage}")
+
+
+def pending(spark: SparkSession, documents: DataFrame, out: str, stage: str) -> DataFrame:
+    """O2: documents that a stage hasn't seen."""
+    done = seen(spark, out, stage)
+    return documents if done is None else documents.join(done.select("document_id").distinct(), "document_id", "left_anti")
+
+
+def stored(spark: SparkSession, out: str, stage: str) -> DataFrame | None:
+    """All rows of a stage's finished batches; one batch a run."""
+    done = seen(spark, out, stage)
+    return None if done is None else _read(spark, *[f"{out}/{stage}/batch={r[0]}" for r in done.select("batch").distinct().collect()])
 
 
 def run(spark: SparkSession, documents: DataFrame, out: str, stages: tuple = STAGES) -> DataFrame:
-    """O1: all stages; each one's rows are stored below `out` and read by the next. Documents
-    with stored chunks are left out. Returns the run log."""
-    given, log = {"documents": pending(spark, documents, f"{out}/chunks")}, []
-    for name, stage in stages:
+    """O1: all stages; each one's rows are stored below `out` and read by the next. Every stage
+    works on those of the documents that it hasn't seen. Returns the run log."""
+    ids, log = documents.select("document_id").distinct(), []
+    for k, (name, stage) in enumerate(stages):
         began = time.time()
-        batch = f"{out}/{name}/batch={int(began * 1000)}"
-        stage(spark, given).write.parquet(batch)
-        given[name] = spark.read.parquet(batch)
-        log.append((name, "ok", given[name].count(), round(time.time() - began, 3)))
+        todo = pending(spark, ids, out, name)
+        if todo.isEmpty():
+            log.append((name, "nothing to do", 0, 0.0))
+            continue
+        given = {"documents": documents.join(todo, "document_id", "left_semi")}
+        for before, _ in stages[:k]:
+            rows = stored(spark, out, before)
+            if rows is not None:
+                given[before] = rows.join(todo, "document_id", "left_semi")
+        batch = str(int(began * 1000))
+        stage(spark, given).write.parquet(f"{out}/{name}/batch={batch}")
+        todo.select("document_id", F.lit(batch).alias("batch")).write.mode("append").parquet(f"{out}/_seen/{name}")
+        n = spark.read.parquet(f"{out}/{name}/batch={batch}").count()
+        log.append((name, "ok", n, round(time.time() - began, 3)))
     return spark.createDataFrame(log, "stage string, status string, rows long, seconds double")

@@ -9,8 +9,8 @@ from silkgrain.plans import pipeline
 
 
 def follow(spark: SparkSession, folder: str, out: str, checkpoint: str, schema: str = "document_id long, text string", once: bool = True) -> StreamingQuery:
-    """Label documents as their parquet files arrive. A batch that is run again finds its
-    documents stored and adds nothing."""
+    """Label documents as their parquet files arrive. A batch that failed and is run again is
+    taken up by each stage where that stage had stopped."""
     def stage(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             pipeline.run(batch.sparkSession, batch, out)
