@@ -115,7 +115,7 @@ def core_entity(docs: DataFrame) -> DataFrame:
 
 def labels_by_chunk(labels: DataFrame) -> DataFrame:
     """The labels of each chunk as an array; rows without a chunk go."""
-    keep = labels.where("coalesce(chunk_id, '') <> ''")
+    keep = labels.where("coalesce(cast(chunk_id AS string), '') <> ''")
     return keep.groupBy("document_id", "chunk_id").agg(F.array_sort(F.collect_list(F.struct("label", "present", "status"))).alias("labels"))
 
 

@@ -113,10 +113,11 @@ def _(s, d):
     return i.chunks(s, d).select("document_id", "chunk_index", F.array_join(F.slice(F.regexp_extract_all("text", F.lit("([0-9]{4,})"), 1), 1, 6), ",").alias("found"))
 
 
-@query("T15_merge_evidence", f"WITH {D}, w AS (SELECT document_id, unnest(string_split(text, ' ')[1:30]) AS x, generate_subscripts(string_split(text, ' ')[1:30], 1) AS k FROM docs), f AS (SELECT document_id, x, min(k) AS k FROM w GROUP BY ALL), n AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY k) AS r FROM f) SELECT document_id, string_agg(x, ' ' ORDER BY r) AS evidence FROM n WHERE r <= 12 GROUP BY document_id")
+@query("T15_merge_evidence", f"""WITH {D}, g AS (SELECT document_id, list_concat(string_split(text, ' '), string_split(text, chr(10))) AS g FROM docs),
+ w AS (SELECT document_id, unnest(g) AS x, generate_subscripts(g, 1) AS k FROM g), f AS (SELECT document_id, x, min(k) AS k FROM w GROUP BY ALL),
+ n AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY k) AS r FROM f) SELECT document_id, string_agg(x, '|' ORDER BY r) AS evidence FROM n WHERE r <= 12 GROUP BY document_id""")
 def _(s, d):
-    w = F.slice(F.split("text", " "), 1, 30)
-    return i.docs(s, d).select("document_id", F.array_join(t.merge_evidence(F.slice(w, 1, 10), F.slice(w, 11, 20)), " ").alias("evidence"))
+    return i.docs(s, d).select("document_id", F.array_join(t.merge_evidence(F.split("text", " "), F.split("text", "\n")), "|").alias("evidence"))
 
 
 @query("T16_find_window", f"WITH {D}, p AS (SELECT *, instr(text, 'ing') AS a, instr(text, 'eau') AS b FROM docs), q AS (SELECT *, CASE WHEN a > 0 THEN a WHEN b > 0 THEN b END AS k FROM p) SELECT document_id, text[greatest(k - 180, 1):(k + 3 + 180 - 1)] AS w FROM q")
@@ -179,16 +180,16 @@ def _(s, d):
     return qu.validate_chunks(i.chunks(s, d).withColumns({"span_start": F.lit(0), "span_end": F.lit(1)})).select("document_id", "chunk_index", F.array_join("issues", ",").alias("issues"))
 
 
-@query("F7_suspicious_title", rf"""WITH {D}, x AS (SELECT document_id, trim(text[1:90]) AS x FROM docs) SELECT document_id, CASE WHEN x = '' THEN 'empty_title' WHEN length(x) > 80 THEN 'title_too_long'
+@query("F7_suspicious_title", rf"""WITH {D}, x AS (SELECT document_id, trim(text) AS x FROM docs) SELECT document_id, CASE WHEN x = '' THEN 'empty_title' WHEN length(x) > 80 THEN 'title_too_long'
  {" ".join(f"WHEN contains(lower(x), '{k.lower()}') THEN 'contains_token:{k}'" for k in c.SUSPICIOUS_TOKENS)} WHEN len(regexp_extract_all(x, '[0-9]')) >= 4 AND length(x) <= 12 THEN 'dense_digits_short_title' ELSE '' END AS why
  FROM (SELECT document_id, regexp_replace(regexp_replace(x, '^\s+', ''), '\s+$', '') AS x FROM x)""")
 def _(s, d):
-    return i.docs(s, d).select("document_id", qu.suspicious_title(F.substring("text", 1, 90)).alias("why"))
+    return i.docs(s, d).select("document_id", qu.suspicious_title(F.col("text")).alias("why"))
 
 
 @query("F8_title_shape", None)
 def _(s, d):
-    return i.chunks(s, d).select("document_id", "chunk_index", qu.title_shape_issue(F.substring("text", 1, 60)).alias("issue"))
+    return i.chunks(s, d).select("document_id", "chunk_index", qu.title_shape_issue(F.col("text")).alias("issue"))
 
 
 @query("F12_usable_bbox", f"WITH {B} SELECT object_id, bottom - top >= 20 AND x1 - x0 >= 20 AND least(x0, top) >= 0 AND greatest(x1, bottom) <= 5000 AS usable FROM boxes")
@@ -207,9 +208,9 @@ def _(s, d):
     return lay.body_words(i.boxes(s, d).withColumn("page_height", F.lit(700.0))).select("object_id")
 
 
-@query("F6_outside_tables", f"WITH {B} SELECT l.object_id FROM boxes l WHERE NOT EXISTS (SELECT 1 FROM boxes t WHERE t.object_id % 4 = 0 AND t.document_id = l.document_id AND t.page = l.page AND greatest(0, least(l.x1, t.x1) - greatest(l.x0, t.x0)) * greatest(0, least(l.bottom, t.bottom) - greatest(l.top, t.top)) / greatest(1e-9, (l.x1 - l.x0) * (l.bottom - l.top)) >= 0.35)")
+@query("F6_outside_tables", f"WITH {B} SELECT l.object_id FROM boxes l WHERE NOT EXISTS (SELECT 1 FROM boxes t WHERE t.object_type = 'table' AND t.document_id = l.document_id AND t.page = l.page AND greatest(0, least(l.x1, t.x1) - greatest(l.x0, t.x0)) * greatest(0, least(l.bottom, t.bottom) - greatest(l.top, t.top)) / greatest(1e-9, (l.x1 - l.x0) * (l.bottom - l.top)) >= 0.35)")
 def _(s, d):
-    return lay.outside_tables(i.boxes(s, d), i.boxes(s, d).where("object_id % 4 = 0")).select("object_id")
+    return lay.outside_tables(i.boxes(s, d), i.boxes(s, d).where("object_type = 'table'")).select("object_id")
 
 
 # ---- segmentation
@@ -262,13 +263,15 @@ def _(s, d):
 
 @query("C12_chunks", None)
 def _(s, d):
-    return seg.build_chunks(i.docs(s, d)).select("document_id", "chunk_id", "start", "end", "sha1_12", F.length("text").alias("n_chars"))
+    return seg.build_chunks(i.docs(s, d), min_ratio=None).select("document_id", "chunk_id", "start", "end", "sha1_12", F.length("text").alias("n_chars"))
 
 
-@query("C14_toc_candidates", f"WITH {C}, r AS (SELECT document_id, chunk_index AS start, text[1:20] AS title, 0.8::DOUBLE AS c, 'rule' AS src FROM chunks WHERE chunk_index % 2 = 0), m AS (SELECT document_id, chunk_index, text[1:20], 0.7::DOUBLE, 'model' FROM chunks WHERE chunk_index % 3 = 0), b AS (SELECT * FROM r UNION ALL SELECT * FROM m) SELECT document_id, start, title, string_agg(src, ',' ORDER BY src) AS sources, CASE WHEN count(*) > 1 THEN greatest(max(c), 0.9) ELSE max(c) END::DOUBLE AS confidence FROM b GROUP BY ALL")
+@query("C14_toc_candidates", f"""WITH {C}, r AS (SELECT document_id, chunk_index AS start, text AS title, 0.8::DOUBLE AS c, 'rule' AS src FROM chunks WHERE text <> ''),
+ m AS (SELECT document_id, chunk_index, text, 0.7::DOUBLE, 'model' FROM chunks WHERE length(text) >= 20), b AS (SELECT * FROM r UNION ALL SELECT * FROM m)
+ SELECT document_id, start, title, string_agg(src, ',' ORDER BY src) AS sources, CASE WHEN count(*) > 1 THEN greatest(max(c), 0.9) ELSE max(c) END::DOUBLE AS confidence FROM b GROUP BY ALL""")
 def _(s, d):
-    x = i.chunks(s, d).select("document_id", F.col("chunk_index").alias("start"), F.substring("text", 1, 20).alias("title"), F.lit(1).alias("level"))
-    g = seg.toc_candidates(x.where("start % 2 = 0").withColumn("confidence", F.lit(0.8)), x.where("start % 3 = 0").withColumn("confidence", F.lit(0.7)))
+    x = i.chunks(s, d).select("document_id", F.col("chunk_index").alias("start"), F.col("text").alias("title"), F.lit(1).alias("level"))
+    g = seg.toc_candidates(x.where("title <> ''").withColumn("confidence", F.lit(0.8)), x.where("length(title) >= 20").withColumn("confidence", F.lit(0.7)))
     return g.select("document_id", "start", "title", F.array_join("sources", ",").alias("sources"), "confidence")
 
 
@@ -298,11 +301,11 @@ def _dictionary_sql(label: str) -> str:
 
 @query("L3_dictionary", f"WITH {C} " + " UNION ALL ".join(map(_dictionary_sql, c.LABELS)))
 def _(s, d):
-    return _rules(s, d).where("lf = 'dictionary'").select("document_id", "chunk_id", "label", "vote", r6(F.col("confidence")).alias("confidence"), "count")
+    return _rules(s, d, "dictionary").select("document_id", "chunk_id", "label", "vote", r6(F.col("confidence")).alias("confidence"), "count")
 
 
-def _rules(s, d):
-    return lab.apply_rules(i.chunks(s, d), c.DEMO_TERMS, c.DEMO_PATTERNS, c.DEMO_PRIORS)
+def _rules(s, d, *lfs):
+    return lab.apply_rules(i.chunks(s, d), c.DEMO_TERMS, c.DEMO_PATTERNS, c.DEMO_PRIORS, lfs=lfs or lab.RULE_LFS)
 
 
 def _pattern_sql(label: str) -> str:
@@ -314,7 +317,7 @@ def _pattern_sql(label: str) -> str:
 
 @query("L4_patterns", f"WITH {C} " + " UNION ALL ".join(map(_pattern_sql, c.LABELS)))
 def _(s, d):
-    return _rules(s, d).where("lf = 'medical_pattern'").select("document_id", "chunk_id", "label", "vote", "confidence", "count")
+    return _rules(s, d, "medical_pattern").select("document_id", "chunk_id", "label", "vote", "confidence", "count")
 
 
 @query("L5_regex_indicator", f"WITH {C} SELECT document_id, chunk_id, (len(regexp_extract_all(text, '[0-9]{{4,}}')) > 0)::INT AS vote, CASE WHEN len(regexp_extract_all(text, '[0-9]{{4,}}')) > 0 THEN 0.64 ELSE 0 END::DOUBLE AS confidence FROM chunks")
@@ -333,7 +336,7 @@ def _section_sql(label: str) -> str:
 
 @query("L6_section_prior", f"WITH {C} " + " UNION ALL ".join(map(_section_sql, c.LABELS)))
 def _(s, d):
-    return _rules(s, d).where("lf = 'section_prior'").select("document_id", "chunk_id", "label", "vote", "confidence")
+    return _rules(s, d, "section_prior").select("document_id", "chunk_id", "label", "vote", "confidence")
 
 
 @query("L1_votes", None)
@@ -348,10 +351,10 @@ def _(s, d):
     return i.chunks(s, d).select("document_id", "chunk_id", v.alias("v")).select("document_id", "chunk_id", "v.vote", "v.count")
 
 
-@query("L11_pairing", f"WITH {E} SELECT e.entity_id, coalesce(length(k.text), 0)::INT AS n FROM entities e LEFT JOIN (SELECT document_id, chunk_id, max(text) AS text FROM entities WHERE entity_id % 3 = 0 GROUP BY ALL) k USING (document_id, chunk_id)")
+@query("L11_pairing", f"WITH {E} SELECT e.entity_id, coalesce(length(k.text), 0)::INT AS n FROM entities e LEFT JOIN (SELECT document_id, chunk_id, max(text) AS text FROM entities GROUP BY ALL) k USING (document_id, chunk_id)")
 def _(s, d):
     e = i.entities(s, d)
-    ch = e.where("entity_id % 3 = 0").groupBy("document_id", "chunk_id").agg(F.max("text").alias("text")).withColumn("section", F.lit(""))
+    ch = e.groupBy("document_id", "chunk_id").agg(F.max("text").alias("text")).withColumn("section", F.lit(""))
     return lab.pair_with_chunks(e.drop("text"), ch).select("entity_id", F.length("chunk_text").alias("n"))
 
 
@@ -527,7 +530,7 @@ def _(s, d):
     return fu.protect(_triaged(s, d), i.entity_votes(s, d), 1, 0.5).select("entity_id", "protected", "status")
 
 
-@query("A20_override", f"WITH {EV}, {E}, {_A14}, {_TRI}, o AS (SELECT *, (final_type IN ('treatments', 'plans') OR candidate_type IN ('treatments', 'plans')) AND contains(name || ' ' || evidence_text, 'er') AS hit FROM tri) SELECT entity_id, hit AS overridden, CASE WHEN hit THEN 'plans' ELSE final_type END AS final_type, CASE WHEN hit AND located THEN 'accepted' ELSE status END AS status FROM o")
+@query("A20_override", f"WITH {EV}, {E}, {_A14}, {_TRI}, o AS (SELECT *, (final_type IN ('treatments', 'plans') OR candidate_type IN ('treatments', 'plans')) AND regexp_matches(name || chr(10) || evidence_text, '(?i)er') AS hit FROM tri) SELECT entity_id, hit AS overridden, CASE WHEN hit THEN 'plans' ELSE final_type END AS final_type, CASE WHEN hit AND located THEN 'accepted' ELSE status END AS status FROM o")
 def _(s, d):
     return fu.plan_override(_triaged(s, d), ("er",)).select("entity_id", "overridden", "final_type", "status")
 
@@ -555,9 +558,9 @@ def _(s, d):
     return ent.parse_responses(r, c.ENTITY_TYPES).select("document_id", "chunk_id", "entity_type", "name", "confidence")
 
 
-@query("E6_entity_base", f"WITH {E} SELECT DISTINCT document_id, chunk_id, entity_type, trim(name[1:3]) AS name, 'TEMP_' || sha1(document_id || '|' || chunk_id || '|' || entity_type || '|' || trim(name[1:3]))[1:12] AS entity_id FROM entities WHERE trim(name[1:3]) <> ''")
+@query("E6_entity_base", f"WITH {E} SELECT DISTINCT document_id, chunk_id, entity_type, trim(name) AS name, 'TEMP_' || sha1(document_id || '|' || chunk_id || '|' || entity_type || '|' || trim(name))[1:12] AS entity_id FROM entities WHERE trim(name) <> ''")
 def _(s, d):
-    x = i.entities(s, d).select("document_id", "chunk_id", "entity_type", F.substring("name", 1, 3).alias("name"), F.col("entity_id").alias("ord"))
+    x = i.entities(s, d).select("document_id", "chunk_id", "entity_type", "name", F.col("entity_id").alias("ord"))
     return ent.entity_base(x).select("document_id", "chunk_id", "entity_type", "name", "entity_id")
 
 
@@ -691,17 +694,17 @@ def _(s, d):
     return lay.two_columns(words, least_words=8)
 
 
-@query("G7_regions", f"WITH {B}, j AS (SELECT k.document_id, k.object_id AS chunk_id, l.page, l.x0, l.top, l.x1, l.bottom, contains(regexp_replace(k.line, '\\s+', '', 'g'), regexp_replace(l.line, '\\s+', '', 'g')[1:12]) AND regexp_replace(l.line, '\\s+', '', 'g') <> '' AS own FROM boxes k JOIN boxes l ON k.document_id = l.document_id AND l.page BETWEEN k.page AND k.page + 1 WHERE k.object_id % 5 = 0) SELECT document_id, chunk_id, page, coalesce(min(x0) FILTER (own), min(x0)) AS x0, coalesce(max(bottom) FILTER (own), max(bottom)) AS bottom, bool_or(own) AS matched FROM j GROUP BY ALL")
+@query("G7_regions", f"WITH {B}, j AS (SELECT k.document_id, k.object_id AS chunk_id, l.page, l.x0, l.top, l.x1, l.bottom, contains(regexp_replace(k.line, '\\s+', '', 'g'), regexp_replace(l.line, '\\s+', '', 'g')[1:12]) AND regexp_replace(l.line, '\\s+', '', 'g') <> '' AS own FROM boxes k JOIN boxes l ON k.document_id = l.document_id AND l.page BETWEEN k.page AND k.page + 1) SELECT document_id, chunk_id, page, coalesce(min(x0) FILTER (own), min(x0)) AS x0, coalesce(max(bottom) FILTER (own), max(bottom)) AS bottom, bool_or(own) AS matched FROM j GROUP BY ALL")
 def _(s, d):
     b = i.boxes(s, d)
-    k = b.where("object_id % 5 = 0").select("document_id", F.col("object_id").alias("chunk_id"), F.col("line").alias("text"), F.col("page").alias("page_start"), (F.col("page") + 1).alias("page_end"))
+    k = b.select("document_id", F.col("object_id").alias("chunk_id"), F.col("line").alias("text"), F.col("page").alias("page_start"), (F.col("page") + 1).alias("page_end"))
     return lay.chunk_regions(k, b.select("document_id", "page", "line", "x0", "top", "x1", "bottom")).select("document_id", "chunk_id", "page", "x0", "bottom", "matched")
 
 
-@query("G9_nearest_caption", f"WITH {B}, n AS (SELECT o.object_id, k.object_id AS caption_id, o.top - k.bottom AS distance, row_number() OVER (PARTITION BY o.object_id ORDER BY o.top - k.bottom, k.object_id) AS r FROM boxes o JOIN boxes k ON o.document_id = k.document_id AND o.page = k.page AND k.object_id % 5 = 1 AND o.top - k.bottom BETWEEN 0 AND 90 WHERE o.object_id % 3 = 0) SELECT o.object_id, caption_id, distance FROM boxes o LEFT JOIN n ON n.object_id = o.object_id AND r = 1 WHERE o.object_id % 3 = 0")
+@query("G9_nearest_caption", f"WITH {B}, n AS (SELECT o.object_id, k.object_id AS caption_id, o.top - k.bottom AS distance, row_number() OVER (PARTITION BY o.object_id ORDER BY o.top - k.bottom, k.object_id) AS r FROM boxes o JOIN boxes k ON o.document_id = k.document_id AND o.page = k.page AND o.top - k.bottom BETWEEN 0 AND 90) SELECT o.object_id, caption_id, distance FROM boxes o LEFT JOIN n ON n.object_id = o.object_id AND r = 1")
 def _(s, d):
     b = i.boxes(s, d)
-    return lay.nearest_caption(b.where("object_id % 3 = 0"), b.where("object_id % 5 = 1").withColumnRenamed("object_id", "caption_id")).select("object_id", "caption_id", "distance")
+    return lay.nearest_caption(b, b.withColumnRenamed("object_id", "caption_id")).select("object_id", "caption_id", "distance")
 
 
 @query("G12_explicit", f"WITH {B}, k AS (SELECT DISTINCT document_id, object_id AS chunk_id, CASE WHEN object_id % 2 = 0 THEN 'table' ELSE 'figure' END AS ty, (object_id % 11)::VARCHAR AS n FROM boxes) SELECT k.document_id, chunk_id, o.object_id FROM k JOIN boxes o ON o.document_id = k.document_id AND o.object_type = ty AND o.number = n")
@@ -711,13 +714,12 @@ def _(s, d):
     return lay.explicit_links(b.select("document_id", k.alias("chunk_id"), text.alias("text")), b).select("document_id", "chunk_id", "object_id")
 
 
-_G13 = """prox AS (SELECT r.document_id, r.object_id AS chunk_id, o.object_id FROM boxes r JOIN boxes o ON r.document_id = o.document_id AND r.page = o.page WHERE r.object_id % 4 = 1 AND o.object_id % 3 = 0
- AND greatest(0, r.top - o.bottom, o.top - r.bottom) <= 120 AND greatest(0, least(r.x1, o.x1) - greatest(r.x0, o.x0)) / greatest(1e-9, least(r.x1 - r.x0, o.x1 - o.x0)) >= 0.3)"""
+_G13 = """prox AS (SELECT r.document_id, r.object_id AS chunk_id, o.object_id FROM boxes r JOIN boxes o ON r.document_id = o.document_id AND r.page = o.page WHERE greatest(0, r.top - o.bottom, o.top - r.bottom) <= 120 AND greatest(0, least(r.x1, o.x1) - greatest(r.x0, o.x0)) / greatest(1e-9, least(r.x1 - r.x0, o.x1 - o.x0)) >= 0.3)"""
 
 
 def _proximity(s, d):
     b = i.boxes(s, d)
-    return lay.proximity_links(b.where("object_id % 4 = 1").withColumnRenamed("object_id", "chunk_id"), b.where("object_id % 3 = 0"))
+    return lay.proximity_links(b.withColumnRenamed("object_id", "chunk_id"), b)
 
 
 @query("G13_proximity", f"WITH {B}, {_G13} SELECT * FROM prox")
@@ -826,12 +828,15 @@ def _(s, d):
     return x.select(F.col("doc_id").alias("document_id"), F.when(F.col("doc_id") == F.col("first"), F.col("source")).otherwise(F.concat("source", F.lit("_"), F.substring(F.sha1(F.col("doc_id").cast("string")), 1, 8))).alias("stem"))
 
 
-@query("H7_batches", f"WITH {C} SELECT document_id, chunk_index, (chunk_index // 10)::INT AS batch FROM chunks")
+@query("H7_batches", None)
 def _(s, d):
-    return i.chunks(s, d).select("document_id", "chunk_index", F.expr("chunk_index div 10").cast("int").alias("batch"))
+    return ent.batches(i.chunks(s, d).select("document_id", F.col("chunk_index").alias("ord"), "text"), 20, 2500)
 
 
 @query("H17_first_images", f"WITH {B}, x AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY object_id) AS k FROM boxes) SELECT document_id, page, object_id FROM x WHERE k <= 2")
 def _(s, d):
     w = Window.partitionBy("document_id", "page").orderBy("object_id")
     return i.boxes(s, d).withColumn("k", F.row_number().over(w)).where("k <= 2").select("document_id", "page", "object_id")
+
+
+from silkgrain.plans import guidelines  # noqa: E402,F401  registers its queries

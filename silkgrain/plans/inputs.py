@@ -28,10 +28,15 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 def chunks(spark: SparkSession, d: str) -> DataFrame:
     lines = F.split("text", "\n")
-    x = docs(spark, d).select("document_id", F.substring(lines[0], 1, 40).alias("section"), F.posexplode(lines).alias("chunk_index", "text"))
+    x = docs(spark, d).select("document_id", lines[0].alias("section"), F.posexplode(lines).alias("chunk_index", "text"))
     return x.select("document_id", "chunk_index", F.format_string("CH%04d", F.col("chunk_index") + 1).alias("chunk_id"), "text", "section")
 
 
+def _line(k: int) -> Column:
+    """A line of the text, empty where there is none."""
+    return F.coalesce(F.get(F.split("text", "\n"), F.lit(k)), F.lit(""))
+
+
 def _each(values: tuple[str, ...], name: str, order: str) -> Column:
     return F.explode(F.array(*[F.struct(F.lit(v).alias(name), F.lit(i).alias(order)) for i, v in enumerate(values)]))
 
@@ -61,7 +66,7 @@ def entities(spark: SparkSession, d: str) -> DataFrame:
     status = F.when(i % 5 == 0, "rejected").when(i % 5 == 1, "review").otherwise("accepted")
     return table(spark, d, "documents", "doc_id", "text").select(
         F.expr("doc_id div 40").alias("document_id"), i.alias("entity_id"), kind.alias("entity_type"), ((i % 40) / 4).cast("int").alias("chunk_index"),
-        F.concat(F.lit("CH"), ((i % 40) / 4).cast("int")).alias("chunk_id"), F.substring("text", 1, 12).alias("name"), F.substring("text", 5, 30).alias("evidence_text"), "text", status.alias("status"),
+        F.concat(F.lit("CH"), ((i % 40) / 4).cast("int")).alias("chunk_id"), _line(0).alias("name"), _line(1).alias("evidence_text"), "text", status.alias("status"),
     )
 
 
@@ -70,7 +75,7 @@ def boxes(spark: SparkSession, d: str) -> DataFrame:
     x0, top = (i * 7 % 50) * F.lit(10.0), (i * 13 % 70) * F.lit(10.0)
     return table(spark, d, "documents", "doc_id", "text").select(
         F.expr("doc_id div 40").alias("document_id"), (i % 3).cast("int").alias("page"), i.alias("object_id"), x0.alias("x0"), top.alias("top"), (x0 + 100 + (i % 5) * 20).alias("x1"), (top + 12 + (i % 4) * 10).alias("bottom"),
-        F.when(i % 2 == 0, "table").otherwise("figure").alias("object_type"), (i % 7).cast("string").alias("number"), F.substring("text", 1, 30).alias("line"),
+        F.when(i % 2 == 0, "table").otherwise("figure").alias("object_type"), (i % 7).cast("string").alias("number"), _line(0).alias("line"),
     )
 
 
@@ -85,18 +90,34 @@ def _votes_sql(name: str, labels: tuple[str, ...], lfs: tuple[str, ...], key: st
   FROM documents, (VALUES {_values(labels)}) l(label, lo), (VALUES {_values(lfs)}) f(lf, fo))"""
 
 
+#: Latin letters as characters of the lexicon, so that whole texts meet the rules on Chinese ones.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+CHINESE = "断表因案发现病疗检查疹疼机诊访制痛热方治率皮随阳高性"
+
+
+def cn_docs(spark: SparkSession, d: str) -> DataFrame:
+    """docs with every Latin letter as a Chinese character."""
+    return docs(spark, d).withColumn("text", F.translate(F.lower("text"), LATIN, CHINESE))
+
+
+def cn_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return chunks(spark, d).withColumns({k: F.translate(F.lower(k), LATIN, CHINESE) for k in ("text", "section")})
+
+
 DOCS_SQL = "docs AS (SELECT doc_id AS document_id, text FROM documents)"
 CHUNKS_SQL = DOCS_SQL + """,
 chunks AS (SELECT document_id, (n - 1)::INT AS chunk_index, 'CH' || lpad(n::VARCHAR, 4, '0') AS chunk_id, line AS text, section FROM
-  (SELECT document_id, string_split(text, chr(10))[1][1:40] AS section, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM docs))"""
+  (SELECT document_id, string_split(text, chr(10))[1] AS section, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM docs))"""
+CN_DOCS_SQL = f"docs AS (SELECT doc_id AS document_id, translate(lower(text), '{LATIN}', '{CHINESE}') AS text FROM documents)"
+CN_CHUNKS_SQL = CN_DOCS_SQL + CHUNKS_SQL.removeprefix(DOCS_SQL)
 VOTES_SQL = _votes_sql("votes", c.LABELS, LFS, "chunk_id")
 ENTITY_VOTES_SQL = _votes_sql("evotes", c.ENTITY_TYPES, ENTITY_LFS, "entity_id")
 ENTITIES_SQL = f"""entities AS (SELECT doc_id // 40 AS document_id, doc_id AS entity_id, [{", ".join(f"'{t}'" for t in c.ENTITY_TYPES)}][(doc_id % 8 + 1)::INT] AS entity_type,
-  ((doc_id % 40) // 4)::INT AS chunk_index, 'CH' || ((doc_id % 40) // 4) AS chunk_id, text[1:12] AS name, text[5:34] AS evidence_text, text,
+  ((doc_id % 40) // 4)::INT AS chunk_index, 'CH' || ((doc_id % 40) // 4) AS chunk_id, string_split(text, chr(10))[1] AS name, coalesce(string_split(text, chr(10))[2], '') AS evidence_text, text,
   CASE doc_id % 5 WHEN 0 THEN 'rejected' WHEN 1 THEN 'review' ELSE 'accepted' END AS status FROM documents)"""
 BOXES_SQL = """boxes AS (SELECT doc_id // 40 AS document_id, (doc_id % 3)::INT AS page, doc_id AS object_id, (doc_id * 7 % 50) * 10::DOUBLE AS x0, (doc_id * 13 % 70) * 10::DOUBLE AS top,
   (doc_id * 7 % 50) * 10::DOUBLE + 100 + (doc_id % 5) * 20 AS x1, (doc_id * 13 % 70) * 10::DOUBLE + 12 + (doc_id % 4) * 10 AS bottom,
-  CASE WHEN doc_id % 2 = 0 THEN 'table' ELSE 'figure' END AS object_type, (doc_id % 7)::VARCHAR AS number, text[1:30] AS line FROM documents)"""
+  CASE WHEN doc_id % 2 = 0 THEN 'table' ELSE 'figure' END AS object_type, (doc_id % 7)::VARCHAR AS number, string_split(text, chr(10))[1] AS line FROM documents)"""
 CONTRACT_SQL = "rel(relation, source_type, target_type, max_distance, quota) AS (VALUES " + ", ".join(
     f"('{r}', '{s}', '{t}', {m}, {'NULL' if q is None else q})" for r, s, t, m, q in c.RELATIONS
 ) + ")"
