@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silkgrain.llm import bytesops
@@ -230,21 +230,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_sent: int = MAX_SENT
     right = items.select("item_id", "h", "n", F.col("pos").alias("item_pos"), F.col("fill").alias("item_fill"))
     pairs = found.join(F.broadcast(right) if sent is not None else right, ["h", "n"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
     pairs = pairs.withColumn("held", F.array_distinct(F.arrays_zip(F.col("item_fill").alias("item"), F.col("fill").alias("doc"))))
-    one = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("item_pos", "n", "held")).alias("w"))
+    place = ["doc_id", "item_id", "shift"]
+    pairs = pairs.select(*place, "item_pos", "n", "held").distinct()
     # Fillers by name, not place: one name of the item must be one name in the document.
-    each = F.flatten(F.transform("w", lambda w: w["held"]))
-    one = one.withColumn("each", each).withColumn("named", F.transform(F.array_distinct("each"), lambda s: F.struct(
-        s["item"].alias("item"), s["doc"].alias("doc"), F.size(F.filter("each", lambda o: o == s)).alias("times"))))
-    worse = lambda s, o: (o["item"] == s["item"]) & ((o["times"] > s["times"]) | ((o["times"] == s["times"]) & (o["doc"]["t"] < s["doc"]["t"])))
-    one = one.withColumn("kept", F.filter("named", lambda s: ~F.exists("named", lambda o: worse(s, o))))
-    one = one.where(~F.exists("named", lambda s: (s["item"]["k"] == NAMED) & ~F.array_contains("kept", s)))
-    one = one.withColumn("named", F.transform("kept", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
-    one = one.withColumn("w", F.filter("w", lambda w: F.size(F.array_except(w["held"], "named")) == 0))
-    one = one.where(F.exists("w", lambda w: w["n"].bitwiseAND(~255) != DENSE)).withColumn("at", F.transform("w", lambda w: w["item_pos"]))
+    each = pairs.withColumn("s", F.explode_outer("held")).withColumns({"mine": F.col("s.item"), "its": F.col("s.doc")})
+    times = F.count("*").over(Window.partitionBy(*place, "mine", "its"))
+    likely = Window.partitionBy(*place, "mine").orderBy(F.desc("times"), "its.t")
+    each = each.withColumn("times", times).withColumn("best", F.first("its").over(likely))
+    each = each.withColumn("bad", F.coalesce(F.col("its") != F.col("best"), F.lit(False)))
+    each = each.withColumn("ok", ~F.max("bad").over(Window.partitionBy(*place, "item_pos", "n", "held")))
+    one = each.groupBy(*place).agg(
+        F.max(F.col("bad") & (F.col("mine.k") == NAMED)).alias("clash"),
+        F.max(F.col("ok") & (F.col("n").bitwiseAND(~255) != DENSE)).alias("evidence"),
+        F.collect_set(F.when(F.col("ok"), F.col("item_pos"))).alias("at"),
+        F.collect_set(F.when(F.col("s").isNotNull(), F.struct("mine", "best"))).alias("named"),
+    ).where("evidence AND NOT coalesce(clash, false)")
     per = one.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_windows"),
         F.max(F.size("named")).cast("long").alias("n_slots"),
-        F.max(F.size(F.filter("named", lambda s: s["item"]["t"] != s["doc"]["t"]))).cast("long").alias("n_changed"),
+        F.max(F.size(F.filter("named", lambda s: s["mine"]["t"] != s["best"]["t"]))).cast("long").alias("n_changed"),
     )
     share = F.col("n_windows") / F.col("item_windows")
     return per.join(many, "item_id").select(
