@@ -29,7 +29,7 @@ from silkgrain.llm.common import table, written
 
 CAP = 3
 SALTS = 64
-BAND = 6  # sizes that differ above these bits alone are in different bands
+BAND = 3  # sizes that differ above these bits alone are in different bands
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
