@@ -126,11 +126,6 @@ class Block:
             counts += [n, np.zeros(len(other), np.int64)]
         return counted(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
-    def distinct(self, kind: int) -> np.ndarray:
-        """The block's distinct keys in order."""
-        keys = [np.unique(self.symbols_of(kind, a, b)[0]) for a, b in self.pieces()]
-        return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
-
     def symbols_of(self, kind: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         return self.words(a, b) if kind == WORDS else self.grams(a, b)
 
@@ -178,15 +173,15 @@ def _row(block: int, part: int, kind: int, keys: bytes, more: bytes) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((block, part, kind, keys, more), kinds, strict=True)], names=["block", "part", "kind", "keys", "more"])
 
 
-def send(docs: DataFrame, parts: int, counts: bool) -> DataFrame:
-    """SHAPE: the distinct keys of each block, a row for each kind and part; their counts on request."""
+def send(docs: DataFrame, parts: int) -> DataFrame:
+    """SHAPE: the distinct keys of each block with their counts, a row for each kind and part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in blocks(batches):
             for kind in (WORDS, GRAMS):
-                keys, n = block.tally(kind) if counts else (block.distinct(kind), None)
+                keys, n = block.tally(kind)
                 for p, at in parted(keys, kind, parts):
-                    yield _row(number, p, kind, keys[at].tobytes(), n[at].tobytes() if counts else b"")
+                    yield _row(number, p, kind, keys[at].tobytes(), n[at].astype(np.int32).tobytes())
 
     return numbered(docs).mapInArrow(run, SHAPE)
 
@@ -206,7 +201,7 @@ def merge(sent: DataFrame, parts: int) -> DataFrame:
                     yield _row(-1, *now, *(x.tobytes() for x in joined()))
                     held, waiting = held[:0], 0
                 now = (part, kind)
-                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(more, np.int64)))
+                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(more, np.int32).astype(np.int64)))
                 waiting += len(held[-1][0])
                 if waiting > 2_000_000 and waiting > len(held[0][0]):  # then sums take the place of rows
                     held, waiting = [joined()], 0
@@ -291,20 +286,19 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def look_up(merged: DataFrame, asked: DataFrame, low: object, parts: int) -> DataFrame:
-    """SHAPE: to each row asked the values of its keys, in their order (in more): counts of words,
-    log10 probabilities of grams. low: a broadcast Level."""
+    """SHAPE: each row asked with the values of its keys (in more): counts of words, log10
+    probabilities of grams. low: a broadcast Level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = value = None
         for batch in batches:
             for block, part, kind, k, more in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
-                k = np.frombuffer(k, np.uint64)
                 if block < 0:  # stands before the rows that ask
-                    keys, value = k, np.frombuffer(more, np.int64)
+                    keys, value = np.frombuffer(k, np.uint64), np.frombuffer(more, np.int64)
                     if kind == GRAMS:
                         value = log_probabilities(keys, value, low.value).astype(np.float32)
                 else:
-                    yield _row(block, part, kind, b"", value[np.searchsorted(keys, k)].tobytes())
+                    yield _row(block, part, kind, k, value[np.searchsorted(keys, np.frombuffer(k, np.uint64))].tobytes())
 
     return merged.unionByName(asked).repartition(parts, "part", "kind").sortWithinPartitions("part", "kind", "block").mapInArrow(run, SHAPE)
 
@@ -316,14 +310,15 @@ def score(docs: DataFrame) -> DataFrame:
     docs = stable_rows(docs.select("doc_id", "text")).select("doc_id", F.col("text").cast("string").alias("text"), held)
     # Parts follow the input: there are as many tasks at least as it has splits.
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    merged = written(merge(send(docs, parts, True), parts))
+    sent = written(send(docs, parts))
+    merged = written(merge(sent, parts))
     sums = merged.where(F.col("kind") == WORDS).select("more").mapInArrow(_sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     n, v = int(sums[0] or 0), int(sums[1] or 0)
     rows = merged.where(F.col("kind") == GRAMS).select("keys", "more").mapInArrow(_low_rows, "low long, n long")
     rows = rows.groupBy("low").agg(F.sum("n").alias("n")).toArrow()  # at most 2 ** 24 rows
     order = np.argsort(rows["low"].to_numpy())
     low = spark.sparkContext.broadcast(low_levels(rows["low"].to_numpy()[order].astype(np.uint64), rows["n"].to_numpy()[order]))
-    values = look_up(merged, send(docs, parts, False), low, parts)
+    values = look_up(merged, sent.withColumn("more", F.lit(b"")), low, parts)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block's documents, to where its values go."""
@@ -338,7 +333,7 @@ def score(docs: DataFrame) -> DataFrame:
     id_type = docs.limit(0).toArrow().schema.field("doc_id").type
     floor = np.log10(n + ALPHA * (v + 1)) if n else 0.0
 
-    def summed(info: bytes, body: bytes, got: dict[int, dict[int, bytes]]) -> pa.RecordBatch:
+    def summed(info: bytes, body: bytes, got: dict[int, list[tuple[bytes, bytes]]]) -> pa.RecordBatch:
         t = pa.ipc.open_stream(info).read_all()
         size = t["size"].to_numpy()
         data = pa.decompress(body, int(size.sum()), "zstd", asbytes=True)
@@ -346,10 +341,9 @@ def score(docs: DataFrame) -> DataFrame:
         block = Block([], t["held"].to_pylist(), [data[a : a + k] for a, k in zip(at, size, strict=True)])
         value = {}
         for kind, dtype in ((WORDS, np.int64), (GRAMS, np.float32)):
-            keys = block.distinct(kind)
-            value[kind] = keys, np.zeros(len(keys))
-            for p, where in parted(keys, kind, parts):
-                value[kind][1][where] = np.frombuffer(got[kind][p], dtype)
+            keys, found = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*got[kind], strict=True), (np.uint64, dtype), strict=True))
+            order = np.argsort(keys)
+            value[kind] = keys[order], found[order].astype(np.float64)
         many = len(size)
         total, base, tokens, known = (np.zeros(many) for _ in range(4))
         for a, b in block.pieces():
@@ -381,9 +375,9 @@ def score(docs: DataFrame) -> DataFrame:
                 if part < 0:
                     if now is not None:
                         yield summed(*text, got)
-                    now, text, got = block, (more, keys), {WORDS: {}, GRAMS: {}}
+                    now, text, got = block, (more, keys), {WORDS: [], GRAMS: []}
                 else:
-                    got[kind][part] = more
+                    got[kind].append((keys, more))
         if now is not None:
             yield summed(*text, got)
 
