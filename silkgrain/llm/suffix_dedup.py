@@ -38,7 +38,7 @@ from silkgrain.llm.common import stable_rows, table, written
 
 SPAN, K = 200, 64
 SHALLOW = 32
-PART = 1_000
+PART = 8_000
 HOT_SHARE = 4_096
 _PIECE = 1 << 19
 _KEEP = np.uint64((1 << 64) - (1 << 28))
