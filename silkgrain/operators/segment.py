@@ -62,7 +62,9 @@ def lines(docs: DataFrame, text: str = "full_text") -> DataFrame:
 
 def anchors(lined: DataFrame, level: Column | None = None) -> DataFrame:
     """C4: lines that are headings, with level; one for each start."""
-    level = heading_level(F.col("line")) if level is None else level
+    if level is None:  # a line that stays longer than any heading needs no further look
+        lined = lined.where(F.length(F.translate("line", " \t", "")) <= 90)
+        level = heading_level(F.col("line"))
     return lined.withColumn("level", level).where("level IS NOT NULL").withColumn("title", F.trim(F.regexp_replace("line", r"\s+", " ")))
 
 
@@ -206,7 +208,8 @@ def build_chunks(docs: DataFrame, least: int = 200, most: int = 1200, merge: int
     sections, subsections or paragraphs packed and cut, small ones merged; chunks in other
     languages go, unless min_ratio is None. Places are code points of the text without its tail.
     """
-    body = docs.select("document_id", t.remove_tail(F.col("text")).alias("text"))
+    # Dealt by document once: lines, sections and texts meet again without another shuffle of texts.
+    body = docs.select("document_id", t.remove_tail(F.col("text")).alias("text")).repartition("document_id")
     made = section_chunks(document_sections(body, "text", level), least, most)
     order = F.struct("start", "end", "path", "text")
     g = made.groupBy("document_id").agg(F.array_sort(F.collect_list(order)).alias("s"))
