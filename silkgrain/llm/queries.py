@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from silkgrain.llm import mixing, warc
+from silkgrain.llm import fill_middle, filter_audit, mixing, warc
+from silkgrain.llm.fill_middle import op11_fill_in_middle
+from silkgrain.llm.filter_audit import op13_filter_audit
+from silkgrain.llm.hash_ring import op12_hash_ring_shards
 from silkgrain.llm.mixing import op9_entropy_mixing
 from silkgrain.llm.ppm import op7_ppm_scores
 from silkgrain.llm.pu_quality import op3_pu_quality
@@ -19,6 +22,7 @@ QUERIES = {
     for f in (
         op1_warc_transactions, op2_suffix_dedup, op3_pu_quality, op4_char_cnn_secrets, op5_weak_quality_rules,
         op6_simhash_components, op7_ppm_scores, op8_template_decontamination, op9_entropy_mixing, op10_text_density,
+        op11_fill_in_middle, op12_hash_ring_shards, op13_filter_audit,
     )
 }
-SQL = {"op1_warc_transactions": warc.SQL, "op9_entropy_mixing": mixing.SQL}
+SQL = {"op1_warc_transactions": warc.SQL, "op9_entropy_mixing": mixing.SQL, "op11_fill_in_middle": fill_middle.SQL, "op13_filter_audit": filter_audit.SQL}
