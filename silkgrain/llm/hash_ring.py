@@ -26,6 +26,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import json
 from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -52,13 +53,20 @@ def arcs(shards: int, nodes: int = NODES) -> list[tuple[int, ...]]:
     return [tuple(dict.fromkeys(ring[i:] + ring[:i])) for i in range(len(ring))]
 
 
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of constants, made in the JVM."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    body = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(body), f"array<struct<{schema}>>")))
+
+
 def ring_cells(spark: SparkSession, shards: int, nodes: int = NODES) -> DataFrame:
     """Cell, arc at its beginning, places of the nodes inside: 2^CELL_BITS rows whatever the data."""
     places = [p for p, _ in ring_nodes(shards, nodes)]
     width = RING_BITS - CELL_BITS
     starts = [bisect_right(places, c << width) for c in range((1 << CELL_BITS) + 1)]
     rows = [(c, starts[c], places[starts[c] : starts[c + 1]]) for c in range(1 << CELL_BITS)]
-    return spark.createDataFrame(rows, "__cell long, __first int, __nodes array<long>")
+    return _small(spark, rows, "__cell long, __first int, __nodes array<long>")
 
 
 def ring_place(key: Column) -> Column:
@@ -105,7 +113,7 @@ def fill_points(dealt: DataFrame, shards: int, nodes: int, law: str, slack: floa
     The driver holds a load and a place for each shard; sums by range and arc are stored.
     """
     spark = dealt.sparkSession
-    clockwise = spark.createDataFrame([(i, list(a)) for i, a in enumerate(arcs(shards, nodes))], "__arc int, clockwise array<int>")
+    clockwise = _small(spark, [(i, a) for i, a in enumerate(arcs(shards, nodes))], "__arc int, clockwise array<int>")
     with_arc = lambda df: df.join(F.broadcast(clockwise), "__arc")  # noqa: E731  shards * nodes rows
     loads = written(dealt.groupBy(_range(F.col("__at")).alias("range"), "__arc").agg(F.sum("__load").alias("load")))
     caps, have, done = capacities(loads, shards, law, slack), [0] * shards, -1
@@ -145,7 +153,7 @@ def shard_by_ring(
     dealt = ordered(rows, shards, nodes, key, None if law == "rows" else F.col(f"`{load}`"))
     full = fill_points(dealt, shards, nodes, law, slack)
     spark = rows.sparkSession
-    clockwise = spark.createDataFrame([(i, list(a)) for i, a in enumerate(arcs(shards, nodes))], "__arc int, __clockwise array<int>")
+    clockwise = _small(spark, [(i, a) for i, a in enumerate(arcs(shards, nodes))], "__arc int, __clockwise array<int>")
     last = F.array(*(F.lit(full.get(s, (1 << 63) - 1)) for s in range(shards))).cast("array<long>")
     free = F.filter("__clockwise", lambda s: F.element_at(last, s + 1) >= F.col("__at"))
     # Rounded capacities add up to the total, so someone has room; a last document may find none where loads are estimates.
