@@ -50,20 +50,21 @@ AUDIT = (
 )
 
 
-def _asked(relation: Column, start: Column, end: Column) -> Column:
+def asked(relation: Column, start: Column, end: Column) -> Column:
+    """A candidate as a question names it."""
     return F.concat(F.lit("Relation: "), start, F.lit(" -"), relation, F.lit("-> "), end)
 
 
 def audit_prompts(cands: DataFrame, contexts: DataFrame) -> DataFrame:
     """A prompt for each candidate; contexts: candidate_id, context_level, context."""
-    prompt = F.concat_ws("\n", F.lit(AUDIT), _asked(F.col("relation"), F.col("start_name"), F.col("end_name")), F.concat(F.lit("Context level: "), "context_level"), F.col("context"))
+    prompt = F.concat_ws("\n", F.lit(AUDIT), asked(F.col("relation"), F.col("start_name"), F.col("end_name")), F.concat(F.lit("Context level: "), "context_level"), F.col("context"))
     return cands.join(contexts, "candidate_id").select("candidate_id", "context_level", prompt.alias("prompt"))
 
 
 def batch_audit_prompts(cands: DataFrame, contexts: DataFrame, size: int = 8) -> DataFrame:
     """A prompt for up to `size` candidates of one document and context level, in order of id."""
     w = Window.partitionBy("document_id", "context_level").orderBy("candidate_id")
-    item = F.concat(F.lit("["), "candidate_id", F.lit("] "), _asked(F.col("relation"), F.col("start_name"), F.col("end_name")), F.lit("\n"), "context")
+    item = F.concat(F.lit("["), "candidate_id", F.lit("] "), asked(F.col("relation"), F.col("start_name"), F.col("end_name")), F.lit("\n"), "context")
     x = cands.join(contexts, "candidate_id").select("document_id", "context_level", "candidate_id", item.alias("item"), F.floor((F.row_number().over(w) - 1) / size).cast("int").alias("batch"))
     g = x.groupBy("document_id", "context_level", "batch").agg(F.array_sort(F.collect_list(F.struct("candidate_id", "item"))).alias("i"))
     body = F.array_join(F.transform("i", lambda r: r["item"]), "\n")
@@ -71,12 +72,13 @@ def batch_audit_prompts(cands: DataFrame, contexts: DataFrame, size: int = 8) ->
     return g.select("document_id", "context_level", "batch", F.transform("i", lambda r: r["candidate_id"]).alias("candidate_ids"), F.concat_ws("\n", rule, body).alias("prompt"))
 
 
-def candidates(entities: DataFrame, chunks: DataFrame, triggers: dict[str, tuple[str, ...]] | None = None, same_chunk_only: bool = False, most: int = c.MAX_DISTANCE) -> DataFrame:
+def candidates(entities: DataFrame, chunks: DataFrame, triggers: dict[str, tuple[str, ...]] | None = c.TRIGGERS, same_chunk_only: bool = False, most: int = c.MAX_DISTANCE) -> DataFrame:
     """Pairs of one document whose types some relation allows, at most its distance apart.
 
     Equality on (document, target type) carries the join; distance is a band on chunk_index,
     and a document's entities bound what meets. Entities: document_id, chunk_id, chunk_index,
-    entity_id, entity_type, name. Only with triggers are chunk texts fetched.
+    entity_id, entity_type, name. In different chunks a trigger must stand in one of them; None skips
+    that, and then no chunk text is fetched.
     """
     rel = F.broadcast(contract(entities.sparkSession))
     side = lambda p: entities.select("document_id", *[F.col(x).alias(f"{p}_{x}") for x in ("entity_id", "entity_type", "name", "chunk_id", "chunk_index")])

@@ -610,7 +610,7 @@ lvl AS (SELECT *, CASE WHEN relation = 'has_sub_disease' AND chunk_distance > 0
 
 def _cands(s, d):
     e = i.entities(s, d)
-    return rel.ordered(rel.candidates(e.drop("text"), e))
+    return rel.ordered(rel.candidates(e.drop("text"), e, None))
 
 
 @query("R1_candidates", f"WITH {E}, {REL}, {_R1} SELECT document_id, start_entity_id, relation, end_entity_id, chunk_distance, search_level, pos FROM lvl")
@@ -629,7 +629,7 @@ def _(s, d):
 @query("R5_topk", f"WITH {E}, {REL}, {_R1} SELECT document_id, start_entity_id, relation, end_entity_id FROM lvl WHERE pos <= 5")
 def _(s, d):
     e = i.entities(s, d)
-    return rel.limited(rel.candidates(e.drop("text"), e), 5).select("document_id", "start_entity_id", "relation", "end_entity_id")
+    return rel.limited(rel.candidates(e.drop("text"), e, None), 5).select("document_id", "start_entity_id", "relation", "end_entity_id")
 
 
 @query("R7_context", f"WITH {C} SELECT document_id, chunk_index, concat_ws(chr(10) || chr(10), lag(text) OVER w, text, lead(text) OVER w) AS context FROM chunks WINDOW w AS (PARTITION BY document_id ORDER BY chunk_index)")
@@ -840,3 +840,4 @@ def _(s, d):
 
 
 from silkgrain.plans import guidelines  # noqa: E402,F401  registers its queries
+from silkgrain.plans import layers  # noqa: E402,F401  so do these

@@ -1,0 +1,112 @@
+"""Audit, second layer, pages from words: against plain versions on small tables."""
+
+from __future__ import annotations
+
+import json
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from silkgrain import config as c
+from silkgrain.operators import audit, relations
+
+CAND = "document_id string, candidate_id string, relation string, start_entity_id string, end_entity_id string, start_name string, end_name string, quota int, search_level string, pos int"
+
+
+def make_candidates(seed, n=36):
+    rng, quota, rows = random.Random(seed), {r[0]: r[4] for r in c.RELATIONS}, []
+    for d in ("a", "b"):
+        for pos in range(1, n + 1):
+            rel = rng.choice(list(quota))
+            s, e = (f"t{rng.randrange(3)}", f"p{pos}") if rel == "implements_by" else (f"s{rng.randrange(3)}", f"t{rng.randrange(3)}" if rel == "follows_treatment" else f"x{pos}")
+            s, e = (e, s) if rel == "causes" else (s, e)
+            rows.append((d, f"{d}{pos}", rel, s, e, s, e, quota[rel], rng.choice(relations.LEVELS), pos))
+    return rows
+
+
+def plain_audit(rows, yes, batch):
+    """One document after the other, one batch after the other: questions asked, with answers, and calls."""
+    out, calls = [], 0
+    for d in sorted({r[0] for r in rows}):
+        confirmed, treatments = Counter(), set()
+        group = lambda r: None if r[2] == "implements_by" else (r[2], r[4] if r[2] == "causes" else r[3])
+
+        def allowed(r):
+            return r[3] in treatments if r[2] == "implements_by" else r[7] is None or confirmed[group(r)] < r[7]  # noqa: B023
+
+        for level in relations.LEVELS:
+            for plans in (False, True):
+                left = sorted((r for r in rows if r[0] == d and r[8] == level and (r[2] == "implements_by") == plans), key=lambda r: r[-1])
+                for context in audit.CONTEXTS:
+                    left, refused = [r for r in left if allowed(r)], []
+                    for k in range(0, len(left), batch):
+                        asked = [r for r in left[k : k + batch] if allowed(r)]
+                        calls += bool(asked)
+                        for r in asked:
+                            out.append((r[1], context, yes(r[1], context)))
+                            if not yes(r[1], context):
+                                refused.append(r)
+                                continue
+                            confirmed[group(r)] += 1
+                            if r[2] == "follows_treatment":
+                                treatments.add(r[4])
+                    left = refused
+    return out, calls
+
+
+@pytest.mark.parametrize(("seed", "batch", "share"), [(1, 1, 4), (2, 5, 3)])
+def test_layered_audit(spark, seed, batch, share):
+    rows = make_candidates(seed)
+    yes = lambda i, context: hash_of(i + context) % share == 0
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompt):
+        calls.add(1)
+        context = re.search(r"shown (\w+)", prompt)[1]
+        ids = re.findall(r"^\[(\w+)\]", prompt, re.M)
+        found = [{"candidate_id": i, "approved": yes(i, context), "evidence": f"of {i}", "confidence": "0.9"} for i in ids if yes(i, context) or hash_of(i) % 2]
+        return "Here: " + json.dumps({"results": found})
+
+    contexts = spark.createDataFrame([(r[1], k, f"shown {k} of {r[1]}") for r in rows for k in audit.CONTEXTS], "candidate_id string, context_level string, context string")
+    got = audit.layered_audit(spark.createDataFrame(rows, CAND), audit.model_asker(contexts, model), batch).collect()
+    want, n = plain_audit(rows, yes, batch)
+    assert sorted((r["candidate_id"], r["context_level"], r["approved"]) for r in got) == sorted(want)
+    assert calls.value == n  # nothing is asked twice, nothing in vain
+    assert all(r["evidence"] == f"of {r['candidate_id']}" and r["confidence"] == 0.9 for r in got if r["approved"])
+
+
+def hash_of(text):
+    return int.from_bytes(__import__("hashlib").sha1(text.encode()).digest()[:4], "big")
+
+
+def test_layered_audit_edges(spark):
+    none = spark.createDataFrame([], CAND)
+    ask = lambda todo: todo.select("candidate_id", F.lit(True).alias("approved"), F.lit(" ").alias("evidence"), F.lit("x").alias("confidence"))
+    assert audit.layered_audit(none, ask).count() == 0
+    one = spark.createDataFrame([("a", "1", "causes", "x", "s", "x", "s", 1, "same_chunk", 1)], CAND)
+    got = audit.layered_audit(one, ask).collect()  # without evidence nothing is confirmed, and every context is tried
+    assert [(r["context_level"], r["approved"], r["confidence"]) for r in sorted(got, key=lambda r: audit.CONTEXTS.index(r["context_level"]))] == [(k, False, 0.0) for k in audit.CONTEXTS]
+    broken = audit.layered_audit(one, audit.model_asker(spark.createDataFrame([], "candidate_id string, context_level string, context string"), lambda p: "no json"))
+    assert broken.where("approved").count() == 0 and broken.count() == 3
+
+
+def test_context_map(spark):
+    ch = spark.createDataFrame([("d", f"C{k}", k, f"text {k} " + ("needle" if k == 2 else "") + "y" * 400, ["p", "q"], "t") for k in range(6)] + [("e", "C0", 0, None, None, None)],
+                               "document_id string, chunk_id string, chunk_index int, text string, path array<string>, title string")
+    ent = spark.createDataFrame([("d", "1", " ", "not there"), ("d", "2", "needle", None), ("d", "3", "none", "of these"), ("e", "4", None, None), ("e", "5", None, None)], "document_id string, entity_id string, name string, evidence_text string")
+    cands = spark.createDataFrame([("d", "x", "1", "2", "C1", "C2"), ("d", "y", "3", "1", "C5", "C5"), ("d", "z", "3", "2", "C0", "C3"), ("d", "u", "3", "9", "none", "C0"), ("e", "v", "4", "5", "no", "no")],
+                                  "document_id string, candidate_id string, start_entity_id string, end_entity_id string, start_chunk_id string, end_chunk_id string")
+    got = {(r[0], r[1]): r[2] for r in audit.context_map(cands, ent, ch, 700, with_document=True).collect()}
+    shown = [f"[C{k}] p > q t\ntext {k} " + ("needle" if k == 2 else "") + "y" * 400 for k in range(6)]
+    joined = shown[1] + "\n" + shown[2]
+    at = joined.index("needle")
+    assert got["x", "entity_window"] == joined[at - 180 : at + 6 + 180]
+    assert got["x", "chunk"] == "\n\n".join(shown[1:3]) and got["x", "neighbor_chunks"] == "\n\n".join(shown[0:4])
+    assert got["y", "entity_window"] == "start_evidence: of these\nend_evidence: not there" and got["y", "chunk"] == shown[5]
+    assert got["y", "neighbor_chunks"] == "\n\n".join(shown[4:])
+    assert got["z", "neighbor_chunks"] == "\n\n".join(shown[0:5]) and got["z", "document"] == "\n\n".join(shown)[:700]
+    assert got["u", "chunk"] == shown[0] and got["v", "document"] == "[C0]"
+    assert got["v", "neighbor_chunks"] == got["v", "chunk"] == got["v", "entity_window"] == "start_evidence: \nend_evidence: "
