@@ -143,6 +143,15 @@ CONTEXT_STRUCTURAL = {
     "pathogeneses": (r"(发病机制|病理生理|机制|血管炎|免疫反应|炎症)",),
 }
 CONTEXT_NEGATIVE = {"symptoms": (r"(触发因素|诱发因素|诱因|危险因素|风险因素)", r"(治疗目标|治疗原则|治疗策略|mg|每日|疗程|冲击治疗)")}
+SECTION_TERMS = {
+    "symptoms": ("临床表现", "症状", "体征"),
+    "tests": ("检查", "诊断", "实验室", "辅助检查"),
+    "treatments": ("治疗", "处理", "管理"),
+    "plans": ("治疗", "方案", "用药"),
+    "etiologies": ("病因", "危险因素", "流行病学"),
+    "pathogeneses": ("发病机制", "病理", "机制"),
+    "sub_diseases": ("分型", "诊断", "分类"),
+}
 TRIGGERS = {
     "manifests_as": ("表现", "症状", "体征", "临床", "可见", "出现", "伴有"),
     "requires_test": ("检查", "检测", "培养", "诊断", "指标", "阳性", "阴性", "升高", "降低"),

@@ -137,14 +137,15 @@ def layered_audit(cands: DataFrame, ask: Ask, batch: int = BATCH, contexts: tupl
                 number = ((F.row_number().over(Window.partitionBy("document_id").orderBy("pos")) - 1) / batch).cast("int")
                 pending = written(_allowed(pending.select(cands.columns), log).drop("left").withColumn("batch", number))
                 here = (F.col("phase") == phase) & (F.col("context_level") == context) & (F.col("search_level") == level)
-                if pending.isEmpty():
+                left, wave = pending.count(), 0
+                if not left:
                     break
-                wave = 0
-                while wave is not None:
+                while left:
                     rest = pending.join(log.rows().where(here).select("candidate_id"), "candidate_id", "left_anti")
                     todo = _ready(_allowed(rest, log))
                     log.append(_answered(todo, ask(todo.withColumn("context_level", F.lit(context))), phase, context, wave).select(schema.names))
-                    wave = None if log.rows().where(here & (F.col("wave") == wave)).isEmpty() else wave + 1
+                    new = log.rows().where(here & (F.col("wave") == wave)).count()
+                    left, wave = (left - new if new else 0), wave + 1  # what no wave asks is no longer allowed
                 pending = log.rows().where(here & ~F.col("approved"))
     return log.rows().select(*keep, "phase", "context_level", "batch", "wave", "approved", "evidence", "confidence")
 

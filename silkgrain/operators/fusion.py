@@ -185,7 +185,7 @@ def triage(best: DataFrame, accept: float = c.ACCEPT, review: float = c.REVIEW,
     band = F.array_compact(F.array(F.when(g < gap, F.lit("type_conflict_top2_gap")), F.when((p >= review) & (p < accept), F.lit("review_probability_band"))))
     reasons = (
         F.when(F.coalesce("name", F.lit("")) == "", F.array(F.lit("empty_name"))).when(F.coalesce("evidence_text", F.lit("")) == "", F.array(F.lit("empty_evidence")))
-        .when(~F.col("located"), F.array(F.lit("evidence_not_located"))).when(~F.col("final_type").isin(*scope), F.array(F.lit("label_out_of_scope")))
+        .when(~F.col("located"), F.array(F.lit("evidence_not_located"))).when(~F.col("final_type").isin(*scope), F.array(F.lit("schema_out_of_scope")))
         .when((p >= accept) & (g >= gap), F.array().cast("array<string>")).when(p < review, F.array(F.lit("low_probability"))).otherwise(band)
     )
     return best.withColumn("status", status).withColumn("reasons", reasons)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from silkgrain import config as c
 from silkgrain.operators import audit
 from silkgrain.operators import relations as rel
+from silkgrain.operators import second_layer as sl
 from silkgrain.plans import catalog
 from silkgrain.plans import inputs as i
 from silkgrain.plans.catalog import query
@@ -75,3 +76,110 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @query("R7_document", f"WITH {_SPREAD} SELECT document_id, sha256(string_agg(shown, chr(10) || chr(10) ORDER BY ci)[1:20000]) AS document_sha256 FROM sp GROUP BY 1")
 def _(s: SparkSession, d: str) -> DataFrame:
     return audit.document_text(spread(s, d)[1]).select("document_id", F.sha2("document", 256).alias("document_sha256"))
+
+
+# ---- second layer
+PROMPTS = ("prompt_a", "prompt_b", "prompt_c")
+
+
+def second_layer_inputs(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidate entities whose evidence is a line of the lexicon's characters, their chunks (of one entity in seven another one's, or none),
+    and answers of three prompts by arithmetic: to one entity in five all name its type."""
+    cn = lambda x: F.translate(F.lower(x), i.LATIN, i.CHINESE)
+    e, ch = spread(s, d)
+    k = F.col("chunk_index") + F.when(F.col("entity_id") % 7 == 3, 1).otherwise(0)
+    e = e.select("document_id", "entity_id", F.format_string("CH%04d", k + 1).alias("chunk_id"), "entity_type", cn("name").alias("name"), cn("evidence_text").alias("evidence_text"))
+    lines = F.split("text", "\n")
+    ch = ch.select("document_id", "chunk_id", cn("text").alias("text"), cn(lines[0]).alias("section"))
+    kind = F.array_position(F.array(*map(F.lit, c.ENTITY_TYPES)), F.col("entity_type"))
+    n, lo, fo = F.col("entity_id"), F.col("l.lo"), F.col("f.fo")
+    x = e.select("document_id", "entity_id", kind.alias("kind"), i._each(c.ENTITY_TYPES, "label", "lo").alias("l")).select("*", i._each(PROMPTS, "lf", "fo").alias("f"))
+    agreed = n % 5 == 0
+    answers = x.select(
+        "document_id", "entity_id", "f.lf", "l.label", F.when((n + fo) % 9 == 0, "error").otherwise("ok").alias("status"),
+        F.when(agreed, F.col("kind") == lo + 1).otherwise((n * 7 + lo * 3 + fo * 5) % 11 < 4).alias("present"), F.when(agreed, 0.9).otherwise(((n * 13 + lo * 17 + fo * 19) % 100) / 100).alias("confidence"),
+        F.lit(1).alias("count"), F.array(F.lit("e")).alias("evidence"),
+    )
+    return e, ch, answers
+
+
+def _cn(x: str) -> str:
+    return f"translate(lower({x}), '{i.LATIN}', '{i.CHINESE}')"
+
+
+def _count(x: str, patterns: tuple[str, ...]) -> str:
+    return " + ".join(f"regexp_matches({x}, '(?i){p}')::INT" for p in patterns) or "0"
+
+
+def _patterned_sql(lf: str, fo: int, kind: str, lo: int, x: str, tables: tuple[dict, dict, dict], against: float, sure: str, plain: str) -> str:
+    p, st, bad = (t.get(kind, ()) for t in tables)
+    return f"""SELECT entity_id, '{lf}' AS lf, {fo} AS fo, '{kind}' AS label, {lo} AS lo, CASE WHEN bad > 0 THEN -1 WHEN n > 0 THEN 1 ELSE 0 END AS vote,
+ (CASE WHEN bad > 0 THEN {against} WHEN n > 0 THEN CASE WHEN st > 0 THEN {sure} ELSE {plain} END ELSE 0 END)::DOUBLE AS confidence
+ FROM (SELECT entity_id, {_count(x, bad)} AS bad, {_count(x, st)} AS st, {_count(x, p)} + {_count(x, st)} AS n FROM b)"""
+
+
+def _second_layer_sql() -> str:
+    votes = []
+    for lo, k in enumerate(c.ENTITY_TYPES):
+        votes.append(f"SELECT entity_id, 'suggested' AS lf, 0 AS fo, '{k}' AS label, {lo} AS lo, CASE WHEN entity_type = '{k}' THEN 1 ELSE -1 END AS vote, (CASE WHEN entity_type = '{k}' THEN 0.72 ELSE 0.25 END)::DOUBLE AS confidence FROM b")
+        votes.append(_patterned_sql("surface", 1, k, lo, "sf", (c.SURFACE, c.SURFACE_STRUCTURAL, c.SURFACE_NEGATIVE), 0.62, "greatest(0.86, least(0.9, 0.55 + 0.05 * n))", "least(0.9, 0.55 + 0.05 * n)"))
+        votes.append(_patterned_sql("context", 2, k, lo, "w", (c.CONTEXT, c.CONTEXT_STRUCTURAL, c.CONTEXT_NEGATIVE), 0.58, "greatest(least(0.78, 0.5 + 0.06 * (n - st)), least(0.88, 0.70 + 0.06 * st))", "least(0.78, 0.5 + 0.06 * n)"))
+        hit = " OR ".join(f"contains(section, '{x}')" for x in c.SECTION_TERMS.get(k, ())) or "false"
+        votes.append(f"SELECT entity_id, 'section' AS lf, 3 AS fo, '{k}' AS label, {lo} AS lo, ({hit})::INT AS vote, (CASE WHEN {hit} THEN 0.42 ELSE 0 END)::DOUBLE AS confidence FROM b")
+    bare = lambda x: f"lower(regexp_replace({x}, '\\s+', '', 'g'))"
+    trim = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    kinds = ", ".join(f"'{k}'" for k in c.ENTITY_TYPES)
+    plan = [f"CASE WHEN regexp_matches(nm || chr(10) || ev, '(?i){p}') THEN 1 ELSE 0 END" for p in c.PLAN_PATTERNS]
+    return f"""WITH {E}, sp AS (SELECT document_id, entity_id, entity_type, {_cn("name")} AS nm, {_cn("evidence_text")} AS ev, {_cn("text")} AS tx, (entity_id % 40)::INT AS k FROM entities),
+b AS (SELECT a.document_id, a.entity_id, a.entity_type, a.nm, a.ev, a.nm || ' ' || a.ev AS sf, coalesce(string_split(h.tx, chr(10))[1], '') AS section, h.tx,
+  CASE WHEN a.ev <> '' AND instr(h.tx, a.ev) > 0 THEN substr(h.tx, greatest(instr(h.tx, a.ev) - 80, 1), instr(h.tx, a.ev) + length(a.ev) + 80 - greatest(instr(h.tx, a.ev) - 80, 1)) ELSE coalesce(h.tx[1:200], '') END AS w,
+  coalesce(({trim("a.ev")} <> '' AND (contains(h.tx, {trim("a.ev")}) OR contains({bare("h.tx")}, {bare("a.ev")}))) OR ({trim("a.nm")} <> '' AND (contains(h.tx, {trim("a.nm")}) OR contains({bare("h.tx")}, {bare("a.nm")}))), false) AS located
+  FROM sp a LEFT JOIN sp h ON h.document_id = a.document_id AND h.k = a.k + (a.entity_id % 7 = 3)::INT),
+v AS ({" UNION ALL ".join(votes)} UNION ALL SELECT entity_id, lf, 4 + fo, label, lo, (ok AND present AND q >= 0.5)::INT, CASE WHEN ok AND present AND q >= 0.5 THEN q ELSE 0 END FROM
+  (SELECT entity_id, lf, fo, label, lo, (entity_id + fo) % 9 <> 0 AS ok, CASE WHEN entity_id % 5 = 0 THEN entity_type = label ELSE (entity_id * 7 + lo * 3 + fo * 5) % 11 < 4 END AS present,
+   CASE WHEN entity_id % 5 = 0 THEN 0.9 ELSE ((entity_id * 13 + lo * 17 + fo * 19) % 100)::DOUBLE / 100 END::DOUBLE AS q FROM b, (VALUES {i._values(c.ENTITY_TYPES)}) l(label, lo), (VALUES {i._values(PROMPTS)}) f(lf, fo))),
+sc AS (SELECT entity_id, label, lo, sum(CASE WHEN vote > 0 THEN confidence WHEN vote < 0 THEN -0.6 * confidence ELSE 0 END) AS s FROM v GROUP BY ALL),
+pr AS (SELECT entity_id, label, lo, exp(s - max(s) OVER e) / sum(exp(s)) OVER e * exp(max(s) OVER e) AS p FROM sc WINDOW e AS (PARTITION BY entity_id)),
+rk AS (SELECT entity_id, list(label ORDER BY round(p, 12) DESC, lo) AS labels, list(p ORDER BY round(p, 12) DESC, lo) AS ps FROM pr GROUP BY 1),
+tr AS (SELECT b.*, labels[1] AS ft, ps[1] AS p, ps[1] - ps[2] AS g FROM b JOIN rk USING (entity_id)),
+st AS (SELECT *, CASE WHEN nm = '' OR ev = '' OR NOT located THEN 'rejected' WHEN p >= {c.ACCEPT} AND g >= {c.MIN_GAP} THEN 'accepted' WHEN p < {c.REVIEW} THEN 'rejected' ELSE 'review' END AS status,
+  CASE WHEN nm = '' THEN ['empty_name'] WHEN ev = '' THEN ['empty_evidence'] WHEN NOT located THEN ['evidence_not_located'] WHEN p >= {c.ACCEPT} AND g >= {c.MIN_GAP} THEN [] WHEN p < {c.REVIEW} THEN ['low_probability']
+  ELSE list_filter([CASE WHEN g < {c.MIN_GAP} THEN 'type_conflict_top2_gap' END, CASE WHEN p < {c.ACCEPT} THEN 'review_probability_band' END], lambda x: x IS NOT NULL) END AS reasons FROM tr),
+pt AS (SELECT st.entity_id, count(DISTINCT lf) FILTER (label = entity_type) >= 3 AND count(*) FILTER (label <> entity_type) = 0 AND any_value(located) AS hit, avg(v.confidence) FILTER (label = entity_type) AS mean
+  FROM st LEFT JOIN v ON v.entity_id = st.entity_id AND fo >= 4 AND vote > 0 AND v.confidence >= 0.8 GROUP BY 1),
+ps AS (SELECT st.* EXCLUDE (ft, p, g, status, reasons), hit, CASE WHEN hit THEN entity_type ELSE ft END AS ft, CASE WHEN hit THEN greatest(mean, p) ELSE p END AS p, CASE WHEN hit THEN greatest(g, 0.2) ELSE g END AS g,
+  CASE WHEN hit THEN 'accepted' ELSE status END AS status, CASE WHEN hit THEN [] ELSE reasons END AS reasons,
+  (SELECT coalesce(string_agg(lf, ',' ORDER BY fo), '') FROM v WHERE v.entity_id = st.entity_id AND ((hit AND label = entity_type AND fo >= 4 AND vote > 0 AND v.confidence >= 0.8) OR (NOT hit AND label = ft AND vote <> 0))) AS lfs FROM st JOIN pt USING (entity_id)),
+ov AS (SELECT *, (ft IN ('treatments', 'plans') OR entity_type IN ('treatments', 'plans')) AND {" + ".join(plan)} > 0 AS o FROM ps)
+SELECT entity_id, CASE WHEN o THEN 'plans' ELSE ft END AS final_type, round(CASE WHEN o THEN greatest(p, 0.72) ELSE p END::DOUBLE, 6) AS probability, round(CASE WHEN o THEN greatest(g, 0.2) ELSE g END::DOUBLE, 6) AS gap,
+ CASE WHEN o AND located THEN 'accepted' ELSE status END AS status, array_to_string(CASE WHEN o AND located THEN [] ELSE reasons END, ',') AS reasons, CASE WHEN o THEN lfs || ',plan_boundary' ELSE lfs END AS source_lfs,
+ located, hit AS protected, o AS overridden FROM ov"""
+
+
+@query("A21_second_layer", _second_layer_sql())
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Entities with four rules and three prompts, fused by each entity's softmax."""
+    x = sl.label_entities(*second_layer_inputs(s, d), with_model=False)
+    return x.select("entity_id", "final_type", "probability", "gap", "status", F.array_join("reasons", ",").alias("reasons"), F.array_join("source_lfs", ",").alias("source_lfs"), "located", "protected", "overridden")
+
+
+@query("A21_second_layer_model", None)
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The same, fused by a label model for each type."""
+    x = sl.label_entities(*second_layer_inputs(s, d))
+    return x.select("entity_id", "final_type", "probability", "gap", "status", "backend", F.array_join("source_lfs", ",").alias("source_lfs"))
+
+
+FIELDS = {k: {"id": "@id", "name": "@name", "status": "present" if k == "symptoms" else ""} for k in c.ENTITY_TYPES}
+
+
+@query("E11_nodes", f"""WITH x AS ({_second_layer_sql()}), a AS (SELECT *, status IN ('accepted', 'review') AS node, status = 'accepted' AND entity_id % 3 <> 0 AS ok FROM x)
+SELECT entity_id, final_type AS entity_type, status, CASE WHEN status = 'review' THEN 'review_defaults' WHEN ok THEN 'ok' ELSE 'fallback_defaults' END AS property_status, round(CASE WHEN ok THEN greatest(probability, 0.8) ELSE probability END::DOUBLE, 6) AS confidence,
+ 'id=' || entity_id || ',name=' || CASE WHEN ok THEN 'n' || entity_id ELSE (SELECT {_cn("string_split(text, chr(10))[1]")} FROM documents WHERE doc_id = entity_id) END || ',status=' || CASE WHEN final_type = 'symptoms' THEN 'present' ELSE '' END AS properties FROM a WHERE node""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Nodes: two in three accepted entities get an answer, with a property that no type has."""
+    x = sl.label_entities(*second_layer_inputs(s, d), with_model=False)
+    told = F.create_map(F.lit("name"), F.concat(F.lit("n"), F.col("entity_id")), F.lit("other"), F.lit("x"))
+    answers = x.where("entity_id % 3 <> 0").select("document_id", "entity_id", F.lit("ok").alias("status"), told.alias("properties"), F.lit(0.8).alias("confidence"), F.lit(None).cast("string").alias("reason"))
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("properties")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return sl.entity_nodes(x, FIELDS, answers)[0].select("entity_id", "entity_type", "status", "property_status", F.round("confidence", 6).alias("confidence"), shown.alias("properties"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 import re
 from collections import Counter
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from silkgrain import config as c
 from silkgrain.operators import audit, relations
+from silkgrain.operators import second_layer as sl
 
 CAND = "document_id string, candidate_id string, relation string, start_entity_id string, end_entity_id string, start_name string, end_name string, quota int, search_level string, pos int"
 
@@ -23,7 +25,7 @@ def make_candidates(seed, n=36):
             rel = rng.choice(list(quota))
             s, e = (f"t{rng.randrange(3)}", f"p{pos}") if rel == "implements_by" else (f"s{rng.randrange(3)}", f"t{rng.randrange(3)}" if rel == "follows_treatment" else f"x{pos}")
             s, e = (e, s) if rel == "causes" else (s, e)
-            rows.append((d, f"{d}{pos}", rel, s, e, s, e, quota[rel], rng.choice(relations.LEVELS), pos))
+            rows.append((d, f"{d}{pos}", rel, s, e, s, e, quota[rel], rng.choice(relations.LEVELS[1:3]), pos))
     return rows
 
 
@@ -110,3 +112,93 @@ def test_context_map(spark):
     assert got["z", "neighbor_chunks"] == "\n\n".join(shown[0:5]) and got["z", "document"] == "\n\n".join(shown)[:700]
     assert got["u", "chunk"] == shown[0] and got["v", "document"] == "[C0]"
     assert got["v", "neighbor_chunks"] == got["v", "chunk"] == got["v", "entity_window"] == "start_evidence: \nend_evidence: "
+
+
+ANSWER = "document_id string, entity_id string, lf string, label string, status string, present boolean, confidence double, count int, evidence array<string>"
+ENT = "document_id string, entity_id string, chunk_id string, entity_type string, name string, evidence_text string"
+TWO = ("sub_diseases", "symptoms")
+
+
+def said(spark, entity, scores, lf="prompt_a"):
+    return spark.createDataFrame([("D", entity, lf, k, "ok", True, v, 1, ["e"]) for k, v in scores.items()], ANSWER)
+
+
+def one(spark, evidence="fever syndrome", kind="sub_diseases", entity="E1"):
+    return spark.createDataFrame([("D", entity, "CH1", kind, evidence, evidence)], ENT)
+
+
+def chunk(spark, text="fever syndrome"):
+    return spark.createDataFrame([("D", "CH1", text, "t")], "document_id string, chunk_id string, text string, section string")
+
+
+def test_second_layer_statuses(spark):
+    label = lambda e, scores, with_model=False: sl.label_entities(e, chunk(spark), said(spark, "E1", scores), with_model, TWO, lfs=()).collect()[0]
+    got = label(one(spark), {"sub_diseases": 1.0})
+    assert (got["status"], got["final_type"], got["reasons"], got["source_lfs"]) == ("accepted", "sub_diseases", [], ["prompt_a"])
+    got = label(one(spark), {"sub_diseases": 1.0, "symptoms": 0.95})
+    assert got["status"] == "review" and "type_conflict_top2_gap" in got["reasons"] and set(got["probabilities"]) == set(TWO)
+    got = label(one(spark, "missing evidence"), {"sub_diseases": 1.0})
+    assert got["status"] == "rejected" and got["reasons"] == ["evidence_not_located"]
+    got = label(one(spark), {"sub_diseases": 1.0}, True)  # fewer than three LFs: the majority
+    assert got["backend"] == "label_model" and got["final_type"] == "sub_diseases" and got["one_vs_rest"]["sub_diseases"] > 0.5
+
+
+def test_second_layer_protection_and_override(spark):
+    answers = said(spark, "E1", {"etiologies": 0.9}).unionByName(said(spark, "E1", {"etiologies": 0.85}, "prompt_b")).unionByName(said(spark, "E1", {"etiologies": 0.8}, "prompt_c"))
+    for with_model in (False, True):
+        got = sl.label_entities(one(spark, kind="etiologies"), chunk(spark), answers, with_model).collect()[0]
+        assert got["protected"] and got["status"] == "accepted" and got["final_type"] == "etiologies" and got["backend"].endswith("_with_protection")
+        assert got["source_lfs"] == ["prompt_a", "prompt_b", "prompt_c"] and got["gap"] >= 0.2
+    other = answers.unionByName(said(spark, "E1", {"symptoms": 0.9}, "prompt_c"))
+    assert not sl.label_entities(one(spark, kind="etiologies"), chunk(spark), other, False).collect()[0]["protected"]
+    dose = "Prednisone 40 mg 每日口服"
+    got = sl.label_entities(one(spark, dose, "treatments"), chunk(spark, "then " + dose), with_model=False).collect()[0]
+    assert got["overridden"] and got["final_type"] == "plans" and got["status"] == "accepted" and got["reasons"] == [] and got["probability"] >= 0.72
+    assert len(got["plan_patterns"]) == 3 and got["source_lfs"][-1] == "plan_boundary"
+    lost = sl.label_entities(one(spark, dose, "treatments"), chunk(spark, "another text"), with_model=False).collect()[0]
+    assert lost["final_type"] == "plans" and lost["status"] == "rejected" and lost["reasons"] == ["evidence_not_located"]
+
+
+def test_second_layer_edges(spark):
+    rows = [("D", "1", "CH1", "tests", None, None), ("D", "2", None, "tests", "fever", "fever"), (None, "3", "CH1", "tests", "fever", "fever"), ("D", "4", "CH1", None, "ＦＥＶＥＲ Syndrome", "fever  syn drome")]
+    e = spark.createDataFrame(rows, ENT).withColumns({"vote": F.lit("x"), "located": F.lit(False), "label": F.lit(1)})
+    got = {r["entity_id"]: r for r in sl.label_entities(e, chunk(spark)).collect()}
+    assert len(got) == 4 and got["1"]["reasons"] == ["empty_name"] and not got["2"]["located"] and not got["3"]["located"] and got["4"]["located"]
+    assert got["3"]["backend"] == "local_fusion" and got["4"]["final_type"] is not None and not got["4"]["protected"]
+    assert sl.label_entities(e.where("false"), chunk(spark)).count() == 0
+
+
+def test_nodes(spark):
+    r = spark.createDataFrame(
+        [("D", str(k), "C", "tests", "culture", "e", s, w, ["lf"], 0.7, 0.3) for k, (s, w) in enumerate([("accepted", []), ("accepted", []), ("review", ["x"]), ("rejected", ["y"]), ("rejected", [])])],
+        "document_id string, entity_id string, chunk_id string, final_type string, name string, evidence_text string, status string, reasons array<string>, source_lfs array<string>, probability double, gap double",
+    )
+    fields = {"tests": {"test_id": "@id", "test_name": "@name", "unit": ""}}
+    answers = spark.createDataFrame([("D", "0", "ok", {"unit": "mg", "made_up": "x"}, 0.9, None), ("D", "1", "error", None, None, "timeout"), ("D", "2", "ok", {"unit": "g"}, 0.2, None)],
+                                    "document_id string, entity_id string, status string, properties map<string,string>, confidence double, reason string")
+    nodes, bad = sl.entity_nodes(r, fields, answers)
+    got = {x["entity_id"]: x for x in nodes.collect()}
+    assert got["0"]["properties"] == {"test_id": "0", "test_name": "culture", "unit": "mg"} and got["0"]["confidence"] == 0.9 and got["0"]["property_status"] == "ok"
+    assert got["1"]["property_status"] == "fallback_defaults" and got["1"]["properties"]["unit"] == "" and got["1"]["confidence"] == 0.7
+    assert got["2"]["property_status"] == "review_defaults" and got["2"]["status"] == "review" and set(got) == {"0", "1", "2"}
+    assert sorted((x["entity_id"], x["status"], x["reasons"]) for x in bad.collect()) == [
+        ("1", "property_incomplete", ["timeout"]), ("2", "property_incomplete", ["review_not_asked"]), ("3", "rejected", ["y"]), ("4", "rejected", ["not_selected"])]
+    got = {x["entity_id"]: x for x in sl.entity_nodes(r, fields, answers, True)[0].collect()}
+    assert got["2"]["property_status"] == "ok" and got["2"]["properties"]["unit"] == "g" and got["2"]["confidence"] == 0.7
+    assert sl.entity_nodes(r, fields)[1].where("status = 'property_incomplete'").count() == 3
+
+
+def test_label_entities_equals_plain_fold(spark):
+    rng = random.Random(5)
+    scores = [(f"E{n}", lf, k, rng.random() < 0.5, round(rng.random(), 2)) for n in range(20) for lf in ("prompt_a", "prompt_b") for k in c.ENTITY_TYPES]
+    answers = spark.createDataFrame([("D", e, lf, k, "ok", p, q, 1, ["e"]) for e, lf, k, p, q in scores], ANSWER)
+    e = spark.createDataFrame([("D", f"E{n}", "CH1", c.ENTITY_TYPES[n % 8], "fever", "fever") for n in range(20)], ENT)
+    for r in sl.label_entities(e, chunk(spark), answers, False, lfs=("suggested",)).collect():
+        s = {k: 0.72 if k == r["entity_type"] else -0.6 * 0.25 for k in c.ENTITY_TYPES}
+        for n, _, k, p, q in scores:
+            if n == r["entity_id"] and p and q >= 0.5:
+                s[k] += q
+        total = sum(math.exp(v) for v in s.values())
+        ranked = sorted(c.ENTITY_TYPES, key=lambda k: -s[k])
+        assert r["final_type"] == ranked[0] and abs(r["gap"] - (math.exp(s[ranked[0]]) - math.exp(s[ranked[1]])) / total) < 2e-6
+        assert all(abs(r["probabilities"][k] - math.exp(v) / total) < 2e-6 for k, v in s.items())
