@@ -143,6 +143,22 @@ CONTEXT_STRUCTURAL = {
     "pathogeneses": (r"(发病机制|病理生理|机制|血管炎|免疫反应|炎症)",),
 }
 CONTEXT_NEGATIVE = {"symptoms": (r"(触发因素|诱发因素|诱因|危险因素|风险因素)", r"(治疗目标|治疗原则|治疗策略|mg|每日|疗程|冲击治疗)")}
+#: Rows of a page: tokens whose base line has slipped, and tables without lines.
+FLOATING_TOKEN = r"^[\dA-Za-z%~～≤≥<>.=+\-()/·：:，,；;［\]\[\s]+$"
+CLOSED_ENDS = ("。", "）", ")", "：", ":")
+COUNT_WORD = "合项"
+TABLE_CAPTION = (
+    r"^(?:表\s*)?\d+\s*(?:改良|急性胰腺炎.*(?:评分|系统|特点)|.*评分(?:标准|系统)|.*临床特点)"
+    r"|^急性胰腺炎(?:分级诊断系统|局部并发症临床特点)$"
+)
+TABLE_BODY = r"^(?:特征\s*评分|分级系统|器官系统|评分|临床特点|感染性胰腺|[（(]4[）)]危重型)|^\d+分\d+分\d+分$"
+TABLE_NUMBER = r"^\d+(?:\.\d+)?$"
+TABLE_SYMBOL = r"[≤≥<>～~%]|mmHg|FiO2|PaO2|RAC|DBC|SAP|MAP|MSAP|WON|ANC|PP"
+TABLE_SHORT = r"(胰腺炎性反应|正常胰腺|胰腺坏死|坏死范围|并发症|器官功能|呼吸系统|肾脏|心血管系统)"
+TABLE_WORD = r"感染性胰腺|危重型急性胰腺炎|持续性器官功能障碍伴感染性|SOFA|发生于病程|包膜"
+TABLE_NOTES = ("注：", "注:")
+NARRATIVE = r"^(?:\d+(?:\.\d+)+|\d+\s+)[一-鿿]"
+ADVICE = "推荐"
 SECTION_TERMS = {
     "symptoms": ("临床表现", "症状", "体征"),
     "tests": ("检查", "诊断", "实验室", "辅助检查"),

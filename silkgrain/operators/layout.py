@@ -3,6 +3,7 @@ page carries every join, the geometric condition is checked on what meets."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def outside_tables(lines: DataFrame, tables: DataFrame, share: float = 0.35) ->
     """lines whose box isn't covered by `share` by any table of the page."""
     b = tables.select("document_id", "page", F.col("x0").alias("tx0"), F.col("top").alias("tt"), F.col("x1").alias("tx1"), F.col("bottom").alias("tb"))
     w = F.greatest(F.lit(0.0), F.least("x1", "tx1") - F.greatest("x0", "tx0")) * F.greatest(F.lit(0.0), F.least("bottom", "tb") - F.greatest("top", "tt"))
-    area = F.greatest(F.lit(1e-9), (F.col("x1") - F.col("x0")) * (F.col("bottom") - F.col("top")))
+    area = F.greatest(F.lit(1.0), (F.col("x1") - F.col("x0")) * (F.col("bottom") - F.col("top")))
     on = (lines["document_id"] == b["document_id"]) & (lines["page"] == b["page"]) & (w / area >= share)
     return lines.join(b, on, "left_anti")
 
@@ -122,29 +123,38 @@ def best_chunk(links: DataFrame) -> DataFrame:
     return links.groupBy("document_id", "object_id").agg(F.max("confidence").alias("confidence"), F.min(F.struct((-F.col("confidence")).alias("c"), "chunk_id")).alias("m")).select("document_id", "object_id", "m.chunk_id", "confidence")
 
 
-def two_columns(words: DataFrame, least_words: int = 80, side: float = 0.2, apart: float = 0.28, rounds: int = 15) -> DataFrame:
-    """two_column and split_x of each page by two means of the words' centres."""
+def two_columns(words: DataFrame, least_words: int = 80, side: float = 0.2, apart: float = 0.28, rounds: int = 15, begin: float = 0.2) -> DataFrame:
+    """two_column and split_x of each page by two means of the words' centres, from their 30th and 70th
+    percentile on; not where these are less than `begin` of the width apart, a column holds less than `side` of the words or the
+    means end less than `apart` of the width from each other. A page's words are a group."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x = ((pdf["x0"] + pdf["x1"]) / 2).to_numpy()
-        width = float(pdf["page_width"].max() or 1)
-        a, b, found = (float(x.min()), float(x.max()), False) if len(x) else (0.0, 0.0, False)
-        for _ in range(rounds):
-            left = abs(x - a) <= abs(x - b)
-            if left.all() or not left.any():
-                break
-            na, nb = float(x[left].mean()), float(x[~left].mean())
-            if (na, nb) == (a, b):
-                break
-            a, b = na, nb
-        if len(x) >= least_words and a != b:
-            left = abs(x - a) <= abs(x - b)
-            found = min(left.mean(), 1 - left.mean()) >= side and abs(b - a) / width >= apart
-        return pd.DataFrame({"document_id": [key[0]], "page": [key[1]], "two_column": [bool(found)], "split_x": [(a + b) / 2 if found else None]})
+        x = ((pdf["x0"] + pdf["x1"]) / 2).sort_values().to_numpy()
+        width, split = float(pdf["page_width"].max()), None
+        if len(x) >= least_words and width > 0:
+            split = _split(x, width, side, apart, rounds, begin)
+        return pd.DataFrame({"document_id": [key[0]], "page": [key[1]], "two_column": [split is not None], "split_x": [split]})
 
     kind = words.schema["document_id"].dataType.simpleString()
     return words.groupBy("document_id", "page").applyInPandas(run, f"document_id {kind}, page {words.schema['page'].dataType.simpleString()}, two_column boolean, split_x double")
 
 
+def _split(x: np.ndarray, width: float, side: float, apart: float, rounds: int, begin: float) -> float | None:
+    """Where two columns part, given sorted centres; None if there is one."""
+    a, b = float(x[int(len(x) * 0.3)]), float(x[int(len(x) * 0.7)])
+    if b - a < width * begin:
+        return None
+    for _ in range(rounds):
+        left = abs(x - a) <= abs(x - b)
+        if left.all() or not left.any():
+            return None
+        to = float(x[left].mean()), float(x[~left].mean())
+        if abs(to[0] - a) < 0.5 and abs(to[1] - b) < 0.5:
+            break
+        a, b = to
+    share = float((abs(x - a) <= abs(x - b)).mean())
+    return (a + b) / 2 if min(share, 1 - share) >= side and abs(b - a) >= apart * width else None
+
+
 def caption_lines(lines: DataFrame) -> DataFrame:
     """Lines (document_id, page, object_id, line, box) that begin like a caption or a note, with
     kind, the captioned type and its number."""

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silkgrain import config as c
-from silkgrain.operators import audit
+from silkgrain.operators import audit, pages
+from silkgrain.operators import layout as lay
 from silkgrain.operators import relations as rel
 from silkgrain.operators import second_layer as sl
 from silkgrain.plans import catalog
@@ -183,3 +184,75 @@ def _(s: SparkSession, d: str) -> DataFrame:
     answers = x.where("entity_id % 3 <> 0").select("document_id", "entity_id", F.lit("ok").alias("status"), told.alias("properties"), F.lit(0.8).alias("confidence"), F.lit(None).cast("string").alias("reason"))
     shown = F.array_join(F.transform(F.array_sort(F.map_entries("properties")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return sl.entity_nodes(x, FIELDS, answers)[0].select("entity_id", "entity_type", "status", "property_status", F.round("confidence", 6).alias("confidence"), shown.alias("properties"))
+
+
+# ---- pages from words
+WORDS_A_PAGE, WORDS_A_ROW = 120, 6
+
+
+def page_words(s: SparkSession, d: str) -> DataFrame:
+    """Every word of the documents with a box: six a row and 120 a page, every second document in two columns. Letters are the
+    lexicon's characters, but for every ninth word, which is a number off its base line; rows in tens begin like tables."""
+    words = F.array_remove(F.split(F.translate(F.lower("text"), i.LATIN, i.CHINESE), r"[\x20\x09-\x0D]+"), "")
+    x = i.docs(s, d).select("document_id", F.posexplode(words).alias("n", "w"))
+    k = F.col("n") % WORDS_A_PAGE
+    two = F.col("document_id") % 2 == 1
+    half = WORDS_A_PAGE // 2
+    right = two & (k >= half)
+    r = F.floor(F.when(two, (k % half) / 3).otherwise(k / WORDS_A_ROW)).cast("int")
+    place = F.when(two, k % 3).otherwise(k % WORDS_A_ROW).cast("int")
+    first, lone = place == 0, F.col("n") % 9 == 4
+    text = (
+        F.when(first & (r % 10 == 4), "表1改良").when(first & r.__mod__(10).isin(5, 6), F.concat(F.lit("12≥"), F.col("n") % 7)).when(first & (r % 10 == 7), "注：").when(lone, (F.col("n") % 89).cast("string")).otherwise(F.col("w"))
+    )
+    x0 = 30.0 + 88.0 * place + F.when(right, 300).otherwise(0)
+    top = 60.0 + 14.0 * r + F.when(lone, 5.0).otherwise((F.col("n") % 3) * 0.75)
+    return x.select(
+        "document_id", F.floor(F.col("n") / WORDS_A_PAGE).cast("int").alias("page"), F.col("n").alias("word_id"), text.alias("text"), x0.alias("x0"), (x0 + 70).alias("x1"), top.alias("top"), (top + 10).alias("bottom"),
+        F.lit(600.0).alias("page_width"), F.lit(800.0).alias("page_height"),
+    )
+
+
+_WORDS = f"""tw AS (SELECT doc_id AS document_id, list_filter(regexp_split_to_array(translate(lower(text), '{i.LATIN}', '{i.CHINESE}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+nw AS (SELECT document_id, unnest(range(len(ws))) AS n FROM tw),
+kw AS (SELECT document_id, n, n % {WORDS_A_PAGE} AS k, n // {WORDS_A_PAGE} AS page, document_id % 2 = 1 AS two FROM nw),
+rw AS (SELECT *, CASE WHEN two THEN (k % {WORDS_A_PAGE // 2}) // 3 ELSE k // {WORDS_A_ROW} END AS r, CASE WHEN two THEN k % 3 ELSE k % {WORDS_A_ROW} END AS place FROM kw),
+words AS (SELECT document_id, page::INT AS page, n AS word_id, 30.0::DOUBLE + 88 * place + CASE WHEN two AND k >= {WORDS_A_PAGE // 2} THEN 300 ELSE 0 END AS x0, 60.0::DOUBLE + 14 * r + CASE WHEN n % 9 = 4 THEN 5.0 ELSE (n % 3) * 0.75 END AS top FROM rw)"""
+
+
+@query("G1_page_rows", f"""WITH RECURSIVE {_WORDS}, o AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY top, x0) AS j FROM words),
+f AS (SELECT document_id, page, word_id, j, 0 AS row, top AS mean, 1 AS m FROM o WHERE j = 1 UNION ALL
+ SELECT o.document_id, o.page, o.word_id, o.j, CASE WHEN abs(o.top - mean) <= 3 THEN row ELSE row + 1 END, CASE WHEN abs(o.top - mean) <= 3 THEN (mean * m + o.top) / (m + 1) ELSE o.top END, CASE WHEN abs(o.top - mean) <= 3 THEN m + 1 ELSE 1 END
+ FROM f JOIN o ON o.document_id = f.document_id AND o.page = f.page AND o.j = f.j + 1)
+SELECT document_id, page, word_id, row::INT AS row FROM f""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    w = page_words(s, d).withColumn("text", F.col("word_id").cast("string"))
+    x = pages.page_rows(w.withColumn("col", F.lit(0)), merge=False)
+    return x.select("document_id", "page", F.col("text").cast("int").alias("word_id"), "row")
+
+
+@query("G4_columns", f"""WITH RECURSIVE {_WORDS}, xs AS (SELECT document_id, page, list(x0 + 35 ORDER BY x0) AS xs FROM words GROUP BY ALL),
+k AS (SELECT document_id, page, xs, xs[floor(len(xs) * 0.3)::INT + 1] AS a, xs[floor(len(xs) * 0.7)::INT + 1] AS b, 0 AS i, false AS done FROM xs WHERE len(xs) >= 40 AND xs[floor(len(xs) * 0.7)::INT + 1] - xs[floor(len(xs) * 0.3)::INT + 1] >= 120
+ UNION ALL SELECT document_id, page, xs, CASE WHEN stop THEN a ELSE na END, CASE WHEN stop THEN b ELSE nb END, i + 1, stop FROM (SELECT *, abs(na - a) < 0.5 AND abs(nb - b) < 0.5 AS stop FROM
+  (SELECT *, list_avg(list_filter(xs, lambda x: abs(x - a) <= abs(x - b))) AS na, list_avg(list_filter(xs, lambda x: abs(x - a) > abs(x - b))) AS nb FROM k WHERE NOT done AND i < 15))),
+e AS (SELECT *, len(list_filter(xs, lambda x: abs(x - a) <= abs(x - b))) / len(xs) AS share FROM k WHERE done OR i = 15)
+SELECT document_id, page, coalesce(least(share, 1 - share) >= 0.2 AND b - a >= 0.28 * 600, false) AS two_column, round(CASE WHEN least(share, 1 - share) >= 0.2 AND b - a >= 0.28 * 600 THEN (a + b) / 2 END, 6) AS split_x FROM xs LEFT JOIN e USING (document_id, page)""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return lay.two_columns(page_words(s, d), least_words=40).withColumn("split_x", F.round("split_x", 6))
+
+
+@query("G2_floating", None)
+def _(s: SparkSession, d: str) -> DataFrame:
+    return pages.row_texts(pages.page_rows(pages.in_columns(page_words(s, d), least_words=40)[0])).select(*pages.COLUMN, "row", "text", "line")
+
+
+@query("G5_text_tables", None)
+def _(s: SparkSession, d: str) -> DataFrame:
+    rows = pages.row_texts(pages.page_rows(pages.in_columns(page_words(s, d), least_words=40)[0]))
+    return pages.text_tables(pages.table_regions(rows)).select(*pages.COLUMN, "region", "caption", F.array_join("body", "\n").alias("body"), *pages.BOX)
+
+
+@query("S1_pages", None)
+def _(s: SparkSession, d: str) -> DataFrame:
+    x = pages.assemble_pages(page_words(s, d), least_words=40)
+    return x.select("document_id", "page", "two_column", F.round("split_x", 6).alias("split_x"), "n_words", "text", F.size("lines").alias("n_lines"), F.size("tables").alias("n_tables"))
