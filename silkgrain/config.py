@@ -159,6 +159,17 @@ TABLE_WORD = r"感染性胰腺|危重型急性胰腺炎|持续性器官功能障
 TABLE_NOTES = ("注：", "注:")
 NARRATIVE = r"^(?:\d+(?:\.\d+)+|\d+\s+)[一-鿿]"
 ADVICE = "推荐"
+HEADING_TOKENS = ("vs.", "rr", "ci", "p<", "p=", "g/d", "mg", "mmol", "%")
+NOISE_TITLES = (
+    r"^(?:[0-9０-９一二三四五六七八九十]+[\.．、\s]*)?参考文献$",
+    r"^(?:[0-9０-９]+[\.．、\s]*)?references$",
+    r"^通信作者",
+    r"^基金项目",
+    r"^作者单位",
+    r"^利益冲突",
+    r"^\[\d+\]",
+    r"^［\d+］",
+)
 SECTION_TERMS = {
     "symptoms": ("临床表现", "症状", "体征"),
     "tests": ("检查", "诊断", "实验室", "辅助检查"),

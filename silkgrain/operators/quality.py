@@ -68,16 +68,20 @@ def suspicious_title(title: Column, tokens: tuple[str, ...] = c.SUSPICIOUS_TOKEN
     return out.when((F.regexp_count(x, F.lit("[0-9]")) >= 4) & (F.length(x) <= 12), "dense_digits_short_title").otherwise("")
 
 
-def title_shape_issue(title: Column, longest: int = 80) -> Column:
+def title_shape_issue(title: Column, longest: int = 90, tokens: tuple[str, ...] = c.HEADING_TOKENS, noise: tuple[str, ...] = c.NOISE_TITLES) -> Column:
     """F8: the first of the shape rules that a title breaks, '' if none."""
-    x = F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), r"\s+", " "))
+    x = F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), r"(?U)\s+", " "))
     tail = F.trim(F.regexp_extract(x, r"^[^：:]*[：:](.*)$", 1))
-    return (
+    out = (
         F.when(x == "", "empty_title").when(F.length(x) > longest, "title_too_long").when(F.rlike(x, F.lit("[，,、]$")), "truncated_line_fragment")
         .when(F.rlike(x, F.lit("[。；;，]")), "paragraph_punctuation").when(F.regexp_count(x, F.lit(r"\.")) >= 5, "paragraph_like")
         .when(F.length(tail) >= 12, "colon_body_fragment").when(F.rlike(x, F.lit(r"^\d{1,2}[．.、)].*[，,：:。；;]")), "numbered_body_fragment")
-        .when(F.rlike(x, F.lit(r"^\d+(?:\.\d+)?\s*[%~]")), "numeric_measurement").otherwise("")
     )
+    for token in tokens:
+        out = out.when(F.contains(F.lower(x), F.lit(token)), f"contains_token:{token}")
+    for p in noise:
+        out = out.when(F.rlike(x, F.lit(f"(?iU){p}")), "noise_section")
+    return out.when(F.rlike(x, F.lit(r"^\d+(?:\.\d+)?\s*[%~]")), "numeric_measurement").otherwise("")
 
 
 def extractable(chunks: DataFrame, labels: DataFrame) -> DataFrame:

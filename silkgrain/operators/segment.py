@@ -77,7 +77,7 @@ def sections(found: DataFrame) -> DataFrame:
     An anchor's depth is the least of its place in the document and, over it and all anchors before,
     of (their level - their place + its place); on each lesser depth the last anchor is its parent.
     """
-    w = Window.partitionBy("document_id").orderBy("start")
+    w = Window.partitionBy("document_id").orderBy("start", "title")
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     base = F.min("level").over(Window.partitionBy("document_id"))
     a = found.withColumn("end", F.coalesce(F.lead("start").over(w), F.col("n_chars"))).withColumn("i", F.row_number().over(w))
@@ -89,9 +89,14 @@ def sections(found: DataFrame) -> DataFrame:
 
 
 def document_sections(docs: DataFrame, text: str = "text", level: Column | None = None) -> DataFrame:
-    """C5 of whole documents: sections with their text; what stands before the first heading is a
-    section of its own, and a document without headings is one section."""
-    found = sections(anchors(lines(docs, text), level)).withColumn("head", F.struct("start", "end", "title", "path", "level"))
+    """C5 of whole documents, by their headings."""
+    return cut_at(docs, sections(anchors(lines(docs, text), level)), text)
+
+
+def cut_at(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """Documents as sections (start, end, title, path, level) with their text; what stands before the first of them is a
+    section of its own, and a document without any is one section."""
+    found = found.withColumn("head", F.struct("start", "end", "title", "path", "level"))
     g = found.groupBy("document_id").agg(F.array_sort(F.collect_list("head")).alias("s"))
     body, none = F.col(text), F.lit(None).cast("int")
     one = lambda end, title, path: F.struct(F.lit(0).alias("start"), end.alias("end"), F.lit(title).alias("title"), F.array(*map(F.lit, path)).alias("path"), none.alias("level"))

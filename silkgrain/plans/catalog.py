@@ -187,7 +187,7 @@ def _(s, d):
     return i.docs(s, d).select("document_id", qu.suspicious_title(F.col("text")).alias("why"))
 
 
-@query("F8_title_shape", None)
+@query("F8_title_shape", f"WITH {C}, x AS (SELECT document_id, chunk_index, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM chunks) SELECT document_id, chunk_index, {i.issue_sql('x')} AS issue FROM x")
 def _(s, d):
     return i.chunks(s, d).select("document_id", "chunk_index", qu.title_shape_issue(F.col("text")).alias("issue"))
 

@@ -121,3 +121,12 @@ BOXES_SQL = """boxes AS (SELECT doc_id // 40 AS document_id, (doc_id % 3)::INT A
 CONTRACT_SQL = "rel(relation, source_type, target_type, max_distance, quota) AS (VALUES " + ", ".join(
     f"('{r}', '{s}', '{t}', {m}, {'NULL' if q is None else q})" for r, s, t, m, q in c.RELATIONS
 ) + ")"
+
+
+def issue_sql(x: str) -> str:
+    """The shape rules of a title."""
+    tokens = " ".join(f"WHEN contains(lower({x}), '{k}') THEN 'contains_token:{k}'" for k in c.HEADING_TOKENS)
+    noise = " ".join(f"WHEN regexp_matches({x}, '(?i){p}') THEN 'noise_section'" for p in c.NOISE_TITLES)
+    return f"""CASE WHEN {x} = '' THEN 'empty_title' WHEN length({x}) > 90 THEN 'title_too_long' WHEN regexp_matches({x}, '[，,、]$') THEN 'truncated_line_fragment' WHEN regexp_matches({x}, '[。；;，]') THEN 'paragraph_punctuation'
+ WHEN length({x}) - length(replace({x}, '.', '')) >= 5 THEN 'paragraph_like' WHEN regexp_matches({x}, '[：:]') AND length(trim(regexp_replace({x}, '^[^：:]*[：:]', ''))) >= 12 THEN 'colon_body_fragment'
+ WHEN regexp_matches({x}, '^\\d{{1,2}}[．.、)].*[，,：:。；;]') THEN 'numbered_body_fragment' {tokens} {noise} WHEN regexp_matches({x}, '^\\d+(\\.\\d+)?\\s*[%~]') THEN 'numeric_measurement' ELSE '' END"""

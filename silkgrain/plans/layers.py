@@ -10,6 +10,8 @@ from silkgrain.operators import audit, pages
 from silkgrain.operators import layout as lay
 from silkgrain.operators import relations as rel
 from silkgrain.operators import second_layer as sl
+from silkgrain.operators import segment as seg
+from silkgrain.operators import toc
 from silkgrain.plans import catalog
 from silkgrain.plans import inputs as i
 from silkgrain.plans.catalog import query
@@ -256,3 +258,55 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     x = pages.assemble_pages(page_words(s, d), least_words=40)
     return x.select("document_id", "page", "two_column", F.round("split_x", 6).alias("split_x"), "n_words", "text", F.size("lines").alias("n_lines"), F.size("tables").alias("n_tables"))
+
+
+# ---- tables of contents
+def toc_inputs(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines of at most forty characters as numbered headings on pages of their own; a model that names every third page's, with a level
+    beyond the last or none, and one that isn't there; a judge that names every fifth, or answers in three ways that don't count."""
+    line = F.when(F.length("text").between(1, 40), F.concat(F.lit("一、 "), "text")).otherwise("")
+    pages_ = i.cn_chunks(s, d).select("document_id", F.col("chunk_index").alias("page_number"), line.alias("text"))
+    named = lambda k: F.array_sort(F.collect_list(F.when((F.col("page_number") % k == 0) & (F.col("text") != ""), F.struct(F.col("page_number").alias("page"), F.col("text").alias("title"), F.when(F.col("page_number") % 2 == 0, "7").alias("level")))))
+    g = pages_.groupBy("document_id").agg(named(3).alias("three"), named(5).alias("five"))
+    absent = F.array(F.struct(F.lit(1).alias("page"), F.lit("一、 不在").alias("title"), F.lit("1").alias("level")))
+    answer = lambda found: F.to_json(F.struct(F.concat(found, absent).alias("sections")))
+    first = g.select("document_id", F.lit("ok").alias("status"), answer(F.col("three")).alias("text"), F.lit(None).cast("string").alias("reason"))
+    k = F.col("document_id") % 4
+    judge = g.select("document_id", F.when(k == 2, "error").otherwise("ok").alias("status"), F.when(k == 1, "{").when(k == 3, answer(F.slice("five", 1, 0))).otherwise(answer(F.col("five"))).alias("text"), F.when(k == 2, "down").alias("reason"))
+    return seg.full_text(pages_), first, judge
+
+
+_TOC = f"""{i.CN_CHUNKS_SQL}, pg AS (SELECT document_id, chunk_index, CASE WHEN length(text) BETWEEN 1 AND 40 THEN '一、 ' || text ELSE '' END AS text FROM chunks),
+ps AS (SELECT *, coalesce(sum(length(text) + 2) OVER (PARTITION BY document_id ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS start, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS title FROM pg),
+ft AS (SELECT document_id, rtrim(string_agg(text, chr(10) || chr(10) ORDER BY chunk_index)) AS full_text FROM pg GROUP BY 1),
+cd AS (SELECT document_id, title, start, 1 AS level, 'rule' AS source, title AS ev, 0.8::DOUBLE AS conf, start AS ord FROM ps WHERE text <> '' AND regexp_replace(text[4:], '\\s', '', 'g') <> ''
+ UNION ALL SELECT document_id, title, instr(full_text, text) - 1, CASE WHEN chunk_index % 2 = 0 THEN 4 END, 'model', text, 0.7, 1000000 + chunk_index FROM ps JOIN ft USING (document_id) WHERE text <> '' AND title <> '' AND chunk_index % 3 = 0
+ UNION ALL SELECT document_id, '一、 不在', NULL, 1, 'model', '一、 不在', 0.7, 2000000 FROM ft),
+jd AS (SELECT document_id, title, instr(full_text, text) - 1 AS start, CASE WHEN chunk_index % 2 = 0 THEN 4 END AS level, 'judge' AS source, text AS ev, 0.7::DOUBLE AS conf, chunk_index AS ord FROM ps JOIN ft USING (document_id) WHERE text <> '' AND title <> '' AND chunk_index % 5 = 0 AND document_id % 4 = 0),
+ck AS (SELECT a.*, {i.issue_sql("title")} AS issue, start IS NOT NULL AND contains(full_text, ev) AND {i.issue_sql("title")} = '' AS valid FROM (SELECT * FROM cd UNION ALL SELECT * FROM jd) a JOIN ft USING (document_id)),
+dc AS (SELECT document_id, source = 'judge' AS judged, start, title, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, coalesce(arg_min(level, ord) FILTER (level IS NOT NULL), 1) AS level,
+ round(CASE WHEN count(DISTINCT source) > 1 THEN greatest(max(conf), 0.9) ELSE max(conf) END::DOUBLE, 4) AS confidence FROM ck WHERE valid GROUP BY document_id, source = 'judge', start, title),
+fd AS (SELECT * FROM dc WHERE judged OR document_id NOT IN (SELECT document_id FROM dc WHERE judged))"""
+
+
+@query("C15_dual_toc", f"WITH {_TOC} SELECT document_id, start, title, sources, level, confidence, judged FROM fd")
+def _(s: SparkSession, d: str) -> DataFrame:
+    final = toc.dual_toc(*toc_inputs(s, d))[1]
+    return final.select("document_id", "start", "title", F.array_join("sources", ",").alias("sources"), "level", "confidence", "judged")
+
+
+@query("C15_sections", f"""WITH {_TOC}, e AS (SELECT document_id, title, start, coalesce(lead(start) OVER (PARTITION BY document_id ORDER BY start, title), length(full_text)) AS stop FROM fd JOIN ft USING (document_id))
+SELECT document_id, title, start, stop, sha256(full_text[start + 1:stop]) AS text_sha256 FROM e JOIN ft USING (document_id) UNION ALL SELECT document_id, '{c.WHOLE_SECTION}', 0, length(full_text), sha256(full_text) FROM ft WHERE document_id NOT IN (SELECT document_id FROM fd)
+UNION ALL SELECT document_id, '{c.PREFACE}', 0, a, sha256(full_text[1:a]) FROM (SELECT document_id, min(start) AS a FROM fd GROUP BY 1) JOIN ft USING (document_id) WHERE a > 0 AND regexp_replace(full_text[1:a], '\\s', '', 'g') <> ''""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return toc.dual_toc(*toc_inputs(s, d))[0].select("document_id", "title", "start", F.col("end").alias("stop"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("C15_report", f"""WITH {_TOC}, m AS (SELECT document_id, count(*) AS candidates, count(*) FILTER (valid) AS good, count(*) FILTER (issue <> '') AS odd FROM ck WHERE source <> 'judge' GROUP BY 1),
+t AS (SELECT document_id, count(*) AS titles FROM dc WHERE NOT judged GROUP BY 1), f AS (SELECT document_id, count(*) AS n, bool_or(judged) AS judged FROM fd GROUP BY 1), n AS (SELECT document_id, count(*) AS pages FROM pg GROUP BY 1)
+SELECT document_id, 'ok' AS model_status, CASE WHEN document_id % 4 = 0 AND coalesce(judged, false) THEN 'ok' ELSE 'failed' END AS judge_status,
+ CASE document_id % 4 WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'down' WHEN 3 THEN 'no_valid_sections' ELSE CASE WHEN coalesce(judged, false) THEN '' ELSE 'no_valid_sections' END END AS judge_reason,
+ coalesce(candidates, 0) AS candidates, coalesce(titles, 0) AS titles, coalesce(round(good / candidates, 4), 0)::DOUBLE AS match_rate, coalesce(round(odd / candidates, 4), 0)::DOUBLE AS noise_rate,
+ round(coalesce(titles, 0) / pages, 4)::DOUBLE AS page_density, coalesce(f.n, 0) AS final_titles FROM n LEFT JOIN m USING (document_id) LEFT JOIN t USING (document_id) LEFT JOIN f USING (document_id)""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return toc.dual_toc(*toc_inputs(s, d))[2].select("document_id", "model_status", "judge_status", "judge_reason", "candidates", "titles", "match_rate", "noise_rate", "page_density", "final_titles")

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silkgrain import config as c
-from silkgrain.operators import audit, pages, relations
+from silkgrain.operators import audit, pages, quality, relations, segment, toc
 from silkgrain.operators import second_layer as sl
 
 CAND = "document_id string, candidate_id string, relation string, start_entity_id string, end_entity_id string, start_name string, end_name string, quota int, search_level string, pos int"
@@ -364,3 +364,50 @@ def test_pages(spark):
         assert all("\n".join(x["text"] for x in r["lines"] if x["col"] == k)[x["start"] : x["end"]] == x["text"] for x in r["lines"] for k in [x["col"]])
     assert sum(len(f[2]) for f in plain.values()) >= 5
     assert pages.assemble_pages(df.where("false")).count() == 0
+
+
+# ---- tables of contents
+ANSWERED = "document_id string, status string, text string, reason string"
+
+
+def texts_of(spark, *bodies):
+    return segment.full_text(spark.createDataFrame([(f"d{k}", n, b) for k, b in enumerate(bodies) for n, b in enumerate(b if isinstance(b, list) else [b], 1)], "document_id string, page_number int, text string"))
+
+
+def test_dual_toc_alone(spark):
+    body = "Abstract\nSummary text.\n\nMethods\nDiagnosis body.\n\n51.7%~93% should stay in the body.\n\nResults\nTreatment body."
+    sections, final, report = toc.dual_toc(texts_of(spark, body))
+    got = {r["title"]: r for r in sections.collect()}
+    assert {"Methods", "Results", "Abstract"} <= set(got) and not any(k.startswith("51.7%") for k in got)
+    assert got["Methods"]["text"].startswith("Methods\nDiagnosis") and got["Methods"]["path"] == [c.WHOLE_SECTION, "Methods"]
+    r = report.collect()[0]
+    assert r["match_rate"] == 1.0 and r["model_status"] == r["judge_status"] == "skipped" and r["final_titles"] == final.count() == 3 and r["in_order"] == 1.0
+
+
+def test_dual_toc_merge_and_judge(spark):
+    texts = texts_of(spark, ["Abstract\nBody.\n\nMethods\nDiagnosis body.\n\nSome   Title here\ntext"], ["Methods\nx"], ["nothing"])
+    first = spark.createDataFrame([("d0", "ok", '```json\n{"sections": [{"title": "Methods", "level": "9"}, {"title": "Some  Title here", "evidence_text": "Some   Title here", "level": null}, {"title": "made up"}, {"title": "51%"}, 5]}\n```', None), ("d1", "ok", "[]", None), ("d2", "error", None, "down")], ANSWERED)
+    _, final, report = toc.dual_toc(texts, first)
+    got = {(r["document_id"], r["title"]): r for r in final.collect()}
+    m = got["d0", "Methods"]
+    assert m["sources"] == ["model", "rule"] and m["confidence"] == 0.9 and m["level"] == 1 and m["reason"] == "sources_agree"
+    assert got["d0", "Some Title here"]["level"] == 1 and got["d0", "Some Title here"]["sources"] == ["model"] and ("d0", "made up") not in got
+    r = {x["document_id"]: x for x in report.collect()}
+    assert [(r[k]["model_status"], r[k]["model_reason"]) for k in ("d0", "d1", "d2")] == [("ok", ""), ("failed", "invalid_json"), ("failed", "down")]
+    assert r["d2"]["titles"] == 0 and r["d2"]["suspicious_density"]
+    judge = spark.createDataFrame([("d0", "ok", '{"sections": [{"title": "Methods", "level": 2}]}', None), ("d1", "ok", '{"sections": [{"title": "absent"}]}', None), ("d2", "ok", '{"other": 1}', None)], ANSWERED)
+    sections, final, report = toc.dual_toc(texts, first, judge)
+    assert [(x["title"], x["level"], x["judged"]) for x in final.where("document_id = 'd0'").collect()] == [("Methods", 2, True)]
+    assert [(x["title"], x["judged"]) for x in final.where("document_id = 'd1'").collect()] == [("Methods", False)]
+    r = {x["document_id"]: (x["judge_status"], x["judge_reason"]) for x in report.collect()}
+    assert r == {"d0": ("ok", ""), "d1": ("failed", "no_valid_sections"), "d2": ("failed", "missing_sections")}
+    assert {(x["document_id"], x["title"]) for x in sections.collect()} == {("d0", c.PREFACE), ("d0", "Methods"), ("d1", "Methods"), ("d2", c.WHOLE_SECTION)}
+
+
+def test_places_and_shapes(spark):
+    x = spark.createDataFrame([("a  b\n c d", "b c"), ("a b", "b"), ("a b", ""), ("a b", None), ("x\\Ey", "x\\Ey"), ("a", "zz"), ("q(1 )", "(1 )")], "t string, n string")
+    assert [r[0] for r in x.select(toc.place_of(F.col("t"), F.col("n"))).collect()] == [3, 2, None, None, 0, None, 1]
+    shapes = {"": "empty_title", "x" * 91: "title_too_long", "a，": "truncated_line_fragment", "a。b": "paragraph_punctuation", "a.b.c.d.e.f": "paragraph_like", "a: " + "b" * 12: "colon_body_fragment", "1.a:b": "numbered_body_fragment",
+              "RR ratio": "contains_token:rr", "5 MG": "contains_token:mg", "参考文献": "noise_section", "[12] x": "noise_section", "3.5~x": "numeric_measurement", "诊断": ""}
+    df = spark.createDataFrame([(k,) for k in shapes], "t string")
+    assert {r[0]: r[1] for r in df.select("t", quality.title_shape_issue(F.col("t"))).collect()} == shapes
