@@ -78,7 +78,7 @@ def apply_rules(
     chunks: DataFrame, terms: dict = c.TERMS, patterns: dict = c.PATTERNS, priors: dict = c.PRIORS, tests: tuple = (), labels: tuple[str, ...] = c.LABELS, lfs: tuple[str, ...] = RULE_LFS
 ) -> DataFrame:
     """The named rule LFs on every (chunk, label): document_id, chunk_id and the vote.
-    Only what these LFs look for is searched."""
+    Only what these LFs look for is searched. tests: patterns of an LF on tests alone (L5: config.INDICATORS)."""
     # Matches are columns of their own, so that each text is searched once, not once a use.
     text, columns, votes = F.col("text"), [], []
     for label in labels:
@@ -91,7 +91,7 @@ def apply_rules(
         if "section_prior" in lfs:
             votes.append(section_vote(label, priors[label], F.col("section")))
         if label == "tests" and tests:
-            columns.append(pattern_groups(text, tests).alias("t_tests"))
+            columns.append(pattern_groups(text, tuple((n, f"(?U){p}", k) for n, p, k in tests)).alias("t_tests"))  # word boundaries of any script
             votes.append(pattern_vote(label, tests, F.col("t_tests"), "regex_indicator", 0.64))
     return chunks.select("document_id", "chunk_id", "section", *columns).select("document_id", "chunk_id", F.inline(F.array(*votes)))
 

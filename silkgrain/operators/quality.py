@@ -48,15 +48,38 @@ def language_drop(chunks: DataFrame, min_chars: int = 80, min_ratio: float = 0.2
     return chunks.withColumn("cjk_ratio", ratio).withColumn("drop_reason", F.when((F.length(t.strip(F.col("text"))) >= min_chars) & (ratio < min_ratio), "low_cjk_ratio"))
 
 
-def validate_chunks(chunks: DataFrame, max_chars: int = 1200, min_chars: int = 20) -> DataFrame:
-    """issues of each chunk as an array; a chunk passes without any."""
-    n = F.length("text")
-    issues = F.array_compact(F.array(
-        F.when(t.strip(F.col("text")) == "", F.lit("empty_text")), F.when((n > 0) & (n < min_chars), F.lit("too_short")),
-        F.when(n > max_chars, F.lit("too_long")), F.when(F.rlike("text", F.lit(r"(?i)DOI[:：]?\s*10\.\d{4,9}/|10\.\d{4,9}/")), F.lit("noise:doi")),
-        F.when(F.col("text").contains("<<PAGE"), F.lit("noise:page_marker")), F.when(F.col("span_start") >= F.col("span_end"), F.lit("bad_span")),
-    ))
-    return chunks.withColumn("issues", issues).withColumn("passed", F.size("issues") == 0)
+#: What every chunk must have.
+CHUNK_FIELDS = ("chunk_id", "path", "title", "page_start", "page_end", "start", "end", "text")
+
+
+def validate_chunks(chunks: DataFrame, max_chars: int = 1200, min_chars: int = 200, required: tuple[str, ...] = CHUNK_FIELDS, noise: tuple[tuple[str, str], ...] = c.CHUNK_NOISE) -> DataFrame:
+    """issues and warnings of each chunk as arrays; a chunk passes without issues.
+
+    Issues: missing_field:<name> (null, or no such column), bad_page_range, bad_text_span, empty_text, too_long, noise:<name>,
+    bad_page_region, and of linked_tables and linked_figures (arrays of object_id, object_type, bbox) bad_linked_type, missing_linked_id and bad_linked_bbox with the column's name,
+    each once. Warning: too_short, where the document has more than one chunk. page_regions: array of (page, bbox).
+    """
+    has = chunks.columns
+    text, n = F.coalesce(F.col("text"), F.lit("")), F.length(F.coalesce(F.col("text"), F.lit("")))
+    tests = [(F.col(f).isNull() if f in has else F.lit(True), f"missing_field:{f}") for f in required]
+    if {"page_start", "page_end"} <= set(has):
+        tests.append((F.coalesce("page_start", F.lit(0)) > F.coalesce("page_end", F.lit(0)), "bad_page_range"))
+    if {"start", "end"} <= set(has):
+        tests.append((F.coalesce("start", F.lit(0)) >= F.coalesce("end", F.lit(0)), "bad_text_span"))
+    tests += [(t.strip(text) == "", "empty_text"), (n > max_chars, "too_long"), *((F.rlike(text, F.lit(f"(?imU){p}")), f"noise:{k}") for k, p in noise)]
+    if "page_regions" in has:
+        tests.append((F.exists("page_regions", lambda r: r["page"].isNull() | r["bbox"].isNull() | (F.size(r["bbox"]) != 4)), "bad_page_region"))
+    for name, kind in (("linked_tables", "table"), ("linked_figures", "figure")):
+        if name in has:
+            tests += [
+                (F.exists(name, lambda x: ~x["object_type"].eqNullSafe(kind)), f"bad_linked_type:{name}"),  # noqa: B023
+                (F.exists(name, lambda x: F.coalesce(x["object_id"], F.lit("")) == ""), f"missing_linked_id:{name}"),
+                (F.exists(name, lambda x: (F.size(F.coalesce(x["bbox"], F.array())) > 0) & (F.size(x["bbox"]) != 4)), f"bad_linked_bbox:{name}"),
+            ]
+    several = F.count("*").over(Window.partitionBy("document_id")) > 1
+    issues = F.array_compact(F.array(*(F.when(test, F.lit(name)) for test, name in tests)))
+    warnings = F.when((n < min_chars) & several, F.array(F.lit("too_short"))).otherwise(F.array().cast("array<string>"))
+    return chunks.withColumns({"issues": issues, "warnings": warnings}).withColumn("passed", F.size("issues") == 0)
 
 
 def suspicious_title(title: Column, tokens: tuple[str, ...] = c.SUSPICIOUS_TOKENS) -> Column:

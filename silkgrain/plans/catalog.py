@@ -174,10 +174,23 @@ def _(s, d):
     return qu.language_drop(i.chunks(s, d)).select("document_id", "chunk_index", "drop_reason")
 
 
-@query("F4_validation", rf"""WITH {C} SELECT document_id, chunk_index, array_to_string([x FOR x IN [CASE WHEN trim(text) = '' THEN 'empty_text' END, CASE WHEN length(text) BETWEEN 1 AND 19 THEN 'too_short' END, CASE WHEN length(text) > 1200 THEN 'too_long' END,
- CASE WHEN regexp_matches(text, '10\.\d{{4,9}}/') THEN 'noise:doi' END, CASE WHEN contains(text, '<<PAGE') THEN 'noise:page_marker' END] IF x IS NOT NULL], ',') AS issues FROM chunks""")
-def _(s, d):
-    return qu.validate_chunks(i.chunks(s, d).withColumns({"span_start": F.lit(0), "span_end": F.lit(1)})).select("document_id", "chunk_index", F.array_join("issues", ",").alias("issues"))
+_NOISE = ", ".join(f"CASE WHEN regexp_matches(text, '(?im){p}') THEN 'noise:{k}' END" for k, p in c.CHUNK_NOISE)
+
+
+@query("F4_validation", f"""WITH {C}, x AS (SELECT *, chunk_index % 9 AS a, chunk_index % 7 AS b, CASE WHEN chunk_index % 5 <> 4 THEN section END AS title FROM chunks)
+ SELECT document_id, chunk_index, array_to_string([x FOR x IN [CASE WHEN title IS NULL THEN 'missing_field:title' END, CASE WHEN a > 5 THEN 'bad_page_range' END, CASE WHEN b >= 5 THEN 'bad_text_span' END, CASE WHEN {NOT_SPACE.format(x="text")} = 0 THEN 'empty_text' END, CASE WHEN length(text) > 300 THEN 'too_long' END, {_NOISE},
+ CASE WHEN a = 2 THEN 'bad_page_region' END, CASE WHEN a = 3 THEN 'bad_linked_type:linked_tables' END, CASE WHEN b = 2 THEN 'missing_linked_id:linked_tables' END, CASE WHEN b = 1 THEN 'bad_linked_bbox:linked_tables' END] IF x IS NOT NULL], ',') AS issues,
+ CASE WHEN length(text) < 200 AND count(*) OVER (PARTITION BY document_id) > 1 THEN 'too_short' ELSE '' END AS warnings FROM x""")
+def _(s, d):
+    a, b = F.col("chunk_index") % 9, F.col("chunk_index") % 7
+    box = lambda short: F.when(short, F.array(F.lit(1.0))).otherwise(F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0))))
+    linked = F.struct(F.when(b == 2, "").otherwise("T1").alias("object_id"), F.when(a == 3, "figure").otherwise("table").alias("object_type"), box(b == 1).alias("bbox"))
+    x = i.chunks(s, d).withColumns({
+        "path": F.array("section"), "title": F.when(F.col("chunk_index") % 5 != 4, F.col("section")), "page_start": a, "page_end": F.lit(5), "start": b, "end": F.lit(5),
+        "page_regions": F.array(F.struct(F.lit(1).alias("page"), box(a == 2).alias("bbox"))), "linked_tables": F.array(linked),
+    })
+    v = qu.validate_chunks(x, 300)
+    return v.select("document_id", "chunk_index", F.array_join("issues", ",").alias("issues"), F.array_join("warnings", ",").alias("warnings"))
 
 
 @query("F7_suspicious_title", rf"""WITH {D}, x AS (SELECT document_id, trim(text) AS x FROM docs) SELECT document_id, CASE WHEN x = '' THEN 'empty_title' WHEN length(x) > 80 THEN 'title_too_long'

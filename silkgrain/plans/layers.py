@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silkgrain import config as c
-from silkgrain.operators import audit, pages
+from silkgrain.functions import text as t
+from silkgrain.operators import audit, edits, pages
+from silkgrain.operators import labeling as lab
 from silkgrain.operators import layout as lay
 from silkgrain.operators import relations as rel
 from silkgrain.operators import second_layer as sl
@@ -310,3 +312,64 @@ SELECT document_id, 'ok' AS model_status, CASE WHEN document_id % 4 = 0 AND coal
  round(coalesce(titles, 0) / pages, 4)::DOUBLE AS page_density, coalesce(f.n, 0) AS final_titles FROM n LEFT JOIN m USING (document_id) LEFT JOIN t USING (document_id) LEFT JOIN f USING (document_id)""")
 def _(s: SparkSession, d: str) -> DataFrame:
     return toc.dual_toc(*toc_inputs(s, d))[2].select("document_id", "model_status", "judge_status", "judge_reason", "candidates", "titles", "match_rate", "noise_rate", "page_density", "final_titles")
+
+
+# ---- edits
+def marked_pages(s: SparkSession, d: str) -> DataFrame:
+    """Documents whose lines are pages, with breaks, and edits around their second page: in turn a whole page deleted, one break touched, a word
+    cut, a replacement, two that overlap, one beyond the end, an empty replacement, and a page replaced while the next is deleted."""
+    x = i.chunks(s, d).groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct(F.col("chunk_index").alias("page"), "text"))).alias("p"))
+    x = x.withColumns({"marked": t.join_pages(F.col("p")), "pages": F.transform("p", lambda y: y["page"])})
+    first = F.length(F.get("p", F.lit(0))["text"])
+    a = F.when(F.size("p") > 1, first + F.length(F.lit("\n<<<PAGE_BREAK:1>>>\n"))).otherwise(0)
+    b = a + F.length(F.get("p", F.when(F.size("p") > 1, 1).otherwise(0))["text"])
+    edit = lambda lo, hi, text: F.struct(lo.cast("int").alias("start"), hi.cast("int").alias("end"), text.cast("string").alias("replacement"))
+    none, k = F.lit(None), F.col("document_id") % 8
+    cases = [
+        [edit(a, b, none)], [edit(a - 1, b, F.lit("x"))], [edit(F.lit(0), F.lit(3), none)], [edit(F.lit(0), F.lit(3), F.lit("new"))], [edit(F.lit(0), F.lit(4), F.lit("u")), edit(F.lit(2), F.lit(6), F.lit("v"))],
+        [edit(F.lit(1), F.length("marked") + 1, F.lit("x"))], [edit(F.lit(0), F.lit(2), F.lit(" "))], [edit(F.lit(0), first, F.lit("first")), edit(a, b, none)],
+    ]
+    made = F.array(*cases[0])
+    for n, e in enumerate(cases[1:], 1):
+        made = F.when(k == n, F.array(*e)).otherwise(made)
+    return x.withColumn("edits", made)
+
+
+_MARKED = f"""{C}, m AS (SELECT document_id, count(*) AS n, max(text) FILTER (chunk_index = 0) AS l0, max(text) FILTER (chunk_index = 1) AS l1,
+ string_agg(CASE WHEN chunk_index = 0 THEN text ELSE chr(10) || '<<<PAGE_BREAK:' || chunk_index || '>>>' || chr(10) || text END, '' ORDER BY chunk_index) AS marked FROM chunks GROUP BY 1),
+q AS (SELECT *, document_id % 8 AS k, CASE WHEN n > 1 THEN length(l0) + 20 ELSE 0 END AS a, CASE WHEN n > 1 THEN length(l0) + 20 + length(l1) ELSE length(l0) END AS b, length(l0) AS f, length(marked) AS len FROM m),
+bl AS (SELECT *, regexp_matches(coalesce(marked[4:4], ''), '^\\s') OR len = 3 AS at3 FROM q),
+w AS (SELECT *, CASE k WHEN 0 THEN CASE WHEN a >= b THEN 'out_of_text' ELSE '' END WHEN 1 THEN CASE WHEN n = 1 OR a - 1 >= b THEN 'out_of_text' ELSE 'page_break' END
+ WHEN 2 THEN CASE WHEN len < 3 THEN 'out_of_text' WHEN n > 1 AND f < 3 THEN 'page_break' WHEN NOT at3 THEN 'cut_word' ELSE '' END WHEN 3 THEN CASE WHEN len < 3 THEN 'out_of_text' WHEN n > 1 AND f < 3 THEN 'page_break' ELSE '' END
+ WHEN 4 THEN CASE WHEN len < 6 THEN 'out_of_text' WHEN n > 1 AND f < 6 THEN 'page_break' ELSE 'overlap' END WHEN 5 THEN 'out_of_text' WHEN 6 THEN CASE WHEN len < 2 THEN 'out_of_text' WHEN n > 1 AND f < 2 THEN 'page_break' ELSE 'empty_replacement' END
+ ELSE CASE WHEN f = 0 OR a >= b THEN 'out_of_text' WHEN n = 1 THEN 'overlap' ELSE '' END END AS issue FROM bl)"""
+
+
+@query("F13_guarded_edits", f"""WITH {_MARKED} SELECT document_id, issue, sha256(CASE WHEN issue <> '' THEN marked WHEN k = 0 THEN marked[1:a] || marked[b + 1:] WHEN k = 2 THEN marked[4:] WHEN k = 3 THEN 'new' || marked[4:] ELSE 'first' || marked[f + 1:a] || marked[b + 1:] END) AS text_sha256 FROM w""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    x = marked_pages(s, d)
+    x = x.withColumn("guarded", edits.break_spans(F.col("marked"), F.col("pages")))
+    x = x.withColumn("issue", edits.edit_issue(F.col("marked"), F.col("edits"), F.col("guarded")))
+    return x.select("document_id", "issue", F.sha2(edits.edited(F.col("marked"), F.col("edits"), F.col("issue")), 256).alias("text_sha256"))
+
+
+@query("C17_break_spans", f"""WITH {C}, z AS (SELECT document_id, chunk_index, length('<<<PAGE_BREAK:' || chunk_index || '>>>') + 2 AS m, length(text) AS n FROM chunks),
+v AS (SELECT document_id, chunk_index, sum(CASE WHEN chunk_index = 0 THEN n ELSE n + m END) OVER (PARTITION BY document_id ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS start, m FROM z)
+SELECT document_id, start::INT AS start, (start + m)::INT AS stop FROM v WHERE chunk_index > 0""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    x = marked_pages(s, d).select("document_id", F.inline(edits.break_spans(F.col("marked"), F.col("pages"))))
+    return x.select("document_id", "start", F.col("end").alias("stop"))
+
+
+FINDINGS = ("CRP 升高 12 mg/L", "抗核抗体 阳性，ANA -", "Mayo 评分 ≥ 3", "符合 3 项 诊断标准", "CT 和 活检", "")
+_FOUND = "text || ' ' || [" + ", ".join(f"'{x}'" for x in FINDINGS) + "][chunk_index % 6 + 1]"
+_INDICATED = " UNION ALL ".join(f"SELECT document_id, chunk_id, list_slice(regexp_extract_all({_FOUND}, '({p})', 1), 1, 6) AS m, {v} AS v FROM chunks" for _, p, v in c.INDICATORS)
+
+
+@query("L5_indicators", f"""WITH {i.CN_CHUNKS_SQL}, g AS ({_INDICATED}), h AS (SELECT document_id, chunk_id, coalesce(max(v) FILTER (len(m) > 0), 0)::DOUBLE AS best, sum(len(m)) AS n FROM g GROUP BY ALL)
+SELECT document_id, chunk_id, (n > 0)::INT AS vote, CASE WHEN n > 0 THEN least(best, 0.64::DOUBLE) ELSE 0 END AS confidence, least(n, 12)::INT AS count FROM h""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    said = F.get(F.array(*map(F.lit, FINDINGS)), F.col("chunk_index") % len(FINDINGS))
+    ch = i.cn_chunks(s, d).withColumn("text", F.concat_ws(" ", "text", said))
+    x = lab.apply_rules(ch, tests=c.INDICATORS, labels=("tests",), lfs=())
+    return x.select("document_id", "chunk_id", "vote", "confidence", "count")

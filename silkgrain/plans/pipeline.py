@@ -29,9 +29,9 @@ def chunk_stage(spark: SparkSession, given: dict[str, DataFrame]) -> DataFrame:
 
 
 def vote_stage(spark: SparkSession, given: dict[str, DataFrame], terms: dict = c.TERMS, patterns: dict = c.PATTERNS, priors: dict = c.PRIORS) -> DataFrame:
-    """Votes of all rule LFs."""
+    """Votes of all rule LFs, indicators of tests among them."""
     chunks = given["chunks"].withColumn("section", F.array_join("path", " / "))
-    return labeling.apply_rules(chunks, terms, patterns, priors).withColumn("ord", F.lit(0))
+    return labeling.apply_rules(chunks, terms, patterns, priors, c.INDICATORS).withColumn("ord", F.lit(0))
 
 
 def label_stage(spark: SparkSession, given: dict[str, DataFrame]) -> DataFrame:

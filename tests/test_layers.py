@@ -13,7 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from silkgrain import config as c
-from silkgrain.operators import audit, pages, quality, relations, segment, toc
+from silkgrain.functions import text
+from silkgrain.operators import audit, edits, labeling, pages, quality, relations, segment, toc
 from silkgrain.operators import second_layer as sl
 
 CAND = "document_id string, candidate_id string, relation string, start_entity_id string, end_entity_id string, start_name string, end_name string, quota int, search_level string, pos int"
@@ -411,3 +412,44 @@ def test_places_and_shapes(spark):
               "RR ratio": "contains_token:rr", "5 MG": "contains_token:mg", "参考文献": "noise_section", "[12] x": "noise_section", "3.5~x": "numeric_measurement", "诊断": ""}
     df = spark.createDataFrame([(k,) for k in shapes], "t string")
     assert {r[0]: r[1] for r in df.select("t", quality.title_shape_issue(F.col("t"))).collect()} == shapes
+
+
+# ---- edits, chunks, indicators
+def test_guarded_edits(spark):
+    pages_ = [(1, "ab cd"), (2, "ef"), (3, "gh ij")]
+    marked = "ab cd\n<<<PAGE_BREAK:2>>>\nef\n<<<PAGE_BREAK:3>>>\ngh ij"
+    cases = {
+        "delete": ([(0, 2, None)], "", marked[2:]), "touches": ([(5, 7, "x")], "page_break", None), "around": ([(0, 40, "x")], "page_break", None), "before": ([(3, 5, "x"), (5, 5, "y")], "out_of_text", None),
+        "word": ([(1, 2, None)], "cut_word", None), "ends": ([(3, 5, None), (25, 27, "neu")], "", "ab " + marked[5:25] + "neu" + marked[27:]), "overlap": ([(0, 2, "x"), (1, 2, "y")], "overlap", None),
+        "same": ([(0, 2, "x"), (0, 2, "y")], "overlap", None), "next": ([(0, 2, "x"), (2, 3, "y")], "", "xy" + marked[3:]), "null": ([(None, 2, "x")], "no_place", None), "blank": ([(0, 2, " ")], "empty_replacement", None), "none": ([], "", marked),
+    }
+    df = spark.createDataFrame([(k, [r for r in pages_], e) for k, (e, _, _) in cases.items()], f"k string, p array<struct<page:int,text:string>>, e {edits.EDIT}")
+    df = df.withColumn("marked", text.join_pages(F.col("p")))
+    df = df.withColumn("issue", edits.edit_issue(F.col("marked"), F.col("e"), edits.break_spans(F.col("marked"), F.transform("p", lambda x: x["page"]))))
+    got = {r["k"]: r for r in df.withColumn("out", edits.edited(F.col("marked"), F.col("e"), F.col("issue"))).collect()}
+    assert {k: r["issue"] for k, r in got.items()} == {k: v[1] for k, v in cases.items()}
+    assert all(r["out"] == (cases[k][2] if cases[k][2] is not None else marked) and r["marked"] == marked for k, r in got.items())
+
+
+def test_break_spans_of_expected_pages(spark):
+    marked = "a\n<<<PAGE_BREAK:2>>>\n\n<<<PAGE_BREAK:9>>>\nb\n<<<PAGE_BREAK:3>>>\n"
+    df = spark.createDataFrame([(marked, [1, 2, 3]), ("no breaks", [1]), ("", [])], "m string, p array<int>")
+    got = [[tuple(x) for x in r[0]] for r in df.select(edits.break_spans(F.col("m"), F.col("p"))).collect()]
+    assert got[0] == [(m.start(), m.end()) for m in re.finditer(r"\n<<<PAGE_BREAK:[23]>>>\n", marked)] and got[1:] == [[], []]
+
+
+def test_validate_chunks(spark):
+    rows = [("d", "C1", ["p"], "t", 2, 1, 5, 5, "x" * 300), ("d", "C2", None, None, 1, 1, 0, 9, "DOI: 10.1234/ab 收稿日期\n• 12 •\n<<PAGE"), ("e", "C1", ["p"], "t", 1, 1, 0, 9, " "), ("f", "C1", ["p"], "t", 1, 2, 0, 9, None)]
+    df = spark.createDataFrame(rows, "document_id string, chunk_id string, path array<string>, title string, page_start int, page_end int, start int, end int, text string")
+    got = {(r["document_id"], r["chunk_id"]): r for r in quality.validate_chunks(df, 250).collect()}
+    assert got["d", "C1"]["issues"] == ["bad_page_range", "bad_text_span", "too_long"] and got["d", "C1"]["warnings"] == []
+    assert got["d", "C2"]["issues"] == ["missing_field:path", "missing_field:title", "noise:doi", "noise:received", "noise:page_marker", "noise:page_number"] and got["d", "C2"]["warnings"] == ["too_short"]
+    assert got["e", "C1"]["issues"] == ["empty_text"] and got["e", "C1"]["warnings"] == [] and got["f", "C1"]["issues"] == ["missing_field:text", "empty_text"]
+    assert quality.validate_chunks(df.drop("title").where("document_id = 'e'")).collect()[0]["issues"] == ["missing_field:title", "empty_text"]
+
+
+def test_indicators(spark):
+    text_ = {"CRP 升高 12 mg/L": 0.64, "xCRP 12": 0.0, "CRPα 12": 0.0, "抗核抗体 阳性": 0.64, "符合3项诊断标准": 0.64, "仅供参考": 0.0}
+    df = spark.createDataFrame([("d", k, k, "") for k in text_], "document_id string, chunk_id string, text string, section string")
+    got = labeling.apply_rules(df, tests=c.INDICATORS, labels=("tests",), lfs=()).collect()
+    assert {r["chunk_id"]: r["confidence"] for r in got} == text_ and all(r["lf"] == "regex_indicator" for r in got)
