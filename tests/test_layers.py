@@ -16,6 +16,7 @@ from silkgrain import config as c
 from silkgrain.functions import text
 from silkgrain.operators import audit, edits, labeling, pages, quality, relations, segment, toc
 from silkgrain.operators import second_layer as sl
+from silkgrain.plans import pipeline
 
 CAND = "document_id string, candidate_id string, relation string, start_entity_id string, end_entity_id string, start_name string, end_name string, quota int, search_level string, pos int"
 
@@ -453,3 +454,41 @@ def test_indicators(spark):
     df = spark.createDataFrame([("d", k, k, "") for k in text_], "document_id string, chunk_id string, text string, section string")
     got = labeling.apply_rules(df, tests=c.INDICATORS, labels=("tests",), lfs=()).collect()
     assert {r["chunk_id"]: r["confidence"] for r in got} == text_ and all(r["lf"] == "regex_indicator" for r in got)
+
+
+# ---- runs
+def test_poisoned_documents(spark, tmp_path):
+    import pandas as pd
+
+    out, broken = str(tmp_path / "out"), {"poison": True}
+
+    def pieces(pdf):
+        if broken["poison"] and pdf["text"].str.contains("poison").any():
+            raise ValueError("can't read this")
+        return pd.DataFrame({"n": range(len(pdf["text"].iloc[0].split()))})
+
+    def sums(s, given):
+        return given["pieces"].groupBy("document_id").agg(F.sum("n").alias("total"))
+
+    docs = spark.createDataFrame([(1, "a b c"), (2, "poison x"), (3, "d"), (4, "")], "document_id int, text string")
+    stages = lambda: (("pieces", pipeline.per_document(pieces, "n long")), ("sums", sums), ("more", lambda s, g: g["sums"]))
+    log = pipeline.run(spark, docs, out, stages())
+    assert [(r["stage"], r["documents"], r["not_done"]) for r in log.collect()] == [("pieces", 3, 1), ("sums", 3, 1), ("more", 3, 1)]
+    told = {(r["document_id"], r["stage"]): (r["status"], r["error"]) for r in pipeline.statuses(spark, out, stages()).collect()}
+    assert told[2, "pieces"] == ("failed", "ValueError: can't read this") and told[2, "sums"][0] == told[2, "more"][0] == "blocked" and told[4, "more"][0] == "ok"
+    assert {r["document_id"]: r["total"] for r in pipeline.stored(spark, out, "more").collect()} == {1: 3, 3: 0}
+    assert {r["status"] for r in pipeline.run(spark, docs, out, stages()).collect()} == {"nothing to do"}
+    broken["poison"] = False
+    log = pipeline.run(spark, docs, out, stages(), retry=True)
+    assert [(r["documents"], r["not_done"]) for r in log.collect()] == [(1, 0)] * 3
+    assert {r["document_id"]: r["total"] for r in pipeline.stored(spark, out, "more").collect()} == {1: 3, 2: 1, 3: 0}
+    assert {r["status"] for r in pipeline.statuses(spark, out, stages()).collect()} == {"ok"}
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    out = str(tmp_path / "out")
+    docs = spark.createDataFrame([(1, "a")], "document_id int, text string")
+    stages = (("one", lambda s, g: g["documents"]),)
+    pipeline.run(spark, docs, out, stages)
+    docs.write.parquet(f"{out}/one/batch=1")  # written, but never listed
+    assert pipeline.stored(spark, out, "one").count() == 1
