@@ -34,9 +34,10 @@ def written(df: DataFrame) -> DataFrame:
 class Log:
     """A table that only grows: rows appended by one job after another, each whole or not at all."""
 
-    def __init__(self, spark: SparkSession, schema: StructType) -> None:
-        self.spark, self.schema, self.path = spark, schema, shared_dir(spark)
-        spark.createDataFrame([], schema).write.parquet(self.path)
+    def __init__(self, spark: SparkSession, schema: StructType | str, path: str | None = None) -> None:
+        """path: where it is, or is to be; else a fresh folder."""
+        self.spark, self.schema, self.path = spark, schema, path or shared_dir(spark)
+        spark.createDataFrame([], schema).write.mode("append").parquet(self.path)
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path)

@@ -17,6 +17,7 @@ from silkgrain.functions import text
 from silkgrain.operators import audit, edits, labeling, pages, quality, relations, segment, toc
 from silkgrain.operators import second_layer as sl
 from silkgrain.plans import pipeline
+from silkgrain.sources import io, models
 
 CAND = "document_id string, candidate_id string, relation string, start_entity_id string, end_entity_id string, start_name string, end_name string, quota int, search_level string, pos int"
 
@@ -492,3 +493,45 @@ def test_unfinished_batches_are_not_read(spark, tmp_path):
     pipeline.run(spark, docs, out, stages)
     docs.write.parquet(f"{out}/one/batch=1")  # written, but never listed
     assert pipeline.stored(spark, out, "one").count() == 1
+
+
+# ---- sources
+def test_model_source(spark):
+    calls, fail = spark.sparkContext.accumulator(0), str(spark.conf.get("spark.checkpoint.dir")) + "/fail"
+    from pathlib import Path
+
+    Path(fail).mkdir(parents=True, exist_ok=True)
+
+    def model(prompt):
+        calls.add(1)
+        if prompt == "down":
+            raise TimeoutError("no answer")
+        if prompt == "second time" and not Path(fail, "once").exists():
+            Path(fail, "once").touch()
+            raise ConnectionError("busy")
+        return iter([("reasoning", "so "), ("content", "an"), ("content", "swer ")]) if prompt == "stream" else f" said {prompt} "
+
+    prompts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "down"), (4, "second time"), (5, "stream"), (6, None)], "prompt_id int, prompt string")
+    source = models.ModelSource(spark, model, "m1", pause=lambda seconds: None)
+    got = {r["prompt_id"]: r for r in source.ask(prompts).collect()}
+    assert calls.value == 1 + 3 + 2 + 1
+    assert got[1]["text"] == got[2]["text"] == "said a" and got[3]["status"] == "error" and got[3]["reason"] == "TimeoutError: no answer" and got[3]["tries"] == 3
+    assert (got[4]["status"], got[4]["tries"]) == ("ok", 2) and (got[5]["text"], got[5]["reasoning"]) == ("answer", "so") and got[6]["reason"] == "no prompt" and got[1]["model"] == "m1"
+    source.ask(prompts).collect()
+    assert calls.value == 7 + 3  # only what failed is asked again
+    again = models.ModelSource(spark, model, "m1", tries=1, path=source.log.path)  # another run finds the answers
+    again.ask(prompts.where("prompt_id <> 3")).collect()
+    assert calls.value == 10
+    assert models.ModelSource(spark, model).ask(prompts.where("false")).count() == 0
+
+
+def test_bad_lines(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"lf": "x", "vote": 1}\n\n{"lf": "y", "vote": "no number"}\nnot json\n  \n{"lf": null}\n[1]\n')
+    (tmp_path / "b.jsonl").write_text('{"lf": "z", "vote": 2}\n')
+    schema = "lf string, vote int"
+    assert sorted(tuple(r) for r in io.read_jsonl(spark, str(tmp_path), schema).collect() if r["lf"]) == [("x", 1), ("z", 2)]
+    counts = {r["file"].rsplit("/", 1)[1]: (r["lines"], r["bad"]) for r in io.bad_lines(spark, str(tmp_path), schema).collect()}
+    assert counts == {"a.jsonl": (5, 3), "b.jsonl": (1, 0)}
+    with pytest.raises(Exception, match=r"a.jsonl: "):
+        io.read_jsonl(spark, str(tmp_path), schema, strict=True).collect()
+    assert io.read_jsonl(spark, str(tmp_path / "b.jsonl"), schema, strict=True).count() == 1
