@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import json
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -83,11 +86,37 @@ def format_table(body: Column) -> Column:
     return F.when(F.size(body) < 2, F.lit("")).otherwise(F.array_join(F.transform(F.slice(body, F.lit(2), F.size(body)), pair), "\n"))
 
 
+@functools.cache
+def compatible_forms() -> tuple[str, str, dict[str, str]]:
+    """Characters that NFKC makes one other character of, those characters, and those that it makes several of."""
+    one, many = {}, {}
+    for k in range(0x80, 0x2FA1E):
+        ch = chr(k)
+        to = unicodedata.normalize("NFKC", ch) if not 0xD800 <= k < 0xE000 else ch
+        if to != ch:
+            (one if len(to) == 1 else many)[ch] = to
+    return "".join(one), "".join(one.values()), many
+
+
+def compatible(text: Column) -> Column:
+    """Each character in its NFKC form. Letters followed by combining marks aren't put together."""
+    one, to, many = compatible_forms()
+    x = F.translate(text, one, to)
+    codes, ranges = sorted(map(ord, many)), []
+    for k in codes:
+        if ranges and k == ranges[-1][1] + 1:
+            ranges[-1][1] = k
+        else:
+            ranges.append([k, k])
+    known = F.lit("[" + "".join(rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in ranges) + "]")
+    table = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(x, ""), lambda ch: F.when(F.rlike(ch, known), F.try_element_at(table, ch)).otherwise(ch)), "")
+    return F.when(F.rlike(x, known), spelled).otherwise(x)  # few texts have any
+
+
 def anchor(text: Column) -> Column:
-    """Lower case without blanks, full-width forms and Greek letters as ASCII."""
-    full = "".join(chr(k) for k in range(0xFF01, 0xFF5F))
-    half = "".join(chr(k) for k in range(0x21, 0x7F))
-    return F.lower(F.regexp_replace(F.translate(text, full + "αβγ", half + "abr"), BLANK, ""))
+    """Lower case without blanks, compatible forms and three Greek letters as ASCII."""
+    return F.lower(F.regexp_replace(F.translate(compatible(text), "αβγΑΒΓ", "abrABR"), BLANK, ""))
 
 
 def merge_evidence(*groups: Column, limit: int = 12) -> Column:

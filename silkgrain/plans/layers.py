@@ -373,3 +373,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     ch = i.cn_chunks(s, d).withColumn("text", F.concat_ws(" ", "text", said))
     x = lab.apply_rules(ch, tests=c.INDICATORS, labels=("tests",), lfs=())
     return x.select("document_id", "chunk_id", "vote", "confidence", "count")
+
+
+# ---- text
+FORMS = ("①ﬁ½℃Ⅻ㈱", "ＡＢＣ　１２", "αΒγ ʰ", "㎎／㎖ ²")
+FOLDED = ("1fi1⁄2°cxii(株)", "abc12", "abrh", "mg/ml2")
+
+
+@query("T12_compatible", f"WITH {i.DOCS_SQL} SELECT document_id, lower(regexp_replace(text, '\\s+', '', 'g')) || [{', '.join(f'{chr(39)}{x}{chr(39)}' for x in FOLDED)}][document_id % 4 + 1] AS anchor FROM docs")
+def _(s: SparkSession, d: str) -> DataFrame:
+    form = F.get(F.array(*map(F.lit, FORMS)), (F.col("document_id") % len(FORMS)).cast("int"))
+    return i.docs(s, d).select("document_id", t.anchor(F.concat("text", form)).alias("anchor"))

@@ -535,3 +535,12 @@ def test_bad_lines(spark, tmp_path):
     with pytest.raises(Exception, match=r"a.jsonl: "):
         io.read_jsonl(spark, str(tmp_path), schema, strict=True).collect()
     assert io.read_jsonl(spark, str(tmp_path / "b.jsonl"), schema, strict=True).count() == 1
+
+
+def test_compatible_forms(spark):
+    import unicodedata
+
+    chars = [chr(k) for k in range(0x20, 0x2FA1E) if not 0xD800 <= k < 0xE000 and k not in range(0x1100, 0x1200)]
+    df = spark.createDataFrame([("".join(chars[k : k + 500]),) for k in range(0, len(chars), 500)] + [(None,), ("",), ("plain text",)], "t string")
+    got = [r[0] for r in df.select(text.compatible(F.col("t"))).collect()]
+    assert got[:-3] == ["".join(unicodedata.normalize("NFKC", x) for x in chars[k : k + 500]) for k in range(0, len(chars), 500)] and got[-3:] == [None, "", "plain text"]
