@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silkgrain import config as c
@@ -17,6 +17,7 @@ from silkgrain.operators import toc
 from silkgrain.plans import catalog
 from silkgrain.plans import inputs as i
 from silkgrain.plans.catalog import query
+from silkgrain.sources import elements
 
 C, E, REL = i.CHUNKS_SQL, i.ENTITIES_SQL, i.CONTRACT_SQL
 
@@ -384,3 +385,37 @@ FOLDED = ("1fi1⁄2°cxii(株)", "abc12", "abrh", "mg/ml2")
 def _(s: SparkSession, d: str) -> DataFrame:
     form = F.get(F.array(*map(F.lit, FORMS)), (F.col("document_id") % len(FORMS)).cast("int"))
     return i.docs(s, d).select("document_id", t.anchor(F.concat("text", form)).alias("anchor"))
+
+
+# ---- element trees
+def trees(s: SparkSession, d: str) -> DataFrame:
+    """Documents as trees: five lines a page; the first of a page a heading, every third one the only child of a list item."""
+    k = F.col("chunk_index")
+    inner = F.struct(F.col("text").alias("content"))
+    inner_kind = "struct<content:string>"
+    node = (
+        F.when(k % 5 == 0, F.struct(F.lit("Heading").alias("type"), F.lit("2").alias("level"), F.col("text"), F.lit(None).cast(inner_kind).alias("kids")))
+        .when(k % 3 == 2, F.struct(F.lit("list-item").alias("type"), F.lit(None).cast("string").alias("level"), F.lit(None).cast("string").alias("text"), inner.alias("kids")))
+        .otherwise(F.struct(F.lit("paragraph").alias("type"), F.lit(None).cast("string").alias("level"), F.col("text"), F.lit(None).cast(inner_kind).alias("kids")))
+    )
+    pages_ = i.chunks(s, d).groupBy("document_id", F.floor(k / 5).alias("page")).agg(F.array_sort(F.collect_list(F.struct("chunk_index", node.alias("node")))).alias("e"))
+    page = F.struct(F.transform("e", lambda e: e["node"]).alias("elements"))
+    g = pages_.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("page", page.alias("tree")))).alias("p"))
+    return g.select("document_id", F.to_json(F.struct(F.transform("p", lambda p: p["tree"]).alias("pages"))).alias("json"))
+
+
+_TREES = f"""{C}, n AS (SELECT document_id, chunk_index, chunk_index // 5 + 1 AS page, {catalog.norm("text")} AS x FROM chunks),
+el AS (SELECT document_id, chunk_index, 0 AS sub, page, CASE WHEN chunk_index % 5 = 0 THEN 'heading' WHEN chunk_index % 3 = 2 THEN 'list_item' ELSE 'paragraph' END AS type, CASE WHEN chunk_index % 5 <> 0 AND chunk_index % 3 = 2 THEN '' ELSE x END AS text FROM n
+ UNION ALL SELECT document_id, chunk_index, 1, page, '', x FROM n WHERE chunk_index % 5 <> 0 AND chunk_index % 3 = 2 AND x <> '')"""
+
+
+@query("S2_elements", f"WITH {_TREES} SELECT document_id, (row_number() OVER (PARTITION BY document_id ORDER BY chunk_index, sub))::INT AS n, page::INT AS page, type, text FROM el")
+def _(s: SparkSession, d: str) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy("document_id").orderBy("way"))
+    return elements.elements(trees(s, d)).select("document_id", place.alias("n"), "page", "type", "text")
+
+
+@query("S2_pages", f"""WITH {_TREES} SELECT document_id, page::INT AS page, count(*) AS n_elements, count(*) FILTER (text <> '') AS n_lines,
+ {catalog.norm("coalesce(string_agg(CASE WHEN type = 'heading' THEN '## ' || text ELSE text END, chr(10) ORDER BY chunk_index, sub) FILTER (text <> ''), '')")} AS raw_text FROM el GROUP BY ALL""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return elements.element_pages(elements.elements(trees(s, d)), clean=False).select("document_id", "page", "n_elements", F.size("lines").cast("long").alias("n_lines"), "raw_text")
