@@ -186,6 +186,15 @@ INDICATORS = (
     ("exam_item", r"(活检|造影|超声|CT|MRI|内镜|病理|组织学|血清学|实验室检查|影像学检查|针刺反应)", 0.72),
     ("diagnostic_threshold", r"(至少|满足|符合)[^\n。；;]{0,18}([一二三四五六七八九十\d]+)项[^\n。；;]{0,18}(诊断|分类标准|标准)", 0.78),
 )
+#: What OCR may find that a page's own text lacks.
+OCR_BLOCK = r"(?:(?<![\d.])[123]\s*急性胰腺炎|推荐\s*\d+\s*[:：])"
+OCR_ADVICE = r"^\s*推荐\s*(\d+)\s*[:：]"
+OCR_STRENGTH_MARK = r"推荐强度\s*[:：]"
+OCR_STRENGTH = r"推荐强度\s*[:：]\s*(?:强|一般)\s*[)）]?"
+OCR_NOISE = r"[A-Za-z]{1,2}|[、。，]{2,}"
+OCR_FOOTER = r"(?i)China Academic Journal Electronic Publishing House|cnki\.net"
+OCR_HEADINGS = ("1 急性胰腺炎的诊断", "2 急性胰腺炎的治疗", "3 急性胰腺炎病人的随访")
+OCR_BEFORE = {"1": r"^\s*1\.4\s*急性胰腺炎的影像学检查"}
 SECTION_TERMS = {
     "symptoms": ("临床表现", "症状", "体征"),
     "tests": ("检查", "诊断", "实验室", "辅助检查"),

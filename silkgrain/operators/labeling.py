@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,24 @@ def occurrences(text: Column, term: str, most: int) -> Column:
     return F.least((gone / len(needle)).cast("int"), F.lit(most))
 
 
+def regex_spans(text: Column, pattern: str, most: int = 8) -> Column:
+    """The first `most` matches in either case, each with start and end (code points) and text; none for a null text or a
+    pattern that isn't one.
+
+    Spark gives matches but not their places: these are the lengths of what stands between them, from a split by the same pattern."""
+    try:
+        re.compile(pattern)
+    except re.error:
+        return F.array().cast("array<struct<start:int,end:int,text:string>>")
+    rule = f"(?iU)(?:{pattern})"
+    found = F.filter(F.regexp_extract_all(text, F.lit(f"({rule})"), 1), lambda m: m != "")
+    pairs = F.zip_with(F.split(text, rule, -1), found, lambda b, m: F.struct(F.length(b).alias("before"), m.alias("text")))
+    pairs = F.slice(F.filter(pairs, lambda p: p["text"].isNotNull()), 1, most)
+    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    step = lambda s, p: F.struct((s["at"] + p["before"] + F.length(p["text"])).alias("at"), F.concat(s["out"], F.array(F.struct((s["at"] + p["before"]).alias("start"), (s["at"] + p["before"] + F.length(p["text"])).alias("end"), p["text"].alias("text")))).alias("out"))
+    return F.coalesce(F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"], none)
+
+
 def term_counts(text: Column, terms: tuple[str, ...]) -> Column:
     """Occurrences of each term, at most four: an array in order of terms."""
     return F.array(*[occurrences(text, x, 4) for x in terms])

@@ -22,6 +22,7 @@ from silkgrain.operators import quality as qu
 from silkgrain.operators import relations as rel
 from silkgrain.operators import segment as seg
 from silkgrain.plans import inputs as i
+from silkgrain.sources import io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -834,11 +835,11 @@ def _(s, d):
     return x.join(x.where("document_id % 3 = 0"), "document_id", "left_anti")
 
 
-@query("O3_unique_stems", "WITH x AS (SELECT doc_id AS document_id, source AS stem, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) SELECT document_id, CASE WHEN k = 1 THEN stem ELSE stem || '_' || sha1(document_id::VARCHAR)[1:8] END AS stem FROM x")
+@query("O3_unique_stems", "WITH x AS (SELECT doc_id AS document_id, source AS stem, '/' || doc_id || '/' || source || '.pdf' AS path, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) SELECT document_id, CASE WHEN k = 1 THEN stem ELSE stem || '.' || sha1(path)[1:8] END AS stem FROM x")
 def _(s, d):
-    first = i.table(s, d, "documents", "doc_id", "source").groupBy("source").agg(F.min("doc_id").alias("first"))
-    x = i.table(s, d, "documents", "doc_id", "source").join(first, "source")
-    return x.select(F.col("doc_id").alias("document_id"), F.when(F.col("doc_id") == F.col("first"), F.col("source")).otherwise(F.concat("source", F.lit("_"), F.substring(F.sha1(F.col("doc_id").cast("string")), 1, 8))).alias("stem"))
+    x = i.table(s, d, "documents", "doc_id", "source")
+    paths = x.select(F.col("doc_id").alias("ord"), F.concat(F.lit("/"), "doc_id", F.lit("/"), "source", F.lit(".pdf")).alias("path"))
+    return io.unique_stems(paths).select(F.col("ord").alias("document_id"), "stem")
 
 
 @query("H7_batches", None)

@@ -10,6 +10,7 @@ from silkgrain.functions import text as t
 from silkgrain.operators import audit, edits, pages
 from silkgrain.operators import labeling as lab
 from silkgrain.operators import layout as lay
+from silkgrain.operators import page_texts
 from silkgrain.operators import relations as rel
 from silkgrain.operators import second_layer as sl
 from silkgrain.operators import segment as seg
@@ -419,3 +420,35 @@ def _(s: SparkSession, d: str) -> DataFrame:
  {catalog.norm("coalesce(string_agg(CASE WHEN type = 'heading' THEN '## ' || text ELSE text END, chr(10) ORDER BY chunk_index, sub) FILTER (text <> ''), '')")} AS raw_text FROM el GROUP BY ALL""")
 def _(s: SparkSession, d: str) -> DataFrame:
     return elements.element_pages(elements.elements(trees(s, d)), clean=False).select("document_id", "page", "n_elements", F.size("lines").cast("long").alias("n_lines"), "raw_text")
+
+
+# ---- texts of pages
+@query("T23_best_blocks", rf"""WITH {C}, b AS (SELECT document_id, chunk_index, CASE WHEN chunk_index % 3 = 0 THEN text ELSE '推荐 ' || (chunk_index % 2 + 1) || '：' || text END AS block, CASE WHEN chunk_index % 3 <> 0 THEN chunk_index % 2 + 1 END AS number FROM
+ (SELECT document_id, chunk_index, translate(lower(text[1:60]), 'abcdefghijklm', '断表因案发现病疗检查疹疼机') AS text FROM chunks)),
+q AS (SELECT *, len(regexp_extract_all(block, '[一-鿿]')) - 3 * len(regexp_extract_all(block, '[A-Za-z]{{1,2}}|[、。，]{{2,}}')) AS quality FROM b),
+k AS (SELECT *, row_number() OVER (PARTITION BY document_id, number ORDER BY quality DESC, chunk_index) AS k, min(chunk_index) OVER (PARTITION BY document_id, number) AS first FROM q),
+r AS (SELECT *, row_number() OVER (PARTITION BY document_id, regexp_replace(block, '\s+', '', 'g') ORDER BY number IS NOT NULL, CASE WHEN number IS NULL THEN chunk_index ELSE first END) AS r FROM k WHERE number IS NULL OR k = 1)
+SELECT document_id, (row_number() OVER (PARTITION BY document_id ORDER BY number IS NOT NULL, CASE WHEN number IS NULL THEN chunk_index ELSE first END))::INT AS rank, number::VARCHAR AS number, block FROM r WHERE r = 1""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Lines cut to sixty characters (the block is one of OCR's, not the text), two in three as recommendations of two numbers."""
+    k = F.col("chunk_index")
+    text = F.translate(F.lower(F.substring("text", 1, 60)), "abcdefghijklm", "断表因案发现病疗检查疹疼机")
+    block = F.when(k % 3 == 0, text).otherwise(F.concat(F.lit("推荐 "), k % 2 + 1, F.lit("："), text))
+    b = i.chunks(s, d).select("document_id", F.lit(1).alias("page"), k.alias("ord"), block.alias("block"))
+    return page_texts.best_blocks(b).select("document_id", "rank", "number", "block")
+
+
+@query("T9_translated", f"""WITH {C}, e AS (SELECT *, length(text) >= 80 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / greatest(1, length(text)) > 0.45 AS english FROM chunks)
+SELECT document_id, sha256(string_agg(CASE WHEN english AND chunk_index % 2 = 0 THEN '> ' || text ELSE text END, chr(10) || chr(10) ORDER BY chunk_index)) AS text_sha256, bool_or(english AND chunk_index % 2 = 0) AS translated, bool_or(english AND chunk_index % 2 = 1) AS pending FROM e GROUP BY 1""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Lines as paragraphs; a model that translates every second one that it is asked about."""
+    x = i.chunks(s, d).groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda v: v["text"]), "\n\n").alias("text")).withColumn("page", F.lit(1))
+    answers = page_texts.english_paragraphs(x).where("n % 2 = 0").select("document_id", "page", "n", F.lit("ok").alias("status"), F.concat(F.lit("> "), "paragraph").alias("text"))
+    return page_texts.with_translations(x, answers).select("document_id", F.sha2("text", 256).alias("text_sha256"), "translated", "pending")
+
+
+@query("T14_spans", f"""WITH {C} SELECT document_id, chunk_index, array_to_string(list_slice(regexp_extract_all(text, '(?i)th[a-z]'), 1, 8), ',') AS found,
+ CASE WHEN regexp_matches(text, '(?i)th[a-z]') THEN length(string_split_regex(text, '(?i)th[a-z]')[1]) END::INT AS first FROM chunks""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    x = i.chunks(s, d).withColumn("found", lab.regex_spans(F.col("text"), "th[a-z]"))
+    return x.select("document_id", "chunk_index", F.array_join(F.transform("found", lambda m: m["text"]), ",").alias("found"), F.get("found", F.lit(0))["start"].alias("first"))

@@ -60,6 +60,17 @@ def pair_by_stem(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right.select("document_id").distinct(), "document_id", "left_semi")
 
 
+def unique_stems(paths: DataFrame) -> DataFrame:
+    """O3: paths (path, ord) with stem: the file's name without its ending (a hash of the path where that is blank); of those
+    that share one, all but the first in order get a hash of their path on top. The first is found by a sum, not by a window over a stem's files."""
+    name = F.trim(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1))
+    x = paths.withColumn("__s", F.when(name == "", F.substring(F.sha1(F.col("path").cast("string")), 1, 12)).otherwise(name))
+    first = x.groupBy("__s").agg(F.min(F.struct("ord", "path")).alias("__f"))
+    x = x.join(first, "__s")
+    is_first = (F.col("ord") == F.col("__f.ord")) & (F.col("path") == F.col("__f.path"))
+    return x.withColumn("stem", F.when(is_first, F.col("__s")).otherwise(F.concat("__s", F.lit("."), F.substring(F.sha1("path"), 1, 8)))).drop("__s", "__f")
+
+
 def read_pdf_pages(spark: SparkSession, path: str, extract: Callable[[bytes], list[tuple[int, str]]]) -> DataFrame:
     """Pages of binary documents by an extractor of the caller's, one document at a time."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
