@@ -69,10 +69,11 @@ def outside_tables(lines: DataFrame, tables: DataFrame, share: float = 0.35) ->
 
 def chunk_regions(chunks: DataFrame, lines: DataFrame, head: int = 12) -> DataFrame:
     """For each chunk and page of its range, the box around the lines it holds, or around
-    all lines of the page if it holds none."""
+    all lines of the page if it holds none. A chunk meets the lines of its own pages alone."""
     sq = lambda x: F.regexp_replace(x, r"\s+", "")
-    k = chunks.select("document_id", "chunk_id", sq(F.col("text")).alias("body"), "page_start", "page_end")
-    j = k.join(lines.select("document_id", "page", sq(F.col("line")).alias("own_line"), "x0", "top", "x1", "bottom"), "document_id").where(F.col("page").between(F.col("page_start"), F.col("page_end")))
+    pages = F.explode(F.sequence("page_start", "page_end")).alias("page")
+    k = chunks.where("page_start <= page_end").select("document_id", "chunk_id", sq(F.col("text")).alias("body"), pages)
+    j = k.join(lines.select("document_id", "page", sq(F.col("line")).alias("own_line"), "x0", "top", "x1", "bottom"), ["document_id", "page"])
     j = j.withColumn("own", F.contains("body", F.substring("own_line", 1, head)) & (F.col("own_line") != ""))
     pick = lambda f, x: F.coalesce(f(F.when(F.col("own"), F.col(x))), f(x)).alias(x)
     return j.groupBy("document_id", "chunk_id", "page").agg(pick(F.min, "x0"), pick(F.min, "top"), pick(F.max, "x1"), pick(F.max, "bottom"), F.max("own").alias("matched"))

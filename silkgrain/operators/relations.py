@@ -75,17 +75,22 @@ def batch_audit_prompts(cands: DataFrame, contexts: DataFrame, size: int = 8) ->
 def candidates(entities: DataFrame, chunks: DataFrame, triggers: dict[str, tuple[str, ...]] | None = c.TRIGGERS, same_chunk_only: bool = False, most: int = c.MAX_DISTANCE) -> DataFrame:
     """Pairs of one document whose types some relation allows, at most its distance apart.
 
-    Equality on (document, target type) carries the join; distance is a band on chunk_index,
-    and a document's entities bound what meets. Entities: document_id, chunk_id, chunk_index,
-    entity_id, entity_type, name. In different chunks a trigger must stand in one of them; None skips
+    Chunks are dealt into bands as wide as the greatest distance, and equality on (document, target type, band) carries the
+    join: a start meets the ends of its band and of the two beside it, so pairs grow with a document's length, not with its square. Only a
+    relation that holds over a whole document is joined without bands. Entities: document_id, chunk_id, chunk_index,
+    entity_id, entity_type, name; without a chunk_index only the latter. In different chunks a trigger must stand in one of them; None skips
     that, and then no chunk text is fetched.
     """
-    rel = F.broadcast(contract(entities.sparkSession))
+    whole = F.col("relation") == "has_sub_disease"
+    rel = contract(entities.sparkSession)
     side = lambda p: entities.select("document_id", *[F.col(x).alias(f"{p}_{x}") for x in ("entity_id", "entity_type", "name", "chunk_id", "chunk_index")])
-    a = side("start").join(rel, F.col("start_entity_type") == F.col("source_type"))
-    j = a.join(side("end").withColumnRenamed("end_entity_type", "target_type"), ["document_id", "target_type"])
+    start = lambda kept: side("start").join(F.broadcast(rel.where(kept)), F.col("start_entity_type") == F.col("source_type"))  # noqa: E731  seven rows
+    band = lambda x: F.floor(x / (most + 1))
+    end = side("end").withColumnRenamed("end_entity_type", "target_type")
+    near = start(~whole).withColumn("band", F.explode(F.array(*(band(F.col("start_chunk_index")) + k for k in (-1, 0, 1)))))
+    near = near.join(end.withColumn("band", band(F.col("end_chunk_index"))), ["document_id", "target_type", "band"]).drop("band")
+    j = near.unionByName(start(whole).join(end, ["document_id", "target_type"]))
     d = F.coalesce(F.abs(F.col("start_chunk_index") - F.col("end_chunk_index")), F.lit(most + 1))
-    whole = F.col("relation") == "has_sub_disease"
     j = j.where((F.coalesce(F.col("start_entity_id").cast("string"), F.lit("")) != "") & (F.coalesce(F.col("end_entity_id").cast("string"), F.lit("")) != "") & (F.col("start_entity_id") != F.col("end_entity_id")))
     j = j.withColumn("chunk_distance", d).where(whole | (F.col("chunk_distance") <= F.least(F.lit(most), "max_distance")))
     if same_chunk_only:
