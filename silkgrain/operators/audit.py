@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from silkgrain.config import TRIGGERS
 from silkgrain.functions import text as t
-from silkgrain.operators.relations import AUDIT, LEVELS, asked, chunk_header
+from silkgrain.operators import quality
+from silkgrain.operators.relations import AUDIT, LEVELS, asked, candidates, chunk_header, escalate, limited
 from silkgrain.sources.io import call_model
 from silkgrain.sources.tables import Log, written
 
@@ -171,3 +173,32 @@ def model_asker(contexts: DataFrame, model: Callable[[str], str]) -> Ask:
         return each.select("candidate_id", t.coerce_bool(F.col("r.approved"), False).alias("approved"), "r.evidence", "r.confidence")
 
     return ask
+
+
+def extract_relations(
+    entities: DataFrame, chunks: DataFrame, asker: Callable[[DataFrame], Ask], properties: Ask | None = None, with_review: bool = True, most: int = 0, batch: int = BATCH,
+    triggers: dict[str, tuple[str, ...]] | None = TRIGGERS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Relation records, all questions with their answers, and documents that can't be done, of all documents at once.
+
+    Entities with a status count if they are accepted (with_review: or in review); a document without a sub-disease is an error
+    (document_id, error) and nothing is asked about it. asker makes the audit's ask from the contexts, such as
+    lambda contexts: model_asker(contexts, model). properties gets the confirmed candidates with each context (candidate_id, level, context_level,
+    context) and returns candidate_id, level, properties (map) and signal; the first level with a signal counts (R11).
+    """
+    usable = written(quality.usable_entities(entities, accepted_only=not with_review))
+    errors = quality.missing_hub(usable)
+    usable = usable.join(errors.select("document_id"), "document_id", "left_anti")
+    cands = written(limited(candidates(usable, chunks, triggers), most))
+    contexts = written(context_map(cands, usable, chunks))
+    questions = layered_audit(cands, asker(contexts), batch)
+    sure = questions.where("approved")
+    found = sure.withColumn("relation_id", t.short_id("REL_", F.col("document_id"), F.col("start_entity_id"), F.col("relation"), F.col("end_entity_id")))
+    if properties is None:
+        found = found.withColumn("properties", F.create_map().cast("map<string,string>"))
+    else:
+        level = F.array_position(F.array(*map(F.lit, CONTEXTS)), F.col("context_level")).cast("int")
+        shown = sure.drop("context_level").join(contexts, "candidate_id").withColumn("level", level)
+        found = found.join(escalate(properties(shown)).select("candidate_id", "properties"), "candidate_id", "left")
+    found = found.select("relation_id", "document_id", "start_entity_id", "relation", "end_entity_id", "search_level", "chunk_distance", "context_level", "evidence", "confidence", "properties")
+    return found.dropDuplicates(["relation_id"]), questions, errors

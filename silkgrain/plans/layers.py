@@ -41,17 +41,30 @@ k AS (SELECT y.*, k FROM y, (VALUES (1), (2), (3)) v(k) WHERE k <= coalesce(yes,
 had AS (SELECT k.document_id, k.pos, k.k, count(ok.pos) AS had FROM k LEFT JOIN ok ON ok.document_id = k.document_id AND ok.relation = k.relation AND ok.anchor = k.anchor
   AND row(ok.level, ok.yes, ok.pos) < row(k.level, k.k, k.pos) WHERE k.relation <> 'implements_by' GROUP BY ALL),
 told AS (SELECT k.* FROM k JOIN had USING (document_id, pos, k) WHERE quota IS NULL OR had < quota
-  UNION ALL SELECT k.* FROM k JOIN sure ON sure.document_id = k.document_id AND tr = start_entity_id AND since <= level WHERE relation = 'implements_by')
-SELECT document_id, start_entity_id, relation, end_entity_id, search_level, ['entity_window', 'chunk', 'neighbor_chunks'][k] AS context_level, coalesce(k = yes, false) AS approved FROM told"""
+  UNION ALL SELECT k.* FROM k JOIN sure ON sure.document_id = k.document_id AND tr = start_entity_id AND since <= level WHERE relation = 'implements_by')"""
+_CONTEXT = "['entity_window', 'chunk', 'neighbor_chunks'][k] AS context_level"
 
 
-@query("R10_layered_audit", f"WITH {E}, {REL}, {catalog._R1}, {_AUDIT}")
+@query("R10_layered_audit", f"WITH {E}, {REL}, {catalog._R1}, {_AUDIT} SELECT document_id, start_entity_id, relation, end_entity_id, search_level, {_CONTEXT}, coalesce(k = yes, false) AS approved FROM told")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Every question of an audit with batches of one."""
     asked = audit.layered_audit(catalog._cands(s, d), _said, batch=1)
     return asked.select("document_id", "start_entity_id", "relation", "end_entity_id", "search_level", "context_level", "approved")
 
 
+_HUB = E.replace("entities AS", "e0 AS", 1) + ", entities AS (SELECT * FROM e0 WHERE status <> 'rejected' AND document_id % 3 <> 0)"
+
+
+@query("H12_relations", f"WITH {_HUB}, {REL}, {catalog._R1}, {_AUDIT} SELECT document_id, start_entity_id, relation, end_entity_id, {_CONTEXT}, start_entity_id % 2 AS properties FROM told WHERE k = yes")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Relations of documents that have sub-diseases (one in three has none left), audited one by one, with a property."""
+    e = i.entities(s, d).where("NOT (entity_type = 'sub_diseases' AND document_id % 3 = 0)")
+    told = lambda shown: shown.select("candidate_id", "level", F.create_map(F.lit("p"), (F.col("start_entity_id") % 2).cast("string")).alias("properties"), (F.col("level") == 2).alias("signal"))
+    ch = e.select("document_id", "chunk_id", "chunk_index", "text").dropDuplicates(["document_id", "chunk_id"])
+    found = audit.extract_relations(e.drop("text"), ch, lambda contexts: _said, told, batch=1, triggers=None)[0]
+    return found.select("document_id", "start_entity_id", "relation", "end_entity_id", "context_level", F.col("properties")["p"].cast("long").alias("properties"))
+
+
 def spread(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Entities and chunks of documents of forty: each of the driver's documents is a chunk, and its second line an entity's evidence."""
     k = (F.col("entity_id") % 40).cast("int")

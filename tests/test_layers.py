@@ -544,3 +544,19 @@ def test_compatible_forms(spark):
     df = spark.createDataFrame([("".join(chars[k : k + 500]),) for k in range(0, len(chars), 500)] + [(None,), ("",), ("plain text",)], "t string")
     got = [r[0] for r in df.select(text.compatible(F.col("t"))).collect()]
     assert got[:-3] == ["".join(unicodedata.normalize("NFKC", x) for x in chars[k : k + 500]) for k in range(0, len(chars), 500)] and got[-3:] == [None, "", "plain text"]
+
+
+def test_extract_relations(spark):
+    ent = spark.createDataFrame(
+        [("a", "s1", "C1", 0, "sub_diseases", "病", "e", "accepted"), ("a", "x1", "C1", 0, "symptoms", "热", "e", "review"), ("a", "x2", "C2", 1, "symptoms", "痛", "e", "rejected"), ("a", "x3", "C9", 9, "symptoms", "咳", "e", "accepted"),
+         ("b", "x4", "C1", 0, "symptoms", "热", "e", "accepted"), ("b", "s2", "C1", 0, "sub_diseases", "病", "e", "rejected")],
+        "document_id string, entity_id string, chunk_id string, chunk_index int, entity_type string, name string, evidence_text string, status string",
+    )
+    ch = spark.createDataFrame([("a", "C1", 0, "病 热"), ("a", "C2", 1, "痛"), ("b", "C1", 0, "热")], "document_id string, chunk_id string, chunk_index int, text string")
+    model = lambda prompt: json.dumps({"results": [{"candidate_id": i, "approved": "yes", "evidence": "病 热", "confidence": 0.7} for i in re.findall(r"^\[(\w+)\]", prompt, re.M) if "Relation" in prompt]})
+    props = lambda shown: shown.select("candidate_id", "level", F.create_map(F.lit("k"), F.col("context_level")).alias("properties"), (F.col("level") >= 2).alias("signal"))
+    found, asked, errors = audit.extract_relations(ent, ch, lambda contexts: audit.model_asker(contexts, model), props)
+    got = found.collect()
+    assert [(r["start_entity_id"], r["relation"], r["end_entity_id"], r["evidence"], r["confidence"], r["properties"]) for r in got] == [("s1", "manifests_as", "x1", "病 热", 0.7, {"k": "chunk"})]
+    assert got[0]["relation_id"].startswith("REL_") and asked.count() == 1 and [tuple(r) for r in errors.collect()] == [("b", "no_sub_diseases")]
+    assert audit.extract_relations(ent, ch, lambda contexts: audit.model_asker(contexts, model), with_review=False)[0].count() == 0
