@@ -705,7 +705,7 @@ def _(s, d):
 @query("G4_two_columns", None)
 def _(s, d):
     words = i.boxes(s, d).select("document_id", "page", "x0", "x1", F.lit(700.0).alias("page_width"))
-    return lay.two_columns(words, least_words=8)
+    return lay.two_columns(words, least_words=8).withColumn("split_x", r6(F.col("split_x")))
 
 
 @query("G7_regions", f"WITH {B}, j AS (SELECT k.document_id, k.object_id AS chunk_id, l.page, l.x0, l.top, l.x1, l.bottom, contains(regexp_replace(k.line, '\\s+', '', 'g'), regexp_replace(l.line, '\\s+', '', 'g')[1:12]) AND regexp_replace(l.line, '\\s+', '', 'g') <> '' AS own FROM boxes k JOIN boxes l ON k.document_id = l.document_id AND l.page BETWEEN k.page AND k.page + 1) SELECT document_id, chunk_id, page, coalesce(min(x0) FILTER (own), min(x0)) AS x0, coalesce(max(bottom) FILTER (own), max(bottom)) AS bottom, bool_or(own) AS matched FROM j GROUP BY ALL")

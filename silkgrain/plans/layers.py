@@ -131,19 +131,31 @@ def _count(x: str, patterns: tuple[str, ...]) -> str:
     return " + ".join(f"regexp_matches({x}, '(?i){p}')::INT" for p in patterns) or "0"
 
 
-def _patterned_sql(lf: str, fo: int, kind: str, lo: int, x: str, tables: tuple[dict, dict, dict], against: float, sure: str, plain: str) -> str:
+def _patterned_sql(lf: str, fo: int, kind: str, lo: int, x: str, tables: tuple[dict, dict, dict], against: float, sure: str, plain: str, keys: str = "entity_id") -> str:
     p, st, bad = (t.get(kind, ()) for t in tables)
-    return f"""SELECT entity_id, '{lf}' AS lf, {fo} AS fo, '{kind}' AS label, {lo} AS lo, CASE WHEN bad > 0 THEN -1 WHEN n > 0 THEN 1 ELSE 0 END AS vote,
+    return f"""SELECT {keys}, '{lf}' AS lf, {fo} AS fo, '{kind}' AS label, {lo} AS lo, CASE WHEN bad > 0 THEN -1 WHEN n > 0 THEN 1 ELSE 0 END AS vote,
  (CASE WHEN bad > 0 THEN {against} WHEN n > 0 THEN CASE WHEN st > 0 THEN {sure} ELSE {plain} END ELSE 0 END)::DOUBLE AS confidence
- FROM (SELECT entity_id, {_count(x, bad)} AS bad, {_count(x, st)} AS st, {_count(x, p)} + {_count(x, st)} AS n FROM b)"""
+ FROM (SELECT {keys}, {_count(x, bad)} AS bad, {_count(x, st)} AS st, {_count(x, p)} + {_count(x, st)} AS n FROM b)"""
+
+
+def _rules_sql(kind: str, lo: int, keys: str = "entity_id") -> list[str]:
+    """Surface and context votes on a type, from b(keys, sf, w)."""
+    return [
+        _patterned_sql("surface", 1, kind, lo, "sf", (c.SURFACE, c.SURFACE_STRUCTURAL, c.SURFACE_NEGATIVE), 0.62, "greatest(0.86, least(0.9, 0.55 + 0.05 * n))", "least(0.9, 0.55 + 0.05 * n)", keys),
+        _patterned_sql("context", 2, kind, lo, "w", (c.CONTEXT, c.CONTEXT_STRUCTURAL, c.CONTEXT_NEGATIVE), 0.58, "greatest(least(0.78, 0.5 + 0.06 * (n - st)), least(0.88, 0.70 + 0.06 * st))", "least(0.78, 0.5 + 0.06 * n)", keys),
+    ]
+
+
+#: The rule LFs of the second layer alone; the query stands with the other labeling functions.
+catalog.SQL["L17_entity_rules"] = f"""WITH {i.CN_CHUNKS_SQL}, b AS (SELECT document_id, chunk_id AS entity_id, section || ' ' AS sf, text[1:200] AS w FROM chunks)
+SELECT document_id, entity_id, lf, label, vote, confidence FROM ({" UNION ALL ".join(x for lo, k in enumerate(c.ENTITY_TYPES) for x in _rules_sql(k, lo, "document_id, entity_id"))})"""
 
 
 def _second_layer_sql() -> str:
     votes = []
     for lo, k in enumerate(c.ENTITY_TYPES):
         votes.append(f"SELECT entity_id, 'suggested' AS lf, 0 AS fo, '{k}' AS label, {lo} AS lo, CASE WHEN entity_type = '{k}' THEN 1 ELSE -1 END AS vote, (CASE WHEN entity_type = '{k}' THEN 0.72 ELSE 0.25 END)::DOUBLE AS confidence FROM b")
-        votes.append(_patterned_sql("surface", 1, k, lo, "sf", (c.SURFACE, c.SURFACE_STRUCTURAL, c.SURFACE_NEGATIVE), 0.62, "greatest(0.86, least(0.9, 0.55 + 0.05 * n))", "least(0.9, 0.55 + 0.05 * n)"))
-        votes.append(_patterned_sql("context", 2, k, lo, "w", (c.CONTEXT, c.CONTEXT_STRUCTURAL, c.CONTEXT_NEGATIVE), 0.58, "greatest(least(0.78, 0.5 + 0.06 * (n - st)), least(0.88, 0.70 + 0.06 * st))", "least(0.78, 0.5 + 0.06 * n)"))
+        votes += _rules_sql(k, lo)
         hit = " OR ".join(f"contains(section, '{x}')" for x in c.SECTION_TERMS.get(k, ())) or "false"
         votes.append(f"SELECT entity_id, 'section' AS lf, 3 AS fo, '{k}' AS label, {lo} AS lo, ({hit})::INT AS vote, (CASE WHEN {hit} THEN 0.42 ELSE 0 END)::DOUBLE AS confidence FROM b")
     bare = lambda x: f"lower(regexp_replace({x}, '\\s+', '', 'g'))"
@@ -250,12 +262,23 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return x.select("document_id", "page", F.col("text").cast("int").alias("word_id"), "row")
 
 
-@query("G4_columns", f"""WITH RECURSIVE {_WORDS}, xs AS (SELECT document_id, page, list(x0 + 35 ORDER BY x0) AS xs FROM words GROUP BY ALL),
-k AS (SELECT document_id, page, xs, xs[floor(len(xs) * 0.3)::INT + 1] AS a, xs[floor(len(xs) * 0.7)::INT + 1] AS b, 0 AS i, false AS done FROM xs WHERE len(xs) >= 40 AND xs[floor(len(xs) * 0.7)::INT + 1] - xs[floor(len(xs) * 0.3)::INT + 1] >= 120
- UNION ALL SELECT document_id, page, xs, CASE WHEN stop THEN a ELSE na END, CASE WHEN stop THEN b ELSE nb END, i + 1, stop FROM (SELECT *, abs(na - a) < 0.5 AND abs(nb - b) < 0.5 AS stop FROM
+def _columns_sql(words: str, centre: str, least: int, width: float) -> str:
+    """Two means, a round a step; after `words` (a list of CTEs that has boxes or words)."""
+    table = "boxes" if "boxes AS" in words else "words"
+    far = "xs[floor(len(xs) * 0.7)::INT + 1] - xs[floor(len(xs) * 0.3)::INT + 1]"
+    apart = f"least(share, 1 - share) >= 0.2 AND b - a >= 0.28 * {width}"
+    return f"""WITH RECURSIVE {words}, xs AS (SELECT document_id, page, list({centre} ORDER BY {centre}) AS xs FROM {table} GROUP BY ALL),
+k AS (SELECT document_id, page, xs, xs[floor(len(xs) * 0.3)::INT + 1] AS a, xs[floor(len(xs) * 0.7)::INT + 1] AS b, 0 AS i, false AS done, false AS lone FROM xs WHERE len(xs) >= {least} AND {far} >= 0.2 * {width}
+ UNION ALL SELECT document_id, page, xs, CASE WHEN stop THEN a ELSE na END, CASE WHEN stop THEN b ELSE nb END, i + 1, stop, na IS NULL OR nb IS NULL FROM (SELECT *, coalesce(abs(na - a) < 0.5 AND abs(nb - b) < 0.5, true) AS stop FROM
   (SELECT *, list_avg(list_filter(xs, lambda x: abs(x - a) <= abs(x - b))) AS na, list_avg(list_filter(xs, lambda x: abs(x - a) > abs(x - b))) AS nb FROM k WHERE NOT done AND i < 15))),
-e AS (SELECT *, len(list_filter(xs, lambda x: abs(x - a) <= abs(x - b))) / len(xs) AS share FROM k WHERE done OR i = 15)
-SELECT document_id, page, coalesce(least(share, 1 - share) >= 0.2 AND b - a >= 0.28 * 600, false) AS two_column, round(CASE WHEN least(share, 1 - share) >= 0.2 AND b - a >= 0.28 * 600 THEN (a + b) / 2 END, 6) AS split_x FROM xs LEFT JOIN e USING (document_id, page)""")
+e AS (SELECT *, len(list_filter(xs, lambda x: abs(x - a) <= abs(x - b))) / len(xs) AS share FROM k WHERE (done OR i = 15) AND NOT lone)
+SELECT document_id, page, coalesce({apart}, false) AS two_column, CASE WHEN {apart} THEN round((a + b) / 2, 6) END AS split_x FROM xs LEFT JOIN e USING (document_id, page)"""
+
+
+catalog.SQL["G4_two_columns"] = _columns_sql(i.BOXES_SQL, "(x0 + x1) / 2", 8, 700.0)
+
+
+@query("G4_columns", _columns_sql(_WORDS, "x0 + 35", 40, 600.0))
 def _(s: SparkSession, d: str) -> DataFrame:
     return lay.two_columns(page_words(s, d), least_words=40).withColumn("split_x", F.round("split_x", 6))
 
