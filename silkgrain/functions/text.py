@@ -16,9 +16,9 @@ BLANK = r"[\s\p{Z}]"
 CJK = r"[\x{4e00}-\x{9fff}]"
 
 
-def strip(text: Column) -> Column:
-    """Unicode blanks removed at both ends."""
-    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+$", "")
+def strip(text: Column, blank: str = BLANK) -> Column:
+    """Blanks (Unicode's, or those of a class) removed at both ends."""
+    return F.regexp_replace(text, rf"^{blank}+|{blank}+\z", "")
 
 
 def normalize_whitespace(text: Column) -> Column:
