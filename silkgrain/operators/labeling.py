@@ -125,12 +125,10 @@ def apply_entity_rules(paired: DataFrame, kinds: tuple[str, ...] = c.ENTITY_TYPE
     type: document_id, entity_id, lf, label, vote, confidence."""
     surface = F.concat_ws(" ", F.coalesce("name", F.lit("")), F.coalesce("evidence_text", F.lit("")))
     x = paired.withColumns({"__s": surface, "__w": evidence_window(F.coalesce("chunk_text", F.lit("")), F.coalesce("evidence_text", F.lit("")))})
+    x = x.select("document_id", "entity_id", "__s", "__w").withColumns(searched(F.col("__s"), F.col("__w"), kinds))
     votes = []
     for kind in kinds:
-        for lf, made in (
-            ("surface", surface_vote(F.col("__s"), c.SURFACE.get(kind, ()), c.SURFACE_STRUCTURAL.get(kind, ()), c.SURFACE_NEGATIVE.get(kind, ()))),
-            ("context", context_vote(F.col("__w"), c.CONTEXT.get(kind, ()), c.CONTEXT_STRUCTURAL.get(kind, ()), c.CONTEXT_NEGATIVE.get(kind, ()))),
-        ):
+        for lf, made in (("surface", surface_said(F.col(f"__surface_{kind}"))), ("context", context_said(F.col(f"__context_{kind}")))):
             votes.append(F.struct(F.lit(lf).alias("lf"), F.lit(kind).alias("label"), made[0].cast("int").alias("vote"), made[1].cast("double").alias("confidence")))
     return x.select("document_id", "entity_id", F.inline(F.array(*votes)))
 
@@ -148,19 +146,39 @@ def suggested_type_vote(label: Column, kind: Column) -> tuple[Column, Column]:
 
 def surface_vote(text: Column, plain: tuple[str, ...], structural: tuple[str, ...] = (), negative: tuple[str, ...] = ()) -> tuple[Column, Column]:
     """Negative patterns decide first; confidence grows with the patterns found."""
-    return _patterned(text, plain, structural, negative, 0.62, lambda n, s: F.when(s > 0, F.greatest(F.lit(0.86), F.least(F.lit(0.9), 0.55 + 0.05 * n))).otherwise(F.least(F.lit(0.9), 0.55 + 0.05 * n)))
+    return surface_said(pattern_counts(text, plain, structural, negative))
+
+
+def surface_said(counts: Column) -> tuple[Column, Column]:
+    """L13 on what pattern_counts() found."""
+    return _counted(counts, 0.62, lambda n, s: F.when(s > 0, F.greatest(F.lit(0.86), F.least(F.lit(0.9), 0.55 + 0.05 * n))).otherwise(F.least(F.lit(0.9), 0.55 + 0.05 * n)))
 
 
 def context_vote(window: Column, plain: tuple[str, ...], structural: tuple[str, ...] = (), negative: tuple[str, ...] = ()) -> tuple[Column, Column]:
     """The same over the text around the evidence."""
-    return _patterned(window, plain, structural, negative, 0.58, lambda n, s: F.when(s > 0, F.greatest(F.least(F.lit(0.78), 0.5 + 0.06 * (n - s)), F.least(F.lit(0.88), 0.70 + 0.06 * s))).otherwise(F.least(F.lit(0.78), 0.5 + 0.06 * n)))
+    return context_said(pattern_counts(window, plain, structural, negative))
+
+
+def context_said(counts: Column) -> tuple[Column, Column]:
+    """L14 on what pattern_counts() found."""
+    return _counted(counts, 0.58, lambda n, s: F.when(s > 0, F.greatest(F.least(F.lit(0.78), 0.5 + 0.06 * (n - s)), F.least(F.lit(0.88), 0.70 + 0.06 * s))).otherwise(F.least(F.lit(0.78), 0.5 + 0.06 * n)))
 
 
-def _patterned(text: Column, plain: tuple, structural: tuple, negative: tuple, against: float, confidence) -> tuple[Column, Column]:  # noqa: ANN001
+def searched(surface: Column, window: Column, kinds: tuple[str, ...] = c.ENTITY_TYPES) -> dict[str, Column]:
+    """Columns surface_K and context_K: the counts of each type's patterns."""
+    tables = {"surface": (surface, c.SURFACE, c.SURFACE_STRUCTURAL, c.SURFACE_NEGATIVE), "context": (window, c.CONTEXT, c.CONTEXT_STRUCTURAL, c.CONTEXT_NEGATIVE)}
+    return {f"__{lf}_{k}": pattern_counts(x, *(p.get(k, ()) for p in ps)) for lf, (x, *ps) in tables.items() for k in kinds}
+
+
+def pattern_counts(text: Column, plain: tuple[str, ...], structural: tuple[str, ...] = (), negative: tuple[str, ...] = ()) -> Column:
+    """How many negative, structural and (plain or structural) patterns a text holds, as an array; stored as a column, it is searched once."""
     count = lambda ps: reduce(lambda a, b: a + b, [F.rlike(text, F.lit(f"(?i){p}")).cast("int") for p in ps], F.lit(0))
-    bad, s = count(negative) > 0, count(structural)
-    n = count(plain) + s
-    return F.when(bad, -1).when(n > 0, 1).otherwise(0), F.when(bad, against).when(n > 0, confidence(n, s)).otherwise(0.0)
+    return F.array(count(negative), count(structural), count((*plain, *structural)))
+
+
+def _counted(counts: Column, against: float, confidence) -> tuple[Column, Column]:  # noqa: ANN001
+    bad, s, n = (F.get(counts, F.lit(k)) for k in range(3))
+    return F.when(bad > 0, -1).when(n > 0, 1).otherwise(0), F.when(bad > 0, against).when(n > 0, confidence(n, s)).otherwise(0.0)
 
 
 def evidence_window(text: Column, evidence: Column, margin: int = 80, fallback: int = 200) -> Column:
