@@ -38,13 +38,13 @@ def _struct(lf: str, label: str, vote: Column, confidence: Column) -> Column:
 def rule_votes(kinds: tuple[str, ...], lfs: tuple[str, ...] = RULES) -> Column:
     """The votes of the named rule LFs on every type, as an array in order of LF and type.
 
-    Columns: entity_type, __surface, __window and __section, as typed() makes them.
+    Columns: entity_type, __section and what labeling.searched() makes, as traced() has them.
     """
     table = lambda patterns, kind: patterns.get(kind, ())
     made = {
         "suggested": lambda k: lab.suggested_type_vote(F.lit(k), F.col("entity_type")),
-        "surface": lambda k: lab.surface_vote(F.col("__surface"), table(c.SURFACE, k), table(c.SURFACE_STRUCTURAL, k), table(c.SURFACE_NEGATIVE, k)),
-        "context": lambda k: lab.context_vote(F.col("__window"), table(c.CONTEXT, k), table(c.CONTEXT_STRUCTURAL, k), table(c.CONTEXT_NEGATIVE, k)),
+        "surface": lambda k: lab.surface_said(F.col(f"__surface_{k}")),
+        "context": lambda k: lab.context_said(F.col(f"__context_{k}")),
         "section": lambda k: lab.section_prior_vote(F.col("__section"), table(c.SECTION_TERMS, k)),
     }
     votes = [_struct(lf, k, *made[lf](k)) for lf in lfs for k in kinds]
@@ -74,7 +74,8 @@ def traced(entities: DataFrame, chunks: DataFrame, answers: DataFrame | None = N
         "located": is_located(F.col("__text"), evidence, name), "__surface": F.concat_ws(" ", name, evidence),
         "__window": lab.evidence_window(F.coalesce("__text", F.lit("")), evidence), "__section": F.coalesce("__section", F.lit("")),
     })
-    x = x.withColumn("trace", rule_votes(kinds, lfs)).drop("__text", "__surface", "__window", "__section")
+    found = lab.searched(F.col("__surface"), F.col("__window"), kinds)
+    x = x.withColumns(found).withColumn("trace", rule_votes(kinds, lfs)).drop("__text", "__surface", "__window", "__section", *found)
     if answers is None:
         return x
     return x.join(answer_votes(answers, kinds), list(ENTITY), "left").withColumn("trace", F.concat("trace", F.coalesce("__said", F.array().cast(VOTE)))).drop("__said")
@@ -199,7 +200,9 @@ def entity_nodes(results: DataFrame, fields: dict[str, dict[str, str]], answers:
     status, properties (map), confidence, reason; they are used for accepted entities, and for review ones with_review. A
     type's properties are its defaults with what answers say on top, and no others; status and type stay. property_status is ok,
     fallback_defaults or review_defaults; the last two are conflicts as well, as is every entity without a node.
+    Results are stored first: a filter on status would else be pushed below the votes, each of which it would repeat many times.
     """
+    results = written(results.select(*ENTITY, "chunk_id", "name", "evidence_text", "final_type", "probability", "gap", "status", "reasons", "source_lfs"))
     none = results.select(*ENTITY).where("false").withColumns({"__ok": F.lit(True), "__p": F.lit(None).cast("map<string,string>"), "__c": F.lit(0.0), "__why": F.lit("")})
     said = none if answers is None else answers.groupBy(*ENTITY).agg(F.max_by(F.struct("status", "properties", "confidence", "reason"), F.struct(F.col("status") == "ok", "confidence")).alias("a")).select(
         *ENTITY, ((F.col("a.status") == "ok") & F.col("a.properties").isNotNull()).alias("__ok"), F.col("a.properties").alias("__p"), F.col("a.confidence").alias("__c"), F.col("a.reason").alias("__why")
