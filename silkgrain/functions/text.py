@@ -200,8 +200,13 @@ def core_anchors(name: Column, modifiers: tuple[str, ...] = c.DISEASE_MODIFIERS)
 
 def is_child_name(name: Column, core: Column) -> Column:
     """Whether a name holds an anchor of the core disease and isn't its name."""
-    x, whole = (strip(F.coalesce(v, F.lit(""))) for v in (name, core))
-    return F.when((x == "") | (whole == ""), True).when(x == whole, False).otherwise(F.exists(core_anchors(whole), lambda a: F.contains(x, a)))
+    return is_child_of(name, strip(F.coalesce(core, F.lit(""))), core_anchors(core))
+
+
+def is_child_of(name: Column, whole: Column, anchors: Column) -> Column:
+    """T21 for many names of one core disease, whose stripped name and anchors are columns of their own."""
+    x = strip(F.coalesce(name, F.lit("")))
+    return F.when((x == "") | (whole == ""), True).when(x == whole, False).otherwise(F.exists(anchors, lambda a: F.contains(x, a)))
 
 
 def recover_exponents(line: Column, ocr: Column) -> Column:
