@@ -60,9 +60,20 @@ def dictionary_vote(label: str, terms: tuple[str, ...], counts: Column) -> Colum
     return _vote("dictionary", label, found > 0, F.least(F.lit(0.92), 0.58 + 0.08 * F.least(found, F.lit(4))), total, evidence)
 
 
+#: A class with its count at the beginning of a pattern.
+_COUNTED = re.compile(r"^\[[^\[\]\\]+\]\{\d+,\d+\}(?![?+])")
+
+
 def pattern_groups(text: Column, patterns: tuple[tuple[str, str, float], ...]) -> Column:
-    """At most six matches of each pattern: an array in order of patterns."""
-    return F.array(*[F.slice(F.regexp_extract_all(text, F.lit(f"({p})"), 1), 1, 6) for _, p, _ in patterns])
+    """At most six matches of each pattern: an array in order of patterns.
+
+    A pattern that begins with a counted class tries every place and length of it, so it is only used on texts that the rest of it matches."""
+
+    def found(p: str) -> Column:
+        some, rest = F.slice(F.regexp_extract_all(text, F.lit(f"({p})"), 1), 1, 6), _COUNTED.sub("", p)
+        return some if rest in ("", p) else F.when(~F.rlike(text, F.lit(rest)), F.array().cast("array<string>")).otherwise(some)
+
+    return F.array(*[found(p) for _, p, _ in patterns])
 
 
 def pattern_vote(label: str, patterns: tuple[tuple[str, str, float], ...], groups: Column, lf: str = "medical_pattern", cap: float = 1.0) -> Column:
