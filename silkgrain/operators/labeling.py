@@ -181,9 +181,21 @@ def searched(surface: Column, window: Column, kinds: tuple[str, ...] = c.ENTITY_
     return {f"__{lf}_{k}": pattern_counts(x, *(p.get(k, ()) for p in ps)) for lf, (x, *ps) in tables.items() for k in kinds}
 
 
+#: Alternatives without a letter of ASCII or a sign of patterns.
+_LITERAL = re.compile(r"^[^\x00-\x7f]+(?:\|[^\x00-\x7f]+)*$")
+
+
+def _holds(text: Column, pattern: str) -> Column:
+    """Whether a pattern is found, in either case of ASCII letters; alternatives that are plain text are looked up as such."""
+    inner = pattern[1:-1] if pattern.startswith("(") and pattern.endswith(")") else pattern
+    if not _LITERAL.match(inner):
+        return F.rlike(text, F.lit(f"(?i){pattern}"))
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in inner.split("|")])
+
+
 def pattern_counts(text: Column, plain: tuple[str, ...], structural: tuple[str, ...] = (), negative: tuple[str, ...] = ()) -> Column:
     """How many negative, structural and (plain or structural) patterns a text holds, as an array; stored as a column, it is searched once."""
-    count = lambda ps: reduce(lambda a, b: a + b, [F.rlike(text, F.lit(f"(?i){p}")).cast("int") for p in ps], F.lit(0))
+    count = lambda ps: reduce(lambda a, b: a + b, [_holds(text, p).cast("int") for p in ps], F.lit(0))
     return F.array(count(negative), count(structural), count((*plain, *structural)))
 
 

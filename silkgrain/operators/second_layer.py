@@ -27,8 +27,9 @@ def is_located(text: Column, evidence: Column, name: Column) -> Column:
     """Whether evidence or name stands in the text, as it is or without blanks, case and width; false without a text."""
     parts = [t.strip(F.coalesce(x, F.lit(""))) for x in (evidence, name)]
     exact = [(p != "") & F.contains(text, p) for p in parts]
-    loose = [(p != "") & F.contains(t.anchor(text), t.anchor(p)) for p in parts]
-    return F.coalesce(reduce(lambda a, b: a | b, exact + loose), F.lit(False))
+    # Spark works out ahead what two sides of an "or" share, but not what stands in a branch.
+    loose = F.exists(F.array(t.anchor(text)), lambda a: reduce(lambda x, y: x | y, [(p != "") & F.contains(a, t.anchor(p)) for p in parts]))
+    return F.coalesce(F.when(reduce(lambda a, b: a | b, exact), True).otherwise(loose), F.lit(False))
 
 
 def _struct(lf: str, label: str, vote: Column, confidence: Column) -> Column:
