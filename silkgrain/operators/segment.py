@@ -55,7 +55,8 @@ def heading_level(title: Column, common: tuple[str, ...] = ("摘要", "引言",
 def lines(docs: DataFrame, text: str = "full_text") -> DataFrame:
     """document_id, line_no, line, start (code points before it), n_chars of the document."""
     parts = F.split(F.col(text), "\n")
-    exploded = docs.select("document_id", F.length(text).alias("n_chars"), F.posexplode(parts).alias("line_no", "line"))
+    # Not posexplode: its condition on the text would go below a shuffle that is to be used again.
+    exploded = docs.select("document_id", F.length(text).alias("n_chars"), F.posexplode_outer(parts).alias("line_no", "line")).where("line_no IS NOT NULL")
     w = Window.partitionBy("document_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     return exploded.withColumn("start", F.coalesce(F.sum(F.length("line") + 1).over(w), F.lit(0)).cast("int"))
 
@@ -97,7 +98,8 @@ def cut_at(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """Documents as sections (start, end, title, path, level) with their text; what stands before the first of them is a
     section of its own, and a document without any is one section."""
     found = found.withColumn("head", F.struct("start", "end", "title", "path", "level"))
-    g = found.groupBy("document_id").agg(F.array_sort(F.collect_list("head")).alias("s"))
+    # The id as an aggregate: "is not null" of the join stays above it, so that lines and texts come from one shuffle.
+    g = found.groupBy("document_id").agg(F.array_sort(F.collect_list("head")).alias("s"), F.max("document_id").alias("__of")).select("__of", "s").withColumnRenamed("__of", "document_id")
     body, none = F.col(text), F.lit(None).cast("int")
     one = lambda end, title, path: F.struct(F.lit(0).alias("start"), end.alias("end"), F.lit(title).alias("title"), F.array(*map(F.lit, path)).alias("path"), none.alias("level"))
     first = F.col("s")[0]["start"]
@@ -123,6 +125,17 @@ def paragraphs(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("do
     return b.withColumn("end", F.col("start") + F.length("block")).where(t.strip(F.col("block")) != "")
 
 
+def paragraph_spans(text: Column) -> Column:
+    """C7 inside a row: start and end of the blocks that aren't blank."""
+    def step(s: Column, block: Column) -> Column:
+        end = s["at"] + F.length(block)
+        span = F.struct(s["at"].alias("start"), end.alias("end"))
+        return F.struct(F.when(t.strip(block) == "", s["out"]).otherwise(F.concat(s["out"], F.array(span))).alias("out"), (end + 2).alias("at"))
+
+    begin = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
+    return F.aggregate(F.split(text, "\n\n"), begin, step, lambda s: s["out"])
+
+
 def sentence_cut(text: Column, most: int, ends: str = c.SENTENCE_ENDS) -> Column:
     """The last sentence end in (0.65 * most, most], else most; whole if short."""
     least = max(0, int(most * 0.65))
@@ -146,9 +159,14 @@ def _folded(pieces: Column, joins: Callable[[Column, Column], Column], path: Cal
         return F.struct(done.alias("out"), F.when(join, more).otherwise(x).alias("now"))
 
     begin = F.struct(F.array().cast(f"array<{_GROUP}>").alias("out"), F.lit(None).cast(_GROUP).alias("now"))
-    groups = F.aggregate(F.transform(pieces, whole), begin, step, lambda s: F.when(s["now"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["now"]))))
-    text = lambda g: F.array_join(F.transform(F.slice(pieces, g["first"] + 1, g["last"] - g["first"] + 1), lambda x: x["text"]), "\n\n")
-    return F.transform(groups, lambda g: F.struct(g["path"].alias("path"), text(g).alias("text"), g["start"].alias("start"), g["end"].alias("end")))
+
+    def joined(made: Column) -> Column:
+        groups = F.aggregate(F.transform(made, whole), begin, step, lambda s: F.when(s["now"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["now"]))))
+        text = lambda g: F.array_join(F.transform(F.slice(made, g["first"] + 1, g["last"] - g["first"] + 1), lambda x: x["text"]), "\n\n")
+        return F.transform(groups, lambda g: F.struct(g["path"].alias("path"), text(g).alias("text"), g["start"].alias("start"), g["end"].alias("end")))
+
+    # The pieces are bound to a variable: as an expression they would be made again for each group.
+    return F.get(F.transform(F.array(pieces), joined), F.lit(0))
 
 
 def pack(pieces: Column, least: int, most: int) -> Column:
@@ -183,15 +201,12 @@ def merge_small(chunks: Column, least: int, most: int) -> Column:
 def section_chunks(found: DataFrame, least: int, most: int) -> DataFrame:
     """A section (text, start, end, path, level) whole if it fits; else its subsections, or
     its paragraphs, packed, and what is still too long cut at sentences. Blank sections go."""
-    keys = ["document_id", "sid"]
     x = found.withColumns({"text": t.strip(F.col("text")), "sid": F.col("start")}).where("text <> ''")
     long = F.length("text") > most
-    spans = paragraphs(x.where(long & (F.coalesce("level", F.lit(0)) < 2)), "text", tuple(keys))
-    g = spans.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block_no", "start", "end"))).alias("spans"))
     local = lambda s: F.struct(F.col("path").alias("path"), t.strip(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])).alias("text"), (F.col("sid") + s["start"]).alias("start"), (F.col("sid") + s["end"]).alias("end"))
     one = F.struct("path", "text", "start", F.when(long, F.col("sid") + F.length("text")).otherwise(F.col("end")).alias("end"))
-    pieces = F.coalesce(F.transform("spans", local), F.array(one))
-    packed = x.join(g, keys, "left").select("document_id", F.inline(pack(pieces, least, most)))
+    pieces = F.when(long & (F.coalesce("level", F.lit(0)) < 2), F.transform(paragraph_spans(F.col("text")), local)).otherwise(F.array(one))
+    packed = x.select("document_id", F.inline(pack(pieces, least, most)))
     cuts = packed.withColumn("cuts", recut(F.col("text"), most)).withColumn("sizes", F.transform("cuts", F.length))
     before = lambda k: F.aggregate(F.slice(F.col("sizes"), F.lit(1), k), F.lit(0), lambda a, n: a + n)
     cut = lambda x, k: F.struct(F.col("path").alias("path"), t.strip(x).alias("text"), (F.col("start") + before(k)).alias("start"), (F.col("start") + before(k) + F.length(t.strip(x))).alias("end"))
