@@ -27,8 +27,13 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunks(spark: SparkSession, d: str) -> DataFrame:
+    return lines_of(docs(spark, d))
+
+
+def lines_of(texts: DataFrame) -> DataFrame:
+    """Chunks of rows (document_id, text): their lines."""
     lines = F.split("text", "\n")
-    x = docs(spark, d).select("document_id", lines[0].alias("section"), F.posexplode(lines).alias("chunk_index", "text"))
+    x = texts.select("document_id", lines[0].alias("section"), F.posexplode(lines).alias("chunk_index", "text"))
     return x.select("document_id", "chunk_index", F.format_string("CH%04d", F.col("chunk_index") + 1).alias("chunk_id"), "text", "section")
 
 

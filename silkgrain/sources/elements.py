@@ -1,8 +1,9 @@
 """Element trees of a structure pre-parser as tables (S2, H24): elements, pages of lines, objects and a report.
 
 A tree is walked level by level, all documents at once: a level's nodes are variants with the way to them (an array of places,
-whose order is that of a walk depth first) and the page they inherit; their children are the next level, stored before it is read. So
-there are as many steps as the deepest tree has levels, whatever the number of documents, and no document is a group.
+whose order is that of a walk depth first) and the page they inherit; their children are the next level. WALK levels are one pass over
+the rows; then elements are stored, and of nodes those whose children are still to come. So a tree is stored once in every WALK levels
+that it has below it, whatever the number of documents, and no document is a group.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silkgrain.functions import text as t
-from silkgrain.sources.tables import Log
+from silkgrain.sources.tables import written
 
 #: Names under which a tree keeps things, in the order in which they count.
 TYPE = ("type", "category", "element_type", "role")
@@ -28,7 +29,9 @@ LEVEL = ("heading_level", "heading level", "level", "depth")
 CHILDREN = ("elements", "children", "kids", "blocks", "items", "list items")
 HEADINGS, TABLES, IMAGES = ("heading", "title", "section_header"), ("table",), ("image", "picture", "figure")
 
-ELEMENT = "document_id {kind}, way array<int>, type string, text string, page int, box array<double>, level int, caption string, body string"
+ELEMENT = ("document_id", "way", "type", "text", "page", "box", "level", "caption", "body")
+#: Levels walked before anything is stored.
+WALK = 6
 
 
 def _at(node: Column, name: str, kind: str) -> Column:
@@ -82,39 +85,49 @@ def element_box(node: Column) -> Column:
     return F.coalesce(*map(of, BOX))
 
 
+def _deeper(level: DataFrame, inherit: bool) -> DataFrame:
+    """Rows (document_id, way, page, done, node): what isn't done gives its children, and itself as done if it is no list of nodes or pages."""
+    node, way, above = F.col("node"), F.col("way"), F.col("page")
+    x = level.withColumns({"pages": F.when(~F.col("done"), _at(node, "pages", "array<variant>")), "items": F.when(~F.col("done"), F.try_variant_get(node, "$", "array<variant>"))})
+    x = x.withColumn("own", F.when(F.col("done"), above).otherwise(F.coalesce(_number(node, PAGE), above if inherit else F.lit(1))))
+
+    def row(place: Column | None, page: Column, done: bool, node: Column) -> Column:
+        there = way if place is None else F.concat(way, F.array(place.cast("int")))
+        return F.struct(there.alias("way"), page.cast("int").alias("page"), F.lit(done).alias("done"), node.alias("node"))
+
+    self = F.array(row(None, F.col("own"), True, node))
+    below = F.filter(F.array(*(row(F.lit(k), F.col("own"), False, _at(node, n, "variant")) for k, n in enumerate(CHILDREN))), lambda b: b["node"].isNotNull())
+    rows = (
+        F.when(F.col("done"), self)
+        .when(F.col("items").isNotNull(), F.transform("items", lambda n, k: row(k, above, False, n)))
+        .when(F.col("pages").isNotNull(), F.transform("pages", lambda n, k: row(k, k + 1, False, n)))
+        .otherwise(F.concat(self, below))
+    )
+    return x.select("document_id", F.inline(rows))
+
+
 def elements(trees: DataFrame, inherit: bool = True) -> DataFrame:
     """trees (document_id, json) to ELEMENT rows: every node with a type or a text; way orders them as a walk depth first does.
 
     A node's page is its own number, else (inherit) that of the nearest node above it that has one, else 1; pages in a list count
     from 1. body is the JSON of a table's rows. What is no JSON, no tree or empty gives no rows.
     """
-    spark, kind = trees.sparkSession, trees.schema["document_id"].dataType.simpleString()
-    out, store = Log(spark, ELEMENT.format(kind=kind)), None
-    level = trees.select("document_id", F.array().cast("array<int>").alias("way"), F.lit(1).alias("page"), F.try_parse_json("json").alias("node")).where("node IS NOT NULL")
+    level = trees.select("document_id", F.array().cast("array<int>").alias("way"), F.lit(1).alias("page"), F.lit(False).alias("done"), F.try_parse_json("json").alias("node")).where("node IS NOT NULL")
+    node, found = F.col("node"), []
+    kind = F.replace(F.lower(t.strip(F.coalesce(*(F.nullif(_at(node, n, "string"), F.lit("")) for n in TYPE), F.lit("")))), F.lit("-"), F.lit("_"))
+    made = {
+        "type": kind, "text": element_text(node), "box": element_box(node), "level": _number(node, LEVEL), "caption": F.coalesce(_at(node, "caption", "string"), F.lit("")),
+        "body": F.to_json(F.coalesce(*(_at(node, n, "variant") for n in ("rows", "table")))),
+    }
     while True:
-        store = Log(spark, level.schema)
-        store.append(level)
-        now = store.rows()
-        if now.isEmpty():
-            return out.rows()
-        node, way = F.col("node"), F.col("way")
-        own = _number(node, PAGE)
-        page = F.coalesce(own, F.col("page") if inherit else F.lit(1))
-        pages = _at(node, "pages", "array<variant>")
-        items = F.try_variant_get(node, "$", "array<variant>")
-        x = now.select("document_id", "way", "node", page.alias("page"), pages.alias("pages"), items.alias("items"), F.col("page").alias("above"))
-        kind_ = F.replace(F.lower(t.strip(F.coalesce(*(F.nullif(_at(node, n, "string"), F.lit("")) for n in TYPE), F.lit("")))), F.lit("-"), F.lit("_"))
-        made = x.where("items IS NULL AND pages IS NULL").select(
-            "document_id", "way", kind_.alias("type"), element_text(node).alias("text"), "page", element_box(node).alias("box"), _number(node, LEVEL).alias("level"),
-            F.coalesce(_at(node, "caption", "string"), F.lit("")).alias("caption"), F.to_json(F.coalesce(*(_at(node, n, "variant") for n in ("rows", "table")))).alias("body"),
-        )
-        out.append(made.where("type <> '' OR text <> ''"))
-        step = lambda *places: F.concat(way, F.array(*(p.cast("int") for p in places)))
-        from_list = x.where("items IS NOT NULL").select("document_id", "way", F.col("above").alias("page"), F.posexplode("items").alias("i", "node")).select("document_id", step(F.col("i")).alias("way"), "page", "node")
-        from_pages = x.where("items IS NULL AND pages IS NOT NULL").select("document_id", "way", F.posexplode("pages").alias("i", "node")).select("document_id", step(F.col("i")).alias("way"), (F.col("i") + 1).alias("page"), "node")
-        below = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), _at(node, n, "variant").alias("node")) for k, n in enumerate(CHILDREN))), lambda b: b["node"].isNotNull())
-        from_node = x.where("items IS NULL AND pages IS NULL").select("document_id", "way", "page", F.inline(below)).select("document_id", step(F.col("k")).alias("way"), "page", "node")
-        level = reduce(DataFrame.unionByName, (from_list, from_pages, from_node))
+        for _ in range(WALK):
+            level = _deeper(level, inherit)
+        columns = (F.when(F.col("done"), v).alias(k) for k, v in made.items())
+        store = written(level.select("document_id", "way", "page", "done", *columns, F.when(~F.col("done"), node).alias("node")))
+        found.append(store.where("done AND (type <> '' OR text <> '')").select(*ELEMENT))
+        level = store.where("NOT done").select("document_id", "way", "page", "done", "node")
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 def element_pages(found: DataFrame, clean: bool = True) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import random
 
 from silkgrain.sources import elements
@@ -79,3 +80,17 @@ def test_random_trees(spark):
     found = elements.elements(spark.createDataFrame([(k, json.dumps(v)) for k, v in trees.items()], "document_id int, json string")).orderBy("way").collect()
     for k, v in trees.items():
         assert [(r["type"], r["page"]) for r in found if r["document_id"] == k] == plain(v)
+
+
+def test_a_tree_is_stored_once(spark):
+    """Lists, pages and nodes above the elements aren't stored; a tree deeper than one walk gives all its elements."""
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    flat = {"pages": [{"elements": [{"type": "paragraph", "text": f"t{k}", "kids": [{"text": "u"}]} for k in range(4)]}]}
+    assert elements.elements(spark.createDataFrame([(1, json.dumps(flat))], "document_id int, json string")).count() == 8
+    assert len(set(os.listdir(folder)) - before) == 1
+    node = {"text": "0"}
+    for k in range(1, 3 * elements.WALK):
+        node = {"text": str(k), "kids": node}
+    got = elements.elements(spark.createDataFrame([(1, json.dumps(node))], "document_id int, json string")).orderBy("way").collect()
+    assert [int(r.text) for r in got] == list(range(3 * elements.WALK))[::-1]
