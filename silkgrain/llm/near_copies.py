@@ -1,9 +1,11 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Equal sets are one node. Candidates meet in BANDS bands of ROWS min-hashes; a pair at 0.8 shares
-a band with probability 1 - (1 - 0.8 ** 4) ** 20 = 0.99997, a nearer one still more surely. Every
-link that is reported was checked on the whole shingle sets. First each member of a bucket is
-checked against the bucket's least one; in buckets that still hold several components the rest of
+Equal sets are one node. Candidates are found by op6's method, SimHash fingerprints of the sets
+linked by deletion variants at simhash.BITS bits or fewer. A pair at 0.8 differs in some ten of 64
+bits, which that index can't reach, so candidates also meet in BANDS bands of ROWS min-hashes;
+there a pair at 0.8 shares a band with probability 1 - (1 - 0.8 ** 4) ** 20 = 0.99997, a nearer one
+still more surely. Every link that is reported was checked on the whole shingle sets. First each
+member of a bucket is checked against the bucket's least one; in buckets that still hold several components the rest of
 the pairs are checked too, so that no component is lost however large a bucket is.
 
 Defined cases: texts of 1 to WORDS - 1 words have one shingle, all their words; null, empty and
@@ -20,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silkgrain.llm import bytesops
+from silkgrain.llm import bytesops, simhash
 from silkgrain.llm.common import written
 from silkgrain.llm.graph import components
 
@@ -49,22 +51,28 @@ def bands(h: np.ndarray) -> np.ndarray:
     return bytesops.mixed(bytesops.mixed(low.reshape(BANDS, ROWS) ^ _PLACES).sum(axis=1, dtype=np.uint64))
 
 
+def fingerprint(h: np.ndarray) -> int:
+    """The SimHash of a set of shingles: bits that over half of the hashes have."""
+    return simhash.majority(bytesops.mixed(h))
+
+
 def _prints(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """ident, sid (a hash of the set), n and keys of every row."""
+    """ident, sid (a hash of the set), n, fp (the fingerprint) and keys of every row."""
     kind = docs.schema[ident].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sid, size, keys = [], [], []
+            sid, size, fp, keys = [], [], [], []
             for x in bytesops.texts(batch.column(1)):
                 h = shingles(x)
                 sid.append(xxhash.xxh64_intdigest(h.tobytes()) if len(h) else 0)
                 size.append(len(h))
+                fp.append(fingerprint(h))
                 keys.append(bands(h).view(np.int64) if len(h) else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(sid, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "sid", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(sid, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=["id", "sid", "n", "fp", "keys"])
 
     out = docs.select(F.col(ident).alias("id"), F.col(text).cast("string").alias("text"))
-    return out.mapInArrow(run, f"id {kind}, sid long, n long, keys array<long>")
+    return out.mapInArrow(run, f"id {kind}, sid long, n long, fp long, keys array<long>")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -126,6 +134,18 @@ def _bridged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out(rows)
 
 
+def simhash_pairs(prints: DataFrame) -> DataFrame:
+    """Candidates a, an, b, bn by fingerprints: sets of one fingerprint with its least set, and least sets of linked fingerprints."""
+    sets = prints.where("n > 0").groupBy("sid").agg(F.min("n").alias("n"), F.min("fp").alias("fp"))
+    sets = written(sets)
+    least = sets.groupBy("fp").agg(F.min(F.struct("sid", "n")).alias("low"))
+    low = least.select("fp", F.col("low.sid").alias("sid"), F.col("low.n").alias("n"))
+    same = sets.join(low.select("fp", F.col("sid").alias("a"), F.col("n").alias("an")), "fp").where("sid <> a").select("a", "an", F.col("sid").alias("b"), F.col("n").alias("bn"))
+    side = lambda k: low.select(F.col("fp").alias(k), F.col("sid").alias(f"{k}sid"), F.col("n").alias(f"{k}n"))
+    linked = simhash.links(least.select("fp")).join(side("a"), "a").join(side("b"), "b").select(F.col("asid").alias("a"), "an", F.col("bsid").alias("b"), "bn")
+    return same.unionByName(linked)
+
+
 def near_copies(docs: DataFrame, ident: str, text: str = "text") -> DataFrame:
     """ident and root, equal for the rows of one component; ident must tell rows apart."""
     prints = written(_prints(docs, ident, text))
@@ -133,11 +153,16 @@ def near_copies(docs: DataFrame, ident: str, text: str = "text") -> DataFrame:
     many = met.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("sid", "n")).alias("low")).where("members > 1")
     met = written(met.join(many, "key").select("key", "members", "sid", "n", F.col("low.sid").alias("a"), F.col("low.n").alias("an")))
 
-    first = prints.join(met.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("id").alias("id"))
+    by_print = simhash_pairs(prints)
+    near = lambda p: p.where(LEAST[1] * F.least("an", "bn") >= LEAST[0] * F.greatest("an", "bn"))
+    by_print = written(near(by_print))
+    wanted = met.select("sid").unionByName(by_print.select(F.col("a").alias("sid"))).unionByName(by_print.select(F.col("b").alias("sid")))
+
+    first = prints.join(wanted.distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("id").alias("id"))
     sets = written(_sets(docs.select(F.col(ident).alias("id"), F.col(text).cast("string").alias("text")).join(first, "id")))
 
-    stars = met.where(F.col("a") != F.col("sid")).select("a", "an", F.col("sid").alias("b"), F.col("n").alias("bn")).distinct()
-    stars = stars.where(LEAST[1] * F.least("an", "bn") >= LEAST[0] * F.greatest("an", "bn"))
+    stars = met.where(F.col("a") != F.col("sid")).select("a", "an", F.col("sid").alias("b"), F.col("n").alias("bn"))
+    stars = near(stars).unionByName(by_print).distinct()
     pairs = stars.join(sets.select(F.col("sid").alias("a"), F.col("h").alias("ah")), "a").join(sets.select(F.col("sid").alias("b"), F.col("h").alias("bh")), "b")
     inter = F.size(F.array_intersect("ah", "bh")).cast("long")
     edges = written(pairs.where(LEAST[1] * inter >= LEAST[0] * (F.col("an") + F.col("bn") - inter)).select("a", "b"))

@@ -34,6 +34,14 @@ SPLIT_ABOVE = 20_000
 _FOREST_ABOVE = 48
 
 
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(h), 1 << 16):
+        ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(sum(1 << int(j) for j in np.flatnonzero(2 * ones > len(h))))
+
+
 def fingerprint(text: bytes) -> int:
     """The 64-bit fingerprint of a whole text, unsigned."""
     words = text.lower().split()
@@ -48,10 +56,7 @@ def fingerprint(text: bytes) -> int:
         slices = map(line.__getitem__, map(slice, starts, ends[WORDS - 1 :]))
     n = max(1, len(words) - WORDS + 1)
     h = np.fromiter(map(xxhash.xxh64_intdigest, slices, repeat(SEED)), np.uint64, n)
-    ones = np.zeros(64, np.int64)
-    for k in range(0, n, 1 << 16):
-        ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(sum(1 << int(j) for j in np.flatnonzero(2 * ones > n)))
+    return majority(h)
 
 
 def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:

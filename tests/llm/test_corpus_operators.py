@@ -439,6 +439,19 @@ def edited_docs():
     return [*out, out[0].upper(), None, "", " \n", "one two", "One  two", "one two three"]
 
 
+def test_near_copies_have_candidates_by_fingerprints(spark):
+    """SimHash and its deletion variants find sets that differ in few bits, and sets of one fingerprint, without min-hashes."""
+    rng = np.random.default_rng(3)
+    base = [f"w{k}" for k in rng.integers(0, 5000, 600)]
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(f"v{k}" for k in rng.integers(0, 5000, 600)), "", "a b"]
+    prints = near_copies._prints(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text").cache()
+    sid = {r["id"]: r["sid"] for r in prints.collect()}
+    assert 0 <= np.bitwise_count(np.bitwise_xor(*(np.uint64(near_copies.fingerprint(near_copies.shingles(x.encode()))) for x in texts[:2]))) <= simhash.BITS
+    assert {frozenset((r["a"], r["b"])) for r in near_copies.simhash_pairs(prints).collect()} == {frozenset((sid[0], sid[1]))}
+    one = prints.withColumn("fp", F.lit(7).cast("long"))
+    assert {r["b"] for r in near_copies.simhash_pairs(one).collect()} == {sid[k] for k in (0, 1, 2, 4)} - {min(sid[k] for k in (0, 1, 2, 4))}
+
+
 def test_near_copies_against_brute_force(spark):
     texts = edited_docs()
     plain = plain_near(texts)
