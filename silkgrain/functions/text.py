@@ -167,13 +167,15 @@ def sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def append_blocks(text: Column, blocks: Column) -> Column:
-    """Blocks (caption, text) that say something, marked and set below the page's text."""
+def append_blocks(text: Column, blocks: Column, blank: str = BLANK, head: bool = True) -> Column:
+    """Blocks (caption, text) that say something, marked and set below the page's text, whose end loses its blanks.
+    head: so does the beginning of all."""
     said = F.filter(blocks, lambda b: strip(F.coalesce(b["text"], F.lit(""))) != "")
     name = lambda b: F.coalesce(F.nullif(b["caption"], F.lit("")), F.lit("图"))
     shown = F.transform(said, lambda b: F.concat(name(b), F.lit("\n[FIGURE_CONTENT]\n"), strip(b["text"]), F.lit("\n[/FIGURE_CONTENT]")))
-    body = F.regexp_replace(F.coalesce(text, F.lit("")), rf"{BLANK}+$", "")
-    return F.when(F.size(said) > 0, strip(F.concat(body, F.lit("\n\n"), F.array_join(shown, "\n\n")))).otherwise(text)
+    body = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?<!{blank}){blank}+\z", "")
+    whole = F.concat(body, F.lit("\n\n"), F.array_join(shown, "\n\n"))
+    return F.when(F.size(said) > 0, strip(whole, blank) if head else whole).otherwise(text)
 
 
 def json_object_strict(text: Column) -> Column:

@@ -100,13 +100,23 @@ LATIN = "abcdefghijklmnopqrstuvwxyz"
 CHINESE = "断表因案发现病疗检查疹疼机诊访制痛热方治率皮随阳高性"
 
 
+#: Letters that have a small one, each by itself: SQL's lower() knows no final sigma, and of a dotted I it makes an i.
+_SMALL = {ch: ch.lower()[0] for ch in map(chr, range(0x110000)) if ch.lower() != ch}
+_IN_CHINESE = str.maketrans(LATIN, CHINESE)
+
+
+def cn(text: Column) -> Column:
+    """Every Latin letter as a Chinese character, all others small."""
+    return F.translate(text, "".join(_SMALL) + LATIN, ("".join(_SMALL.values()) + LATIN).translate(_IN_CHINESE))
+
+
 def cn_docs(spark: SparkSession, d: str) -> DataFrame:
     """docs with every Latin letter as a Chinese character."""
-    return docs(spark, d).withColumn("text", F.translate(F.lower("text"), LATIN, CHINESE))
+    return docs(spark, d).withColumn("text", cn(F.col("text")))
 
 
 def cn_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunks(spark, d).withColumns({k: F.translate(F.lower(k), LATIN, CHINESE) for k in ("text", "section")})
+    return chunks(spark, d).withColumns({k: cn(F.col(k)) for k in ("text", "section")})
 
 
 DOCS_SQL = "docs AS (SELECT doc_id AS document_id, text FROM documents)"
